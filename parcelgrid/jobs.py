@@ -75,3 +75,128 @@ WHERE e.asset_rating_band IN ('F', 'G')
 ORDER BY c.company_number, c.company_name
 LIMIT 10"""))(lambda lake: D.enrichment_targets(fx.corporate_registry(lake), fx.ownership_records(lake),
                                                 fx.master_properties(lake), fx.epc_assessments(lake)))
+
+# ------------------------------------------------------- C: record linkage
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from parcelgrid.functions.text import (levenshtein_ratio_sql, normalize_address,  # noqa: E402
+                                       normalize_address_sql)
+from parcelgrid.operators import linkage as L  # noqa: E402
+from parcelgrid.plans import comps as CP  # noqa: E402
+
+NORM = normalize_address_sql
+RATIO = levenshtein_ratio_sql
+
+_TARGETS_SQL = f"""
+SELECT p.uprn, p.postcode, {NORM('p.address_line_1')} AS n FROM master_properties p
+WHERE (p.title_number IS NULL OR p.title_number = '') AND p.postcode IS NOT NULL
+  AND p.uprn IN (SELECT uprn FROM epc_assessments WHERE asset_rating_band IN ('F', 'G'))"""
+_CANDS_SQL = f"""
+SELECT uprn AS cand_uprn, title_number, postcode, {NORM('address_line_1')} AS n FROM master_properties
+WHERE title_number IS NOT NULL AND title_number != '' AND postcode IS NOT NULL"""
+_LINK_CTES = {
+    "t": _TARGETS_SQL,
+    "c": _CANDS_SQL,
+    "s": f"SELECT t.uprn, c.cand_uprn, c.title_number, {RATIO('t.n', 'c.n')} AS ratio FROM t JOIN c ON t.postcode = c.postcode",
+    "r": "SELECT *, row_number() OVER (PARTITION BY uprn ORDER BY ratio DESC, cand_uprn) AS rn FROM s",
+    "links": "SELECT uprn, title_number, cand_uprn, ratio FROM r WHERE rn = 1 AND ratio >= 0.85",
+}
+
+register("normalize_addresses", with_views(f"""
+SELECT uprn, address_line_1, {NORM('address_line_1')} AS address_norm FROM master_properties"""))(
+    lambda lake: fx.master_properties(lake).select(
+        "uprn", "address_line_1", normalize_address(F.col("address_line_1")).alias("address_norm")))
+
+register("unlinked_targets", with_views("""
+SELECT p.uprn, p.address_line_1, p.postcode FROM master_properties p
+WHERE (p.title_number IS NULL OR p.title_number = '') AND p.postcode IS NOT NULL
+  AND p.uprn IN (SELECT uprn FROM epc_assessments WHERE asset_rating_band IN ('F', 'G'))"""))(
+    lambda lake: L.unlinked_targets(fx.master_properties(lake), fx.epc_assessments(lake)))
+
+register("block_candidates", with_views("""
+SELECT t.uprn, t.postcode, count(c.cand_uprn) AS n_candidates FROM t LEFT JOIN c ON t.postcode = c.postcode
+GROUP BY t.uprn, t.postcode""", {"t": _TARGETS_SQL, "c": _CANDS_SQL}))(
+    lambda lake: L.block_candidates(L.unlinked_targets(fx.master_properties(lake), fx.epc_assessments(lake)),
+                                    L.titled_candidates(fx.master_properties(lake)), ["postcode"]))
+
+
+def _similar_pairs(lake):
+    props = fx.master_properties(lake)
+    t = L.unlinked_targets(props, fx.epc_assessments(lake)).select(
+        "uprn", "postcode", normalize_address(F.col("address_line_1")).alias("n"))
+    c = L.titled_candidates(props).select("cand_uprn", "postcode", normalize_address(F.col("cand_address")).alias("n"))
+    return L.similarity_join(t, c, ["postcode"], "uprn", "cand_uprn", "n", "n", 0.85, "levenshtein")
+
+
+register("similar_pairs", with_views(
+    "SELECT uprn, cand_uprn, ratio FROM s WHERE ratio >= 0.85",
+    {k: _LINK_CTES[k] for k in ("t", "c", "s")}))(_similar_pairs)
+
+register("best_match", with_views(
+    "SELECT uprn, title_number, cand_uprn, ratio FROM links", _LINK_CTES))(
+    lambda lake: L.title_links(fx.master_properties(lake), fx.epc_assessments(lake)))
+
+register("link_titles", with_views("""
+SELECT p.uprn, CASE WHEN l.uprn IS NOT NULL THEN l.title_number ELSE p.title_number END AS title_number,
+       p.address_line_1, p.postcode, p.latitude, p.longitude, p.local_authority_code
+FROM master_properties p LEFT JOIN links l ON p.uprn = l.uprn""", _LINK_CTES))(
+    lambda lake: L.link_titles(fx.master_properties(lake), fx.epc_assessments(lake)))
+
+# difflib ratio (Python SequenceMatcher semantics): no SQL twin, rows-only check
+register("best_match_difflib")(
+    lambda lake: L.title_links(fx.master_properties(lake), fx.epc_assessments(lake), method="difflib"))
+
+# ------------------------------------------------------------ comps
+
+_SALES_CTES = {
+    "sales": """SELECT * FROM (SELECT transaction_id, transfer_date, price_paid, full_address, property_type, postcode,
+       row_number() OVER (PARTITION BY postcode ORDER BY transfer_date DESC NULLS LAST, transaction_id) AS rn
+       FROM raw_ppd_staging WHERE postcode IS NOT NULL) WHERE rn <= 20""",
+    "sizes": """SELECT e.certificate_id, p.postcode, p.address_line_1, e.floor_area
+       FROM epc_assessments e JOIN master_properties p ON e.uprn = p.uprn""",
+}
+_COMPS_CTES = dict(_SALES_CTES)
+_COMPS_CTES.update({
+    "pairs": f"""SELECT s.transaction_id, z.certificate_id, z.floor_area,
+       {RATIO(NORM('s.full_address'), NORM('z.address_line_1'))} AS ratio
+       FROM sales s JOIN sizes z ON s.postcode = z.postcode""",
+    "firsts": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY certificate_id) AS rn2
+       FROM pairs WHERE ratio > 0.8) WHERE rn2 = 1""",
+    "per_sale": """SELECT s.postcode, s.transaction_id, s.transfer_date, s.price_paid, s.full_address,
+       f.certificate_id, f.ratio, f.floor_area,
+       CASE WHEN f.floor_area IS NOT NULL AND f.floor_area > 0 THEN s.price_paid / f.floor_area / 10.764 END AS psf
+       FROM sales s LEFT JOIN firsts f ON s.transaction_id = f.transaction_id""",
+})
+
+
+def _sales_tables(lake):
+    return fx.raw_ppd_staging(lake), fx.epc_assessments(lake), fx.master_properties(lake)
+
+
+register("recent_sales", with_views(
+    "SELECT transaction_id, transfer_date, price_paid, full_address, property_type, postcode FROM sales",
+    _SALES_CTES))(lambda lake: CP.recent_sales(fx.raw_ppd_staging(lake)))
+
+register("postcode_sizes", with_views("SELECT certificate_id, postcode, address_line_1, floor_area FROM sizes",
+                                      _SALES_CTES))(
+    lambda lake: CP.postcode_sizes(fx.epc_assessments(lake), fx.master_properties(lake)))
+
+register("first_match", with_views(
+    "SELECT transaction_id, postcode, certificate_id, ratio, floor_area FROM per_sale", _COMPS_CTES))(
+    lambda lake: CP.sale_matches(*_sales_tables(lake)).select(
+        "transaction_id", "postcode", "certificate_id", "ratio", "floor_area"))
+
+register("comps_sales", with_views("""
+SELECT postcode, transaction_id, transfer_date, price_paid, certificate_id, psf,
+       CAST(round_even(price_paid / 1000.0, 0) AS BIGINT) AS price_k,
+       substr(full_address, 1, 35) AS address_35,
+       CASE WHEN floor_area IS NOT NULL AND floor_area > 0 THEN CAST(CAST(trunc(floor_area) AS BIGINT) AS VARCHAR) ELSE 'N/A' END AS size_label
+FROM per_sale""", _COMPS_CTES))(lambda lake: CP.comps_sales(*_sales_tables(lake)))
+
+register("comps_all", with_views("""
+SELECT postcode, count(*) AS n_sales, count(psf) AS n_comps, CAST(floor(avg(psf)) AS BIGINT) AS avg_psf,
+       CASE WHEN count(psf) = 0 THEN 'no size matches' ELSE 'ok' END AS signal
+FROM per_sale GROUP BY postcode""", _COMPS_CTES))(lambda lake: CP.comps_all(*_sales_tables(lake)))
+
+register("comps_all_difflib")(lambda lake: CP.comps_all(*_sales_tables(lake), method="difflib"))
