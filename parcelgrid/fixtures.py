@@ -221,3 +221,166 @@ def ownership_edges(lake: Lake) -> DataFrame:
     return s.where(F.col("s_suppkey") > 0).select(
         F.concat(F.lit("S"), _s("s_suppkey")).alias("child"),
         F.concat(F.lit("S"), _s(F.floor(F.col("s_suppkey") / 2).cast("bigint"))).alias("parent"))
+
+
+# ---------------------------------------------------------------- raw feeds
+# Feeds shaped like the files the loaders read (all-string columns, feed
+# headers, a file-order key ``_seq`` and a file name ``_file``).  The SQL
+# twins live in ``parcelgrid.oracle.FEED_SQL``.
+
+def _band(size_col: str) -> Column:
+    return F.substr(F.lit("ABCDEFG"), (F.floor(F.col(size_col) / 8) + 1).cast("int"), F.lit(1))
+
+
+def ownership_feed(lake: Lake) -> DataFrame:
+    li, s = lake.table("lineitem"), lake.table("supplier")
+    ln, ok = F.col("l_linenumber"), F.col("l_orderkey")
+    name = (F.when(ln % 3 == 0, F.lower("s_name")).when(ln % 3 == 1, F.col("s_name"))
+             .otherwise(F.replace(F.col("s_name"), F.lit("#"), F.lit(" "))))
+    null = F.lit(None).cast("string")
+    return li.join(s, li.l_suppkey == s.s_suppkey).select(
+        F.when(ok % 50 == 0, null).otherwise(F.concat(F.lit("T"), _s("l_partkey"))).alias("Title Number"),
+        F.concat(F.lit("Unit "), _s(ln), F.lit(", "), _s("l_partkey"), F.lit(" High Street")).alias("Property Address"),
+        F.concat(F.lit("Brand#"), _s(F.col("l_partkey") % 25 + 1)).alias("Postcode"),
+        _s(F.floor("l_extendedprice")).alias("Price Paid"),
+        name.alias("Proprietor Name (1)"),
+        F.when(ln == 7, null).otherwise(F.concat(F.lit("S"), _s("l_suppkey"))).alias("Company Registration No. (1)"),
+        F.when(F.col("l_returnflag") == "R", "Limited Company or Public Limited Company")
+         .otherwise("Corporate Body").alias("Proprietorship Category (1)"),
+        F.concat(_s("l_suppkey"), F.lit(" Main Road")).alias("Proprietor (1) Address (1)"),
+        F.when(ln % 2 == 0, null).otherwise(F.lit("London")).alias("Proprietor (1) Address (2)"),
+        F.when(ln % 3 == 0, F.lit("UK")).otherwise(null).alias("Proprietor (1) Address (3)"),
+        F.when(ok % 13 == 0, F.lit("unknown"))
+         .otherwise(F.date_format("l_shipdate", "dd-MM-yyyy")).alias("Date Proprietor Added"),
+        _li_seq().alias("_seq"))
+
+
+def _li_seq() -> Column:
+    """Unique line-item order: (orderkey, linenumber, partkey, suppkey)."""
+    return F.struct(F.col("l_orderkey").alias("o"), F.col("l_linenumber").cast("bigint").alias("n"),
+                    F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"))
+
+
+def certificate_feed(lake: Lake) -> DataFrame:
+    o, p = lake.table("orders"), lake.table("part")
+    k = F.col("o_orderkey")
+    return o.join(p, p.p_partkey == k % _part_count(lake)).select(
+        F.when(k % 97 == 0, F.lit(None).cast("string")).otherwise(_s("p_partkey")).alias("UPRN"),
+        F.concat(_s("p_size"), F.lit(" "), "p_name", F.lit(", "), "p_type").alias("ADDRESS"),
+        F.col("p_brand").alias("POSTCODE"),
+        F.concat(F.lit("LA"), _s(F.col("p_partkey") % 12)).alias("LOCAL_AUTHORITY"),
+        F.concat(F.lit("C"), _s(k)).alias("LMK_KEY"),
+        _s(F.to_date("o_orderdate")).alias("INSPECTION_DATE"),
+        _s(F.col("p_size") * 3).alias("ASSET_RATING"),
+        _band("p_size").alias("ASSET_RATING_BAND"),
+        _s(F.floor("p_retailprice")).alias("FLOOR_AREA"),
+        F.col("p_type").alias("PROPERTY_TYPE"),
+        k.alias("_seq"))
+
+
+def sales_feed(lake: Lake) -> DataFrame:
+    """Headerless 16-column sales file (baseline), columns _c0.._c15."""
+    o, p = lake.table("orders"), lake.table("part")
+    k = F.col("o_orderkey")
+    null = F.lit(None).cast("string")
+    cols = [F.concat(F.lit("X"), _s(k)), _s(F.round("o_totalprice").cast("bigint")),
+            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm"), F.col("p_brand"), F.substring("p_type", 1, 1),
+            F.lit("N"), F.lit("F"), _s("p_size"), F.when(k % 4 == 0, F.lit("FLAT 1")).otherwise(null),
+            F.col("p_name"), null, F.lit("LONDON"), F.lit("CITY"), F.lit("GREATER LONDON"), F.lit("A"), F.lit("A")]
+    zero = F.lit(0).cast("bigint")
+    seq = F.struct(k.alias("o"), zero.alias("n"), zero.alias("p"), zero.alias("s"))
+    return o.join(p, p.p_partkey == k % _part_count(lake)).select(
+        *[c.alias(f"_c{i}") for i, c in enumerate(cols)], seq.alias("_seq"))
+
+
+def sales_update_feed(lake: Lake) -> DataFrame:
+    """Monthly update file: one row per line item, correcting its order's sale."""
+    return sales_update_rows(lake.table("lineitem"))
+
+
+def sales_update_rows(li: DataFrame) -> DataFrame:
+    """The update-file rows for a frame of line items (batch or stream)."""
+    k, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    null = F.lit(None).cast("string")
+    cols = [F.concat(F.lit("X"), _s(k)), _s(F.floor("l_extendedprice").cast("bigint")),
+            F.date_format("l_shipdate", "yyyy-MM-dd HH:mm"),
+            F.concat(F.lit("Brand#"), _s(F.col("l_partkey") % 25 + 1)), F.lit("S"), F.lit("N"), F.lit("F"),
+            _s(ln), null, F.lit("UPDATED ROAD"), null, F.lit("LONDON"), F.lit("CITY"), F.lit("GREATER LONDON"),
+            F.lit("A"), F.when(F.col("l_returnflag") == "R", F.lit("D")).otherwise(F.lit("C"))]
+    return li.select(*[c.alias(f"_c{i}") for i, c in enumerate(cols)], _li_seq().alias("_seq"))
+
+
+def postcode_feed(lake: Lake) -> DataFrame:
+    """Headerless postcode files (10 columns), one file name per row group."""
+    p = lake.table("part")
+    k = F.col("p_partkey")
+    pc = (F.when(k % 997 == 0, F.col("p_brand")).when(k % 991 == 0, F.concat(F.lit("PC"), _s(k + 1)))
+           .otherwise(F.concat(F.lit("PC"), _s(k))))
+    cols = [pc, F.lit("10"), _s(F.lit(400000) + (k * 7) % 100000), _s(F.lit(100000) + (k * 13) % 800000),
+            F.lit("E92000001"), F.lit("X"), F.lit("Y"), F.lit("Z"), F.concat(F.lit("D"), _s(k % 33)), F.lit("W")]
+    unit = F.concat(F.lit("codepoint-"), F.lpad(_s(F.floor(k / 100)), 5, "0"), F.lit(".csv"))
+    return p.select(*[c.alias(f"_c{i}") for i, c in enumerate(cols)], unit.alias("_file"), k.alias("_seq"))
+
+
+def rates_feed(lake: Lake, year: int) -> DataFrame:
+    p = lake.table("part")
+    k = F.col("p_partkey")
+    rv = F.floor("p_retailprice").cast("int")
+    if year == 2026:
+        p = p.where(k % 7 != 0)
+        rv = rv + F.col("p_size") * 4 - 50
+    return p.select(_s(k).alias("BA Reference"), F.concat(_s("p_size"), F.lit(" "), "p_name").alias("Address"),
+                    F.col("p_brand").alias("Postcode"), F.col("p_type").alias("Description"),
+                    _s(rv).alias("Rateable Value"),
+                    F.lit(f"{year}-04-01").alias("Effective Date"), k.alias("_seq"))
+
+
+def lease_feed(lake: Lake) -> DataFrame:
+    o = lake.table("orders")
+    k = F.col("o_orderkey")
+    null = F.lit(None).cast("string")
+    return o.select(
+        F.concat(F.lit("L"), _s(k)).alias("Unique Identifier"),
+        F.concat(F.lit("T"), _s(k % _part_count(lake))).alias("Title Number"),
+        F.when(k % 17 == 0, null).otherwise(F.date_format("o_orderdate", "dd-MM-yyyy")).alias("Date of Lease"),
+        F.when(k % 19 == 0, F.lit("unknown")).otherwise(_s(F.col("o_custkey") % 30 + 1)).alias("Term"),
+        F.concat(F.lit("Tenant "), _s("o_custkey")).alias("Lessee Name"), k.alias("_seq"))
+
+
+def covenant_feed(lake: Lake) -> DataFrame:
+    li = lake.table("lineitem")
+    return li.where(F.col("l_returnflag") == "R").select(
+        F.concat(F.lit("T"), _s("l_partkey")).alias("Title Number"), _s("l_orderkey").alias("Deed Reference"))
+
+
+def connectivity_feed(lake: Lake) -> DataFrame:
+    p = lake.table("part")
+    k = F.col("p_partkey")
+    return p.select(_s(k).alias("UPRN"), _s(F.col("p_size") * 10).alias("Max_Down"), _s("p_size").alias("Max_Up"),
+                    F.when(k % 2 == 0, "Y").otherwise("N").alias("FTTP_Availability"),
+                    F.when(k % 5 == 0, "Yes").otherwise("No").alias("5G_Outdoor"), k.alias("_seq"))
+
+
+def address_payloads(lake: Lake) -> DataFrame:
+    """Address-lookup responses: one per property, empty on every tenth."""
+    p = master_properties(lake)
+    k = F.col("uprn").cast("bigint")
+    dpa = F.struct(F.col("uprn").alias("UPRN"), F.upper("address_line_1").alias("ADDRESS"),
+                   F.col("postcode").alias("POSTCODE"), F.col("latitude").alias("LAT"),
+                   F.col("longitude").alias("LNG"), (F.lit(500000) + k).cast("double").alias("X_COORDINATE"),
+                   (F.lit(180000) + k).cast("double").alias("Y_COORDINATE"))
+    results = F.when(k % 10 == 0, F.array().cast("array<struct<DPA:" + "struct<UPRN:string,ADDRESS:string,"
+                                                 "POSTCODE:string,LAT:double,LNG:double,X_COORDINATE:double,"
+                                                 "Y_COORDINATE:double>>>")).otherwise(F.array(F.struct(dpa.alias("DPA"))))
+    return p.select(F.concat(F.lit("Q"), F.col("uprn")).alias("query"),
+                    F.to_json(F.struct(results.alias("results"))).alias("payload"))
+
+
+def company_index(lake: Lake) -> DataFrame:
+    """Landed company-search results: official number, title, status."""
+    s = lake.table("supplier")
+    k = F.col("s_suppkey")
+    return s.select(F.concat(F.lit("CH"), F.lpad(_s(k), 8, "0")).alias("company_number"),
+                    F.upper("s_name").alias("title"),
+                    F.when(k % 5 == 0, F.lit(None).cast("string")).when(k % 5 == 1, F.lit("dissolved"))
+                     .otherwise(F.lit("active")).alias("company_status"))

@@ -16,6 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def qcol(name: str) -> Column:
+    """Column by exact name (dots and spaces are part of the name)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _keys_not_null(key: list[str]) -> Column:
     cond = F.lit(True)
     for k in key:
@@ -131,7 +136,7 @@ def conform(df: DataFrame, mapping: dict[str, object], required: list[str] | Non
             constants: dict | None = None) -> DataFrame:
     """Select + rename (+ cast via Column values), drop rows with a NULL
     required column, add constant columns."""
-    sel = [(F.col(src) if isinstance(src, str) else src).alias(dst) for dst, src in mapping.items()]
+    sel = [(qcol(src) if isinstance(src, str) else src).alias(dst) for dst, src in mapping.items()]
     out = df.select(*sel)
     for name, v in (constants or {}).items():
         out = out.withColumn(name, v if isinstance(v, Column) else F.lit(v))

@@ -107,3 +107,51 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     if not ctes:
         return body.strip()
     return "WITH " + ",\n".join(ctes) + "\n" + body.strip()
+
+
+# Raw feeds (twins of parcelgrid.fixtures *_feed), usable as extra CTEs.
+FEED_SQL: dict[str, str] = {
+    "ownership_feed": """
+SELECT CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE concat('T', CAST(l_partkey AS VARCHAR)) END AS "Title Number",
+       concat('Unit ', CAST(l_linenumber AS VARCHAR), ', ', CAST(l_partkey AS VARCHAR), ' High Street') AS "Property Address",
+       concat('Brand#', CAST(l_partkey % 25 + 1 AS VARCHAR)) AS "Postcode",
+       CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) AS "Price Paid",
+       CASE WHEN l_linenumber % 3 = 0 THEN lower(s_name) WHEN l_linenumber % 3 = 1 THEN s_name ELSE replace(s_name, '#', ' ') END AS "Proprietor Name (1)",
+       CASE WHEN l_linenumber = 7 THEN NULL ELSE concat('S', CAST(l_suppkey AS VARCHAR)) END AS "Company Registration No. (1)",
+       CASE WHEN l_returnflag = 'R' THEN 'Limited Company or Public Limited Company' ELSE 'Corporate Body' END AS "Proprietorship Category (1)",
+       concat(CAST(l_suppkey AS VARCHAR), ' Main Road') AS "Proprietor (1) Address (1)",
+       CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE 'London' END AS "Proprietor (1) Address (2)",
+       CASE WHEN l_linenumber % 3 = 0 THEN 'UK' ELSE NULL END AS "Proprietor (1) Address (3)",
+       CASE WHEN l_orderkey % 13 = 0 THEN 'unknown' ELSE strftime(l_shipdate, '%d-%m-%Y') END AS "Date Proprietor Added",
+       struct_pack(o := l_orderkey, n := CAST(l_linenumber AS BIGINT), p := l_partkey, s := l_suppkey) AS _seq
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
+    "certificate_feed": """
+SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(p_partkey AS VARCHAR) END AS uprn,
+       concat(CAST(p_size AS VARCHAR), ' ', p_name, ', ', p_type) AS address, p_brand AS postcode,
+       concat('LA', CAST(p_partkey % 12 AS VARCHAR)) AS local_authority, concat('C', CAST(o_orderkey AS VARCHAR)) AS lmk_key,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS inspection_date, CAST(p_size * 3 AS VARCHAR) AS asset_rating,
+       substr('ABCDEFG', CAST(floor(p_size / 8.0) AS INT) + 1, 1) AS asset_rating_band,
+       CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) AS floor_area, p_type AS property_type, o_orderkey AS _seq
+FROM orders JOIN part ON p_partkey = o_orderkey % (SELECT count(*) FROM part)""",
+    "sales_feed": """
+SELECT concat('X', CAST(o_orderkey AS VARCHAR)) AS id, CAST(CAST(round(o_totalprice) AS BIGINT) AS VARCHAR) AS price,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M') AS date, p_brand AS postcode, substr(p_type, 1, 1) AS type,
+       CAST(p_size AS VARCHAR) AS paon, CASE WHEN o_orderkey % 4 = 0 THEN 'FLAT 1' ELSE NULL END AS saon,
+       p_name AS street, 'A' AS status, 0 AS rank,
+       struct_pack(o := o_orderkey, n := CAST(0 AS BIGINT), p := CAST(0 AS BIGINT), s := CAST(0 AS BIGINT)) AS _seq
+FROM orders JOIN part ON p_partkey = o_orderkey % (SELECT count(*) FROM part)""",
+    "sales_update_feed": """
+SELECT concat('X', CAST(l_orderkey AS VARCHAR)) AS id, CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) AS price,
+       strftime(l_shipdate, '%Y-%m-%d %H:%M') AS date, concat('Brand#', CAST(l_partkey % 25 + 1 AS VARCHAR)) AS postcode,
+       'S' AS type, CAST(l_linenumber AS VARCHAR) AS paon, CAST(NULL AS VARCHAR) AS saon, 'UPDATED ROAD' AS street,
+       CASE WHEN l_returnflag = 'R' THEN 'D' ELSE 'C' END AS status, 1 AS rank,
+       struct_pack(o := l_orderkey, n := CAST(l_linenumber AS BIGINT), p := l_partkey, s := l_suppkey) AS _seq
+FROM lineitem""",
+    "postcode_feed": """
+SELECT CASE WHEN p_partkey % 997 = 0 THEN p_brand WHEN p_partkey % 991 = 0 THEN concat('PC', CAST(p_partkey + 1 AS VARCHAR))
+            ELSE concat('PC', CAST(p_partkey AS VARCHAR)) END AS postcode,
+       400000 + (p_partkey * 7) % 100000 AS eastings, 100000 + (p_partkey * 13) % 800000 AS northings,
+       concat('D', CAST(p_partkey % 33 AS VARCHAR)) AS district_code,
+       concat('codepoint-', lpad(CAST(CAST(floor(p_partkey / 100) AS BIGINT) AS VARCHAR), 5, '0'), '.csv') AS _file, p_partkey AS _seq
+FROM part""",
+}

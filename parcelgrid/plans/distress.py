@@ -114,7 +114,7 @@ def planning_targets(props, epc, limit: int = 50) -> DataFrame:
              .select("uprn", "postcode", "latitude", "longitude"))
 
 
-def enrichment_targets(companies, owners, props, epc, limit: int = 10) -> DataFrame:
+def enrichment_targets(companies, owners, props, epc, limit: int | None = 10) -> DataFrame:
     """Companies owning an F/G asset that still lack status or country.
     A semi-join replaces the reference's DISTINCT over a 4-way join, so
     the join result is never materialised per certificate."""
@@ -123,6 +123,7 @@ def enrichment_targets(companies, owners, props, epc, limit: int = 10) -> DataFr
               .join(epc.where(F.col("asset_rating_band").isin(*DISTRESS_BANDS)).select("uprn"), "uprn", "left_semi")
               .select("company_number"))
     c = companies.where(F.col("company_status").isNull() | (F.col("incorporation_country") == "Unknown"))
-    return (c.join(linked, "company_number", "left_semi")
-             .select("company_number", "company_name").distinct()
-             .orderBy("company_number", "company_name").limit(limit))
+    out = c.join(linked, "company_number", "left_semi").select("company_number", "company_name").distinct()
+    if limit is None:
+        return out
+    return out.orderBy("company_number", "company_name").limit(limit)
