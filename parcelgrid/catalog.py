@@ -39,5 +39,5 @@ def tables(lake: Lake):
 
 def load_all():
     """Import every module that registers jobs."""
-    from parcelgrid import jobs, jobs_feeds  # noqa: F401
+    from parcelgrid import jobs, jobs_feeds, jobs_signals  # noqa: F401
     return QUERIES, ORACLE

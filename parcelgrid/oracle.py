@@ -96,17 +96,17 @@ FROM supplier WHERE s_suppkey > 0""",
 }
 
 
-def with_views(body: str, extra: dict[str, str] | None = None) -> str:
+def with_views(body: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:
     """Prefix ``body`` with the CTEs it references (views first, then
     ``extra`` CTEs in the given order, which may reference the views)."""
     extra = extra or {}
     text = body + " " + " ".join(extra.values())
-    used = [v for v in VIEW_SQL if re.search(rf"\b{v}\b", text)]
+    used = [v for v in VIEW_SQL if re.search(rf"\b{v}\b", text) and v not in extra]
     ctes = [f"{v} AS ({VIEW_SQL[v].strip()})" for v in used]
     ctes += [f"{k} AS ({s.strip()})" for k, s in extra.items()]
     if not ctes:
         return body.strip()
-    return "WITH " + ",\n".join(ctes) + "\n" + body.strip()
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n" + body.strip()
 
 
 # Raw feeds (twins of parcelgrid.fixtures *_feed), usable as extra CTEs.

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelgrid.functions.geo import grid_to_latlng
+from parcelgrid.functions.geo import add_latlng
 from parcelgrid.functions.text import PY_WHITESPACE_CLASS
 from parcelgrid.operators.merge import conform, dedup_first, dedup_last
 
@@ -161,12 +161,11 @@ def load_postcodes(raw: DataFrame, mode: str = "rough", min_columns: int = 9) ->
     data_cols = [c for c in raw.columns if c.startswith("_c")]
     if len(data_cols) < min_columns:
         raise ValueError(f"postcode feed has {len(data_cols)} columns, needs >= {min_columns}")
-    e = F.col("_c2").try_cast("int")
-    n = F.col("_c3").try_cast("int")
-    lat, lng = grid_to_latlng(e, n, mode)
     keep = [c for c in ("_file", "_seq") if c in raw.columns]
-    return raw.select(F.col("_c0").alias("postcode"), lat.alias("latitude"), lng.alias("longitude"),
-                      e.alias("eastings"), n.alias("northings"), F.col("_c8").alias("district_code"), *keep)
+    base = raw.select(F.col("_c0").alias("postcode"), F.col("_c2").try_cast("int").alias("eastings"),
+                      F.col("_c3").try_cast("int").alias("northings"), F.col("_c8").alias("district_code"), *keep)
+    out = add_latlng(base, "eastings", "northings", mode)
+    return out.select("postcode", "latitude", "longitude", "eastings", "northings", "district_code", *keep)
 
 
 # ------------------------------------------------------------ A10-A13
