@@ -192,7 +192,7 @@ SELECT unique_lease_id, title_number, lease_date, lease_term_years,
     lambda lake: SG.lease_expiry(fx.lease_registry(lake)))
 
 register("expiry_cliff", with_views(f"""
-SELECT year(lease_expiry_date) AS expiry_year, count(*) AS n_leases FROM (
+SELECT CAST(year(lease_expiry_date) AS INTEGER) AS expiry_year, count(*) AS n_leases FROM (
   SELECT CAST(lease_date + to_years(lease_term_years) AS DATE) AS lease_expiry_date FROM lease_registry)
 WHERE lease_expiry_date >= DATE '{LEASE_AS_OF}' GROUP BY year(lease_expiry_date)"""))(
     lambda lake: SG.expiry_cliff(fx.lease_registry(lake), LEASE_AS_OF))
@@ -241,7 +241,8 @@ def _stops(lake):
 
 
 register("footfall_heatmap", with_views(f"""
-SELECT cy * {HEATMAP_CELL} AS cell_lat, cx * {HEATMAP_CELL} AS cell_lng, cy AS cell_y, cx AS cell_x,
+SELECT CAST(cy AS DOUBLE) * CAST({HEATMAP_CELL} AS DOUBLE) AS cell_lat,
+       CAST(cx AS DOUBLE) * CAST({HEATMAP_CELL} AS DOUBLE) AS cell_lng, cy AS cell_y, cx AS cell_x,
        CAST(sum(annual_footfall) AS BIGINT) AS total_annual_footfall, count(*) AS n_points
 FROM (SELECT CAST(floor(latitude / {HEATMAP_CELL}) AS BIGINT) AS cy, CAST(floor(longitude / {HEATMAP_CELL}) AS BIGINT) AS cx,
              annual_footfall FROM stops WHERE latitude IS NOT NULL AND longitude IS NOT NULL)
