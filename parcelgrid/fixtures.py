@@ -256,9 +256,11 @@ def ownership_feed(lake: Lake) -> DataFrame:
 
 
 def _li_seq() -> Column:
-    """Unique line-item order: (orderkey, linenumber, partkey, suppkey)."""
+    """Line-item order: (orderkey, linenumber, partkey, suppkey, shipdate,
+    price); rows equal on all of these carry equal feed values."""
     return F.struct(F.col("l_orderkey").alias("o"), F.col("l_linenumber").cast("bigint").alias("n"),
-                    F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"))
+                    F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"),
+                    F.col("l_shipdate").alias("d"), F.col("l_extendedprice").alias("x"))
 
 
 def certificate_feed(lake: Lake) -> DataFrame:
@@ -288,7 +290,8 @@ def sales_feed(lake: Lake) -> DataFrame:
             F.lit("N"), F.lit("F"), _s("p_size"), F.when(k % 4 == 0, F.lit("FLAT 1")).otherwise(null),
             F.col("p_name"), null, F.lit("LONDON"), F.lit("CITY"), F.lit("GREATER LONDON"), F.lit("A"), F.lit("A")]
     zero = F.lit(0).cast("bigint")
-    seq = F.struct(k.alias("o"), zero.alias("n"), zero.alias("p"), zero.alias("s"))
+    seq = F.struct(k.alias("o"), zero.alias("n"), zero.alias("p"), zero.alias("s"),
+                   F.col("o_orderdate").alias("d"), F.col("o_totalprice").alias("x"))
     return o.join(p, p.p_partkey == k % _part_count(lake)).select(
         *[c.alias(f"_c{i}") for i, c in enumerate(cols)], seq.alias("_seq"))
 

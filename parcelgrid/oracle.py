@@ -123,7 +123,7 @@ SELECT CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE concat('T', CAST(l_partkey A
        CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE 'London' END AS "Proprietor (1) Address (2)",
        CASE WHEN l_linenumber % 3 = 0 THEN 'UK' ELSE NULL END AS "Proprietor (1) Address (3)",
        CASE WHEN l_orderkey % 13 = 0 THEN 'unknown' ELSE strftime(l_shipdate, '%d-%m-%Y') END AS "Date Proprietor Added",
-       struct_pack(o := l_orderkey, n := CAST(l_linenumber AS BIGINT), p := l_partkey, s := l_suppkey) AS _seq
+       struct_pack(o := l_orderkey, n := CAST(l_linenumber AS BIGINT), p := l_partkey, s := l_suppkey, d := l_shipdate, x := l_extendedprice) AS _seq
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     "certificate_feed": """
 SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(p_partkey AS VARCHAR) END AS uprn,
@@ -138,14 +138,14 @@ SELECT concat('X', CAST(o_orderkey AS VARCHAR)) AS id, CAST(CAST(round(o_totalpr
        strftime(o_orderdate, '%Y-%m-%d %H:%M') AS date, p_brand AS postcode, substr(p_type, 1, 1) AS type,
        CAST(p_size AS VARCHAR) AS paon, CASE WHEN o_orderkey % 4 = 0 THEN 'FLAT 1' ELSE NULL END AS saon,
        p_name AS street, 'A' AS status, 0 AS rank,
-       struct_pack(o := o_orderkey, n := CAST(0 AS BIGINT), p := CAST(0 AS BIGINT), s := CAST(0 AS BIGINT)) AS _seq
+       struct_pack(o := o_orderkey, n := CAST(0 AS BIGINT), p := CAST(0 AS BIGINT), s := CAST(0 AS BIGINT), d := o_orderdate, x := o_totalprice) AS _seq
 FROM orders JOIN part ON p_partkey = o_orderkey % (SELECT count(*) FROM part)""",
     "sales_update_feed": """
 SELECT concat('X', CAST(l_orderkey AS VARCHAR)) AS id, CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) AS price,
        strftime(l_shipdate, '%Y-%m-%d %H:%M') AS date, concat('Brand#', CAST(l_partkey % 25 + 1 AS VARCHAR)) AS postcode,
        'S' AS type, CAST(l_linenumber AS VARCHAR) AS paon, CAST(NULL AS VARCHAR) AS saon, 'UPDATED ROAD' AS street,
        CASE WHEN l_returnflag = 'R' THEN 'D' ELSE 'C' END AS status, 1 AS rank,
-       struct_pack(o := l_orderkey, n := CAST(l_linenumber AS BIGINT), p := l_partkey, s := l_suppkey) AS _seq
+       struct_pack(o := l_orderkey, n := CAST(l_linenumber AS BIGINT), p := l_partkey, s := l_suppkey, d := l_shipdate, x := l_extendedprice) AS _seq
 FROM lineitem""",
     "postcode_feed": """
 SELECT CASE WHEN p_partkey % 997 = 0 THEN p_brand WHEN p_partkey % 991 = 0 THEN concat('PC', CAST(p_partkey + 1 AS VARCHAR))

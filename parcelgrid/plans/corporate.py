@@ -46,16 +46,25 @@ def corporate_tree(profiles: DataFrame, parsed: DataFrame, n: int = TOP_N) -> Da
                     F.size("officers").alias("n_officers"), F.size("owners").alias("n_owners")))
 
 
-def company_search(index: DataFrame, q: str) -> DataFrame:
+def company_search(index: DataFrame, q: str, threshold: float = 0.85, block_chars: int = 4) -> DataFrame:
     """Best company for one name: exact normalised name (lowest
-    number), else best fuzzy match; empty ``q`` -> no rows."""
-    spark = index.sparkSession
-    if not q:
-        return index.select("company_number", F.col("title").alias("company_name"), "company_status").limit(0)
-    one = spark.range(1).select(F.lit(q).alias("owner_name"))
+    number), else the best fuzzy match (levenshtein ratio >= threshold)
+    among titles sharing the first ``block_chars`` normalised characters;
+    empty ``q`` -> no rows.  A filter over the index, no join."""
+    from parcelgrid.functions.text import levenshtein_ratio, normalize_address
     reg = index.select("company_number", F.col("title").alias("company_name"), "company_status")
-    hit = resolve_company(one, reg)
-    return hit.select("company_number", "company_name", "company_status")
+    if not q:
+        return reg.limit(0)
+    key = F.lit(q)
+    nk = normalize_address(key)
+    k = normalize_address(F.col("company_name"))
+    exact = reg.where(k == nk).select(F.lit(0).alias("_p"), F.lit(-1.0).alias("_nr"), *reg.columns)
+    fuzzy = (reg.where((F.substring(k, 1, block_chars) == F.substring(nk, 1, block_chars)) & (F.length(k) > 0))
+                .withColumn("_r", levenshtein_ratio(k, nk)).where(F.col("_r") >= threshold)
+                .select(F.lit(1).alias("_p"), (-F.col("_r")).alias("_nr"), *reg.columns))
+    # exact hits rank first (lowest number), then fuzzy by ratio: one global min
+    best = exact.unionByName(fuzzy).groupBy().agg(F.min(F.struct("_p", "_nr", *reg.columns)).alias("_m"))
+    return best.where(F.col("_m").isNotNull()).select(*[F.col(f"_m.{c}").alias(c) for c in reg.columns])
 
 
 def enrich_companies(companies: DataFrame, owners: DataFrame, props: DataFrame, epc: DataFrame,
