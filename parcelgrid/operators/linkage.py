@@ -36,11 +36,26 @@ _EPS = 1e-9
 
 
 def char_tokens(text: Column) -> Column:
-    """Multiset tokens of a string: char + U+0001 + occurrence number."""
+    """Multiset tokens of a string: char + U+0001 + occurrence number.
+    Prefer ``with_tokens`` on a DataFrame: it sorts the characters once in
+    its own projection instead of inside the per-element lambda."""
     chars = F.array_sort(F.split(text, ""))
+    return _tokens_of_sorted(chars, F.length(text))
+
+
+def _tokens_of_sorted(chars: Column, length: Column) -> Column:
     toks = F.transform(
         chars, lambda c, i: F.concat(c, F.lit("\u0001"), (i - F.array_position(chars, c) + 2).cast("string")))
-    return F.when(F.length(text) > 0, toks).otherwise(F.array().cast("array<string>"))
+    return F.when(length > 0, toks).otherwise(F.array().cast("array<string>"))
+
+
+def with_tokens(df: DataFrame, text_col: str, out: str) -> DataFrame:
+    """Add the multiset token array of ``text_col`` as ``out`` (one sort
+    per row, materialised before the tokens are built)."""
+    tmp = f"_sorted_{out}"
+    return (df.withColumn(tmp, F.array_sort(F.split(F.col(text_col), "")))
+              .withColumn(out, _tokens_of_sorted(F.col(tmp), F.length(F.col(text_col))))
+              .drop(tmp))
 
 
 def min_overlap(length: Column, threshold: float, method: str) -> Column:
@@ -63,30 +78,68 @@ def length_ok(la: Column, lb: Column, threshold: float, method: str) -> Column:
     return lo / hi >= F.lit(threshold - _EPS)
 
 
-def _tokens(df: DataFrame, id_col: str, text_col: str, block: list[str]) -> DataFrame:
-    return df.select(*block, F.col(id_col).alias("_id"), F.length(text_col).alias("_len"),
-                     F.explode(char_tokens(F.col(text_col))).alias("_tok"))
+def overlap_ok(ta: Column, tb: Column, threshold: float, method: str) -> Column:
+    """Exact multiset-overlap bound (difflib's quick_ratio) from two token
+    arrays: with occurrence tokens the multiset intersection is a plain
+    ``array_intersect``; sizes are the string lengths."""
+    o = F.size(F.array_intersect(ta, tb)).cast("double")
+    la, lb = F.size(ta).cast("double"), F.size(tb).cast("double")
+    if method == "difflib":
+        return F.lit(2.0) * o / (la + lb) >= F.lit(threshold - _EPS)
+    return o / F.greatest(la, lb) >= F.lit(threshold - _EPS)
+
+
+def _signed(df: DataFrame, id_col: str, text_col: str, block: list[str]) -> DataFrame:
+    """block, _id, _txt, _toks (multiset tokens) for non-empty texts."""
+    base = df.select(*block, F.col(id_col).alias("_id"), F.col(text_col).alias("_txt"))
+    return with_tokens(base, "_txt", "_toks").where(F.length("_txt") > 0)
+
+
+def _exploded(sig: DataFrame, block: list[str]) -> DataFrame:
+    # explode_outer + a filter on the token: an inner explode lets the optimizer
+    # infer size(tokens) > 0 and push that whole expression below upstream
+    # aggregates (evaluating it per source row instead of per distinct text)
+    return (sig.select(*block, "_id", "_txt", F.explode_outer("_toks").alias("_tok"))
+               .where(F.col("_tok").isNotNull()))
 
 
-def _prefixes(toks: DataFrame, freq: DataFrame, threshold: float, method: str) -> DataFrame:
-    w = Window.partitionBy("_id").orderBy("_df", "_tok")
-    plen = F.col("_len") - min_overlap(F.col("_len"), threshold, method) + 1
-    return (toks.join(freq, "_tok")
-                .withColumn("_r", F.row_number().over(w))
-                .where(F.col("_r") <= plen)
-                .drop("_r", "_df", "_len"))
+def _prefixed(sig: DataFrame, freq: DataFrame, block: list[str], threshold: float, method: str) -> DataFrame:
+    """One row per (string, prefix token), carrying the string's text, its
+    full token array and its prefix (tokens in global rarest-first order)."""
+    ranked = (_exploded(sig, block).join(freq, "_tok")
+              .groupBy(*block, "_id", "_txt")
+              .agg(F.sort_array(F.collect_list(F.struct("_df", "_tok"))).alias("_r")))
+    plen = F.length("_txt") - min_overlap(F.length("_txt"), threshold, method) + 1
+    pre = with_tokens(ranked, "_txt", "_toks").withColumn(
+        "_pre", F.transform(F.slice("_r", F.lit(1), plen.cast("int")), lambda x: x["_tok"])).drop("_r")
+    return pre.select(*block, "_id", "_txt", "_toks", "_pre", F.explode_outer("_pre").alias("_tok")).where(
+        F.col("_tok").isNotNull())
+
+
+def _candidate_rows(left: DataFrame, right: DataFrame, block: list[str], l_id: str, r_id: str,
+                    l_text: str, r_text: str, threshold: float, method: str) -> DataFrame:
+    ls = _signed(left, l_id, l_text, block)
+    rs = _signed(right, r_id, r_text, block)
+    freq = (_exploded(ls, block).select("_tok").unionByName(_exploded(rs, block).select("_tok"))
+            .groupBy("_tok").agg(F.count(F.lit(1)).alias("_df")))
+    lp = _prefixed(ls, freq, block, threshold, method).select(
+        *block, "_tok", F.col("_id").alias("_lid"), F.col("_txt").alias("_lt"), F.col("_toks").alias("_lk"),
+        F.col("_pre").alias("_lp"))
+    rp = _prefixed(rs, freq, block, threshold, method).select(
+        *block, "_tok", F.col("_id").alias("_rid"), F.col("_txt").alias("_rt"), F.col("_toks").alias("_rk"),
+        F.col("_pre").alias("_rp"))
+    # a pair sharing several prefix tokens is emitted once: under the first
+    # shared token in the global order (array_intersect keeps _lp's order)
+    first_shared = F.element_at(F.array_intersect("_lp", "_rp"), 1) == F.col("_tok")
+    return lp.join(rp, [*block, "_tok"]).where(first_shared)
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, block: list[str], l_id: str, r_id: str,
                     l_text: str, r_text: str, threshold: float, method: str) -> DataFrame:
-    """C3+C5: lossless candidate pairs (l_id, r_id) for non-empty texts."""
-    tl = _tokens(left, l_id, l_text, block)
-    tr = _tokens(right, r_id, r_text, block)
-    freq = (tl.select("_tok").unionByName(tr.select("_tok"))
-              .groupBy("_tok").agg(F.count(F.lit(1)).alias("_df")))
-    pl = _prefixes(tl, freq, threshold, method).withColumnRenamed("_id", "_lid")
-    pr = _prefixes(tr, freq, threshold, method).withColumnRenamed("_id", "_rid")
-    return pl.join(pr, [*block, "_tok"]).select("_lid", "_rid").distinct()
+    """C3+C5: lossless candidate pairs (l_id, r_id) for non-empty texts,
+    each pair once, before the length/overlap bounds and the exact ratio."""
+    return _candidate_rows(left, right, block, l_id, r_id, l_text, r_text, threshold, method).select(
+        F.col("_lid").alias(l_id), F.col("_rid").alias(r_id))
 
 
 def similarity_join(left: DataFrame, right: DataFrame, block: list[str], l_id: str, r_id: str,
@@ -94,13 +147,11 @@ def similarity_join(left: DataFrame, right: DataFrame, block: list[str], l_id: s
                     strict: bool = False) -> DataFrame:
     """All (l_id, r_id, ratio) in the same block with ratio >= threshold
     (> when ``strict``), for non-empty texts.  Ratio is sim(l_text, r_text),
-    argument order kept.  ``l_id``/``r_id`` must be unique per side."""
-    pairs = candidate_pairs(left, right, block, l_id, r_id, l_text, r_text, threshold, method)
-    lt = left.select(F.col(l_id).alias("_lid"), F.col(l_text).alias("_lt"))
-    rt = right.select(F.col(r_id).alias("_rid"), F.col(r_text).alias("_rt"))
-    j = (pairs.join(lt, "_lid").join(rt, "_rid")
-              .where(length_ok(F.length("_lt"), F.length("_rt"), threshold, method))
-              .withColumn("ratio", similarity(F.col("_lt"), F.col("_rt"), method)))
+    argument order kept.  Bounds and ratio run in the join task itself."""
+    j = (_candidate_rows(left, right, block, l_id, r_id, l_text, r_text, threshold, method)
+         .where(length_ok(F.length("_lt"), F.length("_rt"), threshold, method))
+         .where(overlap_ok(F.col("_lk"), F.col("_rk"), threshold, method))
+         .withColumn("ratio", similarity(F.col("_lt"), F.col("_rt"), method)))
     keep = F.col("ratio") > threshold if strict else F.col("ratio") >= threshold
     return j.where(keep).select(F.col("_lid").alias(l_id), F.col("_rid").alias(r_id), "ratio")
 

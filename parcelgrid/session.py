@@ -14,6 +14,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # small shuffles that feed output-heavy joins (similarity candidates) keep
+    # one partition per core; no effect once shuffles exceed ~1 MB per core
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
