@@ -7,6 +7,9 @@ Plans are ordinary DataFrame joins; two habits keep them cheap at scale:
   rows come from the first k driving rows).  The k-row side is then the
   broadcast side of a semi-join that filters the big owner tables without a
   shuffle.
+* A k-row frame used twice (semi-join keys and join input) is materialised
+  once as a local relation (at most k rows, checked), so the scan and joins
+  under it run once instead of once per use.
 * Every first/limit has a unique tie-break so results are repeatable.
 """
 
@@ -15,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelgrid.session import materialize_bounded
+
 DISTRESS_BANDS = ("F", "G")
 PLANNING_BANDS = ("E", "F", "G")
 
@@ -34,11 +39,11 @@ def distress_scan(epc, props, owners, companies, limit: int = 50) -> DataFrame:
     """D3: F/G assets with owner company, biggest first; top ``limit``."""
     order1 = [F.col("asset_rating_band").desc(), F.col("floor_area").desc_nulls_last(),
               F.col("uprn").asc(), F.col("certificate_id").asc()]
-    top = distressed_certificates(epc, props).orderBy(*order1).limit(limit)
+    top = materialize_bounded(distressed_certificates(epc, props).orderBy(*order1).limit(limit), limit)
     own = _filter_to(owners.select("title_number", "company_number"), top, "title_number")
     j = top.join(own, "title_number", "left")
     order2 = order1 + [F.col("company_number").asc_nulls_last()]
-    top2 = j.orderBy(*order2).limit(limit)
+    top2 = materialize_bounded(j.orderBy(*order2).limit(limit), limit)
     reg = _filter_to(companies.select("company_number", "company_name", "company_status"),
                      top2, "company_number")
     out = (top2.join(reg.withColumnRenamed("company_number", "c_number"),
@@ -60,7 +65,7 @@ def distress_report(epc, props, owners, companies, limit: int = 50) -> DataFrame
     base = distressed_certificates(epc, props)
     own = owners.where(F.col("title_number").isNotNull()).select(
         "title_number", "company_number", "proprietor_name", "date_registered")
-    top = base.join(own, "title_number", "left").orderBy(*order).limit(limit)
+    top = materialize_bounded(base.join(own, "title_number", "left").orderBy(*order).limit(limit), limit)
     reg = _filter_to(companies.select("company_number", "company_name", "incorporation_country"),
                      top, "company_number")
     out = top.join(reg, "company_number", "left").orderBy(*order).limit(limit)
@@ -100,7 +105,7 @@ def property_search(props, epc, q: str, limit: int = 10, escape: bool = False) -
     from parcelgrid.functions.text import escape_like
     pattern = f"%{escape_like(q) if escape else q}%"
     hits = props.where(F.col("address_line_1").ilike(pattern)).select("uprn", "address_line_1")
-    top = hits.orderBy("uprn").limit(limit)
+    top = materialize_bounded(hits.orderBy("uprn").limit(limit), limit)
     e = _filter_to(epc.select("uprn", "certificate_id", "asset_rating_band"), top, "uprn")
     out = top.join(e, "uprn", "left").orderBy("uprn", F.col("certificate_id").asc_nulls_last()).limit(limit)
     return out.select("uprn", F.col("address_line_1").alias("address"), "asset_rating_band")

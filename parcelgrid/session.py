@@ -69,3 +69,25 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder; a private one only when none is set."""
+    d = spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    spark.sparkContext.setCheckpointDir(conf or tempfile.mkdtemp(prefix="parcelgrid-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def materialize_bounded(df, max_rows: int):
+    """Materialise a frame with a proven bound of ``max_rows`` rows (a top-k
+    report cut) once, as a local relation: the plan under it runs a single
+    time even though the caller uses the rows in several joins, and the rows
+    re-enter the plan the way a broadcast build side does.  Refuses to
+    bring more than ``max_rows`` rows."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"frame exceeds its bound of {max_rows} rows")
+    return df.sparkSession.createDataFrame(rows, df.schema)
