@@ -387,3 +387,17 @@ def company_index(lake: Lake) -> DataFrame:
                     F.upper("s_name").alias("title"),
                     F.when(k % 5 == 0, F.lit(None).cast("string")).when(k % 5 == 1, F.lit("dissolved"))
                      .otherwise(F.lit("active")).alias("company_status"))
+
+
+def search_payloads(lake: Lake) -> DataFrame:
+    """Company-search responses: one per ownership-feed owner name; the top
+    hit is the supplier with that key, no hit for every seventh supplier."""
+    s = lake.table("supplier")
+    k = F.col("s_suppkey")
+    item = F.struct(F.concat(F.lit("CH"), F.lpad(_s(k), 8, "0")).alias("company_number"),
+                    F.upper("s_name").alias("title"),
+                    F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(F.lit("active")).alias("company_status"),
+                    F.when(k % 2 == 0, F.concat(_s(k), F.lit(" Main Road"))).alias("address_snippet"))
+    items = F.when(k % 7 == 0, F.array().cast("array<struct<company_number:string,title:string,"
+                                               "company_status:string,address_snippet:string>>")).otherwise(F.array(item))
+    return s.select(F.col("s_name").alias("query"), F.to_json(F.struct(items.alias("items"))).alias("payload"))

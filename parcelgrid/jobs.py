@@ -200,3 +200,9 @@ SELECT postcode, count(*) AS n_sales, count(psf) AS n_comps, CAST(floor(avg(psf)
 FROM per_sale GROUP BY postcode""", _COMPS_CTES))(lambda lake: CP.comps_all(*_sales_tables(lake)))
 
 register("comps_all_difflib")(lambda lake: CP.comps_all(*_sales_tables(lake), method="difflib"))
+
+register("link_report", with_views("""
+SELECT count(*) AS targets, count(l.uprn) AS matched,
+       round(count(l.uprn) * 100.0 / count(*), 2) AS match_pct
+FROM (SELECT DISTINCT uprn FROM t) x LEFT JOIN links l ON x.uprn = l.uprn""", _LINK_CTES))(
+    lambda lake: L.link_report(fx.master_properties(lake), fx.epc_assessments(lake)))

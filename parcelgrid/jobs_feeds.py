@@ -299,6 +299,12 @@ FROM company_payloads"""))(
         "company_number", F.size("officers").alias("n_officers"), F.size("owners").alias("n_owners"),
         F.size("charges").alias("n_charges")))
 
+register("load_search_hits", with_views("""
+SELECT s_name AS query, concat('CH', lpad(CAST(s_suppkey AS VARCHAR), 8, '0')) AS company_number, upper(s_name) AS title,
+       'active' AS company_status,  -- a missing status defaults to 'active'
+       CASE WHEN s_suppkey % 2 = 0 THEN concat(CAST(s_suppkey AS VARCHAR), ' Main Road') ELSE '' END AS address_snippet
+FROM supplier WHERE s_suppkey % 7 != 0"""))(lambda lake: PL.load_search_hits(fx.search_payloads(lake)))
+
 # ------------------------------------------------------------------ A9
 
 register("load_address_lookups", with_views("""

@@ -257,6 +257,15 @@ def link_titles(props: DataFrame, epc: DataFrame, threshold: float = 0.85,
     return update_by_key(props, links, ["uprn"], ["title_number"])
 
 
+def link_report(props: DataFrame, epc: DataFrame, threshold: float = 0.85,
+                method: str = "levenshtein") -> DataFrame:
+    """C8 report: targets, matched targets and match percent (2 places)."""
+    t = unlinked_targets(props, epc).select("uprn").distinct()
+    links = title_links(props, epc, threshold, method).select("uprn", F.lit(1).alias("_hit"))
+    g = t.join(links, "uprn", "left").agg(F.count(F.lit(1)).alias("targets"), F.count("_hit").alias("matched"))
+    return g.withColumn("match_pct", F.round(F.try_divide(F.col("matched") * F.lit(100.0), F.col("targets")), 2))
+
+
 # ------------------------------------------------------------------- C9
 
 def company_key(c) -> Column:

@@ -30,6 +30,7 @@ def test_job_matches_oracle(spark, con, name):
 def test_every_job_has_oracle_or_is_listed():
     no_sql = set(QUERIES) - set(ORACLE)
     assert no_sql == {"best_match_difflib", "comps_all_difflib", "grid_to_latlng_full"}
+    assert len(QUERIES) >= 71
 
 
 def test_entry_smoke(spark):
