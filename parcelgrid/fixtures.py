@@ -228,6 +228,17 @@ def ownership_edges(lake: Lake) -> DataFrame:
 # headers, a file-order key ``_seq`` and a file name ``_file``).  The SQL
 # twins live in ``parcelgrid.oracle.FEED_SQL``.
 
+def _fmt_date(ts: str, pattern: str) -> Column:
+    """Format the date part of a timestamp_ntz without a time-zone round trip."""
+    return F.date_format(F.to_date(ts), pattern)
+
+
+def _fmt_minute(ts: str) -> Column:
+    """'yyyy-MM-dd HH:mm' of a timestamp_ntz, time-zone free."""
+    return F.concat(_fmt_date(ts, "yyyy-MM-dd"), F.lit(" "), F.lpad(_s(F.hour(ts)), 2, "0"), F.lit(":"),
+                    F.lpad(_s(F.minute(ts)), 2, "0"))
+
+
 def _band(size_col: str) -> Column:
     return F.substr(F.lit("ABCDEFG"), (F.floor(F.col(size_col) / 8) + 1).cast("int"), F.lit(1))
 
@@ -251,7 +262,7 @@ def ownership_feed(lake: Lake) -> DataFrame:
         F.when(ln % 2 == 0, null).otherwise(F.lit("London")).alias("Proprietor (1) Address (2)"),
         F.when(ln % 3 == 0, F.lit("UK")).otherwise(null).alias("Proprietor (1) Address (3)"),
         F.when(ok % 13 == 0, F.lit("unknown"))
-         .otherwise(F.date_format("l_shipdate", "dd-MM-yyyy")).alias("Date Proprietor Added"),
+         .otherwise(_fmt_date("l_shipdate", "dd-MM-yyyy")).alias("Date Proprietor Added"),
         _li_seq().alias("_seq"))
 
 
@@ -286,7 +297,7 @@ def sales_feed(lake: Lake) -> DataFrame:
     k = F.col("o_orderkey")
     null = F.lit(None).cast("string")
     cols = [F.concat(F.lit("X"), _s(k)), _s(F.round("o_totalprice").cast("bigint")),
-            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm"), F.col("p_brand"), F.substring("p_type", 1, 1),
+            _fmt_minute("o_orderdate"), F.col("p_brand"), F.substring("p_type", 1, 1),
             F.lit("N"), F.lit("F"), _s("p_size"), F.when(k % 4 == 0, F.lit("FLAT 1")).otherwise(null),
             F.col("p_name"), null, F.lit("LONDON"), F.lit("CITY"), F.lit("GREATER LONDON"), F.lit("A"), F.lit("A")]
     zero = F.lit(0).cast("bigint")
@@ -306,7 +317,7 @@ def sales_update_rows(li: DataFrame) -> DataFrame:
     k, ln = F.col("l_orderkey"), F.col("l_linenumber")
     null = F.lit(None).cast("string")
     cols = [F.concat(F.lit("X"), _s(k)), _s(F.floor("l_extendedprice").cast("bigint")),
-            F.date_format("l_shipdate", "yyyy-MM-dd HH:mm"),
+            _fmt_minute("l_shipdate"),
             F.concat(F.lit("Brand#"), _s(F.col("l_partkey") % 25 + 1)), F.lit("S"), F.lit("N"), F.lit("F"),
             _s(ln), null, F.lit("UPDATED ROAD"), null, F.lit("LONDON"), F.lit("CITY"), F.lit("GREATER LONDON"),
             F.lit("A"), F.when(F.col("l_returnflag") == "R", F.lit("D")).otherwise(F.lit("C"))]
@@ -345,7 +356,7 @@ def lease_feed(lake: Lake) -> DataFrame:
     return o.select(
         F.concat(F.lit("L"), _s(k)).alias("Unique Identifier"),
         F.concat(F.lit("T"), _s(k % _part_count(lake))).alias("Title Number"),
-        F.when(k % 17 == 0, null).otherwise(F.date_format("o_orderdate", "dd-MM-yyyy")).alias("Date of Lease"),
+        F.when(k % 17 == 0, null).otherwise(_fmt_date("o_orderdate", "dd-MM-yyyy")).alias("Date of Lease"),
         F.when(k % 19 == 0, F.lit("unknown")).otherwise(_s(F.col("o_custkey") % 30 + 1)).alias("Term"),
         F.concat(F.lit("Tenant "), _s("o_custkey")).alias("Lessee Name"), k.alias("_seq"))
 
