@@ -1,10 +1,13 @@
 """Ultimate owners by iterative traversal of an ownership edge list.
 
-Each round joins the frontier (child, ancestor, depth) to the edges on
-ancestor = child; rounds stop at ``max_depth`` (a fixed bound, the driver
-loop runs over rounds, not rows).  A path that revisits its start is cut
-(cycle guard).  Lineage is cut every ``checkpoint_every`` rounds with a
-reliable checkpoint in the shared checkpoint folder.
+Round d joins the depth-(d-1) frontier (child, ancestor) to the edges on
+ancestor = child.  Each round's frontier is written as a table under the
+session's shared checkpoint folder (``depth=d``) and read back, so every
+round is one join over materialised input (lineage cut, survives executor
+loss, no recomputation of earlier rounds), and the loop stops as soon as a
+frontier is empty or ``max_depth`` is reached.  The driver loop runs over
+rounds, never over rows.  A path that returns to its start is cut (cycle
+guard); longer cycles end at ``max_depth``.
 """
 
 from __future__ import annotations
@@ -15,24 +18,25 @@ from pyspark.sql import functions as F
 from parcelgrid.session import shared_dir
 
 
-def ancestors(edges: DataFrame, max_depth: int = 10, child: str = "child", parent: str = "parent",
-              checkpoint_every: int = 0) -> DataFrame:
+def ancestors(edges: DataFrame, max_depth: int = 10, child: str = "child", parent: str = "parent") -> DataFrame:
     """All (child, ancestor, depth) with 1 <= depth <= max_depth."""
+    spark = edges.sparkSession
     e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).where(
         F.col("_c").isNotNull() & F.col("_p").isNotNull() & (F.col("_c") != F.col("_p"))).distinct()
-    frontier = e.select(F.col("_c").alias("child"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))
-    result = frontier
-    for d in range(2, max_depth + 1):
-        frontier = (frontier.join(e, frontier.ancestor == e._c)
-                    .where(F.col("_p") != F.col("child"))
-                    .select("child", F.col("_p").alias("ancestor"), F.lit(d).alias("depth")))
-        result = result.unionByName(frontier)
-        if checkpoint_every and d % checkpoint_every == 0:
-            spark = edges.sparkSession
-            shared_dir(spark, "ckpt")  # ensures a checkpoint dir is set (tests only set one)
-            frontier = frontier.checkpoint()
-            result = result.checkpoint()
-    return result
+    root = shared_dir(spark, "ancestors")
+    frontier = e.select(F.col("_c").alias("child"), F.col("_p").alias("ancestor"))
+    for d in range(1, max_depth + 1):
+        if d > 1:
+            frontier = (frontier.join(e, frontier.ancestor == e._c)
+                        .where(F.col("_p") != F.col("child"))
+                        .select("child", F.col("_p").alias("ancestor")))
+        path = f"{root}/depth={d}"
+        frontier.write.parquet(path)
+        frontier = spark.read.parquet(path)
+        if frontier.isEmpty():
+            break
+    out = spark.read.parquet(root)
+    return out.select("child", "ancestor", F.col("depth").cast("int").alias("depth"))
 
 
 def ultimate_owners(edges: DataFrame, max_depth: int = 10, **kw) -> DataFrame:
