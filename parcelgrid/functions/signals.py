@@ -59,10 +59,14 @@ def footfall_score(lines) -> Column:
 
 
 def active_officers(officers, n: int = 3) -> Column:
-    """Officers without resigned_on, first n names, 'Unknown' for a
-    missing name, joined with ', '."""
-    active = F.filter(F.coalesce(_c(officers), F.array()), lambda o: o["resigned_on"].isNull())
-    names = F.transform(F.slice(active, 1, n), lambda o: F.coalesce(o["name"], F.lit("Unknown")))
+    """Officers whose record has no ``resigned_on`` key, first n names
+    ('Unknown' when the name key is absent), joined with ', '.  ``officers``
+    is an array of maps so key presence is exact (a key with a null value
+    still counts as present, as in a Python ``in`` test)."""
+    active = F.filter(F.coalesce(_c(officers), F.array().cast("array<map<string,string>>")),
+                      lambda o: ~F.map_contains_key(o, "resigned_on"))
+    names = F.transform(F.slice(active, 1, n),
+                        lambda o: F.when(F.map_contains_key(o, "name"), o["name"]).otherwise(F.lit("Unknown")))
     return F.array_join(names, ", ")
 
 
@@ -83,7 +87,8 @@ def debt_label(n) -> Column:
 
 def first_lender(charge) -> Column:
     """First entitled person's name or 'UNKNOWN LENDER'."""
-    return F.coalesce(F.get(_c(charge)["persons_entitled"], 0)["name"], F.lit(UNKNOWN_LENDER))
+    name = F.get(_c(charge)["persons_entitled"], 0)["name"]
+    return F.coalesce(F.nullif(name, F.lit("")), F.lit(UNKNOWN_LENDER))  # JS ||: '' falls back too
 
 
 def short_address(address) -> Column:

@@ -70,16 +70,16 @@ def _parsed(lake):
 
 register("active_officers", with_views(f"""
 SELECT company_number,
-       array_to_string(list_transform((list_filter({_ITEMS.format(c='officers')}, lambda x: (x->>'resigned_on') IS NULL))[1:3],
-                                      lambda x: coalesce(x->>'name', 'Unknown')), ', ') AS directors
+       array_to_string(list_transform((list_filter({_ITEMS.format(c='officers')}, lambda x: NOT json_exists(x, '$.resigned_on')))[1:3],
+                                      lambda x: CASE WHEN json_exists(x, '$.name') THEN x->>'name' ELSE 'Unknown' END), ', ') AS directors
 FROM company_payloads"""))(lambda lake: CO.officer_summary(_parsed(lake)))
 
 register("outstanding_charges", with_views(f"""
 SELECT company_number, CAST(len(o) AS INTEGER) AS n_outstanding,
        CASE WHEN len(o) > 0 THEN concat(CAST(len(o) AS VARCHAR), ' CHARGES') ELSE 'CLEAR' END AS charges_label,
        CASE WHEN len(o) > 0 THEN 'MATURING DEBT DETECTED' ELSE 'NO CHARGES FILED' END AS debt_label,
-       CASE WHEN len(o) > 0 THEN coalesce(json_extract_string(o[1], '$.persons_entitled[0].name'), 'UNKNOWN LENDER') END AS first_lender,
-       CASE WHEN len(o) > 0 THEN coalesce(json_extract_string(o[1], '$.particulars.description'), 'Fixed Charge over Property') END AS first_description,
+       CASE WHEN len(o) > 0 THEN coalesce(nullif(json_extract_string(o[1], '$.persons_entitled[0].name'), ''), 'UNKNOWN LENDER') END AS first_lender,
+       CASE WHEN len(o) > 0 THEN coalesce(nullif(json_extract_string(o[1], '$.particulars.description'), ''), 'Fixed Charge over Property') END AS first_description,
        CASE WHEN len(o) > 0 THEN json_extract_string(o[1], '$.created_on') END AS first_created_on
 FROM (SELECT company_number, list_filter({_ITEMS.format(c='charges')}, lambda x: (x->>'status') = 'outstanding') AS o
       FROM company_payloads)"""))(lambda lake: CO.charge_summary(_parsed(lake)))
@@ -88,7 +88,7 @@ register("corporate_tree", with_views(f"""
 SELECT c.company_number, c.company_name,
        array_to_string(list_transform(({_ITEMS.format(c='officers')})[1:5], lambda x: coalesce(x->>'name', '')), '; ') AS officers_top,
        array_to_string(list_transform(({_ITEMS.format(c='owners')})[1:5],
-           lambda x: concat(coalesce(x->>'name', ''), ' (', coalesce(x->>'kind', 'INDIVIDUAL'), ')')), '; ') AS owners_top,
+           lambda x: concat(coalesce(x->>'name', ''), ' (', coalesce(nullif(x->>'kind', ''), 'INDIVIDUAL'), ')')), '; ') AS owners_top,
        CAST(len({_ITEMS.format(c='officers')}) AS INTEGER) AS n_officers,
        CAST(len({_ITEMS.format(c='owners')}) AS INTEGER) AS n_owners
 FROM corporate_registry c JOIN company_payloads p ON c.company_number = p.company_number"""))(

@@ -28,7 +28,8 @@ def charge_summary(parsed: DataFrame) -> DataFrame:
         "company_number", F.size(o).alias("n_outstanding"),
         charges_label(F.size(o)).alias("charges_label"), debt_label(F.size(o)).alias("debt_label"),
         F.when(F.size(o) > 0, first_lender(first)).alias("first_lender"),
-        F.when(F.size(o) > 0, F.coalesce(first["particulars"]["description"], F.lit(DEFAULT_CHARGE_DESCRIPTION)))
+        F.when(F.size(o) > 0, F.coalesce(F.nullif(first["particulars"]["description"], F.lit("")),
+                                         F.lit(DEFAULT_CHARGE_DESCRIPTION)))
          .alias("first_description"),
         F.when(F.size(o) > 0, first["created_on"]).alias("first_created_on"))
 
@@ -38,7 +39,8 @@ def corporate_tree(profiles: DataFrame, parsed: DataFrame, n: int = TOP_N) -> Da
     owners (kind defaults to INDIVIDUAL); no profile -> no row."""
     officers = F.transform(F.slice("officers", 1, n), lambda o: F.coalesce(o["name"], F.lit("")))
     owners = F.transform(F.slice("owners", 1, n), lambda o: F.concat(
-        F.coalesce(o["name"], F.lit("")), F.lit(" ("), F.coalesce(o["kind"], F.lit(DEFAULT_OWNER_KIND)), F.lit(")")))
+        F.coalesce(o["name"], F.lit("")), F.lit(" ("),
+        F.coalesce(F.nullif(o["kind"], F.lit("")), F.lit(DEFAULT_OWNER_KIND)), F.lit(")")))
     return (profiles.select("company_number", "company_name").join(parsed, "company_number")
             .select("company_number", "company_name",
                     F.array_join(officers, "; ").alias("officers_top"),

@@ -41,8 +41,8 @@ PLANNING_SCHEMA = T.StructType([T.StructField("records", T.ArrayType(T.StructTyp
     T.StructField(c, T.StringType()) for c in ("uid", "description", "status", "date_decision", "address", "url")
 ])))])
 
-OFFICERS_SCHEMA = T.StructType([T.StructField("items", T.ArrayType(T.StructType([
-    T.StructField("name", T.StringType()), T.StructField("resigned_on", T.StringType())])))])
+# officers are maps: whether a key is present matters, not only its value
+OFFICERS_SCHEMA = T.StructType([T.StructField("items", T.ArrayType(T.MapType(T.StringType(), T.StringType())))])
 OWNERS_SCHEMA = T.StructType([T.StructField("items", T.ArrayType(T.StructType([
     T.StructField("name", T.StringType()), T.StructField("kind", T.StringType())])))])
 CHARGES_SCHEMA = T.StructType([T.StructField("items", T.ArrayType(T.StructType([
