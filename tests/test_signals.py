@@ -44,3 +44,27 @@ def test_materialize_bounded_checks_its_bound(spark):
     assert materialize_bounded(df.limit(5), 5).count() == 5
     with pytest.raises(ValueError):
         materialize_bounded(df, 5)
+
+
+def test_transport_accepts_bare_list_and_envelope(spark):
+    from parcelgrid.sources.payloads import load_transport
+    env = '{"stopPoints":[{"id":"S1","commonName":"A","lat":51.5,"lon":-0.1,"lines":[{"id":"x"}]}]}'
+    bare = '[{"id":"S2","commonName":"B","lat":51.6,"lon":-0.2}]'
+    later = '{"stopPoints":[{"id":"S1","commonName":"A2","lat":51.5,"lon":-0.1,"lines":[]}]}'
+    df = spark.createDataFrame([(1, "tube", env), (2, "dlr", bare), (3, "overground", later)],
+                               "seq long, mode string, payload string")
+    got = {r.location_id: (r.name, r.annual_footfall, r.metric_type) for r in load_transport(df).collect()}
+    assert got == {"S1": ("A2", 1000000, "TFL_OVERGROUND"), "S2": ("B", 1000000, "TFL_DLR")}
+
+
+def test_planning_days_left_floor_with_time_of_day(spark):
+    import datetime as dt
+    from parcelgrid.sources.payloads import load_planning
+    rec = '{"records":[{"uid":"PA/1","status":"Granted","date_decision":"2022-06-15"},{"uid":"PA/2","status":"Refused","date_decision":"2022-06-15"}]}'
+    df = spark.createDataFrame([(1, rec)], "seq long, payload string")
+    expiry = dt.datetime(2022, 6, 15) + dt.timedelta(days=365 * 3)      # midnight 2025-06-14
+    for as_of in (dt.datetime(2025, 1, 1, 9, 0), dt.datetime(2025, 1, 1, 0, 0)):
+        want = (expiry - as_of).days                                      # 163 with a time of day, 164 at midnight
+        r = load_planning(df, as_of, window=False).collect()
+        assert [(x.application_id, str(x.expiry_date), x.days_remaining, x.is_lapsing_soon) for x in r] == \
+            [("PA/1", "2025-06-14", want, 0 < want < 180)]
