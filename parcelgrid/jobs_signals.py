@@ -12,7 +12,6 @@ from parcelgrid.functions import signals as S
 from parcelgrid.functions.geo import add_latlng, grid_to_latlng, haversine_sql, rough_latlng_sql
 from parcelgrid.functions.text import levenshtein_ratio_sql as RATIO
 from parcelgrid.functions.text import normalize_address_sql as NORM
-from parcelgrid.jobs import _LINK_CTES  # noqa: F401  (keeps registration order stable)
 from parcelgrid.jobs_feeds import HYGIENE_CTES, TRANSPORT_CTES
 from parcelgrid.operators import graph as G
 from parcelgrid.operators import linkage as L
@@ -21,7 +20,6 @@ from parcelgrid.oracle import FEED_SQL, with_views
 from parcelgrid.plans import corporate as CO
 from parcelgrid.plans import distress as D
 from parcelgrid.plans import signals as SG
-from parcelgrid.sources import feeds as FD
 from parcelgrid.sources import payloads as PL
 
 STALENESS_AS_OF = dt.date(2026, 1, 15)
@@ -285,4 +283,3 @@ WHERE e.asset_rating_band IN ('F', 'G') AND pc.latitude IS NOT NULL AND pc.longi
         .select("uprn", "address_line_1", "asset_rating_band", "postcode"),
         fx.postcode_index(lake)).drop("postcode"))
 
-__all__ = ["FD"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelgrid.functions.signals import (DEFAULT_CHARGE_DESCRIPTION, active_officers, charges_label,
                                           debt_label, first_lender, outstanding)
-from parcelgrid.operators.linkage import company_key, resolve_company
+from parcelgrid.operators.linkage import resolve_company
 from parcelgrid.operators.merge import update_by_key
 from parcelgrid.plans.distress import enrichment_targets
 
@@ -89,6 +89,3 @@ def enrich_companies(companies: DataFrame, owners: DataFrame, props: DataFrame,
     return update_by_key(companies, changes, ["company_number"],
                          ["company_status", "incorporation_country", "company_name"])
 
-
-__all__ = ["officer_summary", "charge_summary", "corporate_tree", "company_search", "enrich_companies",
-           "company_key"]

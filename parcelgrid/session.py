@@ -51,11 +51,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     context's checkpoint dir).  Only when neither is set (local tests) is a
     private folder created and registered as the checkpoint dir.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="parcelgrid-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
+    base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

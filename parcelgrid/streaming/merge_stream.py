@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from parcelgrid.session import shared_dir
 
@@ -79,5 +78,3 @@ def file_stream(spark: SparkSession, folder: str, schema, fmt: str = "parquet",
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(folder)
 
-
-__all__ = ["VersionedTable", "stream_merge", "file_stream", "F"]
