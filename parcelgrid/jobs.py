@@ -206,3 +206,11 @@ SELECT count(*) AS targets, count(l.uprn) AS matched,
        round(count(l.uprn) * 100.0 / count(*), 2) AS match_pct
 FROM (SELECT DISTINCT uprn FROM t) x LEFT JOIN links l ON x.uprn = l.uprn""", _LINK_CTES))(
     lambda lake: L.link_report(fx.master_properties(lake), fx.epc_assessments(lake)))
+
+COMPS_POSTCODE = "Brand#7"
+
+register("comps_postcode", with_views(f"""
+SELECT postcode, count(*) AS n_sales, count(psf) AS n_comps, CAST(floor(avg(psf)) AS BIGINT) AS avg_psf,
+       CASE WHEN count(psf) = 0 THEN 'no size matches' ELSE 'ok' END AS signal
+FROM per_sale WHERE postcode = '{COMPS_POSTCODE}' GROUP BY postcode""", _COMPS_CTES))(
+    lambda lake: CP.comps(*_sales_tables(lake), postcode=COMPS_POSTCODE))

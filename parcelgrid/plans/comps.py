@@ -72,3 +72,13 @@ def comps_all(sales, epc, props, limit: int = 20, threshold: float = 0.8,
         "postcode", "n_sales", "n_comps",
         F.floor("_avg").cast("bigint").alias("avg_psf"),
         F.when(F.col("n_comps") == 0, F.lit("no size matches")).otherwise(F.lit("ok")).alias("signal"))
+
+
+def comps(sales, epc, props, postcode: str, limit: int = 20, threshold: float = 0.8,
+          method: str = "levenshtein") -> DataFrame:
+    """E2 for one postcode (the reference's entry point): the postcode
+    filter is applied to sales and properties before anything else, so it
+    reaches both scans; the result is the one-row ``comps_all`` report."""
+    s = sales.where(F.col("postcode") == postcode)
+    p = props.where(F.col("postcode") == postcode)
+    return comps_all(s, epc, p, limit, threshold, method)
