@@ -68,3 +68,15 @@ def test_planning_days_left_floor_with_time_of_day(spark):
         r = load_planning(df, as_of, window=False).collect()
         assert [(x.application_id, str(x.expiry_date), x.days_remaining, x.is_lapsing_soon) for x in r] == \
             [("PA/1", "2025-06-14", want, 0 < want < 180)]
+
+
+def test_property_search_like_semantics(spark):
+    from parcelgrid.plans.distress import property_search
+    props = spark.createDataFrame([("1", "12 High St"), ("2", "50% Off Unit"), ("3", "5x0 Lane"), ("4", "HIGH ROAD")],
+                                  "uprn string, address_line_1 string")
+    epc = spark.createDataFrame([("1", "C1", "G")], "uprn string, certificate_id string, asset_rating_band string")
+    hits = lambda q, esc: sorted(r.uprn for r in property_search(props, epc, q, escape=esc).collect())
+    assert hits("high", False) == ["1", "4"]          # case-insensitive contains
+    assert hits("5_0", False) == ["3"]                 # '_' stays a wildcard, as in the reference
+    assert hits("0%", True) == ["2"]                   # escaped: literal percent sign
+    assert hits("0%", False) == ["2", "3"]             # unescaped: '%' matches anything
