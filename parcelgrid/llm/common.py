@@ -6,6 +6,7 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +68,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *frames: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing reads any more: all that was made from them is written itself."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(shared_root(spark))
+    for df in frames:
+        for file in df.inputFiles()[:1]:
+            folder = path(file).getParent()
+            fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+            if fs.makeQualified(folder.getParent()).equals(fs.makeQualified(root)):
+                fs.delete(folder, True)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of finished jobs.  They go when the
     driver collects the plans that own them; a long job of several heavy
@@ -75,3 +88,10 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def slices(batches: Iterator, rows: int = 256) -> Iterator:
+    """Cut Arrow batches into small ones, so that what a task makes of a batch stays small; takes
+    series or tuples of series."""
+    for b in batches:
+        n = len(b[0] if isinstance(b, tuple) else b)
+        for at in range(0, n, rows):
+            yield tuple(x.iloc[at:at + rows] for x in b) if isinstance(b, tuple) else b.iloc[at:at + rows]

@@ -9,7 +9,9 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _OP4 = rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
 pos AS (SELECT rid, generate_subscripts(w, 1) AS i, unnest(w) AS word FROM docs),
-top AS (SELECT word, count(*) AS n FROM pos GROUP BY word ORDER BY n DESC, word LIMIT {VOCABULARY}),
+counts AS (SELECT word, count(*) AS n FROM pos GROUP BY word),
+fits AS (SELECT min(n) AS least FROM (SELECT n, sum(count(*)) OVER (ORDER BY n DESC) AS words FROM counts GROUP BY n) WHERE words <= {VOCABULARY}),
+top AS (SELECT word, n FROM counts WHERE n >= (SELECT least FROM fits)),
 total AS (SELECT count(*) AS n FROM pos),
 uni AS (SELECT word, n FROM top UNION ALL SELECT NULL, (SELECT n FROM total) - (SELECT sum(n) FROM top)),
 known AS (SELECT p.rid, p.i, t.word FROM pos p LEFT JOIN top t ON p.word = t.word),
