@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import named, release_shuffles, written
+from .common import discard, named, release_shuffles, slices, written
 
 WIDTH = 35
 #: odd multiplier of the rolling hash and its inverse modulo 2**64
@@ -103,7 +103,7 @@ def _minimizers(width: int):
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cache = _Words()
-        for texts in batches:
+        for texts in slices(batches):
             out = []
             for text in texts:
                 h = word_hashes(text, cache)
@@ -123,7 +123,7 @@ def _windows(width: int):
     @F.pandas_udf(T.StructType([T.StructField("h", T.ArrayType(T.LongType())), T.StructField("at", T.ArrayType(T.IntegerType()))]))
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         cache = _Words()
-        for texts, lists in batches:
+        for texts, lists in slices(batches):
             wins, starts = [], []
             for text, listed in zip(texts, lists, strict=True):
                 win, low, _ = window_hashes(word_hashes(text, cache), width)
@@ -135,8 +135,8 @@ def _windows(width: int):
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(id, th, at): starts of all windows whose hash occurs at two or more places
-    in the (id, text) rows of ``docs``.  ``th`` hashes the text; (id, th) names a row."""
+    """(id, th, starts): per text, the sorted starts of all windows whose hash occurs at two or more places
+    in the (id, text) rows of ``docs``; texts without one are not listed.  ``th`` hashes the text; (id, th) names a row."""
     spark = docs.sparkSession
     rows = docs.where(F.col("text").isNotNull()).select("id", F.xxhash64("text").alias("th"), "text")
     mins = written(rows.select("id", "th", F.explode(_minimizers(width)("text")).alias("m")), "minimizers")
@@ -149,10 +149,15 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     found = cand.select("id", "th", _windows(width)("text", "mins").alias("w"))
     wins = written(found.select("id", "th", F.explode(F.arrays_zip("w.h", "w.at")).alias("w"))
                    .select("id", "th", "w.h", "w.at"), "windows")
+    discard(spark, mins, twice, listed)
     release_shuffles(spark)
     again = written(wins.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-hashes")
     release_shuffles(spark)
-    return wins.join(again, "h", "left_semi").select("id", "th", "at")
+    starts = wins.join(again, "h", "left_semi").groupBy("id", "th").agg(F.sort_array(F.collect_set("at")).alias("starts"))
+    starts = written(starts, "starts")
+    discard(spark, wins, again)
+    release_shuffles(spark)
+    return starts
 
 
 def merged(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
@@ -174,7 +179,7 @@ _CUT = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_re
 def _cutter(width: int):
     @F.pandas_udf(_CUT)
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, starts in batches:
+        for texts, starts in slices(batches):
             out = []
             for text, at in zip(texts, starts, strict=True):
                 w = (text or "").encode().split()
@@ -199,9 +204,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keep all; rows that repeat (same id and text) repeat each other's windows.  Null
     ids are allowed; an empty table gives no rows; further columns are not read."""
     slim = docs.select(named(docs, id_col).alias("id"), named(docs, text_col).alias("text"))
-    hit = repeated_windows(slim, width)
-    per = written(hit.groupBy("id", "th").agg(F.sort_array(F.collect_set("at")).alias("starts")), "starts")
-    release_shuffles(docs.sparkSession)
+    per = repeated_windows(slim, width)
     rows = slim.withColumn("th", F.xxhash64("text"))
     j = rows.join(per.withColumnsRenamed({"id": "pid", "th": "pth"}),
                   F.col("id").eqNullSafe(F.col("pid")) & (F.col("th") == F.col("pth")), "left")
