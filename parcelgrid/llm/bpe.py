@@ -1,8 +1,8 @@
 """Byte-pair encoding by backtracking over longest matches, and decoding.
 
 Encoding a word by repeated merging costs a scan per merge.  Here the tokens
-of a word are found directly: an Aho-Corasick automaton over the vocabulary lists the
-longest token at every position; the encoder takes the longest token that
+of a word are found directly: an Aho-Corasick automaton over the vocabulary finds the
+longest tokens; the encoder takes the longest token that
 is *compatible* with the token before it and whose end is not known to be
 dead, and steps back when none is.  A sequence of tokens is the result of the
 merges exactly when every adjacent pair is, so a table of pair compatibility decides, and
@@ -10,7 +10,7 @@ every position is left for good at most once: the time is linear in the word.
 Compatibility of a pair is found by taking both tokens apart along the seam, newest merge first, and looking for a merge
 across the seam that would have come earlier.
 
-Words repeat, so each task keeps a bounded table of encoded chunks.  Decoding
+Words repeat, so each worker keeps a bounded table of encoded ones.  Decoding
 looks tokens up in one byte string with an offset table.
 """
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from .common import named
+from .common import named, slices
 
 _NEVER = 1 << 60
 
@@ -72,15 +72,22 @@ class Vocabulary:
         self.pattern = self._pattern(spec["pre_tokenizer"])
         self.letters = byte_letters()
         self.front = Tokenizer.from_file(path)
-        self.auto = ahocorasick.Automaton()
+        self.table: dict[str, int] = {}
+        self.auto = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for token, i in self.ids.items():
             body = token.removesuffix(self.suffix) if self.suffix else token
-            marked = body != token
-            key = body[:-1] + chr(ord(body[-1]) + 0x1000) if marked else token
+            key = body[:-1] + chr(ord(body[-1]) + 0x1000) if body != token else token
             if self._stable(i):
-                self.auto.add_word(key, (len(key), i))
+                self.table[key] = i
+                self.auto.add_word(key)
         self.auto.make_automaton()
-        self.compatible = lru_cache(maxsize=1 << 18)(self._compatible)
+        #: letters of each token, and the longest token that is a proper prefix of it
+        self.size = [0] * len(self.names)
+        self.shorter: list[int | None] = [None] * len(self.names)
+        for key, i in self.table.items():
+            self.size[i] = len(key)
+            self.shorter[i] = next((t for k in range(len(key) - 1, 0, -1) if (t := self.table.get(key[:k])) is not None), None)
+        self.compatible = lru_cache(maxsize=1 << 17)(self._compatible)
 
     @staticmethod
     def _normalizers(spec) -> list[tuple[str, ...]]:
@@ -138,36 +145,40 @@ class Vocabulary:
             else:
                 right_until, b = made_b, self.split[b][0]
 
+    def _longest(self, text: str) -> int:
+        """The longest token that begins ``text``: the automaton's longest path, cut back to a token."""
+        size = self.auto.longest_prefix(text)
+        while (token := self.table.get(text[:size])) is None:
+            size -= 1
+        return token
+
     def encode_letters(self, text: str) -> list[int]:
-        """Token ids of one pre-token, given the letters of its bytes; the last one gets the word-end mark."""
+        """Token ids of one pre-token, given the letters of its bytes; the last one gets the word-end mark.
+
+        At each place the longest match is tried first, then its shorter prefixes; a token is taken
+        when it is compatible with the one before it and its end is not dead.  When none fits, the place is
+        dead, and the token before it gives way to its next shorter prefix."""
         if self.suffix:
             text = text[:-1] + chr(ord(text[-1]) + 0x1000)
-        n = len(text)
-        at: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, (size, token) in self.auto.iter(text):
-            at[end - size + 1].append((size, token))  # ends ascend: the longest comes last
-        dead = [False] * (n + 1)
-        path: list[int] = []       # tokens taken
-        starts: list[int] = [0]    # their starts, and the present position
-        tried: list[int] = [len(at[0]) - 1]
-        while starts[-1] < n:
-            pos, k = starts[-1], tried[-1]
-            while k >= 0:
-                size, token = at[pos][k]
-                if not dead[pos + size] and (not path or self.compatible(path[-1], token)):
-                    break
-                k -= 1
-            if k < 0:  # no token fits here: step back
-                dead[pos] = True
-                starts.pop()
-                tried.pop()
-                path.pop()
+        n, size, shorter, compatible = len(text), self.size, self.shorter, self.compatible
+        dead = bytearray(n + 1)
+        path: list[int] = []
+        pos, token = 0, self._longest(text)
+        while True:
+            end = pos + size[token]
+            if not dead[end] and (not path or compatible(path[-1], token)):
+                path.append(token)
+                if end == n:
+                    return path
+                pos, token = end, self._longest(text[end:])
                 continue
-            tried[-1] = k - 1
-            path.append(token)
-            starts.append(pos + size)
-            tried.append(len(at[pos + size]) - 1 if pos + size < n else -1)
-        return path
+            nxt = shorter[token]
+            while nxt is None:
+                dead[pos] = 1
+                token = path.pop()
+                pos -= size[token]
+                nxt = shorter[token]
+            token = nxt
 
     # ---- text
 
@@ -179,47 +190,58 @@ class Vocabulary:
                 text = text.lower() if text.isascii() or "Σ" not in text else "".join(c.lower() for c in text)
         return text
 
-    def chunk(self, chunk: str) -> list[int]:
-        """Ids of a stretch without white space."""
-        if _RARE.search(chunk):
-            pieces = [p for p, _ in self.front.pre_tokenizer.pre_tokenize_str(chunk)]
-        else:
-            pieces = ["".join(self.letters[b] for b in m.group().encode()) for m in self.pattern.finditer(chunk)]
-        return [i for p in pieces for i in self.encode_letters(p)]
+#: letters beyond these are left to the tokenizer file's own front end
+_RARE = regex.compile(r"[^\x00-\u024f]")
 
 
 #: fixed values: separators that str.split() takes for white space and the normalizer does not
 _EXTRA_SPACE = regex.compile("[\x1c-\x1f]")
 #: fixed values: white space up to U+024F
 _SPACE = regex.compile(r"[\x09-\x0d\x20\x85\xa0]+")
-#: beyond these letters Unicode versions differ between libraries; the tokenizer file's own front end cuts such chunks
-_RARE = regex.compile(r"[^\x00-\u024f]")
 
 
 class Encoder(dict):
-    """Chunk -> ids as an int32 array, cleared when it has grown to its bound."""
+    """Stretch without white space -> ids, cleared when it has grown to its bound; encodes texts.
+    No pre-token of the supported pattern holds white space."""
 
-    BOUND = 300_000
+    BOUND = 400_000
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.v = vocabulary
         self.marks = regex.compile("|".join(regex.escape(s) for s in sorted(vocabulary.special, key=len, reverse=True)) or r"(?!)")
+        #: letters of a byte string read as Latin-1
+        self.letters = dict(enumerate(vocabulary.letters))
+
+    def piece(self, piece: str) -> tuple[int, ...]:
+        plain = piece.isascii() and piece.isprintable()  # such bytes are their own letters
+        letters = piece if plain else piece.encode().decode("latin-1").translate(self.letters)
+        return tuple(self.v.encode_letters(letters))
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
-        ids = tuple(self.v.chunk(chunk))
-        if len(chunk) < 100:
-            if len(self) >= self.BOUND:
-                self.clear()
-            self[chunk] = ids
+        if not chunk:  # at the ends of a split
+            return ()
+        if chunk.isalpha():
+            ids = self.piece(chunk)
+        elif chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+            ids = self[chunk[:-1]] + self.piece(chunk[-1])
+        else:
+            pieces = self.v.pattern.findall(chunk)
+            ids = self.piece(chunk) if pieces == [chunk] else tuple(i for p in pieces for i in self[p])
+        if len(self) >= self.BOUND:
+            self.clear()
+        self[chunk] = ids
         return ids
 
     def plain(self, text: str) -> list[int]:
-        if _RARE.search(text):
-            return [i for c in self.v.front.normalizer.normalize_str(text).split(" ") if c for i in self[c]]
-        text = self.v.normalize(text)
-        chunks = text.split() if not _EXTRA_SPACE.search(text) else [c for c in _SPACE.split(text) if c]
-        return [i for c in chunks for i in self[c]]
+        """Ids of a text without special tokens.  Beyond U+024F Unicode versions differ between libraries, so
+        the tokenizer file's own front end normalizes and cuts such a text."""
+        if not _RARE.search(text):
+            text = self.v.normalize(text)
+            chunks = text.split() if not _EXTRA_SPACE.search(text) else _SPACE.split(text)
+            return [i for c in chunks for i in self[c]]
+        front, encode = self.v.front, self.v.encode_letters
+        return [i for p, _ in front.pre_tokenizer.pre_tokenize_str(front.normalizer.normalize_str(text)) for i in encode(p)]
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; special tokens written out in it are themselves."""
@@ -255,18 +277,24 @@ class Decoder:
         return self.blob[take[:-1]].tobytes().decode()
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     """One vocabulary per worker process."""
     return Vocabulary(path)
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One table of encoded pre-tokens per worker process; it outlives a task."""
+    return Encoder(vocabulary(path))
+
+
 def encode(text: Column, path: str) -> Column:
     """Token ids (array<int>) of a text column; null and blank texts give an empty array."""
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = Encoder(vocabulary(path))
-        for texts in batches:
+        enc = encoder(path)
+        for texts in slices(batches):
             yield pd.Series([np.array(enc.encode(t), dtype=np.int32) for t in texts], dtype=object)
     return run(text)
 
@@ -276,7 +304,7 @@ def decode(ids: Column, path: str) -> Column:
     @F.pandas_udf(T.StringType())
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         dec = Decoder(vocabulary(path))
-        for rows in batches:
+        for rows in slices(batches):
             yield pd.Series([dec.decode(r) for r in rows], dtype=object)
     return run(ids)
 
@@ -286,6 +314,6 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     Map-only: no row meets another, so repeats, hot keys and an empty table change
     nothing; null and empty texts have no tokens; a very long text is
-    encoded whole, chunk by chunk."""
+    encoded whole."""
     ids = docs.select(named(docs, id_col).alias(id_col), encode(named(docs, text_col), path).alias("ids"))
     return ids.withColumn("decoded", decode(F.col("ids"), path))
