@@ -28,7 +28,9 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sequence of every document with its slot, read back from the written shards."""
     layout = training_order.Layout()
-    path, n = training_order.materialise(table(spark, sf_dir, "documents"), tokenizer_path(), "epoch-0", layout, shared_path(spark, "shards"))
+    import public_tokenizers
+    encoding = (tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    path, n = training_order.materialise(table(spark, sf_dir, "documents"), encoding, "epoch-0", layout, shared_path(spark, "shards"))
     recs = training_order.read_shards(spark, path, layout) if n else training_order.empty_records(spark)
     return recs.select(F.col("id").alias("doc_id"), "seq_no", "n_tokens", "slot", "shard", "byte_offset", F.sha2("body", 256).alias("body_sha256"))
 

@@ -1,41 +1,45 @@
 """Training-order materialisation of token sequences.
 
 1. Texts are encoded and cut into sequences of a fixed number of tokens (the last
-   one of a text padded), written once as a table: the frozen corpus.
-2. The ordinal of a sequence is its place in that table: rows of earlier files,
-   plus its row number.  Only the row counts per file are gathered.
+   one of a text padded).
+2. The ordinal of a sequence is its place in the stored corpus table, found the way Spark
+   numbers rows: a first pass counts the sequences of every scan partition, a second one adds the
+   count of the partitions before.  Only one number per partition is gathered.
 3. A keyed Feistel permutation over the smallest power of two that holds all
    ordinals, walked until the value is an ordinal again (cycle-walking),
    gives every sequence its slot.  It is a bijection, so slots need no
-   shuffle, sort or collision check, and any slot can be computed alone.
-4. Sequences are range-partitioned by shard (consecutive slots) and written as
+   sort or collision check, and any slot can be computed alone.
+4. Sequences are partitioned by shard (a range of consecutive slots) and written as
    fixed-stride records.  Record ``s`` of a shard starts at byte ``s * stride``, so a
    reader resumes at any slot by arithmetic.
 
-A record is 8 bytes slot, 8 bytes id (0 for null), 4 bytes sequence number, 4 bytes token count, the
+A record is 8 bytes slot, 8 bytes id (0 for null), 4 bytes sequence number, 4 bytes token count
 (these big-endian), the tokens as little-endian unsigned 16- or 32-bit numbers, padding zeros, and one newline.
+
+The corpus must be a stored table, read by a plain scan: then both passes, and the repeat of a lost task,
+see the same partitions.  Other frames are to be written first.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import tiktoken
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import Encoder, vocabulary
 from .common import named, release_shuffles, shared_path
 
 ROUNDS = 6
 HEAD = 24
-#: file counts up to this many rows (about 100 bytes each) are broadcast; beyond it the join is a plain one
-BROADCAST_FILES = 50_000
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -50,33 +54,23 @@ class Layout:
         return HEAD + self.token_bytes * self.length + 1
 
 
-def sequences(docs: DataFrame, path: str, layout: Layout, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, seq_no, n_tokens, body): every text as its tokens and one end token,
-    cut into ``layout.length`` tokens; ``body`` holds them as bytes, padded with zeros.
-    A null or empty text is one sequence with the end token."""
-    shape = T.ArrayType(T.StructType([T.StructField("n_tokens", T.IntegerType()), T.StructField("body", T.BinaryType())]))
-    kind = {2: "<u2", 4: "<u4"}[layout.token_bytes]
-
-    @F.pandas_udf(shape)
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        v = vocabulary(path)
-        if len(v.names) > 256 ** layout.token_bytes:
-            raise ValueError("token numbers do not fit")
-        enc, end = Encoder(v), max(v.special.values())
-        size = layout.length
-        for texts in batches:
-            out = []
-            for text in texts:
-                ids = enc.encode(text)
-                ids.append(end)
-                body = np.zeros(-(-len(ids) // size) * size, dtype=kind)
-                body[: len(ids)] = ids
-                out.append([{"n_tokens": min(size, len(ids) - a), "body": body[a:a + size].tobytes()}
-                            for a in range(0, len(ids), size)])
-            yield pd.Series(out)
-
-    rows = docs.select(named(docs, id_col).cast("long").alias("id"), cut(named(docs, text_col)).alias("s"))
-    return rows.select("id", F.posexplode("s").alias("seq_no", "s")).select("id", "seq_no", "s.n_tokens", "s.body")
+@lru_cache(maxsize=2)
+def encoder(path: str, pattern: str) -> tiktoken.Encoding:
+    """One encoder per worker process, from a rank file; the number after the last rank is the end token."""
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def token_rows(text: str | None, enc: tiktoken.Encoding, layout: Layout) -> tuple[np.ndarray, int]:
+    """(rows of ``layout.length`` tokens, number of tokens) of a text and its end token."""
+    ids = enc.encode_ordinary(text or "")
+    ids.append(enc.max_token_value + 1)
+    if ids[-1] >= 256 ** layout.token_bytes:
+        raise ValueError("token numbers do not fit")
+    rows = np.zeros((-(-len(ids) // layout.length), layout.length), dtype=f"<u{layout.token_bytes}")
+    rows.reshape(-1)[: len(ids)] = ids
+    return rows, len(ids)
 
 
 def _round_keys(key: str) -> list[int]:
@@ -115,54 +109,63 @@ def permute(ordinals: np.ndarray, n: int, key: str) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def slot_of(ordinal: Column, n: int, key: str) -> Column:
-    @F.pandas_udf(T.LongType())
-    def run(x: pd.Series) -> pd.Series:
-        return pd.Series(permute(x.to_numpy(), n, key))
-    return run(ordinal)
-
-
-def freeze(seqs: DataFrame, path: str) -> DataFrame:
-    """Write the sequence table once and read it back with ``ordinal``: the place of
-    a row, counting files in the order of their names.  The written files do not
-    change, so ordinals are the same for every reader and every retry."""
-    spark = seqs.sparkSession
-    seqs.write.parquet(path)
-    rows = spark.read.schema(seqs.schema).parquet(path).select(
-        "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
-    sizes = sorted((r.file, r.n) for r in rows.groupBy("file").agg(F.count("*").alias("n")).toLocalIterator())
-    offsets, at = [], 0
-    for name, size in sizes:  # one entry per written file: bounded by the number of write tasks
-        offsets.append((name, at))
-        at += size
-    start = spark.createDataFrame(offsets, "file string, start long")
-    if len(offsets) <= BROADCAST_FILES:
-        start = F.broadcast(start)
-    return rows.join(start, "file").select(*seqs.columns, (F.col("start") + F.col("row")).alias("ordinal"))
-
-
-def write_shards(frozen: DataFrame, n: int, key: str, layout: Layout, path: str) -> None:
+def count_sequences(rows: DataFrame, path: str, pattern: str, layout: Layout) -> dict[int, int]:
+    """Sequences of every scan partition: one number per partition comes to the driver."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, n = encoder(path, pattern), 0
+        for b in batches:
+            for text in b.column(1):
+                n += -(-(len(enc.encode_ordinary(text.as_py() or "")) + 1) // layout.length)
+        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n]})
+
+    return {r.part: r.n for r in rows.mapInArrow(count, "part long, n long").collect()}
+
+
+_HEAD = [("slot", ">i8"), ("id", ">i8"), ("seq_no", ">i4"), ("n_tokens", ">i4")]
+RECORDS = T.StructType([
+    T.StructField("shard", T.LongType()), T.StructField("slot", T.LongType()), T.StructField("id", T.LongType()),
+    T.StructField("seq_no", T.IntegerType()), T.StructField("n_tokens", T.IntegerType()), T.StructField("body", T.BinaryType()),
+    T.StructField("byte_offset", T.LongType())])
+
+
+def _record(layout: Layout) -> np.dtype:
+    return np.dtype([*_HEAD, ("body", f"V{layout.token_bytes * layout.length}"), ("end", "V1")])
+
+
+def write_shards(rows: DataFrame, counts: dict[int, int], encoding: tuple[str, str], key: str, layout: Layout, path: str) -> None:
     """Records of all sequences in slot order, one file per shard folder
     ``shard=K``, shard K holding slots ``K * per_shard`` and following."""
-    kind = {2: "<u2", 4: "<u4"}[layout.token_bytes]
-    head = np.dtype([("slot", ">i8"), ("id", ">i8"), ("seq_no", ">i4"), ("n_tokens", ">i4")])
-    assert head.itemsize == HEAD and np.dtype(kind).itemsize == layout.token_bytes
-
-    @F.pandas_udf(T.BinaryType())
-    def record(slot: pd.Series, ids: pd.Series, seq_no: pd.Series, n_tokens: pd.Series, body: pd.Series) -> pd.Series:
-        h = np.zeros(len(slot), dtype=head)
-        for name, col in (("slot", slot), ("id", ids), ("seq_no", seq_no), ("n_tokens", n_tokens)):
-            h[name] = col.to_numpy()
-        return pd.Series([a.tobytes() + b for a, b in zip(h, body, strict=True)])
-
-    rows = frozen.select("*", slot_of(F.col("ordinal"), n, key).alias("slot"))
-    rows = rows.withColumn("shard", F.floor(F.col("slot") / F.lit(layout.per_shard)).cast("long"))
+    n = sum(counts.values())
+    parts = sorted(counts)
+    first = rows.sparkSession.sparkContext.broadcast(dict(zip(parts, np.cumsum([0, *(counts[p] for p in parts)]).tolist(), strict=False)))
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(*encoding)
+        kind = np.dtype([*_HEAD, ("body", f"<u{layout.token_bytes}", layout.length)])
+        at = first.value[TaskContext.get().partitionId()]
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                cut = [token_rows(t.as_py(), enc, layout) for t in part.column(1)]
+                sizes = np.array([len(r) for r, _ in cut])
+                out = np.zeros(sizes.sum(), dtype=kind)
+                out["slot"] = permute(np.arange(at, at + len(out)), n, key)
+                out["id"] = np.repeat(part.column(0).fill_null(0).to_numpy(zero_copy_only=False), sizes)
+                out["seq_no"] = np.arange(len(out)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                tokens = np.repeat([k for _, k in cut], sizes)
+                out["n_tokens"] = np.minimum(layout.length, tokens - out["seq_no"].astype(np.int64) * layout.length)
+                out["body"] = np.concatenate([r for r, _ in cut])
+                at += len(out)
+                slot = out["slot"].astype(np.int64)
+                blob, size = out.tobytes(), kind.itemsize
+                value = pa.array([blob[k:k + size] for k in range(0, len(blob), size)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(slot // layout.per_shard), pa.array(slot), value], names=["shard", "slot", "value"])
+
     shards = max(1, -(-n // layout.per_shard))
-    tasks = min(shards, 20_000)
-    placed = rows.repartitionByRange(tasks, "shard").sortWithinPartitions("shard", "slot")
-    full = record("slot", F.coalesce("id", F.lit(0)), "seq_no", "n_tokens", "body")
+    made = rows.mapInArrow(records, "shard long, slot long, value binary")
+    placed = made.repartition(min(shards, 20_000), "shard").sortWithinPartitions("shard", "slot")
     # the text writer puts bytes as they are and ends each record with the newline
-    out = placed.select("shard", full.cast("string").alias("value"))
+    out = placed.select("shard", F.col("value").cast("string").alias("value"))
     out.write.partitionBy("shard").option("compression", "none").text(path)
 
 
@@ -171,39 +174,42 @@ def read_shards(spark: SparkSession, path: str, layout: Layout, first_slot: int
     ``first_slot`` on; whole shards before it are not opened, records before it are skipped by arithmetic."""
     first_shard = first_slot // layout.per_shard
     files = (spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary, shard long")
-             .option("pathGlobFilter", "part-*").load(path).where(F.col("shard") >= first_shard))
-    skip = F.when(F.col("shard") == first_shard, F.lit(first_slot - first_shard * layout.per_shard)).otherwise(F.lit(0))
-    n = F.floor(F.length("content") / F.lit(layout.stride)).cast("int")
-    where = F.when(skip < n, F.sequence(skip, n - 1)).otherwise(F.array().cast("array<int>"))
-    cut = F.transform(where, lambda i: F.struct(i.alias("i"), F.substring(F.col("content"), i * layout.stride + 1, F.lit(layout.stride)).alias("r")))
-    recs = files.select("shard", F.explode(cut).alias("x")).select("shard", "x.i", "x.r")
+             .option("pathGlobFilter", "part-*").load(path).where(F.col("shard") >= first_shard).select("shard", "content"))
+    skip = first_slot - first_shard * layout.per_shard
 
-    def number(at: int, size: int) -> Column:
-        return F.conv(F.hex(F.substring("r", at + 1, size)), 16, -10).cast("long")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        record = _record(layout)
+        for b in batches:
+            for shard, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                recs = np.frombuffer(content.as_buffer(), dtype=record)
+                for at in range(skip if shard == first_shard else 0, len(recs), 1024):
+                    r = recs[at:at + 1024]
+                    cols = [np.full(len(r), shard)] + [r[c].astype(r[c].dtype.newbyteorder("=")) for c in ("slot", "id", "seq_no", "n_tokens")]
+                    offset = np.arange(at, at + len(r), dtype=np.int64) * record.itemsize
+                    body = pa.array([x.tobytes() for x in r["body"]], pa.binary())
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, cols), body, pa.array(offset)], names=RECORDS.names)
 
-    return recs.select("shard", number(0, 8).alias("slot"), number(8, 8).alias("id"), number(16, 4).cast("int").alias("seq_no"),
-                       number(20, 4).cast("int").alias("n_tokens"),
-                       F.substring("r", HEAD + 1, layout.token_bytes * layout.length).alias("body"),
-                       (F.col("i").cast("long") * layout.stride).alias("byte_offset"))
+    return files.mapInArrow(cut, RECORDS)
 
 
-def materialise(docs: DataFrame, vocabulary_path: str, key: str, layout: Layout | None = None, out: str | None = None,
+def materialise(docs: DataFrame, encoding: tuple[str, str], key: str, layout: Layout | None = None, out: str | None = None,
                 id_col: str = "doc_id", text_col: str = "text") -> tuple[str, int]:
-    """Encode, order and write a corpus; returns (folder of the shards, number of sequences).
+    """Encode, order and write a stored corpus; returns (folder of the shards, number of sequences).
 
+    ``encoding`` is a rank file and its split pattern.
     Every row gives at least one sequence, null and empty texts included; rows
     that repeat are sequences of their own; null ids are written as 0; an
     empty table gives no shard; further columns are not read."""
     spark = docs.sparkSession
     layout = layout or Layout()
     out = out or shared_path(spark, "shards")
-    frozen = freeze(sequences(docs, vocabulary_path, layout, id_col, text_col), shared_path(spark, "sequences"))
-    n = frozen.count()
-    if n:
-        write_shards(frozen, n, key, layout, out)
+    rows = docs.select(named(docs, id_col).cast("long").alias("id"), named(docs, text_col).alias("text"))
+    counts = count_sequences(rows, *encoding, layout)
+    if sum(counts.values()):
+        write_shards(rows, counts, encoding, key, layout, out)
         release_shuffles(spark)
-    return out, n
+    return out, sum(counts.values())
 
 
 def empty_records(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "shard long, slot long, id long, seq_no int, n_tokens int, body binary, byte_offset long")
+    return spark.createDataFrame([], RECORDS)
