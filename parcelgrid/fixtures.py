@@ -53,13 +53,13 @@ def epc_assessments(lake: Lake) -> DataFrame:
 
 def ownership_records(lake: Lake) -> DataFrame:
     li = lake.table("lineitem")
-    return li.where(F.col("l_linenumber") == 1).select(
+    return li.select(
         F.concat(F.lit("T"), _s("l_partkey")).alias("title_number"),
         F.concat(F.lit("S"), _s("l_suppkey")).alias("company_number"),
         F.concat(F.lit("Owner "), _s("l_suppkey")).alias("proprietor_name"),
         F.to_date("l_shipdate").alias("date_registered"),
         F.col("l_extendedprice").alias("price_paid"),
-        F.col("l_orderkey").alias("seq"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
     )
 
 
@@ -191,7 +191,7 @@ def lease_registry(lake: Lake) -> DataFrame:
 
 def covenant_registry(lake: Lake) -> DataFrame:
     li = lake.table("lineitem")
-    return (li.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1))
+    return (li.where(F.col("l_returnflag") == "R")
               .select(F.concat(F.lit("T"), _s("l_partkey")).alias("title_number"),
                       F.lit(True).alias("has_covenant"))
               .distinct())

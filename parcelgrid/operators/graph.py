@@ -1,13 +1,11 @@
-"""Ultimate owners by iterative traversal of an ownership edge list.
-
-Round d joins the depth-(d-1) frontier (child, ancestor) to the edges on
-ancestor = child.  Each round's frontier is written as a table under the
-session's shared checkpoint folder (``depth=d``) and read back, so every
-round is one join over materialised input (lineage cut, survives executor
-loss, no recomputation of earlier rounds), and the loop stops as soon as a
-frontier is empty or ``max_depth`` is reached.  The driver loop runs over
-rounds, never over rows.  A path that returns to its start is cut (cycle
-guard); longer cycles end at ``max_depth``.
+"""Ultimate owners by doubling the paths of an ownership edge list.
+
+A table of (child, ancestor, depth) pairs is joined to itself: pairs up to d steps
+give all pairs up to 2 d steps, so the number of rounds is the logarithm of the longest
+chain and there is no depth limit.  Each round keeps one row per pair (the smallest depth), so layered
+graphs with many paths do not blow up, and is written to the session's
+shared checkpoint folder (lineage cut, survives executor loss).  A company is not its own
+ancestor: pairs that return to their start are dropped.  The rounds end when no pair is added or shortened.
 """
 
 from __future__ import annotations
@@ -18,29 +16,28 @@ from pyspark.sql import functions as F
 from parcelgrid.session import shared_dir
 
 
-def ancestors(edges: DataFrame, max_depth: int = 10, child: str = "child", parent: str = "parent") -> DataFrame:
-    """All (child, ancestor, depth) with 1 <= depth <= max_depth."""
+def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
+    """All (child, ancestor, depth); depth is the length of the shortest chain."""
     spark = edges.sparkSession
-    e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).where(
-        F.col("_c").isNotNull() & F.col("_p").isNotNull() & (F.col("_c") != F.col("_p"))).distinct()
     root = shared_dir(spark, "ancestors")
-    frontier = e.select(F.col("_c").alias("child"), F.col("_p").alias("ancestor"))
-    for d in range(1, max_depth + 1):
-        if d > 1:
-            frontier = (frontier.join(e, frontier.ancestor == e._c)
-                        .where(F.col("_p") != F.col("child"))
-                        .select("child", F.col("_p").alias("ancestor")))
-        path = f"{root}/depth={d}"
-        frontier.write.parquet(path)
-        frontier = spark.read.parquet(path)
-        if frontier.isEmpty():
-            break
-    out = spark.read.parquet(root)
-    return out.select("child", "ancestor", F.col("depth").cast("int").alias("depth"))
-
-
-def ultimate_owners(edges: DataFrame, max_depth: int = 10, **kw) -> DataFrame:
-    """Per child the deepest ancestor reached (the top of its chain)."""
-    a = ancestors(edges, max_depth, **kw)
-    top = a.groupBy("child").agg(F.max(F.struct("depth", "ancestor")).alias("_t"))
+    pairs = edges.select(F.col(child).alias("child"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth")).where(
+        F.col("child").isNotNull() & F.col("ancestor").isNotNull() & (F.col("child") != F.col("ancestor"))).distinct()
+    known, step = None, 0
+    while True:
+        path = f"{root}/round={step}"
+        pairs.write.parquet(path)
+        pairs = spark.read.parquet(path)
+        size = tuple(pairs.agg(F.count("*"), F.sum("depth")).first())
+        if size == known:
+            return pairs
+        known, step = size, step + 1
+        up = pairs.select(F.col("child").alias("_c"), F.col("ancestor").alias("_a"), F.col("depth").alias("_d"))
+        longer = (pairs.join(up, F.col("ancestor") == F.col("_c")).where(F.col("child") != F.col("_a"))
+                  .select("child", F.col("_a").alias("ancestor"), (F.col("depth") + F.col("_d")).alias("depth")))
+        pairs = pairs.unionByName(longer).groupBy("child", "ancestor").agg(F.min("depth").alias("depth"))
+
+
+def ultimate_owners(edges: DataFrame, **kw) -> DataFrame:
+    """Per child the deepest ancestor (the top of its chain; of equal depths the largest name)."""
+    top = ancestors(edges, **kw).groupBy("child").agg(F.max(F.struct("depth", "ancestor")).alias("_t"))
     return top.select("child", F.col("_t.ancestor").alias("ultimate_owner"), F.col("_t.depth").alias("depth"))

@@ -274,12 +274,11 @@ def company_key(c) -> Column:
 
 
 def resolve_company(owners: DataFrame, registry: DataFrame, name_col: str = "owner_name",
-                    threshold: float = 0.85, method: str = "levenshtein",
-                    block_chars: int = 4) -> DataFrame:
+                    threshold: float = 0.85, method: str = "levenshtein") -> DataFrame:
     """Owner name -> one registry company.  Exact match on the
     normalised name wins (lowest company_number); otherwise the best fuzzy
-    match >= threshold inside a block of the first ``block_chars``
-    normalised characters.  Output: owner_name, company_number,
+    match >= threshold among all companies (candidates come from shared rare
+    tokens, which loses no pair).  Output: owner_name, company_number,
     company_name, company_status, match ('exact' | 'fuzzy')."""
     o = owners.select(F.col(name_col).alias("owner_name")).where(F.col("owner_name").isNotNull()).distinct()
     o = o.withColumn("_k", company_key(F.col("owner_name")))
@@ -288,7 +287,7 @@ def resolve_company(owners: DataFrame, registry: DataFrame, name_col: str = "own
               .agg(F.min(F.struct("company_number", "company_name", "company_status")).alias("_m"))
               .select("owner_name", F.col("_m.*"), F.lit("exact").alias("match")))
     rest = o.join(exact.select("owner_name"), "owner_name", "left_anti")
-    blk = lambda df: df.withColumn("_b", F.substring("_k", 1, block_chars))
+    blk = lambda df: df.withColumn("_b", F.lit(""))  # noqa: E731  names have no block; the join key is the token
     hits = similarity_join(blk(rest), blk(r), ["_b"], "owner_name", "company_number", "_k", "_k",
                            threshold, method)
     fuzzy = (hits.groupBy("owner_name")
@@ -299,8 +298,3 @@ def resolve_company(owners: DataFrame, registry: DataFrame, name_col: str = "own
                          F.lit("fuzzy").alias("match")))
     return exact.unionByName(fuzzy)
 
-
-def ceil_alpha(length: int, threshold: float, method: str) -> int:
-    """Python twin of ``min_overlap`` for tests."""
-    frac = threshold / (2.0 - threshold) if method == "difflib" else threshold
-    return max(1, math.ceil(length * frac - _EPS))

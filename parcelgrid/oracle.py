@@ -30,8 +30,8 @@ FROM part""",
 SELECT concat('T', CAST(l_partkey AS VARCHAR)) AS title_number, concat('S', CAST(l_suppkey AS VARCHAR)) AS company_number,
        concat('Owner ', CAST(l_suppkey AS VARCHAR)) AS proprietor_name,
        CAST(l_shipdate AS DATE) AS date_registered, l_extendedprice AS price_paid,
-       l_orderkey AS seq
-FROM lineitem WHERE l_linenumber = 1""",
+       l_orderkey * 8 + l_linenumber AS seq
+FROM lineitem""",
     "corporate_registry": """
 SELECT concat('S', CAST(s_suppkey AS VARCHAR)) AS company_number, s_name AS company_name,
        CASE WHEN n_regionkey = 0 THEN 'United Kingdom' WHEN n_regionkey = 1 THEN 'Unknown' ELSE n_name END AS incorporation_country,
@@ -80,7 +80,7 @@ SELECT concat('L', CAST(o_orderkey AS VARCHAR)) AS unique_lease_id, concat('T',
 FROM orders""",
     "covenant_registry": """
 SELECT DISTINCT concat('T', CAST(l_partkey AS VARCHAR)) AS title_number, TRUE AS has_covenant
-FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1""",
+FROM lineitem WHERE l_returnflag = 'R'""",
     "voa_ratings": """
 SELECT CAST(p_partkey AS VARCHAR) AS billing_authority_ref, p_brand AS postcode,
        CAST(floor(p_retailprice) AS INT) AS rateable_value_2023,

@@ -48,10 +48,10 @@ def corporate_tree(profiles: DataFrame, parsed: DataFrame, n: int = TOP_N) -> Da
                     F.size("officers").alias("n_officers"), F.size("owners").alias("n_owners")))
 
 
-def company_search(index: DataFrame, q: str, threshold: float = 0.85, block_chars: int = 4) -> DataFrame:
+def company_search(index: DataFrame, q: str, threshold: float = 0.85) -> DataFrame:
     """Best company for one name: exact normalised name (lowest
     number), else the best fuzzy match (levenshtein ratio >= threshold)
-    among titles sharing the first ``block_chars`` normalised characters;
+    among all titles;
     empty ``q`` -> no rows.  A filter over the index, no join."""
     from parcelgrid.functions.text import levenshtein_ratio, normalize_address
     reg = index.select("company_number", F.col("title").alias("company_name"), "company_status")
@@ -61,7 +61,7 @@ def company_search(index: DataFrame, q: str, threshold: float = 0.85, block_char
     nk = normalize_address(key)
     k = normalize_address(F.col("company_name"))
     exact = reg.where(k == nk).select(F.lit(0).alias("_p"), F.lit(-1.0).alias("_nr"), *reg.columns)
-    fuzzy = (reg.where((F.substring(k, 1, block_chars) == F.substring(nk, 1, block_chars)) & (F.length(k) > 0))
+    fuzzy = (reg.where(F.length(k) > 0)
                 .withColumn("_r", levenshtein_ratio(k, nk)).where(F.col("_r") >= threshold)
                 .select(F.lit(1).alias("_p"), (-F.col("_r")).alias("_nr"), *reg.columns))
     # exact hits rank first (lowest number), then fuzzy by ratio: one global min

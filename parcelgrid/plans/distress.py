@@ -111,15 +111,17 @@ def property_search(props, epc, q: str, limit: int = 10, escape: bool = False) -
     return out.select("uprn", F.col("address_line_1").alias("address"), "asset_rating_band")
 
 
-def planning_targets(props, epc, limit: int = 50) -> DataFrame:
-    """E/F/G properties with a location, first ``limit``."""
+def planning_targets(props, epc, limit: int | None = None) -> DataFrame:
+    """E/F/G properties with a location; all of them unless a ``limit`` is given."""
     e = epc.where(F.col("asset_rating_band").isin(*PLANNING_BANDS)).select("uprn", "certificate_id")
     p = props.where(F.col("latitude").isNotNull()).select("uprn", "postcode", "latitude", "longitude")
-    return (p.join(e, "uprn").orderBy("uprn", "certificate_id").limit(limit)
-             .select("uprn", "postcode", "latitude", "longitude"))
+    out = p.join(e, "uprn")
+    if limit is not None:
+        out = out.orderBy("uprn", "certificate_id").limit(limit)
+    return out.select("uprn", "postcode", "latitude", "longitude")
 
 
-def enrichment_targets(companies, owners, props, epc, limit: int | None = 10) -> DataFrame:
+def enrichment_targets(companies, owners, props, epc, limit: int | None = None) -> DataFrame:
     """Companies owning an F/G asset that still lack status or country.
     A semi-join replaces the reference's DISTINCT over a 4-way join, so
     the join result is never materialised per certificate."""

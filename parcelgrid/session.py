@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -60,19 +59,16 @@ def local_path(uri: str) -> str:
     return uri[len("file:"):] if uri.startswith("file:") else uri
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a private one only when none is set."""
+    """The session's checkpoint folder.  Where none is set, a private one on a ``local`` master, whose
+    threads share the disk; elsewhere an error, since executors do not see each other's folders."""
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not conf and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(conf or tempfile.mkdtemp(prefix="parcelgrid-ckpt-"))
     return spark.sparkContext.getCheckpointDir()
 

@@ -44,8 +44,18 @@ def file_order(df: DataFrame) -> Column:
 
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, header: bool = True,
              n_columns: int | None = None) -> DataFrame:
-    """Read a CSV feed as all strings, with ``_seq`` (file order) and ``_file``."""
-    r = spark.read.option("header", header).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+    """Read a CSV feed as all strings, with ``_seq`` (file order) and ``_file``.
+
+    With a header, ``columns`` are picked by name, in any order and among others; a missing one is
+    an error.  Quotes inside a quoted field are doubled."""
+    r = (spark.read.option("header", header).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+         .option("quote", '"').option("escape", '"'))
+    if columns and header:
+        df = r.csv(path)
+        missing = [c for c in columns if c not in df.columns]
+        if missing:
+            raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
+        return df.select(*[F.col(f"`{c}`") for c in columns], file_order(df).alias("_seq"), F.col("_metadata.file_name").alias("_file"))
     if columns:
         r = r.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     elif n_columns:

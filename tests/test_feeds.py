@@ -84,3 +84,14 @@ def test_folder_rule(spark):
     df = spark.createDataFrame([("a/b/c.csv",), ("a/c.csv",), ("c.csv",)], "object_key string")
     got = [r[0] for r in df.select(LS.folder_of(F.col("object_key"))).collect()]
     assert got == ["a/b", "a", "root"]
+
+
+def test_csv_columns_are_picked_by_header_name(spark, tmp_path):
+    import pytest
+
+    from parcelgrid.sources.feeds import read_csv
+    (tmp_path / "a.csv").write_text('Tenure,Title Number,District,Postcode,Address\nFreehold,T1,D,P1,"1 ""Old"" High St, London"\n')
+    got = read_csv(spark, str(tmp_path), ["Title Number", "Address", "Postcode"]).collect()
+    assert [(r["Title Number"], r["Address"], r["Postcode"]) for r in got] == [("T1", '1 "Old" High St, London', "P1")]
+    with pytest.raises(ValueError, match="Town"):
+        read_csv(spark, str(tmp_path), ["Title Number", "Town"])

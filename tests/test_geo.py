@@ -71,11 +71,19 @@ def test_near_join_equals_brute_force(spark):
     assert near == {p[0] for p in pts if hv(p, (None, 51.5, -0.1)) <= 1.0}
 
 
-def test_ancestors_depth_cap_and_cycle_guard(spark):
+def test_ancestors_to_the_root_with_a_cycle_guard(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "d")], "child string, parent string")
-    got = sorted((r.child, r.ancestor, r.depth) for r in ancestors(edges, max_depth=5).collect())
-    assert ("a", "a", 3) not in got and ("d", "d", 1) not in got
-    assert ("a", "b", 1) in got and ("a", "c", 2) in got
+    got = sorted((r.child, r.ancestor, r.depth) for r in ancestors(edges).collect())
+    assert got == [("a", "b", 1), ("a", "c", 2), ("b", "a", 2), ("b", "c", 1), ("c", "a", 1), ("c", "b", 2)]
     top = {r.child: r.ultimate_owner for r in ultimate_owners(
         spark.createDataFrame([("x", "y"), ("y", "z")], "child string, parent string")).collect()}
     assert top == {"x": "z", "y": "z"}
+
+
+def test_long_chains_and_layered_owners(spark):
+    chain = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(14)], "child string, parent string")
+    top = {r.child: (r.ultimate_owner, r.depth) for r in ultimate_owners(chain).collect()}
+    assert top["n0"] == ("n14", 14) and top["n13"] == ("n14", 1)
+    layers = [(f"l{i}{a}", f"l{i + 1}{b}") for i in range(5) for a in "xy" for b in "xy"]
+    got = ancestors(spark.createDataFrame(layers, "child string, parent string")).collect()
+    assert len(got) == len({(r.child, r.ancestor) for r in got}) == 60

@@ -90,3 +90,15 @@ def test_no_pairs_across_blocks(spark):
     l_df = spark.createDataFrame([("a", "X", "SAME TEXT")], "lid string, blk string, lt string")
     r_df = spark.createDataFrame([("b", "Y", "SAME TEXT")], "rid string, blk string, rt string")
     assert similarity_join(l_df, r_df, ["blk"], "lid", "rid", "lt", "rt", 0.5).count() == 0
+
+
+def test_names_with_other_beginnings_are_resolved(spark):
+    from parcelgrid.operators.linkage import resolve_company
+    from parcelgrid.plans.corporate import company_search
+    registry = spark.createDataFrame([("1", "ACME HOLDINGS LIMITED", "active"), ("2", "ZENITH PROPERTY LIMITED", None)],
+                                     "company_number string, company_name string, company_status string")
+    owners = spark.createDataFrame([("THE ACME HOLDINGS LIMITED",), ("SCME HOLDINGS LIMITED",), ("OTHER",)], "owner_name string")
+    got = {r.owner_name: r.company_number for r in resolve_company(owners, registry, method="difflib").collect()}
+    assert got == {"THE ACME HOLDINGS LIMITED": "1", "SCME HOLDINGS LIMITED": "1"}
+    index = registry.withColumnRenamed("company_name", "title")
+    assert [r.company_number for r in company_search(index, "SCME HOLDINGS LIMITED").collect()] == ["1"]
