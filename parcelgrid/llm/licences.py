@@ -89,8 +89,10 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
     lines = F.filter(named_lines, lambda x: x["t"].rlike(pattern))
     parts = F.when(F.size(lines) > 0, F.concat(F.array(F.struct(F.lit(-1).alias("line"), F.lower(text).alias("t"))), lines)).otherwise(lines)
     seg = files.select("id", "path", F.xxhash64("text").alias("th"), F.explode(parts).alias("s"))
-    seg = seg.select("id", "path", "th", "s.line", F.explode(_terms(F.col("s.t"))).alias("term"))
     place = ["id", "path", "th", "line"]
+    # rows of equal id, path and text are one file (document frequencies count rows); only compared lines are shuffled, never whole corpora of texts
+    seg = seg.select("id", "path", "th", "s.line", _terms(F.col("s.t")).alias("terms")).dropDuplicates(place)
+    seg = seg.select(*place, F.explode("terms").alias("term"))
     tf = seg.groupBy(*place, "term").agg(F.count("*").alias("tf"))
     known = F.create_map(*[x for t in sorted(idf) for x in (F.lit(t), F.lit(idf[t]))])
     tf = written(tf.withColumn("x", F.col("tf") * F.coalesce(F.try_element_at(known, F.col("term")), F.lit(unseen))), "notice-terms")
@@ -118,8 +120,8 @@ def scan(files: DataFrame, speaks: Column, id_col: str, path_col: str, text_col:
     several in one directory: largest cosine, then smallest path, then name).  ``licence`` is the own
     one, else the one of the nearest directory above that has one; ``source_dir`` names that directory.
     Null and empty texts have no licence of their own; a null path inherits nothing;
-    rows of equal id, path and text are one file; an empty table gives no rows; further columns are not read."""
-    rows = files.select(named(files, id_col).alias("id"), named(files, path_col).alias("path"), named(files, text_col).alias("text")).distinct()
+    rows of equal id, path and text are one file (document frequencies count rows); an empty table gives no rows; further columns are not read."""
+    rows = files.select(named(files, id_col).alias("id"), named(files, path_col).alias("path"), named(files, text_col).alias("text"))
     own = written(own_licences(rows, threshold, templates), "own-licences")
     says = own.where(speaks & F.col("path").isNotNull()).withColumn("dir", directory(F.col("path")))
     rank = F.struct((-F.col("cosine")).alias("c"), "path", "licence")
