@@ -5,10 +5,10 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from parcelgrid.catalog import load_all
 from tools.check_oracle import duck_con, norm_rows, type_diffs
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES, ORACLE = load_all()
 
 
 @pytest.fixture(scope="module")

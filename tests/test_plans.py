@@ -4,9 +4,9 @@ import pytest
 
 from conftest import SF_SMALL
 
-import __spark_entry__ as E
+from parcelgrid.catalog import load_all
 
-QUERIES = E.queries()
+QUERIES = load_all()[0]
 PY_UDF_JOBS = {"best_match_difflib", "comps_all_difflib"}
 SIDE_EFFECT_JOBS = {"stream_merge"}
 
