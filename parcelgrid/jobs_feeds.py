@@ -391,15 +391,16 @@ def _stream_merge(lake):
     from parcelgrid.streaming.merge_stream import VersionedTable, file_stream, stream_merge
     spark = lake.spark
     base = _baseline(lake).drop("_seq", "record_status")
-    table = VersionedTable(spark, shared_dir(spark, "sales-table"), base.schema)
-    table.write(base, 0)
+    table = VersionedTable(spark, shared_dir(spark, "sales-table"), base.schema, ["transaction_id"], 16)
+    table.commit(base)
     li_schema = lake.table("lineitem").schema
     src = file_stream(spark, lake.root, li_schema, glob="lineitem.parquet", max_files=1)
 
     def prepare(batch):
         return FD.load_sales(fx.sales_update_rows(batch), feed_rank=1).drop("record_status")
 
-    stream_merge(src, table, lambda t, b: M.merge_keep_last(t, b, ["transaction_id"], "_seq"), prepare=prepare)
+    stream_merge(src, table, lambda t, b: M.merge_keep_last(t, b, ["transaction_id"], "_seq"),
+                 shared_dir(spark, "sales-stream"), prepare)
     return table.read().select(*_SALES_COLS)
 
 

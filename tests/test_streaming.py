@@ -1,30 +1,76 @@
 """draining a file stream through foreachBatch equals the batch merge."""
 
+import glob
 import os
 
 from parcelgrid.operators.merge import merge_keep_last
 from parcelgrid.streaming.merge_stream import VersionedTable, file_stream, stream_merge
 
+SCHEMA = "k string, v string, seq int"
+
+
+def land(spark, folder, name, data):
+    """One parquet file of the landing folder."""
+    part = os.path.join(folder + "-parts", name)
+    spark.createDataFrame(data, SCHEMA).coalesce(1).write.parquet(part)
+    os.makedirs(folder, exist_ok=True)
+    (file,) = glob.glob(os.path.join(part, "part-*.parquet"))
+    with open(file, "rb") as src, open(os.path.join(folder, f"{name}.parquet"), "wb") as dst:
+        dst.write(src.read())
+
+
+def drain(spark, folder, table, checkpoint):
+    stream = file_stream(spark, folder, spark.createDataFrame([], SCHEMA).schema, max_files=1)
+    stream_merge(stream, table, lambda t, b: merge_keep_last(t, b, ["k"], "seq"), checkpoint)
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
 
 def test_stream_drain_equals_batch(spark, tmp):
-    src = os.path.join(tmp, "landing")
     data = [(f"k{i % 11}", f"v{i}", i) for i in range(90)]
-    schema = "k string, v string, seq int"
     for part in range(3):
-        spark.createDataFrame(data[part * 30:(part + 1) * 30], schema).coalesce(1).write.parquet(
-            os.path.join(src, f"batch={part}"))
-    files = sorted(os.path.join(dp, f) for dp, _, fs in os.walk(src) for f in fs if f.endswith(".parquet"))
-    flat = os.path.join(tmp, "flat")
-    os.makedirs(flat)
-    for i, f in enumerate(files):
-        os.rename(f, os.path.join(flat, f"part-{i}.parquet"))
+        land(spark, os.path.join(tmp, "in"), f"f{part}", data[part * 30:(part + 1) * 30])
     base = spark.createDataFrame([("k1", "old"), ("zz", "keep")], "k string, v string")
-    table = VersionedTable(spark, os.path.join(tmp, "table"), base.schema)
-    table.write(base, 0)
-    stream = file_stream(spark, flat, spark.createDataFrame([], schema).schema, max_files=1)
-    stream_merge(stream, table, lambda t, b: merge_keep_last(t, b, ["k"], "seq"),
-                 checkpoint=os.path.join(tmp, "ckpt"))
+    table = VersionedTable(spark, os.path.join(tmp, "table"), base.schema, ["k"], 4)
+    table.commit(base)
+    drain(spark, os.path.join(tmp, "in"), table, os.path.join(tmp, "ckpt"))
     assert table.latest_version() == 3     # three micro-batches, one version each
-    got = sorted(tuple(r) for r in table.read().collect())
-    want = sorted(tuple(r) for r in merge_keep_last(base, spark.createDataFrame(data, schema), ["k"], "seq").collect())
-    assert got == want
+    want = rows(merge_keep_last(base, spark.createDataFrame(data, SCHEMA), ["k"], "seq"))
+    assert rows(table.read()) == want
+    assert rows(table.read(version=0)) == rows(base)
+
+
+def test_later_files_second_streams_and_replays(spark, tmp):
+    src, ckpt = os.path.join(tmp, "in"), os.path.join(tmp, "ckpt")
+    schema = spark.createDataFrame([], "k string, v string").schema
+    table = VersionedTable(spark, os.path.join(tmp, "table"), schema, ["k"], 4)
+    land(spark, src, "f0", [("a", "1", 1), ("b", "1", 1)])
+    drain(spark, src, table, ckpt)
+    land(spark, src, "f1", [("b", "2", 2), ("c", "2", 2)])
+    drain(spark, src, table, ckpt)                                  # goes on with the second file
+    want = [("a", "1"), ("b", "2"), ("c", "2")]
+    assert rows(table.read()) == want and table.latest_version() == 1
+    other = os.path.join(tmp, "in2")
+    land(spark, other, "g0", [("d", "3", 3)])
+    drain(spark, other, table, os.path.join(tmp, "ckpt2"))          # its batch 0 is not the first stream's
+    want.append(("d", "3"))
+    assert rows(table.read()) == want
+    os.remove(os.path.join(ckpt, "commits", "1"))                   # a stop between the merge and Spark's commit
+    if os.path.exists(os.path.join(ckpt, "commits", ".1.crc")):
+        os.remove(os.path.join(ckpt, "commits", ".1.crc"))
+    drain(spark, src, table, ckpt)
+    assert rows(table.read()) == want and table.latest_version() == 2
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp):
+    base = spark.createDataFrame([(f"k{i}", "0") for i in range(40)], "k string, v string")
+    table = VersionedTable(spark, os.path.join(tmp, "table"), base.schema, ["k"], 8)
+    table.commit(base)
+    before = set(table.read().inputFiles())
+    land(spark, os.path.join(tmp, "in"), "f0", [("k7", "1", 1)])
+    drain(spark, os.path.join(tmp, "in"), table, os.path.join(tmp, "ckpt"))
+    after = set(table.read().inputFiles())
+    assert len(before & after) == len(before) - 1 and len(after - before) == 1
+    assert dict(rows(table.read()))["k7"] == "1" and table.read().count() == 40
