@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from parcelgrid import fixtures as fx
 from parcelgrid.catalog import register
-from parcelgrid.functions.geo import rough_latlng_sql
+from parcelgrid.functions.geo import latlng_sql
 from parcelgrid.functions.text import PY_WHITESPACE_CLASS
 from parcelgrid.operators import merge as M
 from parcelgrid.oracle import FEED_SQL, with_views
@@ -181,13 +181,10 @@ WHERE "Title Number" IS NULL OR "Company Registration No. (1)" IS NULL
 
 # --------------------------------------------------------------- A4, B4, E13
 
-_GEO_CTES, _LAT, _LON = rough_latlng_sql("eastings", "northings")
-_PC_CTES = {"g0": f"SELECT *, {49.0 * 3.141592653589793 / 180!r} AS lat, FALSE AS done FROM postcode_feed"}
-_PC_CTES.update(_GEO_CTES)
-_last_g = f"g{len(_GEO_CTES)}"
-_PC_CTES["pc_batch"] = (f"SELECT postcode, round({_LAT}, 6) AS latitude, round({_LON}, 6) AS longitude, "
-                        f"CAST(eastings AS INTEGER) AS eastings, CAST(northings AS INTEGER) AS northings, "
-                        f"district_code, _file FROM {_last_g}")
+_PC_CTES = latlng_sql("postcode_feed")
+_PC_CTES["pc_batch"] = ("SELECT postcode, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, "
+                        "CAST(eastings AS INTEGER) AS eastings, CAST(northings AS INTEGER) AS northings, "
+                        "district_code, _file FROM located")
 _PC_CTES["clash"] = """
 SELECT _file FROM postcode_feed WHERE postcode IN (SELECT postcode FROM postcode_index)
 UNION SELECT _file FROM (SELECT _file, count(*) OVER (PARTITION BY postcode, _file) AS c,
@@ -195,7 +192,7 @@ UNION SELECT _file FROM (SELECT _file, count(*) OVER (PARTITION BY postcode, _fi
 
 
 def _postcodes(lake):
-    return FD.load_postcodes(fx.postcode_feed(lake), mode="rough").withColumn(
+    return FD.load_postcodes(fx.postcode_feed(lake)).withColumn(
         "latitude", F.round("latitude", 6)).withColumn("longitude", F.round("longitude", 6))
 
 

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelgrid.session import shared_dir
+
 
 def qcol(name: str) -> Column:
     """Column by exact name (dots and spaces are part of the name)."""
@@ -89,39 +91,68 @@ def append_rows(target: DataFrame, batch: DataFrame, dedup_on: list[str] | None
                 seq: str | None = None) -> DataFrame:
     """Plain append (surrogate-key table).  With ``dedup_on``, batch rows
     whose dedup key is already present are skipped and the batch keeps its
-    first row per key (``seq`` order)."""
+    first row per key in ``seq`` order, which is then required."""
     b = batch
     if dedup_on:
-        b = dedup_first(b.where(_keys_not_null(dedup_on)), dedup_on, seq) if seq else b.dropDuplicates(dedup_on)
+        if not seq:
+            raise ValueError("dedup_on needs seq: without an order the row that stays is arbitrary")
+        b = dedup_first(b.where(_keys_not_null(dedup_on)), dedup_on, seq)
         b = b.join(target.select(*dedup_on).distinct(), dedup_on, "left_anti")
     return target.unionByName(_align(b, target))
 
 
 def rejected_units(target: DataFrame, batch: DataFrame, key: list[str], unit: str) -> DataFrame:
-    """Units (files) of ``batch`` with any key clash: a key already in the
-    target, a key twice in the unit, or a key seen in an earlier unit."""
-    k = batch.select(*key, unit).where(_keys_not_null(key))
-    per = k.groupBy(*key, unit).agg(F.count(F.lit(1)).alias("_n"))
-    first_unit = per.groupBy(*key).agg(F.min(unit).alias("_u0"))
-    internal = (per.join(first_unit, key)
-                   .where((F.col("_n") > 1) | (F.col(unit) > F.col("_u0")))
-                   .select(unit))
-    external = per.join(target.select(*key).distinct(), key, "left_semi").select(unit)
-    return internal.unionByName(external).distinct()
+    """Units (files) of ``batch`` that do not load when units load in name order: a
+    key is already in the target, or twice in the unit, or in an earlier unit that did load.
+
+    Units without a key of another unit are settled at once.  Among the others,
+    each round takes the units that come first for all their keys, turns away
+    those that share a key with them, and goes on with what is left, written to
+    the shared folder; the smallest unit left is always settled."""
+    spark = batch.sparkSession
+    per = batch.select(*key, unit).where(_keys_not_null(key)).groupBy(*key, unit).agg(F.count(F.lit(1)).alias("_n"))
+    bad = (per.where("_n > 1").select(unit)
+           .unionByName(per.join(target.select(*key).distinct(), key, "left_semi").select(unit)).distinct())
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = shared_dir(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    free = kept(per.drop("_n").join(bad, unit, "left_anti"), "units")
+    rivals = free.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*key)
+    left = kept(free.join(rivals, key, "left_semi"), "contested")
+    rounds = []
+    while not left.isEmpty():
+        first = left.groupBy(*key).agg(F.min(unit).alias("_first"))
+        taken = left.join(first, key).groupBy(unit).agg(F.bool_and(F.col(unit) == F.col("_first")).alias("_ok")).where("_ok")
+        taken = kept(taken.select(unit), "loaded")
+        keys = left.join(taken, unit, "left_semi").select(*key).distinct()
+        rest = left.join(taken, unit, "left_anti")
+        lost = kept(rest.join(keys, key, "left_semi").select(unit).distinct(), "rejected")
+        rounds.append(lost)
+        left = kept(rest.join(lost, unit, "left_anti"), "contested")
+    for lost in rounds:
+        bad = bad.unionByName(lost)
+    return bad
 
 
 def append_reject(target: DataFrame, batch: DataFrame, key: list[str], unit: str) -> DataFrame:
-    """Append; a unit with any clash contributes no rows (the reference
-    skips the whole file when one insert fails)."""
+    """Append in unit order; a unit with any clash contributes no rows, and
+    its keys stay free for later units."""
     bad = rejected_units(target, batch, key, unit)
     good = batch.join(bad, unit, "left_anti")
     return target.unionByName(_align(good, target))
 
 
 def update_by_key(target: DataFrame, changes: DataFrame, key: list[str], cols: list[str]) -> DataFrame:
-    """B5, keyed UPDATE: matched rows take ``cols`` from ``changes`` (which
-    must hold at most one row per key); other rows are unchanged."""
-    ch = changes.select(*key, *[F.col(c).alias(f"_new_{c}") for c in cols]).withColumn("_hit", F.lit(True))
+    """B5, keyed UPDATE: matched rows take ``cols`` from ``changes``; other
+    rows are unchanged.  A key twice in ``changes`` fails the job; rows of
+    ``changes`` with a null key match nothing."""
+    news = F.struct(*[F.col(c).alias(f"_new_{c}") for c in cols])
+    grouped = changes.where(_keys_not_null(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.any_value(news).alias("_row"))
+    unique = F.when(F.col("_n") > 1, F.raise_error(F.lit("update_by_key: a key has several changes"))).otherwise(F.lit(True))
+    ch = grouped.select(*key, "_row.*", unique.cast("boolean").alias("_hit"))
     j = target.join(ch, key, "left")
     out = []
     for c in target.columns:

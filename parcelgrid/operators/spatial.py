@@ -1,37 +1,42 @@
 """Radius search and near-join on a grid-cell equi-join.
 
-A range join on distance becomes an equi-join: each point gets the cell
-``floor(lat / cell), floor(lng / cell)``; the right side is exploded to its
-3 x 3 neighbourhood (cells at least ``radius`` wide), the join runs on the
-cell key (hash-partitioned, no cartesian product), and the exact haversine
-distance filters the candidates.
+A range join on distance becomes an equi-join.  Latitude is cut into bands at
+least ``radius`` high, and each band into a whole number of longitude cells, fewer toward
+the poles, so that cells are about as wide as the radius everywhere.  The left side takes
+its own cell; the right side is exploded to the cells its circle can reach in its band and the
+two next to it, counted around the globe.  The join runs on the cell key
+(hash-partitioned, no cartesian product), and the exact haversine distance filters the candidates.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelgrid.functions.geo import EARTH_RADIUS_KM, haversine_km
 
 KM_PER_DEG_LAT = math.pi * EARTH_RADIUS_KM / 180.0
-
-
-def cell_size_deg(radius_km: float, max_abs_lat: float = 75.0) -> float:
-    """Cell edge in degrees covering ``radius_km`` in both directions up to
-    ``max_abs_lat`` (longitude degrees shrink with cos(lat))."""
-    return radius_km / (KM_PER_DEG_LAT * math.cos(math.radians(max_abs_lat)))
+#: widens boxes beyond rounding errors
+_SLACK = 1e-9
 
 
 def radius_search(points: DataFrame, lat: float, lng: float, km: float,
                   lat_col: str = "latitude", lng_col: str = "longitude") -> DataFrame:
-    """Points within ``km`` of (lat, lng).  A bounding-box prefilter goes
-    first so parquet min/max statistics can skip row groups."""
-    dlat = km / KM_PER_DEG_LAT
-    dlng = km / (KM_PER_DEG_LAT * max(math.cos(math.radians(min(abs(lat) + dlat, 89.9))), 1e-6))
-    box = (F.col(lat_col).between(lat - dlat, lat + dlat) & F.col(lng_col).between(lng - dlng, lng + dlng))
+    """Points within ``km`` of (lat, lng), anywhere on the globe.  A bounding-box
+    prefilter goes first so parquet min/max statistics can skip row groups; the box is
+    cut in two at the 180th meridian and takes every longitude around a pole."""
+    dlat = km / KM_PER_DEG_LAT + _SLACK
+    box = F.col(lat_col).between(lat - dlat, lat + dlat)
+    if abs(lat) + dlat < 90.0:
+        dlng = math.degrees(math.asin(min(1.0, math.sin(math.radians(dlat)) / math.cos(math.radians(lat))))) + _SLACK
+        around = [F.col(lng_col).between(at - dlng, at + dlng) for at in (lng - 360.0, lng, lng + 360.0)
+                  if at + dlng >= -180.0 and at - dlng <= 180.0]
+        side = around[0]
+        for more in around[1:]:
+            side = side | more
+        box = box & side
     d = haversine_km(F.col(lat_col), F.col(lng_col), F.lit(lat), F.lit(lng))
     return points.where(box).withColumn("dist_km", d).where(F.col("dist_km") <= km)
 
@@ -40,17 +45,33 @@ def _cells(df: DataFrame, lat: str, lng: str, cell: float) -> DataFrame:
     return df.withColumn("_cy", F.floor(F.col(lat) / cell)).withColumn("_cx", F.floor(F.col(lng) / cell))
 
 
+def _cells_in_band(band: Column, km: float, height: float) -> Column:
+    """Number of longitude cells of a band: cells are ``km`` wide at its edge nearest a pole."""
+    edge = F.least(F.lit(90.0), F.greatest(F.abs(band * F.lit(height)), F.abs((band + 1) * F.lit(height))))
+    return F.greatest(F.lit(1), F.floor(F.lit(360.0 * KM_PER_DEG_LAT / km) * F.cos(F.radians(edge)))).cast("long")
+
+
 def near_join(left: DataFrame, right: DataFrame, km: float, l_lat: str = "latitude", l_lng: str = "longitude",
-              r_lat: str = "r_latitude", r_lng: str = "r_longitude", max_abs_lat: float = 75.0) -> DataFrame:
-    """All (left, right) pairs within ``km`` (haversine).  Column names of
-    the two sides must be distinct.  Adds ``dist_km``."""
-    cell = cell_size_deg(km, max_abs_lat)
-    lc = _cells(left.where(F.col(l_lat).isNotNull() & F.col(l_lng).isNotNull()), l_lat, l_lng, cell)
-    rc = _cells(right.where(F.col(r_lat).isNotNull() & F.col(r_lng).isNotNull()), r_lat, r_lng, cell)
-    offs = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    rc = (rc.withColumn("_dy", F.explode(offs)).withColumn("_dx", F.explode(offs))
-            .withColumn("_cy", F.col("_cy") + F.col("_dy")).withColumn("_cx", F.col("_cx") + F.col("_dx"))
-            .drop("_dy", "_dx"))
+              r_lat: str = "r_latitude", r_lng: str = "r_longitude") -> DataFrame:
+    """All (left, right) pairs within ``km`` (haversine), poles and the 180th meridian
+    included.  Column names of the two sides must be distinct.  Adds ``dist_km``."""
+    height = km / KM_PER_DEG_LAT + _SLACK
+    around = lambda lng: F.pmod(lng + F.lit(180.0), F.lit(360.0))
+
+    lc = left.where(F.col(l_lat).isNotNull() & F.col(l_lng).isNotNull()).withColumn("_cy", F.floor(F.col(l_lat) / height))
+    n = _cells_in_band(F.col("_cy"), km, height)
+    lc = lc.withColumn("_cx", F.least(F.floor(around(F.col(l_lng)) * n / F.lit(360.0)), n - 1))
+
+    reach = F.sin(F.radians(F.lit(height))) / F.cos(F.radians(F.col(r_lat)))
+    dlng = F.when(F.abs(F.col(r_lat)) + F.lit(height) >= 90.0, F.lit(180.0)).otherwise(
+        F.degrees(F.asin(F.least(F.lit(1.0), reach))) + F.lit(_SLACK))
+    rc = (right.where(F.col(r_lat).isNotNull() & F.col(r_lng).isNotNull())
+          .withColumn("_cy", F.explode(F.array(*[F.floor(F.col(r_lat) / height) + i for i in (-1, 0, 1)])))
+          .withColumn("_n", _cells_in_band(F.col("_cy"), km, height)))
+    first = F.floor((around(F.col(r_lng)) - dlng) * F.col("_n") / F.lit(360.0))
+    last = F.floor((around(F.col(r_lng)) + dlng) * F.col("_n") / F.lit(360.0))
+    rc = (rc.withColumn("_cx", F.explode(F.sequence(first, F.least(last, first + F.col("_n") - 1))))
+            .withColumn("_cx", F.pmod("_cx", "_n")).drop("_n"))
     j = lc.join(rc, ["_cy", "_cx"]).drop("_cy", "_cx")
     d = haversine_km(F.col(l_lat), F.col(l_lng), F.col(r_lat), F.col(r_lng))
     return j.withColumn("dist_km", d).where(F.col("dist_km") <= km)

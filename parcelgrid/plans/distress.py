@@ -65,7 +65,10 @@ def distress_report(epc, props, owners, companies, limit: int = 50) -> DataFrame
     base = distressed_certificates(epc, props)
     own = owners.where(F.col("title_number").isNotNull()).select(
         "title_number", "company_number", "proprietor_name", "date_registered")
-    top = materialize_bounded(base.join(own, "title_number", "left").orderBy(*order).limit(limit), limit)
+    # a null title matches nothing; a key of its own per property keeps all of them from one task
+    owned = base.withColumnRenamed("title_number", "_title").join(
+        own, own.title_number == F.coalesce("_title", F.concat(F.lit("\u0000"), "uprn")), "left")
+    top = materialize_bounded(owned.orderBy(*order).limit(limit), limit)
     reg = _filter_to(companies.select("company_number", "company_name", "incorporation_country"),
                      top, "company_number")
     out = top.join(reg, "company_number", "left").orderBy(*order).limit(limit)

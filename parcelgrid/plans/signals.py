@@ -39,7 +39,10 @@ def hygiene_staleness(ratings: DataFrame, as_of: dt.date, years: int = 2) -> Dat
 def covenant_flag(props: DataFrame, covenants: DataFrame) -> DataFrame:
     """E16 (ours): every property with has_covenant (false when absent)."""
     c = covenants.select("title_number", "has_covenant").where(F.col("title_number").isNotNull()).distinct()
-    return (props.select("uprn", "title_number").join(c, "title_number", "left")
+    # a null title matches nothing; a key of its own per property keeps all of them from one task
+    key = F.coalesce("title_number", F.concat(F.lit("\u0000"), "uprn"))
+    c = c.withColumnRenamed("title_number", "_title")
+    return (props.select("uprn", "title_number").join(c, F.col("_title") == key, "left")
                  .select("uprn", "title_number", F.coalesce("has_covenant", F.lit(False)).alias("has_covenant")))
 
 

@@ -164,7 +164,7 @@ def baseline_plus_update(baseline: DataFrame, update: DataFrame, apply_deletes:
 
 # ------------------------------------------------------------------ A4
 
-def load_postcodes(raw: DataFrame, mode: str = "rough", min_columns: int = 9) -> DataFrame:
+def load_postcodes(raw: DataFrame, min_columns: int = 9) -> DataFrame:
     """A4: headerless postcode file; columns 0, 2, 3, 8 = postcode,
     eastings, northings, district.  A file needs >= 9 columns (the
     reference's guard is >= 4 but then reads column 8).  Lat/lng by E14."""
@@ -174,7 +174,7 @@ def load_postcodes(raw: DataFrame, mode: str = "rough", min_columns: int = 9) ->
     keep = [c for c in ("_file", "_seq") if c in raw.columns]
     base = raw.select(F.col("_c0").alias("postcode"), F.col("_c2").try_cast("int").alias("eastings"),
                       F.col("_c3").try_cast("int").alias("northings"), F.col("_c8").alias("district_code"), *keep)
-    out = add_latlng(base, "eastings", "northings", mode)
+    out = add_latlng(base, "eastings", "northings")
     return out.select("postcode", "latitude", "longitude", "eastings", "northings", "district_code", *keep)
 
 

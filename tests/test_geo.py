@@ -1,48 +1,20 @@
 """E14 grid conversion, E20 distances, E22 graph."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from parcelgrid.functions.geo import add_latlng, grid_to_latlng, haversine_km
+from parcelgrid.functions.geo import add_latlng, haversine_km
 from parcelgrid.operators.graph import ancestors, ultimate_owners
 from parcelgrid.operators.spatial import near_join, radius_search
 
 
-def rough_python(e, n):
-    """Published meridian-arc fixed point on Airy 1830 (written from the OS guide)."""
-    a, b, f0 = 6377563.396, 6356256.909, 0.9996012717
-    phi0 = 49 * math.pi / 180
-    n0, e0 = -100000, 400000
-    k = (a - b) / (a + b)
-    phi = phi0
-    while True:
-        prev = phi
-        m = b * f0 * ((1 + k + (5 / 4) * k ** 2 + (5 / 4) * k ** 3) * (phi - phi0)
-                      - (3 * k + 3 * k ** 2 + (21 / 8) * k ** 3) * math.sin(phi - phi0) * math.cos(phi + phi0)
-                      + ((15 / 8) * k ** 2 + (15 / 8) * k ** 3) * math.sin(2 * (phi - phi0)) * math.cos(2 * (phi + phi0))
-                      - (35 / 24) * k ** 3 * math.sin(3 * (phi - phi0)) * math.cos(3 * (phi + phi0)))
-        phi = (n - n0 - m) / (a * f0) + phi
-        if abs(phi - prev) < 1e-10:
-            break
-    return phi * 180 / math.pi, ((e - e0) / (a * f0)) * 180 / math.pi - 2
-
-
-def test_rough_mode_matches_formula(spark):
-    pts = [(400000.0, 100000.0), (530000.0, 180000.0), (651409.903, 313177.270), (300000.0, 900000.0)]
-    df = spark.createDataFrame(pts, "e double, n double")
-    lat, lng = grid_to_latlng("e", "n", "rough")
-    got = df.select(lat, lng).collect()
-    for (e, n), r in zip(pts, got):
-        want = rough_python(e, n)
-        assert r[0] == pytest.approx(want[0], abs=1e-9) and r[1] == pytest.approx(want[1], abs=1e-9)
-
-
-def test_full_mode_near_published_example(spark):
+def test_grid_conversion_near_published_example(spark):
     # OS guide worked example: E 651409.903 N 313177.270; ETRS89/WGS84 about 52.65801 N, 1.71607 E
     df = spark.createDataFrame([(651409.903, 313177.270)], "e double, n double")
-    r = add_latlng(df, "e", "n", "full").first()
+    r = add_latlng(df, "e", "n").first()
     assert r.latitude == pytest.approx(52.658008, abs=1e-4)
     assert r.longitude == pytest.approx(1.716074, abs=1e-4)
 
@@ -52,23 +24,35 @@ def test_haversine_known_distance(spark):
     assert d == pytest.approx(343.5, abs=1.0)
 
 
-def test_near_join_equals_brute_force(spark):
-    import random
+def great_circle(a, b):
+    """Distance in km of two (id, lat, lng) points from the angle between their unit vectors."""
+    def unit(p):
+        lat, lng = math.radians(p[1]), math.radians(p[2])
+        return math.cos(lat) * math.cos(lng), math.cos(lat) * math.sin(lng), math.sin(lat)
+    u, v = unit(a), unit(b)
+    return 6371.0088 * 2 * math.asin(min(1.0, math.dist(u, v) / 2))
+
+
+@pytest.mark.parametrize("lat,lng,spread_lat,spread_lng,km", [
+    (51.5, -0.1, 0.05, 0.05, 0.5),      # a town
+    (80.0, 20.0, 0.05, 0.3, 2.0),       # far north
+    (10.0, 179.99, 0.05, 0.05, 1.0),    # both sides of the 180th meridian
+    (-89.95, 0.0, 0.05, 180.0, 2.0),    # around a pole
+])
+def test_near_join_equals_brute_force(spark, lat, lng, spread_lat, spread_lng, km):
     rnd = random.Random(7)
-    pts = [(f"p{i}", 51.5 + rnd.uniform(-0.05, 0.05), -0.1 + rnd.uniform(-0.05, 0.05)) for i in range(300)]
+    pts = []
+    for i in range(200):
+        x = lng + rnd.uniform(-spread_lng, spread_lng)
+        pts.append((f"p{i}", lat + rnd.uniform(-spread_lat, spread_lat), (x + 180) % 360 - 180))
     left = spark.createDataFrame(pts, "id string, latitude double, longitude double")
     right = left.select(F.col("id").alias("rid"), F.col("latitude").alias("r_latitude"),
                         F.col("longitude").alias("r_longitude"))
-    got = {(r.id, r.rid) for r in near_join(left, right, 0.5).collect()}
-
-    def hv(a, b):
-        p1, p2 = math.radians(a[1]), math.radians(b[1])
-        h = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(b[2] - a[2]) / 2) ** 2
-        return 2 * 6371.0088 * math.asin(math.sqrt(min(1.0, h)))
-    want = {(a[0], b[0]) for a in pts for b in pts if hv(a, b) <= 0.5}
-    assert got == want
-    near = {r.id for r in radius_search(left, 51.5, -0.1, 1.0).collect()}
-    assert near == {p[0] for p in pts if hv(p, (None, 51.5, -0.1)) <= 1.0}
+    got = [(r.id, r.rid) for r in near_join(left, right, km).collect()]
+    want = {(a[0], b[0]) for a in pts for b in pts if great_circle(a, b) <= km}
+    assert len(got) == len(want) > len(pts) and set(got) == want
+    near = {r.id for r in radius_search(left, lat, lng, 2 * km).collect()}
+    assert near == {p[0] for p in pts if great_circle(p, (None, lat, lng)) <= 2 * km}
 
 
 def test_ancestors_to_the_root_with_a_cycle_guard(spark):

@@ -1,5 +1,6 @@
 """B1-B7 merge laws."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from parcelgrid.operators.merge import (append_reject, append_rows, merge_keep_first, merge_keep_last,
@@ -67,12 +68,34 @@ def test_append_reject_rejects_whole_units(spark):
     assert rows(out) == [("p1", "t"), ("p2", "f1"), ("p3", "f1")]
 
 
+def test_append_reject_goes_in_file_order(spark):
+    target = spark.createDataFrame([("t", "t")], SCHEMA)
+    keys = {"f1": "ab", "f2": "bc", "f3": "cd", "f4": "de", "f5": "xt", "f6": "xy", "f7": "z"}
+    batch = spark.createDataFrame([(k, f, f) for f, ks in keys.items() for k in ks], "k string, v string, unit string")
+    # f2 fails on b, so c is free for f3; f4 fails on d; f5 fails on the target's t, so x is free for f6
+    assert rows(rejected_units(target, batch, ["k"], "unit")) == [("f2",), ("f4",), ("f5",)]
+    assert rows(append_reject(target, batch, ["k"], "unit"), "k") == [(k,) for k in sorted("abcdxyzt")]
+
+
+def test_append_rows_needs_an_order_to_dedup(spark):
+    df = spark.createDataFrame([("a", "1")], SCHEMA)
+    with pytest.raises(ValueError, match="seq"):
+        append_rows(df, df, dedup_on=["k"])
+
+
 def test_update_by_key(spark):
     target = spark.createDataFrame([("a", "1"), ("b", "2")], SCHEMA)
     changes = spark.createDataFrame([("b", None)], SCHEMA)
     assert rows(update_by_key(target, changes, ["k"], ["v"])) == [("a", "1"), ("b", None)]
 
 
+def test_update_by_key_refuses_two_changes_of_a_key(spark):
+    target = spark.createDataFrame([("a", "1"), ("b", "2")], SCHEMA)
+    changes = spark.createDataFrame([("b", "x"), ("b", "y")], SCHEMA)
+    with pytest.raises(Exception, match="several changes"):
+        update_by_key(target, changes, ["k"], ["v"]).collect()
+
+
 def test_quarantine_splits_with_first_reason(spark):
     df = spark.createDataFrame([("1", "x"), (None, "y"), ("z", None)], "a string, b string")
     good, bad = quarantine(df, {"no_a": F.col("a").isNull(), "bad_a": F.col("a").try_cast("int").isNull(),
