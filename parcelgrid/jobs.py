@@ -131,17 +131,19 @@ register("similar_pairs", with_views(
 
 register("best_match", with_views(
     "SELECT uprn, title_number, cand_uprn, ratio FROM links", _LINK_CTES))(
-    lambda lake: L.title_links(fx.master_properties(lake), fx.epc_assessments(lake)))
+    lambda lake: L.title_links(fx.master_properties(lake), fx.epc_assessments(lake), method="levenshtein"))
 
 register("link_titles", with_views("""
 SELECT p.uprn, CASE WHEN l.uprn IS NOT NULL THEN l.title_number ELSE p.title_number END AS title_number,
        p.address_line_1, p.postcode, p.latitude, p.longitude, p.local_authority_code
 FROM master_properties p LEFT JOIN links l ON p.uprn = l.uprn""", _LINK_CTES))(
-    lambda lake: L.link_titles(fx.master_properties(lake), fx.epc_assessments(lake)))
+    lambda lake: L.link_titles(fx.master_properties(lake), fx.epc_assessments(lake), method="levenshtein"))
 
-# difflib ratio (Python SequenceMatcher semantics): no SQL twin, rows-only check
+# the default measure, difflib (Python SequenceMatcher semantics), has no SQL twin: checked by tests
 register("best_match_difflib")(
-    lambda lake: L.title_links(fx.master_properties(lake), fx.epc_assessments(lake), method="difflib"))
+    lambda lake: L.title_links(fx.master_properties(lake), fx.epc_assessments(lake)))
+register("link_titles_difflib")(
+    lambda lake: L.link_titles(fx.master_properties(lake), fx.epc_assessments(lake)))
 
 # ------------------------------------------------------------ comps
 
@@ -180,7 +182,7 @@ register("postcode_sizes", with_views("SELECT certificate_id, postcode, address_
 
 register("first_match", with_views(
     "SELECT transaction_id, postcode, certificate_id, ratio, floor_area FROM per_sale", _COMPS_CTES))(
-    lambda lake: CP.sale_matches(*_sales_tables(lake)).select(
+    lambda lake: CP.sale_matches(*_sales_tables(lake), method="levenshtein").select(
         "transaction_id", "postcode", "certificate_id", "ratio", "floor_area"))
 
 register("comps_sales", with_views("""
@@ -188,20 +190,20 @@ SELECT postcode, transaction_id, transfer_date, price_paid, certificate_id, psf,
        CAST(round_even(price_paid / 1000.0, 0) AS BIGINT) AS price_k,
        substr(full_address, 1, 35) AS address_35,
        CASE WHEN floor_area IS NOT NULL AND floor_area > 0 THEN CAST(CAST(trunc(floor_area) AS BIGINT) AS VARCHAR) ELSE 'N/A' END AS size_label
-FROM per_sale""", _COMPS_CTES))(lambda lake: CP.comps_sales(*_sales_tables(lake)))
+FROM per_sale""", _COMPS_CTES))(lambda lake: CP.comps_sales(*_sales_tables(lake), method="levenshtein"))
 
 register("comps_all", with_views("""
 SELECT postcode, count(*) AS n_sales, count(psf) AS n_comps, CAST(floor(avg(psf)) AS BIGINT) AS avg_psf,
        CASE WHEN count(psf) = 0 THEN 'no size matches' ELSE 'ok' END AS signal
-FROM per_sale GROUP BY postcode""", _COMPS_CTES))(lambda lake: CP.comps_all(*_sales_tables(lake)))
+FROM per_sale GROUP BY postcode""", _COMPS_CTES))(lambda lake: CP.comps_all(*_sales_tables(lake), method="levenshtein"))
 
-register("comps_all_difflib")(lambda lake: CP.comps_all(*_sales_tables(lake), method="difflib"))
+register("comps_all_difflib")(lambda lake: CP.comps_all(*_sales_tables(lake)))
 
 register("link_report", with_views("""
 SELECT count(*) AS targets, count(l.uprn) AS matched,
        round(count(l.uprn) * 100.0 / count(*), 2) AS match_pct
 FROM (SELECT DISTINCT uprn FROM t) x LEFT JOIN links l ON x.uprn = l.uprn""", _LINK_CTES))(
-    lambda lake: L.link_report(fx.master_properties(lake), fx.epc_assessments(lake)))
+    lambda lake: L.link_report(fx.master_properties(lake), fx.epc_assessments(lake), method="levenshtein"))
 
 COMPS_POSTCODE = "Brand#7"
 
@@ -209,4 +211,4 @@ register("comps_postcode", with_views(f"""
 SELECT postcode, count(*) AS n_sales, count(psf) AS n_comps, CAST(floor(avg(psf)) AS BIGINT) AS avg_psf,
        CASE WHEN count(psf) = 0 THEN 'no size matches' ELSE 'ok' END AS signal
 FROM per_sale WHERE postcode = '{COMPS_POSTCODE}' GROUP BY postcode""", _COMPS_CTES))(
-    lambda lake: CP.comps(*_sales_tables(lake), postcode=COMPS_POSTCODE))
+    lambda lake: CP.comps(*_sales_tables(lake), postcode=COMPS_POSTCODE, method="levenshtein"))

@@ -162,7 +162,7 @@ def _prepare(df: DataFrame, id_col: str, text_col: str, block: list[str], extra:
 
 def best_match(targets: DataFrame, candidates: DataFrame, block: list[str], t_id: str, c_id: str,
                t_text: str, c_text: str, c_seq: str, threshold: float = 0.85,
-               method: str = "levenshtein") -> DataFrame:
+               method: str = "difflib") -> DataFrame:
     """Per target the candidate with the highest ratio (first in
     ``c_seq`` order on ties), kept if ratio >= threshold.  Texts are
     normalised (C1) first.  Output: t_id, c_id, ratio."""
@@ -186,7 +186,7 @@ def best_match(targets: DataFrame, candidates: DataFrame, block: list[str], t_id
 
 def first_match(targets: DataFrame, candidates: DataFrame, block: list[str], t_id: str, c_id: str,
                 t_text: str, c_text: str, c_seq: str, carry: list[str] | None = None,
-                threshold: float = 0.8, method: str = "levenshtein") -> DataFrame:
+                threshold: float = 0.8, method: str = "difflib") -> DataFrame:
     """Per target the first candidate (``c_seq`` order) whose ratio is
     strictly above ``threshold``.  ``carry`` candidate columns come along
     (e.g. floor_area).  Output: t_id, c_id, ratio, *carry."""
@@ -238,7 +238,7 @@ def block_candidates(targets: DataFrame, candidates: DataFrame, block: list[str]
 
 
 def title_links(props: DataFrame, epc: DataFrame, threshold: float = 0.85,
-                method: str = "levenshtein") -> DataFrame:
+                method: str = "difflib") -> DataFrame:
     """C4 -> C5 -> C1 -> C3 -> C2 -> C6: accepted (uprn, title_number, ratio).
     Candidate order on ties: candidate uprn."""
     t = unlinked_targets(props, epc)
@@ -250,7 +250,7 @@ def title_links(props: DataFrame, epc: DataFrame, threshold: float = 0.85,
 
 
 def link_titles(props: DataFrame, epc: DataFrame, threshold: float = 0.85,
-                method: str = "levenshtein") -> DataFrame:
+                method: str = "difflib") -> DataFrame:
     """master_properties with matched titles written in."""
     from parcelgrid.operators.merge import update_by_key
     links = title_links(props, epc, threshold, method).select("uprn", "title_number")
@@ -258,7 +258,7 @@ def link_titles(props: DataFrame, epc: DataFrame, threshold: float = 0.85,
 
 
 def link_report(props: DataFrame, epc: DataFrame, threshold: float = 0.85,
-                method: str = "levenshtein") -> DataFrame:
+                method: str = "difflib") -> DataFrame:
     """C8 report: targets, matched targets and match percent (2 places)."""
     t = unlinked_targets(props, epc).select("uprn").distinct()
     links = title_links(props, epc, threshold, method).select("uprn", F.lit(1).alias("_hit"))

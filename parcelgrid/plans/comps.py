@@ -36,7 +36,7 @@ def postcode_sizes(epc: DataFrame, props: DataFrame, postcode: str | None = None
 
 
 def sale_matches(sales: DataFrame, epc: DataFrame, props: DataFrame, limit: int = 20,
-                 threshold: float = 0.8, method: str = "levenshtein") -> DataFrame:
+                 threshold: float = 0.8, method: str = "difflib") -> DataFrame:
     """C7 on comps: each recent sale with the first certificate (by id) of
     its postcode whose address ratio > threshold; unmatched sales kept."""
     rs = recent_sales(sales, limit)
@@ -48,7 +48,7 @@ def sale_matches(sales: DataFrame, epc: DataFrame, props: DataFrame, limit: int
 
 
 def comps_sales(sales, epc, props, limit: int = 20, threshold: float = 0.8,
-                method: str = "levenshtein") -> DataFrame:
+                method: str = "difflib") -> DataFrame:
     """E1 + E3 per sale: psf, price in £k, 35-char address, size label."""
     j = sale_matches(sales, epc, props, limit, threshold, method)
     return j.select(
@@ -60,7 +60,7 @@ def comps_sales(sales, epc, props, limit: int = 20, threshold: float = 0.8,
 
 
 def comps_all(sales, epc, props, limit: int = 20, threshold: float = 0.8,
-              method: str = "levenshtein") -> DataFrame:
+              method: str = "difflib") -> DataFrame:
     """E2 for every postcode: mean psf over sized sales (truncated to int),
     number of sized comps, number of sales, and the 'no match' message."""
     per_sale = comps_sales(sales, epc, props, limit, threshold, method)
@@ -75,7 +75,7 @@ def comps_all(sales, epc, props, limit: int = 20, threshold: float = 0.8,
 
 
 def comps(sales, epc, props, postcode: str, limit: int = 20, threshold: float = 0.8,
-          method: str = "levenshtein") -> DataFrame:
+          method: str = "difflib") -> DataFrame:
     """E2 for one postcode (the reference's entry point): the postcode
     filter is applied to sales and properties before anything else, so it
     reaches both scans; the result is the one-row ``comps_all`` report."""

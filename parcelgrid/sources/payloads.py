@@ -18,6 +18,7 @@ from parcelgrid.functions.signals import footfall_score
 from parcelgrid.operators.merge import dedup_last
 
 # ------------------------------------------------------------ schemas
+# Field names of the public payloads.
 
 HYGIENE_SCHEMA = T.StructType([T.StructField("establishments", T.ArrayType(T.StructType([
     T.StructField("FHRSID", T.LongType()),
@@ -75,21 +76,23 @@ def _dec(c):
 # ------------------------------------------------------------------ A5
 
 def load_hygiene(payloads: DataFrame, page_col: str = "page", payload_col: str = "payload",
-                 authority: str | None = None, page_cap: int | None = None) -> DataFrame:
-    """A5: hygiene pages -> fsa_ratings, last page wins per FHRSID.
-    ``page_cap`` reproduces the reference's demo page limit when asked."""
+                 authority: str | None = None, page_cap: int | None = None, authority_col: str | None = None) -> DataFrame:
+    """A5: hygiene pages -> fsa_ratings.  Per FHRSID the last entry wins, by authority,
+    page and place on the page.  The authority is one for all pages, or a column
+    of them.  ``page_cap`` reproduces the demo page limit when asked."""
     p = payloads
     if page_cap is not None:
         p = p.where(F.col(page_col) <= page_cap)
-    e = p.select(F.col(page_col).alias("_page"),
-                 F.explode(F.from_json(F.col(payload_col), HYGIENE_SCHEMA)["establishments"]).alias("e"))
+    area = (F.col(authority_col) if authority_col else F.lit(authority)).cast("string")
+    e = p.select(F.col(page_col).alias("_page"), area.alias("_area"),
+                 F.posexplode(F.from_json(F.col(payload_col), HYGIENE_SCHEMA)["establishments"]).alias("_at", "e"))
     rows = e.select(
         F.col("e.FHRSID").alias("fsa_id"), F.col("e.BusinessName").alias("business_name"),
         F.col("e.AddressLine1").alias("address_line_1"), F.col("e.PostCode").alias("postcode"),
         F.col("e.RatingValue").alias("rating_value"),
         F.try_to_date(F.split(F.col("e.RatingDate"), "T")[0]).alias("rating_date"),
         _dec(F.col("e.geocode.latitude")).alias("latitude"), _dec(F.col("e.geocode.longitude")).alias("longitude"),
-        F.lit(authority).cast("string").alias("local_authority_code"), F.col("_page").alias("_seq"))
+        F.col("_area").alias("local_authority_code"), F.struct("_area", "_page", "_at").alias("_seq"))
     return dedup_last(rows.where(F.col("fsa_id").isNotNull()), ["fsa_id"], "_seq")
 
 
@@ -98,20 +101,20 @@ def load_hygiene(payloads: DataFrame, page_col: str = "page", payload_col: str =
 def load_transport(payloads: DataFrame, mode_col: str = "mode", seq_col: str = "seq",
                    payload_col: str = "payload") -> DataFrame:
     """Stop points (enveloped or bare list) -> mobility_metrics; per stop
-    id the later mode (tube, dlr, overground) and then later page wins."""
+    id the later mode (tube, dlr, overground), then the later page, then the later place on it wins."""
     txt = F.col(payload_col)
     bare = F.from_json(txt, T.ArrayType(STOP_SCHEMA))
     env = F.from_json(txt, TRANSPORT_SCHEMA)["stopPoints"]
     stops = F.when(F.ltrim(txt).startswith("["), bare).otherwise(env)
     rank = F.array_position(F.array(*[F.lit(m) for m in MODE_ORDER]), F.lower(F.col(mode_col)))
     e = payloads.select(F.col(mode_col).alias("_mode"), rank.alias("_rank"), F.col(seq_col).alias("_s"),
-                        F.explode(stops).alias("s"))
+                        F.posexplode(stops).alias("_at", "s"))
     rows = e.select(
         F.col("s.id").alias("location_id"), F.col("s.commonName").alias("name"),
         F.col("s.lat").alias("latitude"), F.col("s.lon").alias("longitude"),
         footfall_score(F.col("s.lines")).alias("annual_footfall"),
         F.concat(F.lit("TFL_"), F.upper("_mode")).alias("metric_type"),
-        F.struct("_rank", "_s").alias("_seq"))
+        F.struct("_rank", "_s", "_at").alias("_seq"))
     return dedup_last(rows.where(F.col("location_id").isNotNull()), ["location_id"], "_seq")
 
 
@@ -127,8 +130,10 @@ def load_planning(payloads: DataFrame, as_of: dt.datetime, seq_col: str = "seq",
                   uprn_col: str | None = None, window: bool = True) -> DataFrame:
     """A7 + E6: granted permissions; expiry = decision + 1095 d; days left =
     floor((expiry midnight - as_of) / 1 day); lapsing when 0 < days < 180.
+    Per application the last record wins, by page and place on it.
     ``as_of`` is a parameter, never the clock."""
-    cols = [F.col(seq_col).alias("_seq"), F.explode(F.from_json(F.col(payload_col), PLANNING_SCHEMA)["records"]).alias("r")]
+    cols = [F.col(seq_col).alias("_page"),
+            F.posexplode(F.from_json(F.col(payload_col), PLANNING_SCHEMA)["records"]).alias("_at", "r")]
     if uprn_col:
         cols.insert(0, F.col(uprn_col).alias("uprn"))
     e = payloads.select(*cols)
@@ -149,7 +154,7 @@ def load_planning(payloads: DataFrame, as_of: dt.datetime, seq_col: str = "seq",
         F.col("r.status").alias("status"), "decision_date", expiry.alias("expiry_date"),
         days.alias("days_remaining"),
         ((days > 0) & (days < LAPSING_DAYS)).alias("is_lapsing_soon"),
-        F.col("r.url").alias("url"), "_seq")
+        F.col("r.url").alias("url"), F.struct("_page", "_at").alias("_seq"))
     return dedup_last(rows.where(F.col("application_id").isNotNull()), ["application_id"], "_seq")
 
 

@@ -7,7 +7,7 @@ from conftest import SF_SMALL
 from parcelgrid.catalog import load_all
 
 QUERIES = load_all()[0]
-PY_UDF_JOBS = {"best_match_difflib", "comps_all_difflib"}
+PY_UDF_JOBS = {"best_match_difflib", "link_titles_difflib", "comps_all_difflib"}
 SIDE_EFFECT_JOBS = {"stream_merge"}
 
 

@@ -80,3 +80,21 @@ def test_property_search_like_semantics(spark):
     assert hits("5_0", False) == ["3"]                 # '_' stays a wildcard, as in the reference
     assert hits("0%", True) == ["2"]                   # escaped: literal percent sign
     assert hits("0%", False) == ["2", "3"]             # unescaped: '%' matches anything
+
+
+def test_last_entry_of_a_page_wins(spark):
+    import datetime as dt
+    import json
+
+    from parcelgrid.sources.payloads import load_hygiene, load_planning, load_transport
+    page = json.dumps({"establishments": [{"FHRSID": 1, "BusinessName": "Zed first"}, {"FHRSID": 1, "BusinessName": "Ann last"}]})
+    df = spark.createDataFrame([("A", 1, page), ("B", 1, page.replace("1,", "2,"))], "area string, page int, payload string")
+    got = {r.fsa_id: (r.business_name, r.local_authority_code) for r in load_hygiene(df, authority_col="area").collect()}
+    assert got == {1: ("Ann last", "A"), 2: ("Ann last", "B")}
+    stops = json.dumps([{"id": "s", "commonName": "Zed"}, {"id": "s", "commonName": "Ann"}])
+    df = spark.createDataFrame([("tube", 0, stops)], "mode string, seq int, payload string")
+    assert [r.name for r in load_transport(df).collect()] == ["Ann"]
+    plans = json.dumps({"records": [{"uid": "p", "status": "Granted", "date_decision": "2024-01-01", "address": a} for a in ("Z", "A")]})
+    df = spark.createDataFrame([(0, "7", plans)], "seq int, target string, payload string")
+    got = load_planning(df, dt.datetime(2026, 9, 1), uprn_col="target", window=False).collect()
+    assert [(r.address, r.uprn) for r in got] == [("A", "7")]
