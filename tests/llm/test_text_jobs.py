@@ -137,6 +137,25 @@ def test_scores_equal_brute_force(spark, vocabulary, hot):
     assert all(abs(g[2] - w[2]) < 1e-4 for g, w in zip(got, want, strict=True))
 
 
+@pytest.mark.parametrize("near,hot", [(1 << 17, 1 << 18), (50, 10), (0, 0)])
+def test_every_word_keeps_its_count(spark, near, hot):
+    """The number of shipped words changes no score; rare words have counts and bigrams of their own."""
+    rows = corpus(spark, 60) + [(500, "rare1 rare2 rare1 rare2"), (501, "x rare1 rare2"), (502, "rare2"), (503, "once")]
+    got = sorted((str(r.doc_id), r.n_words, round(r.log_score, 6))
+                 for r in M.score(docs(spark, [t for _, t in rows], [i for i, _ in rows]), near=near, hot=hot).collect())
+    for g, w in zip(got, brute_scores(rows), strict=True):
+        assert g[:2] == w[:2] and abs(g[2] - w[2]) < 1e-4
+
+
+def test_more_words_than_are_shipped(spark):
+    """More words tie at the top count than are shipped: none is folded into an unknown word."""
+    words = [f"t{i}" for i in range(M.VOCABULARY + 500)]
+    rows = [(i, " ".join(words[i::100])) for i in range(100)] + [(100 + i, " ".join(words[i::100])) for i in range(100)]
+    got = sorted((str(r.doc_id), r.n_words, round(r.log_score, 6)) for r in M.score(docs(spark, [t for _, t in rows], [i for i, _ in rows])).collect())
+    for g, w in zip(got, brute_scores(rows), strict=True):
+        assert g[:2] == w[:2] and abs(g[2] - w[2]) < 1e-4
+
+
 def test_scores_of_an_empty_table(spark):
     assert M.score(docs(spark, [])).count() == 0
 
