@@ -12,6 +12,11 @@ admissible when ``P(Bin(n, risk) <= k) <= delta / m``, that is, when the exact
 bound also holds for the rules together.  The most selective admissible
 cutoff that rejects any labelled bad text is used; a stratum with too few labels to prove anything gets no cutoff and rejects
 nothing beyond the base rule.
+
+:func:`judge` and :func:`keep_good` use :func:`joint_cutoffs`, which needs far fewer labels: per stratum the cutoffs of all rules
+move together from loose to strict in ``STEPS`` settings, tested in this order on the share of good texts that any rule rejects
+until one fails (fixed sequence).  So ``risk`` is not divided by the rules and ``delta`` only by the strata.  With four strata
+and no false rejection 217 good labels past the base rule are enough at 2 % and 5 %.
 """
 
 from __future__ import annotations
@@ -33,6 +38,8 @@ RULES = ("symbols", "shouting", "marks", "dup_lines", "repeats", "long_words", "
 #: cutoff grid: rule -> (start, step, points), values start + step * i
 GRID = {"symbols": (0.02, 0.02, 25), "shouting": (0.1, 0.05, 18), "marks": (0.1, 0.1, 20), "dup_lines": (0.05, 0.05, 18),
         "repeats": (0.05, 0.025, 18), "long_words": (5.0, 0.5, 30), "short_words": (-5.0, 0.25, 17)}
+#: settings of all cutoffs together, from loose to strict
+STEPS = 30
 RISK = 0.02
 DELTA = 0.05
 
@@ -158,6 +165,41 @@ def cutoffs(labelled: DataFrame, stratum_col: str = "stratum", good_col: str = "
     return ok.groupBy("stratum", "rule").agg(F.min(point(F.col("g"))).alias("cutoff"))
 
 
+def joint_cutoffs(labelled: DataFrame, stratum_col: str = "stratum", good_col: str = "good",
+                  risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """(stratum, rule, cutoff) of all rules together, chosen on labelled rows with the base counts.
+
+    Setting t of 0 .. STEPS - 1 puts every rule at the grid point t / (STEPS - 1) of the way from its loosest to its strictest, so what
+    a setting rejects is rejected by all later ones.  Of the settings before the first that fails its test the loosest
+    one that rejects the most labelled bad texts is taken; a stratum in which none rejects any has no row."""
+    vals = rule_values()
+    at = {r: [start + step * round((points - 1) * (1 - t / (STEPS - 1))) for t in range(STEPS)] for r, (start, step, points) in GRID.items()}
+    # settings that spare a row: those whose cutoffs it does not exceed in any rule
+    def below(r: str) -> Column:
+        return F.size(F.filter(F.array(*map(F.lit, at[r])), lambda c: vals[r] <= c))
+
+    spared = F.least(*map(below, RULES))
+    good = named(labelled, good_col).cast("long")
+    hist = labelled.where(good.isNotNull()).groupBy(named(labelled, stratum_col).alias("stratum"), spared.alias("t")).agg(
+        F.sum(good).alias("good"), F.sum(1 - good).alias("bad"))
+    # at most STEPS + 1 entries per stratum
+    per = written(hist.groupBy("stratum").agg(F.collect_list(F.struct("t", "good", "bad")).alias("h"), F.sum("good").alias("n")), "joint-labels")
+
+    def upto(name: str, t: Column) -> Column:
+        return F.aggregate("h", F.lit(0).cast("long"), lambda acc, x: acc + F.when(x["t"] <= t, x[name]).otherwise(F.lit(0).cast("long")))
+
+    steps = per.select("stratum", "n", "h", F.explode(F.sequence(F.lit(0), F.lit(STEPS - 1))).alias("t"))
+    steps = steps.select("stratum", "n", "t", upto("good", F.col("t")).alias("k"), upto("bad", F.col("t")).alias("caught"))
+    strata = max(per.count(), 1)
+    holds = F.when(F.col("k") < F.col("n") * risk, log_binomial_tail(F.col("n"), F.col("k"), risk) <= math.log(delta / strata)).otherwise(F.lit(False))
+    tested = steps.withColumn("holds", holds)
+    first = tested.groupBy(F.col("stratum").alias("s")).agg(F.coalesce(F.min(F.when(~F.col("holds"), F.col("t"))), F.lit(STEPS)).alias("stop"))
+    ok = tested.join(first, F.col("stratum").eqNullSafe(F.col("s"))).where((F.col("t") < F.col("stop")) & (F.col("caught") > 0))
+    best = ok.groupBy("stratum").agg((-F.max(F.struct("caught", (-F.col("t")).alias("back")))["back"]).alias("t"))
+    entries = F.array(*[F.struct(F.lit(r).alias("rule"), F.get(F.array(*map(F.lit, at[r])), F.col("t")).alias("cutoff")) for r in RULES])
+    return best.select("stratum", F.explode(entries).alias("e")).select("stratum", "e.rule", "e.cutoff")
+
+
 def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, stratum_col: str, good_col: str,
             label_id_col: str | None, risk: float, delta: float) -> DataFrame:
     m = measured(docs.select(named(docs, id_col).alias("id"), named(docs, stratum_col).alias("stratum"),
@@ -166,7 +208,7 @@ def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, stra
     lab = labels.select(named(labels, label_id_col or id_col).alias("lid"), named(labels, good_col).alias("good"))
     # rows that the base rule rejects anyway tell nothing about the other rules
     known = m.where(~F.col("base_failed")).join(lab, F.col("id") == F.col("lid"))
-    cut = written(cutoffs(known, "stratum", "good", risk, delta), "cutoffs")
+    cut = written(joint_cutoffs(known, "stratum", "good", risk, delta), "cutoffs")
     per = cut.groupBy(F.col("stratum").alias("s")).agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cut"))
     vals = rule_values()
     # a row per stratum with at most one entry per rule; Spark sees the size and decides on the join

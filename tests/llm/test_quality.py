@@ -84,6 +84,38 @@ def test_cutoffs_need_enough_labels_and_spare_good_texts(spark):
     assert all("symbols" in r.broken for r in got if r.doc_id >= 6000)
 
 
+def test_a_small_stratum_gets_cutoffs(spark):
+    """300 good labels bound the joint false rejection; the rules are not charged one by one."""
+    df, labels = labelled_corpus(spark, 300, 40)
+    got = Q.judge(df, labels).where("not base_failed").collect()
+    assert all(r.kept == (r.doc_id < 300) for r in got) and any(r.doc_id >= 300 for r in got)
+
+
+def test_joint_cutoffs_by_hand(spark):
+    rng = random.Random(9)
+    cols = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_marks long, good int, stratum string"
+    rows = [(100, 500, int(100 * min(0.9, rng.expovariate(30))), 0, 0, 10, int(500 * min(0.9, rng.expovariate(40))), 0, 1, s) for s in ("a", None) for _ in range(1500)]
+    rows += [(100, 500, rng.randrange(90), 0, 0, 10, rng.randrange(400), 0, 0, s) for s in ("a", None) for _ in range(60)]
+    got = {(r.stratum, r.rule): r.cutoff for r in Q.joint_cutoffs(spark.createDataFrame(rows, cols)).collect()}
+    cut = {r: [a + b * round((n - 1) * (1 - t / (Q.STEPS - 1))) for t in range(Q.STEPS)] for r, (a, b, n) in Q.GRID.items()}
+
+    def broken(r, t):
+        value = {"symbols": r[2] / 100, "shouting": r[6] / 500, "marks": 0.0, "dup_lines": 0.0, "repeats": 0.0, "long_words": 5.0, "short_words": -5.0}
+        return any(value[x] > cut[x][t] for x in value)
+    for s in ("a", None):
+        good, bad = ([r for r in rows if r[9] == s and r[8] == g] for g in (1, 0))
+        best = None
+        for t in range(Q.STEPS):
+            k = sum(broken(r, t) for r in good)
+            tail = sum(math.comb(1500, i) * Q.RISK ** i * (1 - Q.RISK) ** (1500 - i) for i in range(k + 1))
+            if k >= 1500 * Q.RISK or tail > Q.DELTA / 2:
+                break
+            caught = sum(broken(r, t) for r in bad)
+            if caught and (best is None or caught > best[0]):
+                best = (caught, t)
+        assert best and all(got[(s, x)] == cut[x][best[1]] for x in Q.RULES)
+
+
 def test_admissible_cutoffs_by_hand(spark):
     """The chosen cutoff is the most selective grid point whose exact bound holds."""
     rng = random.Random(8)
