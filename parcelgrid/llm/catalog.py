@@ -10,7 +10,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html, licences, line_dedup, lm, quality, simhash, substring, training_order
+from . import bpe, decontaminate, html, language, licences, line_dedup, lm, negatives, quality, ranked, simhash, substring, training_order
 from .common import shared_path, table
 from .oracle import ORACLE_SQL
 
@@ -102,6 +102,25 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("own_cosine", F.round("own_cosine", 6))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from the three quarters of the ids that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    out = language.identify(docs.withColumn("held_out", F.coalesce(part == 2, F.lit(False))), part != 2, carry=("doc_id", "held_out"))
+    return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector for each of its five positives; every seventh label is moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -109,7 +128,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_training_order, op2_simhash, op3_decontaminate, op4_stupid_backoff, op5_line_dedup, op6_bpe, op7_quality, op8_main_text,
-    op9_substring_dedup, op10_licences, pipeline)}
+    op9_substring_dedup, op10_licences, op11_language, op12_ranked_search, op13_hard_negatives, pipeline)}
 ORACLE = dict(ORACLE_SQL)
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -58,4 +58,35 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k
        sha256(coalesce(k.text, '')) AS kept_sha256
 FROM docs d LEFT JOIN kept k ON k.rid = d.rid"""
 
-ORACLE_SQL: dict[str, str] = {"op4_stupid_backoff": _OP4, "op5_line_dedup": _OP5, "op9_substring_dedup": _OP9}
+# fixed values: characters that no search term holds
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_OP12 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS t FROM documents),
+size AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM docs WHERE len(t) > 0),
+asked AS (SELECT item_id, text, list_distinct({_TERMS}) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+wanted AS (SELECT item_id, text, unnest(t) AS term FROM asked),
+tf AS (SELECT rid, doc_id, len(t) AS n, term, count(*) AS f FROM (SELECT rid, doc_id, t, unnest(t) AS term FROM docs)
+       WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * (SELECT n FROM size) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf GROUP BY term),
+impact AS (SELECT rid, doc_id, term, (1000000000 * f) // (1000 * f + 20 * (100 - 50 + ((50 * n * (SELECT n FROM size)) // (SELECT l FROM size)))) AS x FROM tf),
+scores AS (SELECT item_id, text, rid, doc_id, CAST(sum(w.w * x) AS BIGINT) AS score
+           FROM wanted JOIN w USING (term) JOIN impact USING (term) GROUP BY item_id, text, rid, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0) WHERE rank <= 50"""
+
+_OP13 = """
+WITH e AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+dots AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+         FROM e a, e b WHERE a.vec_id % 100 = 0),
+pos AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM dots WHERE same AND other_id <> anchor_id
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+neg AS (SELECT p.*, d.other_id AS negative_id, d.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY d.score DESC, d.other_id) AS rank
+        FROM pos p JOIN dots d ON d.anchor_id = p.anchor_id AND NOT d.same
+         AND 30 * positive_score <= 100 * d.score AND 100 * d.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 10"""
+
+ORACLE_SQL: dict[str, str] = {"op4_stupid_backoff": _OP4, "op5_line_dedup": _OP5, "op9_substring_dedup": _OP9, "op12_ranked_search": _OP12, "op13_hard_negatives": _OP13}
