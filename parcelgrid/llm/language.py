@@ -1,7 +1,7 @@
 """Language ID by nearest centroids.
 
 A text becomes a vector of its letter n-grams (one to three characters, words padded with a space,
-whatever is no letter read as a space): 1 + ln tf, times the inverse document frequency, hashed into ``SPACE``
+whatever is no letter read as a space): frequency times inverse document frequency, hashed into ``SPACE``
 coordinates and scaled to length one.  Each language has up to ``CLUSTERS`` centroids; a text takes the language of
 the centroid with the largest cosine.  The distance decides on rejection: each centroid has a least cosine, the
 ``REJECT`` quantile of the learning texts that chose it rightly, and a text below that of its centroid is marked.
@@ -88,7 +88,7 @@ def gram_counts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def unit_vector(codes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Coordinates and values of the normalised vector; all weights zero gives a vector of zeros."""
     at, tf = gram_counts(codes)
-    v = (1.0 + np.log(tf)) * idf[at]
+    v = tf * idf[at]
     size = np.sqrt(v @ v)
     return at, v / size if size else v
 
@@ -152,7 +152,10 @@ def _sample(train: DataFrame, size: int) -> DataFrame:
     """(lang, h, text) of the ``size`` different texts of each language with the smallest hash."""
     hashed = train.withColumn("h", F.xxhash64("text"))
     keys = hashed.select("lang", "h").distinct()
-    few = keys.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= size).drop("k")
+    # hashes are spread evenly, so the smallest ``size`` lie below four times their share of the range; only these are ordered
+    share = keys.groupBy("lang").agg((F.lit(4.0 * size) / F.count("*")).alias("share"))
+    low = keys.join(F.broadcast(share), "lang").where((F.col("h").cast("double") + 2.0**63) / 2.0**64 <= F.col("share")).select("lang", "h")
+    few = low.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= size).drop("k")
     return hashed.join(F.broadcast(few), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.first("text").alias("text"))
 
 
