@@ -76,7 +76,7 @@ register("enrichment_targets", with_views(INCOMPLETE_OWNERS_SQL))(lambda lake: D
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from parcelgrid.functions.text import (levenshtein_ratio_sql, normalize_address,  # noqa: E402
+from parcelgrid.functions.text import (difflib_ratio_ctes, levenshtein_ratio_sql, normalize_address,  # noqa: E402
                                        normalize_address_sql)
 from parcelgrid.operators import linkage as L  # noqa: E402
 from parcelgrid.plans import comps as CP  # noqa: E402
@@ -133,16 +133,23 @@ register("best_match", with_views(
     "SELECT uprn, title_number, cand_uprn, ratio FROM links", _LINK_CTES))(
     lambda lake: L.title_links(fx.master_properties(lake), fx.epc_assessments(lake), method="levenshtein"))
 
-register("link_titles", with_views("""
+_LINKED_SQL = """
 SELECT p.uprn, CASE WHEN l.uprn IS NOT NULL THEN l.title_number ELSE p.title_number END AS title_number,
        p.address_line_1, p.postcode, p.latitude, p.longitude, p.local_authority_code
-FROM master_properties p LEFT JOIN links l ON p.uprn = l.uprn""", _LINK_CTES))(
+FROM master_properties p LEFT JOIN links l ON p.uprn = l.uprn"""
+
+register("link_titles", with_views(_LINKED_SQL, _LINK_CTES))(
     lambda lake: L.link_titles(fx.master_properties(lake), fx.epc_assessments(lake), method="levenshtein"))
 
-# the default measure, difflib (Python SequenceMatcher semantics), has no SQL twin: checked by tests
-register("best_match_difflib")(
+# the default measure, difflib (Python SequenceMatcher semantics): the SQL finds the matching blocks recursively
+_LINK_DIFFLIB_CTES = {
+    "t": _TARGETS_SQL, "c": _CANDS_SQL, **difflib_ratio_ctes("SELECT t.n AS a, c.n AS b FROM t JOIN c ON t.postcode = c.postcode"),
+    "s": "SELECT t.uprn, c.cand_uprn, c.title_number, d.ratio FROM t JOIN c ON t.postcode = c.postcode JOIN difflib_ratios d ON d.a = t.n AND d.b = c.n",
+    "r": _LINK_CTES["r"], "links": _LINK_CTES["links"]}
+
+register("best_match_difflib", with_views("SELECT uprn, title_number, cand_uprn, ratio FROM links", _LINK_DIFFLIB_CTES, recursive=True))(
     lambda lake: L.title_links(fx.master_properties(lake), fx.epc_assessments(lake)))
-register("link_titles_difflib")(
+register("link_titles_difflib", with_views(_LINKED_SQL, _LINK_DIFFLIB_CTES, recursive=True))(
     lambda lake: L.link_titles(fx.master_properties(lake), fx.epc_assessments(lake)))
 
 # ------------------------------------------------------------ comps
@@ -192,12 +199,20 @@ SELECT postcode, transaction_id, transfer_date, price_paid, certificate_id, psf,
        CASE WHEN floor_area IS NOT NULL AND floor_area > 0 THEN CAST(CAST(trunc(floor_area) AS BIGINT) AS VARCHAR) ELSE 'N/A' END AS size_label
 FROM per_sale""", _COMPS_CTES))(lambda lake: CP.comps_sales(*_sales_tables(lake), method="levenshtein"))
 
-register("comps_all", with_views("""
+_COMPS_ALL_SQL = """
 SELECT postcode, count(*) AS n_sales, count(psf) AS n_comps, CAST(floor(avg(psf)) AS BIGINT) AS avg_psf,
        CASE WHEN count(psf) = 0 THEN 'no size matches' ELSE 'ok' END AS signal
-FROM per_sale GROUP BY postcode""", _COMPS_CTES))(lambda lake: CP.comps_all(*_sales_tables(lake), method="levenshtein"))
+FROM per_sale GROUP BY postcode"""
+_COMPS_DIFFLIB_CTES = {
+    **_SALES_CTES,
+    **difflib_ratio_ctes(f"SELECT {NORM('s.full_address')} AS a, {NORM('z.address_line_1')} AS b FROM sales s JOIN sizes z ON s.postcode = z.postcode"),
+    "pairs": f"""SELECT s.transaction_id, z.certificate_id, z.floor_area, d.ratio FROM sales s JOIN sizes z ON s.postcode = z.postcode
+       JOIN difflib_ratios d ON d.a = {NORM('s.full_address')} AND d.b = {NORM('z.address_line_1')}""",
+    "firsts": _COMPS_CTES["firsts"], "per_sale": _COMPS_CTES["per_sale"]}
+
+register("comps_all", with_views(_COMPS_ALL_SQL, _COMPS_CTES))(lambda lake: CP.comps_all(*_sales_tables(lake), method="levenshtein"))
 
-register("comps_all_difflib")(lambda lake: CP.comps_all(*_sales_tables(lake)))
+register("comps_all_difflib", with_views(_COMPS_ALL_SQL, _COMPS_DIFFLIB_CTES, recursive=True))(lambda lake: CP.comps_all(*_sales_tables(lake)))
 
 register("link_report", with_views("""
 SELECT count(*) AS targets, count(l.uprn) AS matched,

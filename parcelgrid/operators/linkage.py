@@ -1,187 +1,198 @@
 """Blocked record linkage without emitting all pairs of a block.
 
-``similarity_join`` finds every pair in the same block whose similarity is
-at least ``threshold`` - exactly the pairs the reference's nested loop would
-accept - but generates candidates with a *prefix filter* over
-character-multiset tokens instead of pairing every target with every
-candidate of its block:
-
-* A string becomes the multiset of its characters, each occurrence a token
-  (``'A'#1``, ``'A'#2``, ...).  Both similarity measures are bounded by the
-  multiset overlap ``O``: Ratcliff/Obershelp matches ``M <= O`` and
-  Levenshtein ``d >= max(la, lb) - O``.
-* So ``ratio >= t`` needs ``O >= alpha(len)`` with ``alpha = t*len/(2-t)``
-  (difflib) or ``t*len`` (levenshtein).  Ordering tokens globally by
-  document frequency (rarest first), two strings with that overlap must
-  share a token within their first ``len - alpha + 1`` tokens (prefix
-  filtering, Chaudhuri et al. 2006; Xiao et al. 2008).
-* Candidates are the equi-join of prefix tokens on (block, token), then a
-  length filter, then the exact similarity.  Nothing is capped: the filter
-  is lossless, the exact ratio decides.
-
-The equi-join shuffles on (block, token), so a hot block is spread over its
-distinct prefix tokens; AQE's skew handling splits what remains.
+``text_pairs`` finds every pair of texts in the same block whose similarity is at least ``threshold`` - exactly the
+pairs the reference's nested loop would accept - by a *segment index* (partition-based similarity join):
+
+* A ratio of t bounds the edits between two texts of lengths la and lb: ``levenshtein`` allows ``(1 - t) * max(la, lb)`` edits, ``difflib``
+  ``(1 - t) * (la + lb)`` insertions and deletions, since its matched blocks are a common subsequence.
+* One side is cut into more segments than edits are allowed.  Every edit spoils at most one segment, so at least one stands unchanged in the
+  other text, moved by no more than the edits before and behind it permit.
+* Where segments keep ``MIN_SEGMENT`` characters there are up to ``SPARE`` more of them than needed, and only the rarest edits + 1 are indexed:
+  word endings that thousands of texts share ("LIMITED") are left out without losing a pair.
+* The index is an equi-join on block and a 64-bit hash of (length, edits, segment number, segment) with the substrings of the other side.  A
+  collision only adds a candidate.  Its rows hold ids and a word of character parities: an insertion or deletion flips one
+  bit, so pairs whose words differ in more bits than the edits can flip do not leave the join.
+* The texts join the distinct candidates afterwards, and the exact ratio decides.
+
+Nothing is capped.  Equal texts of a block are one text; what asks for one candidate per target (C6, C7, C9) picks it per text, so a
+third of all rows with one address costs one comparison per other text.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelgrid.functions.text import normalize_address, similarity
+from parcelgrid.functions.text import normalize_address, similarity_at_least
 
 _EPS = 1e-9
+MIN_SEGMENT = 4
+SPARE = 2
 
 
-def char_tokens(text: Column) -> Column:
-    """Multiset tokens of a string: char + U+0001 + occurrence number.
-    Prefer ``with_tokens`` on a DataFrame: it sorts the characters once in
-    its own projection instead of inside the per-element lambda."""
-    chars = F.array_sort(F.split(text, ""))
-    return _tokens_of_sorted(chars, F.length(text))
+def allowed_edits(la: Column, lb: Column, threshold: float, method: str) -> Column:
+    """Edits that two texts of these lengths may have at the threshold; insertions and deletions only for difflib."""
+    if method == "difflib":
+        size = la + lb
+    elif method == "levenshtein":
+        size = F.greatest(la, lb)
+    else:
+        raise ValueError(method)
+    return F.floor(size * F.lit(1.0 - threshold) + F.lit(_EPS)).cast("int")
 
 
-def _tokens_of_sorted(chars: Column, length: Column) -> Column:
-    toks = F.transform(
-        chars, lambda c, i: F.concat(c, F.lit("\u0001"), (i - F.array_position(chars, c) + 2).cast("string")))
-    return F.when(length > 0, toks).otherwise(F.array().cast("array<string>"))
+def partner_lengths(length: Column, threshold: float, method: str) -> tuple[Column, Column]:
+    """Least and largest length of a text that can reach the threshold with one of the given length."""
+    share = threshold / (2.0 - threshold) if method == "difflib" else threshold
+    return (F.greatest(F.lit(1), F.ceil(length * F.lit(share) - F.lit(_EPS))).cast("int"),
+            F.floor(length / F.lit(share) + F.lit(_EPS)).cast("int"))
 
 
-def with_tokens(df: DataFrame, text_col: str, out: str) -> DataFrame:
-    """Add the multiset token array of ``text_col`` as ``out`` (one sort
-    per row, materialised before the tokens are built)."""
-    tmp = f"_sorted_{out}"
-    return (df.withColumn(tmp, F.array_sort(F.split(F.col(text_col), "")))
-              .withColumn(out, _tokens_of_sorted(F.col(tmp), F.length(F.col(text_col))))
-              .drop(tmp))
+def _segments(length: Column, edits: Column) -> Column:
+    """Number of segments for a text of this length: one more than the edits, and spare ones while segments are long enough."""
+    return F.greatest(edits + 1, F.least(edits + 1 + SPARE, F.floor(length / F.lit(MIN_SEGMENT)).cast("int")))
 
 
-def min_overlap(length: Column, threshold: float, method: str) -> Column:
-    """Lower bound on the multiset overlap a string of ``length`` needs with
-    any partner to reach ``threshold``."""
-    if method == "difflib":
-        frac = threshold / (2.0 - threshold)
-    elif method == "levenshtein":
-        frac = threshold
-    else:
-        raise ValueError(method)
-    return F.greatest(F.ceil(length * F.lit(frac) - F.lit(_EPS)), F.lit(1))
+def _segment(length: Column, n: Column, i: Column) -> tuple[Column, Column]:
+    """Start (from 0) and length of segment i of n; the last ones take the remainder."""
+    base = F.floor(length / n).cast("int")
+    first_long = n - length % n
+    return i * base + F.greatest(F.lit(0), i - first_long), base + F.when(i >= first_long, F.lit(1)).otherwise(F.lit(0))
 
 
-def length_ok(la: Column, lb: Column, threshold: float, method: str) -> Column:
-    """C3 length bound: the best ratio two lengths allow is >= threshold."""
-    lo, hi = F.least(la, lb).cast("double"), F.greatest(la, lb).cast("double")
-    if method == "difflib":
-        return F.lit(2.0) * lo / (lo + hi) >= F.lit(threshold - _EPS)
-    return lo / hi >= F.lit(threshold - _EPS)
+def _texts(df: DataFrame, id_col: str, text_col: str, block: list[str]) -> DataFrame:
+    """block, _txt, _rep: different non-empty texts, each with the smallest id that has it."""
+    return (df.select(*block, F.col(id_col).alias("_id"), F.col(text_col).alias("_txt")).where(F.length("_txt") > 0)
+              .groupBy(*block, "_txt").agg(F.min("_id").alias("_rep")))
 
 
-def overlap_ok(ta: Column, tb: Column, threshold: float, method: str) -> Column:
-    """Exact multiset-overlap bound (difflib's quick_ratio) from two token
-    arrays: with occurrence tokens the multiset intersection is a plain
-    ``array_intersect``; sizes are the string lengths."""
-    o = F.size(F.array_intersect(ta, tb)).cast("double")
-    la, lb = F.size(ta).cast("double"), F.size(tb).cast("double")
-    if method == "difflib":
-        return F.lit(2.0) * o / (la + lb) >= F.lit(threshold - _EPS)
-    return o / F.greatest(la, lb) >= F.lit(threshold - _EPS)
+def parities(text: Column) -> Column:
+    """A word in which bit b tells whether the characters hashed to b are odd in number."""
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(c), F.lit(64)).cast("int"))
+    return F.aggregate(F.split(text, ""), F.lit(0).cast("long"), lambda word, c: word.bitwiseXOR(bit(c)))
 
 
-def _signed(df: DataFrame, id_col: str, text_col: str, block: list[str]) -> DataFrame:
-    """block, _id, _txt, _toks (multiset tokens) for non-empty texts."""
-    base = df.select(*block, F.col(id_col).alias("_id"), F.col(text_col).alias("_txt"))
-    return with_tokens(base, "_txt", "_toks").where(F.length("_txt") > 0)
+def _exploded(df: DataFrame, values: Column, name: str, *keep: str) -> DataFrame:
+    # explode_outer + a filter on the value: an inner explode lets the optimizer infer size(array) > 0 and push that whole
+    # expression below upstream aggregates (evaluating it per source row instead of per distinct text)
+    return df.select(*keep, F.explode_outer(values).alias(name)).where(F.col(name).isNotNull())
 
 
-def _exploded(sig: DataFrame, block: list[str]) -> DataFrame:
-    # explode_outer + a filter on the token: an inner explode lets the optimizer
-    # infer size(tokens) > 0 and push that whole expression below upstream
-    # aggregates (evaluating it per source row instead of per distinct text)
-    return (sig.select(*block, "_id", "_txt", F.explode_outer("_toks").alias("_tok"))
-               .where(F.col("_tok").isNotNull()))
+def _indexed(texts: DataFrame, block: list[str], threshold: float, method: str) -> DataFrame:
+    """(block, _key, _rep, _word, _e): the rarest edits + 1 segments of each text, for every number of edits a partner may allow."""
+    length = F.length("_txt")
+    lo, hi = partner_lengths(length, threshold, method)
+    edits = F.array_distinct(F.transform(F.sequence(lo, hi), lambda other: allowed_edits(length, other, threshold, method)))
+    rows = (_exploded(texts.withColumn("_word", parities(F.col("_txt"))), edits, "_e", *block, "_rep", "_txt", "_word")
+            .withColumn("_n", _segments(F.length("_txt"), F.col("_e"))))
+    own = [*block, "_rep", "_word", "_e"]
 
+    def key(i: Column) -> Column:
+        start, size = _segment(F.length("_txt"), F.col("_n"), i)
+        return F.xxhash64(F.length("_txt"), F.col("_e"), i, F.col("_txt").substr(start + 1, size))
 
-def _prefixed(sig: DataFrame, freq: DataFrame, block: list[str], threshold: float, method: str) -> DataFrame:
-    """One row per (string, prefix token), carrying the string's text, its
-    full token array and its prefix (tokens in global rarest-first order)."""
-    ranked = (_exploded(sig, block).join(freq, "_tok")
-              .groupBy(*block, "_id", "_txt")
-              .agg(F.sort_array(F.collect_list(F.struct("_df", "_tok"))).alias("_r")))
-    plen = F.length("_txt") - min_overlap(F.length("_txt"), threshold, method) + 1
-    pre = with_tokens(ranked, "_txt", "_toks").withColumn(
-        "_pre", F.transform(F.slice("_r", F.lit(1), plen.cast("int")), lambda x: x["_tok"])).drop("_r")
-    return pre.select(*block, "_id", "_txt", "_toks", "_pre", F.explode_outer("_pre").alias("_tok")).where(
-        F.col("_tok").isNotNull())
+    keys = _exploded(rows, F.transform(F.sequence(F.lit(0), F.col("_n") - 1), key), "_key", *own, "_n")
+    plain, spare = keys.where(F.col("_n") == F.col("_e") + 1), keys.where(F.col("_n") > F.col("_e") + 1)
+    common = spare.groupBy(*block, "_key").agg(F.count(F.lit(1)).alias("_c"))
+    rarest = (spare.join(common, [*block, "_key"]).groupBy(*own)
+              .agg(F.sort_array(F.collect_list(F.struct("_c", "_key"))).alias("_k")))
+    chosen = F.transform(F.slice("_k", F.lit(1), F.col("_e") + 1), lambda x: x["_key"])
+    return plain.select("_key", *own).unionByName(_exploded(rarest, chosen, "_key", *own))
 
 
-def _candidate_rows(left: DataFrame, right: DataFrame, block: list[str], l_id: str, r_id: str,
-                    l_text: str, r_text: str, threshold: float, method: str) -> DataFrame:
-    ls = _signed(left, l_id, l_text, block)
-    rs = _signed(right, r_id, r_text, block)
-    freq = (_exploded(ls, block).select("_tok").unionByName(_exploded(rs, block).select("_tok"))
-            .groupBy("_tok").agg(F.count(F.lit(1)).alias("_df")))
-    lp = _prefixed(ls, freq, block, threshold, method).select(
-        *block, "_tok", F.col("_id").alias("_lid"), F.col("_txt").alias("_lt"), F.col("_toks").alias("_lk"),
-        F.col("_pre").alias("_lp"))
-    rp = _prefixed(rs, freq, block, threshold, method).select(
-        *block, "_tok", F.col("_id").alias("_rid"), F.col("_txt").alias("_rt"), F.col("_toks").alias("_rk"),
-        F.col("_pre").alias("_rp"))
-    # a pair sharing several prefix tokens is emitted once: under the first
-    # shared token in the global order (array_intersect keeps _lp's order)
-    first_shared = F.element_at(F.array_intersect("_lp", "_rp"), 1) == F.col("_tok")
-    return lp.join(rp, [*block, "_tok"]).where(first_shared)
+def _probes(texts: DataFrame, block: list[str], threshold: float, method: str) -> DataFrame:
+    """(block, _key, _rep, _word): the substrings of each text where a segment of a partner may stand."""
+    rows = texts.withColumn("_len", F.length("_txt")).withColumn("_word", parities(F.col("_txt")))
+    own = F.col("_len")
+
+    def of_length(la: Column) -> Column:
+        e = allowed_edits(la, own, threshold, method)
+        n = _segments(la, e)
+        grown = own - la
+        # a shift of d takes |d| edits before the segment and |grown - d| behind it
+        least, most = F.ceil((grown - e) / F.lit(2)).cast("int"), F.floor((grown + e) / F.lit(2)).cast("int")
+
+        def of_segment(i: Column) -> Column:
+            start, size = _segment(la, n, i)
+            first, last = F.greatest(F.lit(0), start + least), F.least(own - size, start + most)
+            at = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+            return F.transform(at, lambda p: F.xxhash64(la, e, i, F.col("_txt").substr(p + 1, size)))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), n - 1), of_segment))
+
+    lo, hi = partner_lengths(own, threshold, method)
+    keys = F.array_distinct(F.flatten(F.transform(F.sequence(lo, hi), of_length)))
+    return _exploded(rows, keys, "_key", *block, "_rep", "_word")
+
+
+def _candidates(lt: DataFrame, rt: DataFrame, block: list[str], threshold: float, method: str) -> DataFrame:
+    """(block, _lrep, _rrep): candidate pairs of texts, each once."""
+    probes = _probes(lt, block, threshold, method).withColumnsRenamed({"_rep": "_lrep", "_word": "_lword"})
+    index = _indexed(rt, block, threshold, method).withColumnsRenamed({"_rep": "_rrep", "_word": "_rword"})
+    flips = 1 if method == "difflib" else 2  # a substitution is a deletion and an insertion
+    alike = F.bit_count(F.col("_lword").bitwiseXOR(F.col("_rword"))) <= F.col("_e") * flips
+    return probes.join(index, [*block, "_key"]).where(alike).select(*block, "_lrep", "_rrep").distinct()
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, block: list[str], l_id: str, r_id: str,
                     l_text: str, r_text: str, threshold: float, method: str) -> DataFrame:
-    """C3+C5: lossless candidate pairs (l_id, r_id) for non-empty texts,
-    each pair once, before the length/overlap bounds and the exact ratio."""
-    return _candidate_rows(left, right, block, l_id, r_id, l_text, r_text, threshold, method).select(
-        F.col("_lid").alias(l_id), F.col("_rid").alias(r_id))
+    """C3+C5: candidate pairs of different non-empty texts (named by their smallest ids), before the exact ratio."""
+    pairs = _candidates(_texts(left, l_id, l_text, block), _texts(right, r_id, r_text, block), block, threshold, method)
+    return pairs.select(F.col("_lrep").alias(l_id), F.col("_rrep").alias(r_id))
+
+
+def text_pairs(left: DataFrame, right: DataFrame, block: list[str], l_id: str, r_id: str, l_text: str, r_text: str,
+               threshold: float, method: str = "levenshtein", strict: bool = False) -> DataFrame:
+    """(block, _lt, _rt, ratio): all pairs of different non-empty texts of a block with ratio >= threshold (> when ``strict``).
+    Ratio is sim(l_text, r_text), argument order kept."""
+    lt, rt = _texts(left, l_id, l_text, block), _texts(right, r_id, r_text, block)
+    found = (_candidates(lt, rt, block, threshold, method)
+             .join(lt.select(*block, F.col("_rep").alias("_lrep"), F.col("_txt").alias("_lt")), [*block, "_lrep"])
+             .join(rt.select(*block, F.col("_rep").alias("_rrep"), F.col("_txt").alias("_rt")), [*block, "_rrep"])
+             .withColumn("ratio", similarity_at_least(F.col("_lt"), F.col("_rt"), threshold, method)))
+    keep = F.col("ratio") > threshold if strict else F.col("ratio") >= threshold
+    return found.where(keep).select(*block, "_lt", "_rt", "ratio")
 
 
 def similarity_join(left: DataFrame, right: DataFrame, block: list[str], l_id: str, r_id: str,
                     l_text: str, r_text: str, threshold: float, method: str = "levenshtein",
                     strict: bool = False) -> DataFrame:
-    """All (l_id, r_id, ratio) in the same block with ratio >= threshold
-    (> when ``strict``), for non-empty texts.  Ratio is sim(l_text, r_text),
-    argument order kept.  Bounds and ratio run in the join task itself."""
-    j = (_candidate_rows(left, right, block, l_id, r_id, l_text, r_text, threshold, method)
-         .where(length_ok(F.length("_lt"), F.length("_rt"), threshold, method))
-         .where(overlap_ok(F.col("_lk"), F.col("_rk"), threshold, method))
-         .withColumn("ratio", similarity(F.col("_lt"), F.col("_rt"), method)))
-    keep = F.col("ratio") > threshold if strict else F.col("ratio") >= threshold
-    return j.where(keep).select(F.col("_lid").alias(l_id), F.col("_rid").alias(r_id), "ratio")
+    """All (l_id, r_id, ratio) in the same block with ratio >= threshold (> when ``strict``), for non-empty texts."""
+    pairs = text_pairs(left, right, block, l_id, r_id, l_text, r_text, threshold, method, strict)
+    mine = lambda df, i, t, name: df.select(*block, F.col(i).alias("_i" + name), F.col(t).alias(name))
+    return (pairs.join(mine(left, l_id, l_text, "_lt"), [*block, "_lt"]).join(mine(right, r_id, r_text, "_rt"), [*block, "_rt"])
+                 .select(F.col("_i_lt").alias(l_id), F.col("_i_rt").alias(r_id), "ratio"))
 
 
 def _prepare(df: DataFrame, id_col: str, text_col: str, block: list[str], extra: list[str]) -> DataFrame:
     return df.select(*block, id_col, *extra, normalize_address(F.col(text_col)).alias("_norm"))
 
 
+def _choose(targets: DataFrame, candidates: DataFrame, block: list[str], t_id: str, c_id: str, best_first: bool, row: Column,
+            threshold: float, method: str, strict: bool) -> DataFrame:
+    """(t_id, _m, ratio): per target the smallest candidate ``row`` among those of the highest ratio, or among all that reach the threshold.
+    Chosen per text: of the candidates with one text only the smallest row can win.  Two empty texts have ratio 1.0."""
+    first = candidates.groupBy(*block, F.col("_norm").alias("_rt")).agg(F.min(row).alias("_m"))
+    pairs = text_pairs(targets, candidates, block, t_id, c_id, "_norm", "_norm", threshold, method, strict)
+    empty = first.where(F.col("_rt") == "").select(*block, F.lit("").alias("_lt"), "_rt", F.lit(1.0).alias("ratio"))
+    order = [(-F.col("ratio")).alias("_nr"), F.col("_m"), F.col("ratio")] if best_first else [F.col("_m"), F.col("ratio")]
+    winner = F.min(F.struct(*order)).alias("_w")
+    per_text = pairs.unionByName(empty).join(first, [*block, "_rt"]).groupBy(*block, F.col("_lt").alias("_norm")).agg(winner)
+    per_target = targets.select(*block, t_id, "_norm").join(per_text, [*block, "_norm"]).groupBy(t_id).agg(F.min("_w").alias("_w"))
+    return per_target.select(t_id, F.col("_w._m").alias("_m"), F.col("_w.ratio").alias("ratio"))
+
+
 def best_match(targets: DataFrame, candidates: DataFrame, block: list[str], t_id: str, c_id: str,
                t_text: str, c_text: str, c_seq: str, threshold: float = 0.85,
                method: str = "difflib") -> DataFrame:
     """Per target the candidate with the highest ratio (first in
     ``c_seq`` order on ties), kept if ratio >= threshold.  Texts are
     normalised (C1) first.  Output: t_id, c_id, ratio."""
-    extra = [c_seq] if c_seq != c_id else []
     t = _prepare(targets, t_id, t_text, block, [])
-    c = _prepare(candidates, c_id, c_text, block, extra)
-    hits = similarity_join(t, c, block, t_id, c_id, "_norm", "_norm", threshold, method)
-    hits = hits.join(c.select(c_id, *extra), c_id)
-    # empty vs empty scores 1.0 in both measures: the first empty candidate of the block wins
-    first_empty = (c.where(F.col("_norm") == "").groupBy(*block)
-                    .agg(F.min(F.struct(F.col(c_seq).alias("_s"), F.col(c_id).alias("_c"))).alias("_m")))
-    empty_hits = (t.where(F.col("_norm") == "").join(first_empty, block)
-                   .select(t_id, F.col("_m._c").alias(c_id), F.col("_m._s").alias("_s"),
-                           F.lit(1.0).alias("ratio")))
-    allh = hits.select(t_id, c_id, F.col(c_seq).alias("_s"), "ratio").unionByName(empty_hits)
-    # max ratio, then min seq: one partially aggregated min over a struct
-    best = allh.groupBy(t_id).agg(F.min(F.struct((-F.col("ratio")).alias("_nr"), F.col("_s"),
-                                                F.col(c_id).alias("_c"))).alias("_b"))
-    return best.select(t_id, F.col("_b._c").alias(c_id), (-F.col("_b._nr")).alias("ratio"))
+    c = _prepare(candidates, c_id, c_text, block, [c_seq] if c_seq != c_id else [])
+    row = F.struct(F.col(c_seq).alias("_s"), F.col(c_id).alias("_c"))
+    best = _choose(t, c, block, t_id, c_id, True, row, threshold, method, strict=False)
+    return best.select(t_id, F.col("_m._c").alias(c_id), "ratio")
 
 
 def first_match(targets: DataFrame, candidates: DataFrame, block: list[str], t_id: str, c_id: str,
@@ -194,21 +205,10 @@ def first_match(targets: DataFrame, candidates: DataFrame, block: list[str], t_i
     extra = list(dict.fromkeys(x for x in [c_seq, *carry] if x != c_id))
     t = _prepare(targets, t_id, t_text, block, [])
     c = _prepare(candidates, c_id, c_text, block, extra)
-
-    def key() -> Column:  # ordered by seq, then id; carried columns ride along
-        return F.struct(F.col(c_seq).alias("_s"), F.col(c_id).alias("_c"),
-                        *[F.col(x).alias(f"_k{i}") for i, x in enumerate(carry)])
-
-    hits = (similarity_join(t, c, block, t_id, c_id, "_norm", "_norm", threshold, method, strict=True)
-            .join(c.select(c_id, *extra), c_id)
-            .select(t_id, key().alias("_m"), "ratio"))
-    first_empty = c.where(F.col("_norm") == "").groupBy(*block).agg(F.min(key()).alias("_m"))
-    empty_hits = (t.where(F.col("_norm") == "").join(first_empty, block)
-                   .select(t_id, "_m", F.lit(1.0).alias("ratio")))
-    first = (hits.unionByName(empty_hits).groupBy(t_id)
-                 .agg(F.min(F.struct("_m", "ratio")).alias("_f")))
-    return first.select(t_id, F.col("_f._m._c").alias(c_id), F.col("_f.ratio").alias("ratio"),
-                        *[F.col(f"_f._m._k{i}").alias(x) for i, x in enumerate(carry)])
+    # ordered by seq, then id; carried columns ride along
+    row = F.struct(F.col(c_seq).alias("_s"), F.col(c_id).alias("_c"), *[F.col(x).alias(f"_k{i}") for i, x in enumerate(carry)])
+    first = _choose(t, c, block, t_id, c_id, False, row, threshold, method, strict=True)
+    return first.select(t_id, F.col("_m._c").alias(c_id), "ratio", *[F.col(f"_m._k{i}").alias(x) for i, x in enumerate(carry)])
 
 
 # ------------------------------------------------------------ C4, C5, C8
@@ -277,8 +277,8 @@ def resolve_company(owners: DataFrame, registry: DataFrame, name_col: str = "own
                     threshold: float = 0.85, method: str = "levenshtein") -> DataFrame:
     """Owner name -> one registry company.  Exact match on the
     normalised name wins (lowest company_number); otherwise the best fuzzy
-    match >= threshold among all companies (candidates come from shared rare
-    tokens, which loses no pair).  Output: owner_name, company_number,
+    match >= threshold among all companies (candidates share a rare segment,
+    which loses no pair).  Output: owner_name, company_number,
     company_name, company_status, match ('exact' | 'fuzzy')."""
     o = owners.select(F.col(name_col).alias("owner_name")).where(F.col("owner_name").isNotNull()).distinct()
     o = o.withColumn("_k", company_key(F.col("owner_name")))
@@ -287,14 +287,10 @@ def resolve_company(owners: DataFrame, registry: DataFrame, name_col: str = "own
               .agg(F.min(F.struct("company_number", "company_name", "company_status")).alias("_m"))
               .select("owner_name", F.col("_m.*"), F.lit("exact").alias("match")))
     rest = o.join(exact.select("owner_name"), "owner_name", "left_anti")
-    blk = lambda df: df.withColumn("_b", F.lit(""))  # noqa: E731  names have no block; the join key is the token
-    hits = similarity_join(blk(rest), blk(r), ["_b"], "owner_name", "company_number", "_k", "_k",
-                           threshold, method)
-    fuzzy = (hits.groupBy("owner_name")
-                 .agg(F.min(F.struct((-F.col("ratio")).alias("_nr"), F.col("company_number").alias("_c"))).alias("_m"))
-                 .select("owner_name", F.col("_m._c").alias("company_number"))
-                 .join(r.drop("_k"), "company_number")
-                 .select("owner_name", "company_number", "company_name", "company_status",
-                         F.lit("fuzzy").alias("match")))
+    named = lambda df, *cols: df.select(*cols, F.col("_k").alias("_norm"), F.lit("").alias("_b"))  # noqa: E731  names have no block
+    fuzzy = (_choose(named(rest, "owner_name"), named(r, "company_number"), ["_b"], "owner_name", "company_number", True,
+                     F.struct("company_number"), threshold, method, strict=False)
+             .select("owner_name", F.col("_m.company_number").alias("company_number"))
+             .join(r.drop("_k"), "company_number")
+             .select("owner_name", "company_number", "company_name", "company_status", F.lit("fuzzy").alias("match")))
     return exact.unionByName(fuzzy)
-

@@ -102,3 +102,50 @@ def test_names_with_other_beginnings_are_resolved(spark):
     assert got == {"THE ACME HOLDINGS LIMITED": "1", "SCME HOLDINGS LIMITED": "1"}
     index = registry.withColumnRenamed("company_name", "title")
     assert [r.company_number for r in company_search(index, "SCME HOLDINGS LIMITED").collect()] == ["1"]
+
+
+@pytest.mark.parametrize("method", ["levenshtein", "difflib"])
+def test_candidates_stay_near_the_true_pairs(spark, method):
+    """Candidates per true pair, from a table to one four times as large, and against all pairs of a block."""
+    from parcelgrid.operators.linkage import candidate_pairs
+    per_pair = []
+    for n in (150, 600):
+        rnd = random.Random(n)
+        words = ["GREEN", "ALMOND", "STATION", "CHURCH", "MILL", "NORTH", "ABBEY", "KINGS", "QUARRY", "HARBOUR"]
+        address = lambda: f"{rnd.randint(1, 200)} {rnd.choice(words)} {rnd.choice(words)} ROAD"  # noqa: E731, B023
+        left = spark.createDataFrame([(f"L{i}", "B", address()) for i in range(n)], "lid string, blk string, lt string")
+        right = spark.createDataFrame([(f"R{i}", "B", address()) for i in range(n)], "rid string, blk string, rt string")
+        found = candidate_pairs(left, right, ["blk"], "lid", "rid", "lt", "rt", 0.85, method).count()
+        true = similarity_join(left, right, ["blk"], "lid", "rid", "lt", "rt", 0.85, method).select("lid", "rid").distinct().count()
+        assert found < 0.2 * n * n
+        per_pair.append(found / true)
+    assert per_pair[1] < 1.3 * per_pair[0]
+
+
+def test_common_endings_are_not_indexed(spark):
+    """Of names that all end alike, the segments of the ending are the most frequent ones and stay out of the index."""
+    from parcelgrid.operators.linkage import _indexed, _texts
+    rnd = random.Random(1)
+    names = [("".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(20)) + " LIMITED",) for _ in range(500)]
+    df = spark.createDataFrame([(str(i), "", n) for i, (n,) in enumerate(names)], "id string, b string, n string")
+    index = _indexed(_texts(df, "id", "n", ["b"]), ["b"], 0.9, "levenshtein")
+    assert index.groupBy("_e", "_key").count().agg({"count": "max"}).first()[0] < 25
+
+
+def test_one_address_many_times(spark):
+    """A third of both sides has one address: it is compared once, and everyone gets a match."""
+    rows = lambda p, n: [(f"{p}{i}", "B", "1 MILL ROAD" if i % 3 == 0 else f"{i} STATION APPROACH {i * 7919}") for i in range(n)]
+    t = spark.createDataFrame(rows("t", 900), "tid string, blk string, a string")
+    c = spark.createDataFrame(rows("c", 900), "cid string, blk string, b string")
+    got = {r.tid: (r.cid, r.ratio) for r in best_match(t, c, ["blk"], "tid", "cid", "a", "b", "cid", 0.9, "levenshtein").collect()}
+    assert len(got) == 900 and all(got[f"t{i}"] == ("c0", 1.0) for i in range(0, 900, 3))
+
+
+def test_short_and_odd_texts(spark):
+    texts = ["", "A", "B", "AB", "BA", "ABC", "É", "日本", "日本語", "A B", "𝔸𝔹ℂ", "𝔸𝔹", None]
+    left = spark.createDataFrame([(f"L{i}", "X", t) for i, t in enumerate(texts)], "lid string, blk string, lt string")
+    right = spark.createDataFrame([(f"R{i}", "X", t) for i, t in enumerate(texts)], "rid string, blk string, rt string")
+    for method, threshold in (("levenshtein", 0.3), ("levenshtein", 0.5), ("difflib", 0.4), ("difflib", 0.66)):
+        want = {(f"L{i}", f"R{j}") for i, a in enumerate(texts) for j, b in enumerate(texts) if a and b and ratio(a, b, method) >= threshold}
+        got = {(r.lid, r.rid) for r in similarity_join(left, right, ["blk"], "lid", "rid", "lt", "rt", threshold, method).collect()}
+        assert got == want
