@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,6 +54,24 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh shared folder and read back: its plan runs once, its lineage ends there, and a
+    lost executor costs only its own tasks."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of :func:`written` frames that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        for folder in {hadoop(f).getParent().toString() for f in df.inputFiles()}:
+            path = hadoop(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local_path(uri: str) -> str:
     """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
     return uri[len("file:"):] if uri.startswith("file:") else uri

@@ -71,3 +71,116 @@ def test_long_chains_and_layered_owners(spark):
     layers = [(f"l{i}{a}", f"l{i + 1}{b}") for i in range(5) for a in "xy" for b in "xy"]
     got = ancestors(spark.createDataFrame(layers, "child string, parent string")).collect()
     assert len(got) == len({(r.child, r.ancestor) for r in got}) == 60
+
+
+def top_by_hand(edges):
+    """Follow the largest owner step by step; a cycle ends at its smallest member."""
+    up = {}
+    for c, p in edges:
+        if c is not None and p is not None and c != p:
+            up[c] = max(p, up.get(c, p))
+    out = {}
+    for start in up:
+        seen, at = [start], start
+        while at in up and up[at] not in seen:
+            at = up[at]
+            seen.append(at)
+        if at in up:  # seen closes a cycle
+            cycle = seen[seen.index(up[at]):]
+            end = min(cycle)
+        else:
+            end = at
+        if end == start:
+            continue
+        steps, at = 0, start
+        while at != end:
+            at, steps = up[at], steps + 1
+        out[start] = (end, steps)
+    return out
+
+
+def owners(spark, edges):
+    df = spark.createDataFrame(edges, "child string, parent string")
+    return {r.child: (r.ultimate_owner, r.depth) for r in ultimate_owners(df).collect()}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ultimate_owners_with_cycles_equal_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    edges = [(f"c{i:02d}", f"c{rnd.randrange(60):02d}") for i in range(60) if rnd.random() < 0.9]
+    edges += [(f"t{i:02d}", f"t{i + 1:02d}") for i in range(20)] + [("t20", "c00"), (None, "x"), ("x", None), ("y", "y")]
+    edges += [("u0", "u1"), ("u1", "u2"), ("u2", "u0"), ("v", "u1"), ("w", "v"), ("w", "a"), ("v", "u1")]
+    assert owners(spark, edges) == top_by_hand(edges)
+
+
+def test_no_owners(spark):
+    assert owners(spark, []) == {} and owners(spark, [("a", "a"), (None, None)]) == {}
+
+
+def test_a_chain_of_100_000_companies(spark):
+    """log2 n rounds of n rows each; the pairs of ancestors would be five billion."""
+    n = 100_000
+    chain = spark.range(n).select(F.format_string("n%06d", "id").alias("child"), F.format_string("n%06d", F.col("id") + 1).alias("parent"))
+    out = ultimate_owners(chain)
+    assert out.count() == n
+    assert out.where((F.col("ultimate_owner") != f"n{n:06d}") | (F.col("depth") != n - F.substring("child", 2, 6).cast("int"))).isEmpty()
+
+
+def test_a_dense_town_is_many_keys(spark):
+    """A cell with most of the points is cut until its parts hold a bounded number of rows, and no pair is lost."""
+    from parcelgrid.operators.spatial import _left_cells
+    rnd = random.Random(11)
+    pts = [(f"p{i}", 51.5 + rnd.uniform(0, 0.004), -0.1 + rnd.uniform(0, 0.006)) for i in range(600)]
+    pts += [(f"q{i}", 51.5 + rnd.uniform(-0.2, 0.2), -0.1 + rnd.uniform(-0.2, 0.2)) for i in range(200)]
+    left = spark.createDataFrame(pts, "id string, latitude double, longitude double")
+    right = left.select(F.col("id").alias("rid"), F.col("latitude").alias("r_latitude"), F.col("longitude").alias("r_longitude"))
+    want = {(a[0], b[0]) for a in pts for b in pts if great_circle(a, b) <= 0.5}
+    got = [(r.id, r.rid) for r in near_join(left, right, 0.5, cell_rows=20).collect()]
+    assert len(got) == len(want) and set(got) == want
+    cells, cut = _left_cells(left, 0.5, "latitude", "longitude", 20)
+    assert cut.count() >= 1
+    assert cells.groupBy("_cy", "_cx", "_sy", "_sx").count().agg({"count": "max"}).first()[0] <= 40
+    whole, _ = _left_cells(left, 0.5, "latitude", "longitude", 10_000)
+    assert whole.groupBy("_cy", "_cx").count().agg({"count": "max"}).first()[0] > 250
+
+
+@pytest.mark.parametrize("lat,lng,spread", [(51.5, -0.1, 0.02), (-89.99, 0.0, 180.0), (0.0, 179.995, 0.02)])
+def test_cut_cells_at_poles_and_the_180th_meridian(spark, lat, lng, spread):
+    rnd = random.Random(2)
+    pts = [(f"p{i}", max(-90.0, lat + rnd.uniform(-0.01, 0.01)), (lng + rnd.uniform(-spread, spread) + 180) % 360 - 180) for i in range(150)]
+    left = spark.createDataFrame(pts, "id string, latitude double, longitude double")
+    right = left.select(F.col("id").alias("rid"), F.col("latitude").alias("r_latitude"), F.col("longitude").alias("r_longitude"))
+    got = [(r.id, r.rid) for r in near_join(left, right, 0.6, cell_rows=4).collect()]
+    want = {(a[0], b[0]) for a in pts for b in pts if great_circle(a, b) <= 0.6}
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_nearest_equals_brute_force_with_a_hot_spot(spark):
+    from parcelgrid.operators.spatial import nearest
+    rnd = random.Random(5)
+    props = [(f"p{i}", 51.5 + rnd.uniform(-0.05, 0.05), -0.1 + rnd.uniform(-0.05, 0.05)) for i in range(150)]
+    props += [(f"h{i}", 51.5, -0.1) for i in range(150)] + [("far", 10.0, 10.0), ("none", None, 1.0)]
+    stops = [(f"s{i:03d}", 51.5 + rnd.uniform(-0.05, 0.05), -0.1 + rnd.uniform(-0.05, 0.05), i) for i in range(60)]
+    stops += [(f"z{i:03d}", 51.5003, -0.1, 1000 + i) for i in range(100)] + [("a", None, None, 7)]
+    left = spark.createDataFrame(props, "uprn string, latitude double, longitude double")
+    right = spark.createDataFrame(stops, "location_id string, r_latitude double, r_longitude double, footfall int")
+    got = {r.uprn: (r.location_id, round(r.dist_km, 9), r.footfall) for r in nearest(left, right, 2.0, "uprn", "location_id", ["footfall"]).collect()}
+    want = {}
+    for p in props:
+        if p[1] is not None:
+            near = sorted((great_circle(p, s), s[0], s[3]) for s in stops if s[1] is not None and great_circle(p, s) <= 2.0)
+            if near:
+                want[p[0]] = (near[0][1], round(near[0][0], 9), near[0][2])
+    assert got == want and got["h0"][0] == "z000" and "far" not in got
+
+
+def test_nearest_joins_only_up_to_the_answering_ring(spark, monkeypatch):
+    """Locations with a near stop do not take part in the wider rings."""
+    from parcelgrid.operators import spatial
+    asked = []
+    real = spatial.near_join
+    monkeypatch.setattr(spatial, "near_join", lambda left, right, km, *a, **k: asked.append((km, left.count())) or real(left, right, km, *a, **k))
+    left = spark.createDataFrame([(i, 51.5 + i * 1e-5, -0.1) for i in range(20)] + [(99, 51.5, -0.088)], "uprn int, latitude double, longitude double")
+    right = spark.createDataFrame([("a", 51.5, -0.1)], "location_id string, r_latitude double, r_longitude double")
+    assert spatial.nearest(left, right, 1.0, "uprn", "location_id", []).count() == 21
+    assert [n for _, n in asked] == [21, 1, 1] and asked[0][0] == 1 / 16
