@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelgrid.plans.distress import planning_targets
+from parcelgrid.session import shared_dir
 from parcelgrid.sources.tables import Lake
 
 
@@ -113,7 +115,7 @@ def hygiene_payloads(lake: Lake) -> DataFrame:
         F.when(F.col("event_id") % 4 != 0,
                F.struct(F.lit("51.5").alias("latitude"), F.lit("-0.1").alias("longitude"))).alias("geocode"),
     )
-    return e.select(F.col("event_id").alias("page"),
+    return e.select(F.col("event_id").alias("page"), F.col("ts").alias("landed_at"),
                     F.to_json(F.struct(F.array(est).alias("establishments"))).alias("payload"))
 
 
@@ -140,7 +142,7 @@ def planning_payloads(lake: Lake) -> DataFrame:
         F.concat(F.lit("PA/"), _s("event_id")).alias("uid"),
         F.when(F.col("event_type") == "error", "Refused").otherwise("Granted").alias("status"),
         _s(F.to_date("ts")).alias("date_decision"))
-    return e.select(F.col("event_id").alias("seq"),
+    return e.select(F.col("event_id").alias("seq"), F.col("ts").alias("landed_at"),
                     F.to_json(F.struct(F.array(rec).alias("records"))).alias("payload"))
 
 
@@ -167,7 +169,21 @@ def company_payloads(lake: Lake) -> DataFrame:
         F.concat(F.lit("S"), _s(k)).alias("company_number"),
         F.to_json(F.struct(officers.alias("items"))).alias("officers"),
         F.to_json(F.struct(owners.alias("items"))).alias("owners"),
-        charges.alias("charges"))
+        charges.alias("charges"), _profile(k).alias("profile"))
+
+
+def _profile(k: Column) -> Column:
+    """Profile payload: none (not found) for some companies, an error or broken text for others, else of two shapes."""
+    name, number = F.concat(F.lit("Company "), _s(k)), F.concat(F.lit("S"), _s(k))
+    full = F.struct(
+        name.alias("company_name"), number.alias("company_number"), F.when(k % 4 == 0, "dissolved").otherwise("active").alias("company_status"),
+        F.struct(F.concat(_s(k), F.lit(" Main Road")).alias("address_line_1"), F.lit("London").alias("locality"),
+                 F.concat(F.lit("Brand#"), _s(k % 25 + 1)).alias("postal_code")).alias("registered_office_address"),
+        F.struct(F.struct(F.lit("2024-03-31").alias("made_up_to")).alias("last_accounts")).alias("accounts"),
+        F.array(F.lit("68100"), _s(F.lit(68200) + k % 10)).alias("sic_codes"))
+    short = F.struct(name.alias("company_name"), number.alias("company_number"), F.struct(F.lit("Paris").alias("locality")).alias("registered_office_address"))
+    return (F.when(k % 10 == 0, F.lit(None).cast("string")).when(k % 10 == 1, F.lit('{"errors":[{"error":"company-profile-not-found"}]}'))
+             .when(k % 10 == 2, F.lit('{"company_name":')).when(k % 10 == 3, F.to_json(short)).otherwise(F.to_json(full)))
 
 
 def object_listing(lake: Lake) -> DataFrame:
@@ -412,3 +428,45 @@ def search_payloads(lake: Lake) -> DataFrame:
     items = F.when(k % 7 == 0, F.array().cast("array<struct<company_number:string,title:string,"
                                                "company_status:string,address_snippet:string>>")).otherwise(F.array(item))
     return s.select(F.col("s_name").alias("query"), F.to_json(F.struct(items.alias("items"))).alias("payload"))
+
+
+#: files of the certificate folder; some of them are broken, see certificate_files
+CERTIFICATE_FILES = 16
+
+
+def certificate_files(lake: Lake) -> str:
+    """The certificate feed as a folder of CSV files (one per remainder of the order key), written to the shared folder.  Broken
+    are: 3 (a column has another name), 7 (an extra field in some lines), 11 (an open quote in some lines), 13 (a byte that is no UTF-8);
+    file 5 has lower-case columns in reverse order, which is fine."""
+    feed = certificate_feed(lake)
+    names = [c for c in feed.columns if c != "_seq"]
+    file, some = F.col("_seq") % CERTIFICATE_FILES, F.floor(F.col("_seq") / CERTIFICATE_FILES) % 10 == 0
+    text = lambda c: F.concat(F.lit('"'), F.coalesce(F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit("")), F.lit('"'))
+    value = {c: text(c) if c == "ADDRESS" else F.coalesce(F.col(c), F.lit("")) for c in names}
+    value["ADDRESS"] = (F.when((file == 11) & some, F.concat(F.lit('"'), F.coalesce("ADDRESS", F.lit(""))))
+                        .when((file == 13) & some, F.concat(F.lit("caf"), F.unhex(F.lit("E9")).cast("string"))).otherwise(value["ADDRESS"]))
+    line = F.when(file == 5, F.concat_ws(",", *[value[c] for c in reversed(names)])).otherwise(F.concat_ws(",", *[value[c] for c in names]))
+    line = F.when((file == 7) & some, F.concat(line, F.lit(",surplus"))).otherwise(line)
+    rows = feed.select(file.alias("file"), F.col("_seq").alias("at"), line.alias("line"))
+    head = (F.when(F.col("file") == 3, ",".join(["REFERENCE" if c == "LMK_KEY" else c for c in names]))
+             .when(F.col("file") == 5, ",".join(c.lower() for c in reversed(names))).otherwise(",".join(names)))
+    heads = rows.select("file").distinct().select("file", F.lit(-1).cast("long").alias("at"), head.alias("line"))
+    path = shared_dir(lake.spark, "certificate-files")
+    # one file a folder: all of its lines are in one task, the header first
+    (rows.unionByName(heads).repartition(CERTIFICATE_FILES, "file").sortWithinPartitions("file", "at").select("file", "line")
+     .write.partitionBy("file").text(path))
+    return path
+
+
+def planning_requests(lake: Lake) -> DataFrame:
+    """Log of planning searches: at some events a target property was asked for; the payloads that land until the next one are its answers."""
+    e, n = lake.table("events").where(F.col("event_id") % 7 == 0), _part_count(lake)
+    asked = e.select(F.col("ts").alias("asked_at"), _s(F.col("event_id") % n).alias("uprn"))
+    targets = planning_targets(master_properties(lake), epc_assessments(lake)).select("uprn").distinct()
+    return asked.join(targets, "uprn", "left_semi").select("asked_at", "uprn")
+
+
+def hygiene_requests(lake: Lake) -> DataFrame:
+    """Log of hygiene downloads: when the pages of an authority were begun."""
+    e = lake.table("events").where(F.col("event_id") % 50 == 0)
+    return e.select(F.col("ts").alias("begun_at"), _s(F.lit(100) + F.floor(F.col("event_id") / 50) % 350).alias("authority"))

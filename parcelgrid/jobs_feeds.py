@@ -11,6 +11,7 @@ from parcelgrid.catalog import register
 from parcelgrid.functions.geo import latlng_sql
 from parcelgrid.functions.text import PY_WHITESPACE_CLASS
 from parcelgrid.operators import merge as M
+from parcelgrid.operators.asof import asof_join
 from parcelgrid.oracle import FEED_SQL, with_views
 from parcelgrid.sources import feeds as FD
 from parcelgrid.sources import listing as LS
@@ -26,6 +27,10 @@ def _feeds(*names, **more):
     return d
 
 
+def _or(c, text: str):
+    return F.coalesce(c, F.lit(text))
+
+
 def _strip_sql(x: str) -> str:
     return f"regexp_replace(regexp_replace({x}, '^{PY_WHITESPACE_CLASS}+', ''), '{PY_WHITESPACE_CLASS}+$', '')"
 
@@ -217,11 +222,8 @@ WHERE _file NOT IN (SELECT _file FROM clash)""", _feeds("postcode_feed", **_PC_C
 
 
 def _load_counts(lake):
-    from parcelgrid.plans.signals import load_counts
-    batch = _postcodes(lake)
-    bad = M.rejected_units(_pc_target(lake), batch, ["postcode"], "_file")
-    accepted = batch.select("_file").distinct().join(bad, "_file", "left_anti")
-    return load_counts(batch, accepted, "_file")
+    from parcelgrid.plans.signals import load_with_counts
+    return load_with_counts(_pc_target(lake), _postcodes(lake).drop("_seq"), ["postcode"], "_file")[1]
 
 
 register("load_counts", with_views("""
@@ -230,24 +232,55 @@ SELECT coalesce(_file, 'TOTAL') AS unit, CAST(sum(n) AS BIGINT) AS rows,
 FROM (SELECT _file, count(*) AS n, _file NOT IN (SELECT _file FROM clash) AS accepted FROM postcode_feed GROUP BY _file)
 GROUP BY ROLLUP (_file)""", _feeds("postcode_feed", **_PC_CTES)))(_load_counts)
 
+# ------------------------------------------------------- A2, B7: files set aside
+
+#: the rules of the folder's broken files, over its derived lines
+_CERT_FILES = {
+    "filed": f"""SELECT _seq % {fx.CERTIFICATE_FILES} AS file, (_seq // {fx.CERTIFICATE_FILES}) % 10 = 0 AS odd, * FROM certificate_feed""",
+    "judged": """SELECT file, CASE WHEN file = 13 AND bool_or(odd) THEN 'not UTF-8' WHEN file = 11 AND bool_or(odd) THEN 'malformed line'
+       WHEN file = 3 THEN 'missing columns' WHEN file = 7 AND bool_or(odd) THEN 'too many fields' END AS reason,
+       count(*) AS n_lines, CAST(CASE WHEN file IN (7, 11, 13) THEN sum(CASE WHEN odd THEN 1 ELSE 0 END) ELSE 0 END AS BIGINT) AS n_bad
+       FROM filed GROUP BY file""",
+}
+
+
+def _certificate_files(lake):
+    return FD.read_files(lake.spark, fx.certificate_files(lake), [c.upper() for c in FD.CERTIFICATE_COLUMNS], ignore_case=True)
+
+
+register("certificate_file_verdicts", with_views("SELECT file, reason, n_lines, n_bad FROM judged", _feeds("certificate_feed", **_CERT_FILES)))(
+    lambda lake: _certificate_files(lake)[1].withColumn("file", F.regexp_extract("file", "file=(\\d+)", 1).cast("bigint")))
+
+register("load_certificate_files", with_views("""
+SELECT lmk_key AS certificate_id, uprn, TRY_CAST(inspection_date AS DATE) AS inspection_date, TRY_CAST(asset_rating AS INTEGER) AS asset_rating,
+       asset_rating_band, TRY_CAST(floor_area AS DOUBLE) AS floor_area, property_type, TRUE AS is_latest
+FROM filed WHERE file IN (SELECT file FROM judged WHERE reason IS NULL)""", _feeds("certificate_feed", **_CERT_FILES)))(
+    lambda lake: FD.load_certificates(_certificate_files(lake)[0].drop("_file", "_path"))[1])
+
 # ------------------------------------------------------------------ A5
 
 _HYG = {
-    "he": "SELECT page, unnest(CAST(json_extract(payload, '$.establishments') AS JSON[])) AS est FROM hygiene_payloads",
+    "hp": "SELECT p.*, r.authority FROM hygiene_payloads p ASOF LEFT JOIN hygiene_requests r ON p.landed_at >= r.begun_at",
+    "he": "SELECT page, authority, unnest(CAST(json_extract(payload, '$.establishments') AS JSON[])) AS est FROM hp",
     "hr": """SELECT page, CAST(est->>'FHRSID' AS BIGINT) AS fsa_id, est->>'BusinessName' AS business_name,
        est->>'AddressLine1' AS address_line_1, est->>'PostCode' AS postcode, est->>'RatingValue' AS rating_value,
        TRY_CAST(split_part(est->>'RatingDate', 'T', 1) AS DATE) AS rating_date,
        CAST(TRY_CAST(est->'geocode'->>'latitude' AS DECIMAL(10,6)) AS DOUBLE) AS latitude,
        CAST(TRY_CAST(est->'geocode'->>'longitude' AS DECIMAL(10,6)) AS DOUBLE) AS longitude,
-       CAST(NULL AS VARCHAR) AS local_authority_code FROM he""",
+       authority AS local_authority_code FROM he""",
     "fsa": """SELECT fsa_id, business_name, address_line_1, postcode, rating_value, rating_date, latitude, longitude,
-       local_authority_code FROM (SELECT *, row_number() OVER (PARTITION BY fsa_id ORDER BY page DESC) AS rn
+       local_authority_code FROM (SELECT *, row_number() OVER (PARTITION BY fsa_id ORDER BY local_authority_code DESC NULLS LAST, page DESC) AS rn
        FROM hr WHERE fsa_id IS NOT NULL) WHERE rn = 1""",
 }
 HYGIENE_CTES = _HYG
 
-register("load_hygiene", with_views("SELECT * FROM fsa", _HYG))(
-    lambda lake: PL.load_hygiene(fx.hygiene_payloads(lake)))
+def hygiene_ratings(lake):
+    """Pages belong to the authority whose download was begun last before they landed."""
+    pages = asof_join(fx.hygiene_payloads(lake), fx.hygiene_requests(lake), "landed_at", "begun_at", ["authority"])
+    return PL.load_hygiene(pages, authority_col="authority")
+
+
+register("load_hygiene", with_views("SELECT * FROM fsa", _HYG))(hygiene_ratings)
 
 # ------------------------------------------------------------------ A6
 
@@ -269,32 +302,56 @@ register("load_transport", with_views("SELECT * FROM stops", _TRN))(
 
 # ------------------------------------------------------------- A7 + E6
 
+
+
+def _planning_answers(lake):
+    """Payloads belong to the target property that was asked for last before they landed."""
+    return asof_join(fx.planning_payloads(lake), fx.planning_requests(lake), "landed_at", "asked_at", ["uprn"])
+
+
 _lo, _hi = PL.snipe_window(PLANNING_AS_OF)
 register("load_planning", with_views(f"""
-SELECT application_id, CAST(NULL AS VARCHAR) AS uprn, address, description, status, decision_date, expiry_date,
+SELECT application_id, uprn, address, description, status, decision_date, expiry_date,
        days_remaining, days_remaining > 0 AND days_remaining < 180 AS is_lapsing_soon, url
 FROM (SELECT *, row_number() OVER (PARTITION BY application_id ORDER BY seq DESC) AS rn FROM y) WHERE rn = 1""", {
-    "pe": "SELECT seq, unnest(CAST(json_extract(payload, '$.records') AS JSON[])) AS r FROM planning_payloads",
-    "pg": """SELECT seq, r->>'uid' AS application_id, r->>'status' AS status,
+    "pp": "SELECT p.*, q.uprn FROM planning_payloads p ASOF LEFT JOIN planning_requests q ON p.landed_at >= q.asked_at",
+    "pe": "SELECT seq, uprn, unnest(CAST(json_extract(payload, '$.records') AS JSON[])) AS r FROM pp",
+    "pg": """SELECT seq, uprn, r->>'uid' AS application_id, r->>'status' AS status,
        TRY_CAST(r->>'date_decision' AS DATE) AS decision_date, r->>'address' AS address,
        r->>'description' AS description, r->>'url' AS url FROM pe WHERE r->>'status' = 'Granted'""",
     "x": f"""SELECT *, CAST(decision_date + INTERVAL 1095 DAY AS DATE) AS expiry_date FROM pg
        WHERE decision_date BETWEEN DATE '{_lo}' AND DATE '{_hi}'""",
     "y": f"""SELECT *, CAST(floor((epoch(CAST(expiry_date AS TIMESTAMP)) - epoch(TIMESTAMP '{PLANNING_AS_OF:%Y-%m-%d %H:%M:%S}'))
        / 86400) AS INTEGER) AS days_remaining FROM x""",
-}))(lambda lake: PL.load_planning(fx.planning_payloads(lake), PLANNING_AS_OF).drop("_seq"))
+}))(lambda lake: PL.load_planning(_planning_answers(lake), PLANNING_AS_OF, uprn_col="uprn").drop("_seq"))
 
 # ------------------------------------------------------------------ A8
 
-register("load_company_payloads", with_views("""
+_ITEM_LIST = "CAST(coalesce(json_extract({c}, '$.items'), '[]') AS JSON[])"
+
+register("load_company_payloads", with_views(f"""
 SELECT company_number,
-       CAST(coalesce(json_array_length(json_extract(officers, '$.items')), 0) AS INTEGER) AS n_officers,
-       CAST(coalesce(json_array_length(json_extract(owners, '$.items')), 0) AS INTEGER) AS n_owners,
-       CAST(coalesce(json_array_length(json_extract(charges, '$.items')), 0) AS INTEGER) AS n_charges
+       array_to_string(list_transform({_ITEM_LIST.format(c='officers')}, lambda x: concat(coalesce(x->>'name', '?'), '/', coalesce(x->>'resigned_on', '-'))), '; ') AS officers,
+       array_to_string(list_transform({_ITEM_LIST.format(c='owners')}, lambda x: concat(coalesce(x->>'name', '?'), '/', coalesce(x->>'kind', '-'))), '; ') AS owners,
+       array_to_string(list_transform({_ITEM_LIST.format(c='charges')}, lambda x: concat(coalesce(x->>'status', '?'), '/', coalesce(x->>'created_on', '-'), '/',
+           coalesce(json_extract_string(x, '$.persons_entitled[0].name'), '-'))), '; ') AS charges
 FROM company_payloads"""))(
     lambda lake: PL.load_company_payloads(fx.company_payloads(lake)).select(
-        "company_number", F.size("officers").alias("n_officers"), F.size("owners").alias("n_owners"),
-        F.size("charges").alias("n_charges")))
+        "company_number", *[F.array_join(F.transform(c, f), "; ").alias(c) for c, f in (
+            ("officers", lambda x: F.concat(_or(x["name"], "?"), F.lit("/"), _or(F.try_element_at(x, F.lit("resigned_on")), "-"))),
+            ("owners", lambda x: F.concat(_or(x["name"], "?"), F.lit("/"), _or(x["kind"], "-"))),
+            ("charges", lambda x: F.concat(_or(x["status"], "?"), F.lit("/"), _or(x["created_on"], "-"), F.lit("/"), _or(F.get(x["persons_entitled"], 0)["name"], "-"))))]))
+
+PROFILE_CTES = {"profiles": """
+SELECT company_number, j->>'company_name' AS company_name, j->>'company_status' AS company_status,
+       concat_ws(', ', json_extract_string(j, '$.registered_office_address.address_line_1'), json_extract_string(j, '$.registered_office_address.locality'),
+                 json_extract_string(j, '$.registered_office_address.postal_code')) AS address,
+       TRY_CAST(json_extract_string(j, '$.accounts.last_accounts.made_up_to') AS DATE) AS last_accounts_date,
+       coalesce(array_to_string(json_extract_string(j, '$.sic_codes[*]'), ','), '') AS sic_codes
+FROM (SELECT company_number, CASE WHEN json_valid(profile) THEN CAST(profile AS JSON) END AS j FROM company_payloads)
+WHERE j->>'company_name' IS NOT NULL"""}
+
+register("load_company_profiles", with_views("SELECT * FROM profiles", PROFILE_CTES))(lambda lake: PL.load_company_profiles(fx.company_payloads(lake)))
 
 register("load_search_hits", with_views("""
 SELECT s_name AS query, concat('CH', lpad(CAST(s_suppkey AS VARCHAR), 8, '0')) AS company_number, upper(s_name) AS title,

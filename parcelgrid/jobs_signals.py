@@ -13,7 +13,7 @@ from parcelgrid.functions import signals as S
 from parcelgrid.functions.geo import add_latlng, haversine_sql, latlng_sql
 from parcelgrid.functions.text import levenshtein_ratio_sql as RATIO
 from parcelgrid.functions.text import normalize_address_sql as NORM
-from parcelgrid.jobs_feeds import HYGIENE_CTES, TRANSPORT_CTES
+from parcelgrid.jobs_feeds import HYGIENE_CTES, PROFILE_CTES, TRANSPORT_CTES, hygiene_ratings
 from parcelgrid.operators import graph as G
 from parcelgrid.operators import linkage as L
 from parcelgrid.operators import spatial as SP
@@ -74,14 +74,14 @@ FROM (SELECT company_number, list_filter({_ITEMS.format(c='charges')}, lambda x:
       FROM company_payloads)"""))(lambda lake: CO.charge_summary(_parsed(lake)))
 
 register("corporate_tree", with_views(f"""
-SELECT c.company_number, c.company_name,
+SELECT c.company_number, c.company_name, c.company_status, c.address,
        array_to_string(list_transform(({_ITEMS.format(c='officers')})[1:5], lambda x: coalesce(x->>'name', '')), '; ') AS officers_top,
        array_to_string(list_transform(({_ITEMS.format(c='owners')})[1:5],
            lambda x: concat(coalesce(x->>'name', ''), ' (', coalesce(nullif(x->>'kind', ''), 'INDIVIDUAL'), ')')), '; ') AS owners_top,
        CAST(len({_ITEMS.format(c='officers')}) AS INTEGER) AS n_officers,
        CAST(len({_ITEMS.format(c='owners')}) AS INTEGER) AS n_owners
-FROM corporate_registry c JOIN company_payloads p ON c.company_number = p.company_number"""))(
-    lambda lake: CO.corporate_tree(fx.corporate_registry(lake), _parsed(lake)))
+FROM profiles c JOIN company_payloads p ON c.company_number = p.company_number""", PROFILE_CTES))(
+    lambda lake: CO.corporate_tree(PL.load_company_profiles(fx.company_payloads(lake)), _parsed(lake)))
 
 # ------------------------------------------------------ C9, D10, E11
 
@@ -164,7 +164,7 @@ SELECT postcode, count(*) AS n,
        CAST(sum(CASE WHEN rating_date IS NULL OR rating_date < DATE '{STALENESS_AS_OF.replace(year=STALENESS_AS_OF.year - 2)}' THEN 1 ELSE 0 END) AS BIGINT) AS n_stale,
        round(sum(CASE WHEN rating_date IS NULL OR rating_date < DATE '{STALENESS_AS_OF.replace(year=STALENESS_AS_OF.year - 2)}' THEN 1 ELSE 0 END) / count(*), 4) AS stale_share
 FROM fsa GROUP BY postcode""", HYGIENE_CTES))(
-    lambda lake: SG.hygiene_staleness(PL.load_hygiene(fx.hygiene_payloads(lake)), STALENESS_AS_OF, years=2))
+    lambda lake: SG.hygiene_staleness(hygiene_ratings(lake), STALENESS_AS_OF, years=2))
 
 register("covenant_flag", with_views("""
 SELECT p.uprn, p.title_number, coalesce(c.has_covenant, FALSE) AS has_covenant

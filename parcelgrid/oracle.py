@@ -48,7 +48,7 @@ SELECT p_brand AS postcode, CAST(min(51.3 + (p_partkey % 400) / 1000.0) AS DOUBL
        CAST(400000 + 1000 * min(p_size) AS INT) AS eastings, CAST(200000 + 1000 * max(p_size) AS INT) AS northings
 FROM part GROUP BY p_brand""",
     "hygiene_payloads": """
-SELECT event_id AS page, concat('{"establishments":[{"FHRSID":', CAST(user_id AS VARCHAR),
+SELECT event_id AS page, ts AS landed_at, concat('{"establishments":[{"FHRSID":', CAST(user_id AS VARCHAR),
        ',"BusinessName":"', event_type, '","PostCode":"Brand#', CAST(user_id % 25 + 1 AS VARCHAR),
        '","RatingValue":"', CAST(event_id % 6 AS VARCHAR), '","RatingDate":"', CAST(CAST(ts AS DATE) AS VARCHAR), 'T00:00:00"',
        CASE WHEN event_id % 4 = 0 THEN '' ELSE ',"geocode":{"latitude":"51.5","longitude":"-0.1"}' END, '}]}') AS payload
@@ -59,7 +59,7 @@ SELECT event_id AS seq, CASE WHEN event_id % 3 = 0 THEN 'tube' WHEN event_id % 3
        '","lat":51.5,"lon":-0.1,"lines":[', CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN '{"id":"a"}' ELSE '{"id":"a"},{"id":"b"}' END, ']}]}') AS payload
 FROM events""",
     "planning_payloads": """
-SELECT event_id AS seq, concat('{"records":[{"uid":"PA/', CAST(event_id AS VARCHAR), '","status":"',
+SELECT event_id AS seq, ts AS landed_at, concat('{"records":[{"uid":"PA/', CAST(event_id AS VARCHAR), '","status":"',
        CASE WHEN event_type = 'error' THEN 'Refused' ELSE 'Granted' END, '","date_decision":"', CAST(CAST(ts AS DATE) AS VARCHAR), '"}]}') AS payload
 FROM events""",
     "company_payloads": """
@@ -67,8 +67,21 @@ SELECT concat('S', CAST(s_suppkey AS VARCHAR)) AS company_number,
        concat('{"items":[{"name":"A', CAST(s_suppkey AS VARCHAR), '"},{"name":"B","resigned_on":"2020-01-01"},{"name":"C"}]}') AS officers,
        concat('{"items":[{"name":"Owner ', CAST(s_suppkey AS VARCHAR), '"}]}') AS owners,
        CASE WHEN s_suppkey % 3 = 0 THEN '{}' WHEN s_suppkey % 3 = 1 THEN '{"items":[{"status":"fully-satisfied","created_on":"2019-05-01"}]}'
-            ELSE '{"items":[{"status":"outstanding","created_on":"2021-02-03","persons_entitled":[{"name":"Bank"}]},{"status":"outstanding","created_on":"2022-02-03"}]}' END AS charges
+            ELSE '{"items":[{"status":"outstanding","created_on":"2021-02-03","persons_entitled":[{"name":"Bank"}]},{"status":"outstanding","created_on":"2022-02-03"}]}' END AS charges,
+       CASE WHEN s_suppkey % 10 = 0 THEN NULL WHEN s_suppkey % 10 = 1 THEN '{"errors":[{"error":"company-profile-not-found"}]}'
+            WHEN s_suppkey % 10 = 2 THEN '{"company_name":'
+            WHEN s_suppkey % 10 = 3 THEN concat('{"company_name":"Company ', s_suppkey, '","company_number":"S', s_suppkey, '","registered_office_address":{"locality":"Paris"}}')
+            ELSE concat('{"company_name":"Company ', s_suppkey, '","company_number":"S', s_suppkey, '","company_status":"',
+                        CASE WHEN s_suppkey % 4 = 0 THEN 'dissolved' ELSE 'active' END, '","registered_office_address":{"address_line_1":"', s_suppkey,
+                        ' Main Road","locality":"London","postal_code":"Brand#', s_suppkey % 25 + 1, '"},"accounts":{"last_accounts":{"made_up_to":"2024-03-31"}},"sic_codes":["68100","',
+                        68200 + s_suppkey % 10, '"]}') END AS profile
 FROM supplier""",
+    "planning_requests": """
+SELECT ts AS asked_at, CAST(event_id % (SELECT count(*) FROM part) AS VARCHAR) AS uprn FROM events
+WHERE event_id % 7 = 0 AND CAST(event_id % (SELECT count(*) FROM part) AS VARCHAR) IN (
+  SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE substr('ABCDEFG', CAST(floor(p_size / 8.0) AS INT) + 1, 1) IN ('E', 'F', 'G'))""",
+    "hygiene_requests": """
+SELECT ts AS begun_at, CAST(100 + CAST(floor(event_id / 50) AS BIGINT) % 350 AS VARCHAR) AS authority FROM events WHERE event_id % 50 = 0""",
     "object_listing": """
 SELECT page_id AS seq, concat('raw/', CASE page_id % 3 WHEN 0 THEN 'epc/' WHEN 1 THEN 'ppd/' ELSE '' END, CAST(page_id AS VARCHAR),
        CASE WHEN page_id % 2 = 0 THEN '_certificates.csv' ELSE '_recommendations_certificates.csv' END) AS object_key,

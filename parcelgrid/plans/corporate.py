@@ -35,14 +35,14 @@ def charge_summary(parsed: DataFrame) -> DataFrame:
 
 
 def corporate_tree(profiles: DataFrame, parsed: DataFrame, n: int = TOP_N) -> DataFrame:
-    """Profile + first n officers (resigned kept, as coded) + first n
+    """Profile (name, status and address as its payload says) + first n officers (resigned kept, as coded) + first n
     owners (kind defaults to INDIVIDUAL); no profile -> no row."""
     officers = F.transform(F.slice("officers", 1, n), lambda o: F.coalesce(o["name"], F.lit("")))
     owners = F.transform(F.slice("owners", 1, n), lambda o: F.concat(
         F.coalesce(o["name"], F.lit("")), F.lit(" ("),
         F.coalesce(F.nullif(o["kind"], F.lit("")), F.lit(DEFAULT_OWNER_KIND)), F.lit(")")))
-    return (profiles.select("company_number", "company_name").join(parsed, "company_number")
-            .select("company_number", "company_name",
+    return (profiles.select("company_number", "company_name", "company_status", "address").join(parsed, "company_number")
+            .select("company_number", "company_name", "company_status", "address",
                     F.array_join(officers, "; ").alias("officers_top"),
                     F.array_join(owners, "; ").alias("owners_top"),
                     F.size("officers").alias("n_officers"), F.size("owners").alias("n_owners")))

@@ -8,22 +8,28 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from parcelgrid.functions.text import normalize_address
+from parcelgrid.operators.merge import rejected_units
 from parcelgrid.operators.spatial import grid_cell_sum, nearest
-
-
-def load_counts(batch: DataFrame, accepted_units: DataFrame, unit: str = "_file") -> DataFrame:
-    """Rows per load unit (file) with its accepted flag, plus a total
-    row from the same rollup."""
-    acc = accepted_units.select(unit).distinct().withColumn("_ok", F.lit(True))
-    t = batch.groupBy(unit).agg(F.count(F.lit(1)).alias("rows")).join(acc, unit, "left")
-    t = t.select(unit, "rows", F.coalesce("_ok", F.lit(False)).alias("accepted"))
-    g = t.rollup(unit).agg(F.sum("rows").alias("rows"),
-                           F.sum(F.when(F.col("accepted"), F.col("rows")).otherwise(F.lit(0))).alias("rows_loaded"))
-    return g.select(F.coalesce(unit, F.lit("TOTAL")).alias("unit"), "rows", "rows_loaded")
+from parcelgrid.session import written
+
+
+def load_with_counts(target: DataFrame, batch: DataFrame, key: list[str], unit: str) -> tuple[DataFrame, DataFrame]:
+    """The append of B4 with its counts, taken in the load's own passes: (new target, rows and rows loaded per unit and in total).
+    The feed is scanned once, into a staged table; the totals are observed while that table and the new target are written, the
+    units' rows come from the staged column of their names."""
+    seen, kept = Observation(), Observation()
+    staged = written(batch.observe(seen, F.count(F.lit(1)).alias("rows")), "staged")
+    bad = rejected_units(target, staged, key, unit)
+    good = staged.join(bad, unit, "left_anti").observe(kept, F.count(F.lit(1)).alias("rows"))
+    loaded = written(target.unionByName(good.drop(unit), allowMissingColumns=True), "loaded")
+    per_unit = staged.groupBy(unit).agg(F.count(F.lit(1)).alias("rows")).join(bad.withColumn("_bad", F.lit(True)), unit, "left")
+    total = target.sparkSession.createDataFrame([("TOTAL", seen.get["rows"], kept.get["rows"])], "unit string, rows long, rows_loaded long")
+    counts = per_unit.select(F.col(unit).alias("unit"), "rows", F.when(F.col("_bad"), F.lit(0)).otherwise(F.col("rows")).alias("rows_loaded"))
+    return loaded, counts.unionByName(total)
 
 
 def hygiene_staleness(ratings: DataFrame, as_of: dt.date, years: int = 2) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from parcelgrid.functions.geo import add_latlng
 from parcelgrid.functions.text import PY_WHITESPACE_CLASS
 from parcelgrid.operators.merge import conform, dedup_first, dedup_last
+from parcelgrid.session import written
 
 # Feed column names as published by the sources.
 OWNERSHIP_COLUMNS = [
@@ -64,6 +65,69 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, h
     return df.select("*", file_order(df).alias("_seq"), F.col("_metadata.file_name").alias("_file"))
 
 
+# a field behind its comma: quoted (doubled quotes inside) or without a comma
+_FIELD = r',("(?:[^"]++|"")*+"|[^,]*+)'
+
+
+def _fields(line: Column) -> tuple[Column, Column]:
+    """Fields of a CSV line (an empty unquoted one is null), and whether its quotes are sound."""
+    line = F.concat(F.lit(","), line)
+    raw = F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1))
+    whole = F.aggregate(F.regexp_extract_all(line, F.lit(_FIELD), F.lit(0)), F.lit(0), lambda n, x: n + F.length(x)) == F.length(line)
+    quoted = lambda x: x.startswith('"')
+    closed = ~F.exists(raw, lambda x: x.contains('"') & ~(quoted(x) & x.endswith('"') & (F.length(x) > 1)))
+    value = lambda x: F.when(quoted(x), F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(F.nullif(x, F.lit("")))
+    return F.transform(raw, value), whole & closed
+
+
+def read_files(spark: SparkSession, path: str, columns: list[str] | None = None, min_columns: int = 1,
+               ignore_case: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, verdicts) of a folder of CSV files, each judged for itself: one that cannot be read is set aside whole,
+    and the rest load (the file rule of A2 and A4; rows of readable files go on to ``quarantine``).
+
+    With ``columns`` each file has a header of its own, in any order and among others; without, rows have
+    no header and columns ``_c0``, ``_c1``, ...  A file is set aside, for the first of these reasons, when it is "empty", "not UTF-8",
+    has a "malformed line" (unsound quotes), "missing columns" (header) or "too few columns" (first line under
+    ``min_columns``), or "too many fields" (a line longer than the first).  Shorter lines are filled up with nulls, blank lines skipped.
+
+    The folder is scanned once: lines and their fields are written to the shared folder, and verdicts and rows come from there.
+    Verdicts: file, reason (null: loaded), n_lines (without the header), n_bad (lines that gave a reason of their own)."""
+    text = spark.read.option("recursiveFileLookup", "true").text(path)
+    one_form = lambda c: F.regexp_replace(c, r"^(\w+):/+", "$1:/")  # noqa: E731  file:/ and file:/// are one place
+    lines = text.select(one_form(F.col("_metadata.file_path")).alias("_path"), file_order(text).alias("_seq"), F.is_valid_utf8("value").alias("utf8"),
+                        F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"))
+    fields, sound = _fields(F.col("line"))
+    lines = written(lines.where(F.trim("line") != "")
+                    .select("_path", "_seq", "utf8", F.when(F.col("utf8"), fields).alias("fields"), F.when(F.col("utf8"), sound).alias("sound")), "feed-lines")
+    fold = F.lower if ignore_case else (lambda c: c)
+    first = lines.groupBy("_path").agg(F.min(F.struct("_seq", "fields")).alias("_f"), F.count(F.lit(1)).alias("n_lines"))
+    first = first.select("_path", F.col("_f._seq").alias("_first"), F.transform("_f.fields", lambda c: fold(F.coalesce(c, F.lit("")))).alias("header"),
+                         "n_lines")
+    judged = lines.join(first.select("_path", F.size("header").alias("width")), "_path").groupBy("_path").agg(
+        F.bool_and("utf8").alias("utf8"), F.bool_and("sound").alias("sound"), F.max(F.size("fields") - F.col("width")).alias("over"),
+        F.count_if(~F.col("utf8") | ~F.col("sound") | (F.size("fields") > F.col("width"))).alias("n_bad"))
+    if columns:
+        wanted = F.array(*[fold(F.lit(c)) for c in columns])
+        narrow, why = F.size(F.array_except(wanted, F.col("header"))) > 0, "missing columns"
+    else:
+        narrow, why = F.size("header") < min_columns, "too few columns"
+    reason = (F.when(F.col("n_lines").isNull(), "empty").when(~F.col("utf8"), "not UTF-8").when(~F.col("sound"), "malformed line")
+               .when(narrow, why).when(F.col("over") > 0, "too many fields"))
+    # the reader's own list of files; a scan has no row for one without bytes
+    files = spark.createDataFrame([(f,) for f in text.inputFiles()], "_path string").select(one_form(F.col("_path")).alias("_path"))
+    verdicts = written(files.join(first, "_path", "left").join(judged, "_path", "left").withColumn("reason", reason), "feed-files")
+
+    good = lines.join(verdicts.where(F.col("reason").isNull()).select("_path", "_first", "header"), "_path")
+    if columns:
+        good = good.where(F.col("_seq") != F.col("_first"))
+        picked = [F.get("fields", (F.array_position("header", fold(F.lit(c))) - 1).cast("int")).alias(c) for c in columns]
+    else:
+        picked = [F.get("fields", F.lit(i)).alias(f"_c{i}") for i in range(min_columns)]
+    rows = good.select(*picked, "_seq", F.element_at(F.split("_path", "/"), -1).alias("_file"), "_path")
+    n = F.coalesce("n_lines", F.lit(0)) - (F.when(F.col("n_lines") > 0, 1).otherwise(0) if columns else F.lit(0))
+    return rows, verdicts.select(F.col("_path").alias("file"), "reason", n.cast("long").alias("n_lines"), F.coalesce("n_bad", F.lit(0)).cast("long").alias("n_bad"))
+
+
 def strip_py(c: Column) -> Column:
     """Python str.strip(): all whitespace at both ends."""
     c = F.regexp_replace(c, "^" + PY_WHITESPACE_CLASS + "+", "")

@@ -171,6 +171,19 @@ def load_company_payloads(df: DataFrame, officers: str = "officers", owners: str
                      items(charges, CHARGES_SCHEMA).alias("charges"))
 
 
+def load_company_profiles(df: DataFrame, payload_col: str = "profile") -> DataFrame:
+    """Company profile payloads -> name, status, address, accounts date and trade codes.  Payloads differ in shape, so each is parsed once into
+    a VARIANT and read by path; a payload that is missing, broken or without a company name (not found) gives no row."""
+    v = df.select("company_number", F.try_parse_json(F.col(payload_col)).alias("v"))
+    text = lambda path: F.try_variant_get("v", path, "string")
+    address = F.array_compact(F.array(*[text(f"$.registered_office_address.{x}") for x in ("address_line_1", "locality", "postal_code")]))
+    return v.select(
+        "company_number", text("$.company_name").alias("company_name"), text("$.company_status").alias("company_status"),
+        F.array_join(address, ", ").alias("address"), F.try_to_date(text("$.accounts.last_accounts.made_up_to")).alias("last_accounts_date"),
+        F.array_join(F.coalesce(F.try_variant_get("v", "$.sic_codes", "array<string>"), F.array().cast("array<string>")), ",").alias("sic_codes"),
+    ).where(F.col("company_name").isNotNull())
+
+
 def load_search_hits(df: DataFrame, query_col: str = "query", payload_col: str = "payload") -> DataFrame:
     """Company search payloads -> the top hit per query (or no row)."""
     top = F.get(F.from_json(F.col(payload_col), SEARCH_SCHEMA)["items"], 0)

@@ -95,3 +95,52 @@ def test_csv_columns_are_picked_by_header_name(spark, tmp_path):
     assert [(r["Title Number"], r["Address"], r["Postcode"]) for r in got] == [("T1", '1 "Old" High St, London', "P1")]
     with pytest.raises(ValueError, match="Town"):
         read_csv(spark, str(tmp_path), ["Title Number", "Town"])
+
+
+def _folder(tmp_path, files):
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data if isinstance(data, bytes) else data.encode())
+    return str(tmp_path)
+
+
+def test_bad_files_are_set_aside_whole_and_the_rest_loads(spark, tmp_path):
+    path = _folder(tmp_path, {
+        "good.csv": '﻿a,b\r\n1,"x, ""y"""\r\n\r\n,"z"\n',
+        "other_order.csv": "extra,b,a\nq,2,1\nq,,\n",
+        "short_lines.csv": "a,b\n5\n",
+        "header_only.csv": "a,b\n",
+        "empty.csv": "", "blank.csv": "\n  \n",
+        "no_b.csv": "a,c\n1,2\n",
+        "long_line.csv": "a,b\n1,2\n1,2,3\n",
+        "open_quote.csv": 'a,b\n1,"2\n3,4\n', "after_quote.csv": 'a,b\n1,"2"x\n', "inner_quote.csv": 'a,b\n1,2"x\n',
+        "latin.csv": b"a,b\n1,caf\xe9\n",
+    })
+    rows, verdicts = FD.read_files(spark, path, ["a", "b"])
+    got = {r.file.rsplit("/", 1)[1]: (r.reason, r.n_lines, r.n_bad) for r in verdicts.collect()}
+    assert got == {
+        "good.csv": (None, 2, 0), "other_order.csv": (None, 2, 0), "short_lines.csv": (None, 1, 0), "header_only.csv": (None, 0, 0),
+        "empty.csv": ("empty", 0, 0), "blank.csv": ("empty", 0, 0), "no_b.csv": ("missing columns", 1, 0), "long_line.csv": ("too many fields", 2, 1),
+        "open_quote.csv": ("malformed line", 2, 1), "after_quote.csv": ("malformed line", 1, 1), "inner_quote.csv": ("malformed line", 1, 1),
+        "latin.csv": ("not UTF-8", 1, 1)}
+    assert sorted((r._file, r.a, r.b) for r in rows.orderBy("_file", "a").collect() if r.a) == [
+        ("good.csv", "1", 'x, "y"'), ("other_order.csv", "1", "2"), ("short_lines.csv", "5", None)]
+    assert sorted((r._file, r.b) for r in rows.collect() if r.a is None) == [("good.csv", "z"), ("other_order.csv", None)]
+
+
+def test_files_without_a_header_and_folders_without_files(spark, tmp_path):
+    wide = ",".join("0123456789")
+    (tmp_path / "in").mkdir()
+    path = _folder(tmp_path / "in", {"w.csv": wide + "\n" + wide + "\n", "n.csv": "E1 1AA,10,530000,180000\n", "ragged.csv": "1,2,3,4,5,6,7,8,9\n" + wide + "\n"})
+    rows, verdicts = FD.read_files(spark, path, min_columns=9)
+    assert {r.file.rsplit("/", 1)[1]: r.reason for r in verdicts.collect()} == {"w.csv": None, "n.csv": "too few columns", "ragged.csv": "too many fields"}
+    assert [tuple(r)[:9] for r in rows.collect()] == [tuple("012345678")] * 2
+    assert FD.load_postcodes(rows.drop("_path")).count() == 2
+    (tmp_path / "none").mkdir()
+    assert [f.count() for f in FD.read_files(spark, str(tmp_path / "none"), ["a"])] == [0, 0]
+
+
+def test_rows_of_readable_files_keep_their_order(spark, tmp_path):
+    path = _folder(tmp_path, {f"p{k}.csv": "k,v\n" + "".join(f"k{j % 3},p{k}:{j}\n" for j in range(300)) for k in (1, 2)})
+    rows, _ = FD.read_files(spark, path, ["K", "V"], ignore_case=True)
+    last = {r.K: r.V for r in FD.dedup_last(rows.select("K", "V", "_seq"), ["K"], "_seq").collect()}
+    assert last == {"k0": "p2:297", "k1": "p2:298", "k2": "p2:299"}
