@@ -160,6 +160,26 @@ WHERE rn2 = 1 AND NOT EXISTS (SELECT 1 FROM ownership_records o
         dedup_on=["title_number", "company_number"], seq="_seq"))
 
 
+_OWNED = ["title_number", "company_number", "proprietor_name", "date_registered", "price_paid"]
+
+
+def _numbered_ownership(lake):
+    """The landed records numbered in their order, the feed's rows after them."""
+    have = fx.ownership_records(lake)
+    target = M.surrogate_ids(have, ["seq", *_OWNED]).select("id", *_OWNED)
+    batch = FD.load_ownership(fx.ownership_feed(lake))[1].withColumn("price_paid", F.col("price_paid").cast("double"))
+    return M.append_numbered(target, batch.select(*_OWNED, "_seq"), ["_seq", *_OWNED])
+
+
+register("append_rows_numbered", with_views("""
+SELECT row_number() OVER (ORDER BY seq, title_number, company_number, proprietor_name, date_registered, price_paid) AS id,
+       title_number, company_number, proprietor_name, date_registered, price_paid FROM ownership_records
+UNION ALL
+SELECT (SELECT count(*) FROM ownership_records) + row_number() OVER (ORDER BY _seq, title_number, company_number, proprietor_name, date_registered, price_paid),
+       title_number, company_number, proprietor_name, date_registered, price_paid FROM own_rows""",
+    _feeds("ownership_feed", own_rows=_OWN_ROWS)))(_numbered_ownership)
+
+
 def _quarantine_ownership(lake):
     raw = fx.ownership_feed(lake)
     date_ok = F.try_to_date(F.col("Date Proprietor Added"), FD.OWNERSHIP_DATE_FORMAT).isNotNull()
@@ -190,10 +210,17 @@ _PC_CTES = latlng_sql("postcode_feed")
 _PC_CTES["pc_batch"] = ("SELECT postcode, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, "
                         "CAST(eastings AS INTEGER) AS eastings, CAST(northings AS INTEGER) AS northings, "
                         "district_code, _file FROM located")
-_PC_CTES["clash"] = """
-SELECT _file FROM postcode_feed WHERE postcode IN (SELECT postcode FROM postcode_index)
-UNION SELECT _file FROM (SELECT _file, count(*) OVER (PARTITION BY postcode, _file) AS c,
-                                min(_file) OVER (PARTITION BY postcode) AS mu FROM postcode_feed) WHERE c > 1 OR _file > mu"""
+# files in name order, each against the keys of the files that did load
+_PC_CTES["files"] = """
+SELECT f._file, row_number() OVER (ORDER BY f._file) AS i, f.bad, coalesce(r.rivals, []) AS rivals FROM (
+  SELECT _file, bool_or(postcode IN (SELECT postcode FROM postcode_index)) OR count(*) > count(DISTINCT postcode) AS bad FROM postcode_feed GROUP BY _file) f
+LEFT JOIN (SELECT b._file, list(DISTINCT a._file) AS rivals FROM postcode_feed a JOIN postcode_feed b ON a.postcode = b.postcode AND a._file < b._file
+           GROUP BY b._file) r ON r._file = f._file"""
+_PC_CTES["walk"] = """
+SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS loaded UNION ALL
+SELECT w.i + 1, CASE WHEN f.bad OR list_has_any(f.rivals, w.loaded) THEN w.loaded ELSE list_append(w.loaded, f._file) END
+FROM walk w JOIN files f ON f.i = w.i + 1"""
+_PC_CTES["clash"] = "SELECT _file FROM files WHERE NOT list_contains((SELECT loaded FROM walk ORDER BY i DESC LIMIT 1), _file)"
 
 
 def _postcodes(lake):
@@ -203,7 +230,7 @@ def _postcodes(lake):
 
 register("load_postcodes", with_views(
     "SELECT postcode, latitude, longitude, eastings, northings, district_code FROM pc_batch",
-    _feeds("postcode_feed", **_PC_CTES)))(lambda lake: _postcodes(lake).drop("_file", "_seq"))
+    _feeds("postcode_feed", **_PC_CTES), recursive=True))(lambda lake: _postcodes(lake).drop("_file", "_seq"))
 
 
 def _pc_target(lake):
@@ -217,7 +244,7 @@ SELECT postcode, round(latitude, 6) AS latitude, round(longitude, 6) AS longitud
        CAST(NULL AS VARCHAR) AS district_code FROM postcode_index
 UNION ALL
 SELECT postcode, latitude, longitude, eastings, northings, district_code FROM pc_batch
-WHERE _file NOT IN (SELECT _file FROM clash)""", _feeds("postcode_feed", **_PC_CTES)))(
+WHERE _file NOT IN (SELECT _file FROM clash)""", _feeds("postcode_feed", **_PC_CTES), recursive=True))(
     lambda lake: M.append_reject(_pc_target(lake), _postcodes(lake).drop("_seq"), ["postcode"], "_file"))
 
 
@@ -230,7 +257,7 @@ register("load_counts", with_views("""
 SELECT coalesce(_file, 'TOTAL') AS unit, CAST(sum(n) AS BIGINT) AS rows,
        CAST(sum(CASE WHEN accepted THEN n ELSE 0 END) AS BIGINT) AS rows_loaded
 FROM (SELECT _file, count(*) AS n, _file NOT IN (SELECT _file FROM clash) AS accepted FROM postcode_feed GROUP BY _file)
-GROUP BY ROLLUP (_file)""", _feeds("postcode_feed", **_PC_CTES)))(_load_counts)
+GROUP BY ROLLUP (_file)""", _feeds("postcode_feed", **_PC_CTES), recursive=True))(_load_counts)
 
 # ------------------------------------------------------- A2, B7: files set aside
 

@@ -12,10 +12,10 @@ reduced inside each task before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelgrid.session import shared_dir
+from parcelgrid.session import shared_dir, written
 
 
 def qcol(name: str) -> Column:
@@ -101,6 +101,26 @@ def append_rows(target: DataFrame, batch: DataFrame, dedup_on: list[str] | None
     return target.unionByName(_align(b, target))
 
 
+def surrogate_ids(batch: DataFrame, order: list[str], id_col: str = "id", after: int = 0) -> DataFrame:
+    """Rows numbered ``after`` + 1, ... in the given order, without one window over all rows: range partitions are sorted by
+    themselves, and each begins where the rows of those before it end.  Rows that tie in the order are numbered in an arbitrary one."""
+    spark = batch.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = written(batch.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "numbered")
+    per = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row a partition
+    start = per.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    numbered = placed.withColumn("_own", own).join(F.broadcast(start.select("_part", "_start")), "_part")
+    return numbered.select((F.lit(after) + F.col("_start") + F.col("_own")).cast("long").alias(id_col), *[F.col(c) for c in batch.columns])
+
+
+def append_numbered(target: DataFrame, batch: DataFrame, order: list[str], id_col: str = "id") -> DataFrame:
+    """B3 with its surrogate key: batch rows follow the target's largest id, in the given order."""
+    last = target.agg(F.max(id_col)).first()[0]
+    return target.unionByName(_align(surrogate_ids(batch, order, id_col, last or 0), target))
+
+
 def rejected_units(target: DataFrame, batch: DataFrame, key: list[str], unit: str) -> DataFrame:
     """Units (files) of ``batch`` that do not load when units load in name order: a
     key is already in the target, or twice in the unit, or in an earlier unit that did load.

@@ -161,7 +161,8 @@ SELECT concat('X', CAST(l_orderkey AS VARCHAR)) AS id, CAST(CAST(floor(l_extende
        struct_pack(o := l_orderkey, n := CAST(l_linenumber AS BIGINT), p := l_partkey, s := l_suppkey, d := l_shipdate, x := l_extendedprice) AS _seq
 FROM lineitem""",
     "postcode_feed": """
-SELECT CASE WHEN p_partkey % 997 = 0 THEN p_brand WHEN p_partkey % 991 = 0 THEN concat('PC', CAST(p_partkey + 1 AS VARCHAR))
+SELECT CASE WHEN p_partkey % 997 = 0 THEN p_brand
+            WHEN p_partkey % 991 = 0 OR (p_partkey % 100 = 99 AND (p_partkey // 100) % 7 IN (1, 2, 3)) THEN concat('PC', CAST(p_partkey + 1 AS VARCHAR))
             ELSE concat('PC', CAST(p_partkey AS VARCHAR)) END AS postcode,
        400000 + (p_partkey * 7) % 100000 AS eastings, 100000 + (p_partkey * 13) % 800000 AS northings,
        concat('D', CAST(p_partkey % 33 AS VARCHAR)) AS district_code,

@@ -102,3 +102,15 @@ def test_quarantine_splits_with_first_reason(spark):
                                 "no_b": F.col("b").isNull()})
     assert rows(good) == [("1", "x")]
     assert sorted(((r.a, r._reason) for r in bad.collect()), key=str) == sorted([(None, "no_a"), ("z", "bad_a")], key=str)
+
+
+def test_surrogate_ids_are_dense_and_ordered(spark):
+    from parcelgrid.operators.merge import append_numbered, surrogate_ids
+    rows = [(i * 7919 % 1000, f"v{i}") for i in range(1000)]
+    got = surrogate_ids(spark.createDataFrame(rows, "k int, v string").repartition(7), ["k"], after=40).orderBy("id").collect()
+    assert [(r.id, r.k) for r in got] == [(41 + i, i) for i in range(1000)]
+    target = spark.createDataFrame([(5, "a"), (9, "b")], "id long, v string")
+    out = append_numbered(target, spark.createDataFrame([("y", 2), ("x", 1)], "v string, n int").select("v", "n"), ["n"])
+    assert sorted(tuple(r) for r in out.collect()) == [(5, "a"), (9, "b"), (10, "x"), (11, "y")]
+    none = append_numbered(target.limit(0), spark.createDataFrame([], "v string, n int"), ["n"])
+    assert none.collect() == []
