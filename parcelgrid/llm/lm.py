@@ -1,26 +1,26 @@
 """Language-model scores by stupid backoff, computed with grouped counts and joins.
 
-Every word keeps its own count.  The most frequent words (``near`` or fewer) have small numbers and their counts are shipped to the
-tasks; all others are known by a 63-bit hash of their bytes, and their counts stay in a table that is joined like the bigrams.
-Only if the caller sets ``vocabulary`` are the words below its count scored as one unknown word.
-Bigram counts come from all texts and are written partitioned by key hash; the texts'
-bigrams are exploded, joined to the table by key and summed per text.  A bigram is in the table when it occurs in
-``min_docs`` texts or more, so a text is not scored by what only it contains; other bigrams back off.
-
     S(w | v) = c(vw) / c(v)        if vw is in the table
              = alpha * c(w) / N    otherwise; the first word of a text: c(w) / N
 
-Logarithms add up, so the sum is rearranged: all words get the backed-off score, and a bigram
-in the table adds the difference to its own score, a property of the bigram that is stored with it.
+Words and bigrams are n-grams of one kind: each has a key, a 64-bit hash of its words (two n-grams of one key would count as one; no check
+follows).  Logarithms add up, so a text's score is a sum over its n-grams: its bigrams' ln c, less ln c of every word but
+the last, plus ln c of the first word, less ln N.
+
+``score`` counts and scores the same texts.  Their n-grams are exploded once into (key, row, n) and dealt out by key once; the count table
+and the rows that it is joined to both read that one shuffle, and the products are summed per row within a task before the
+second, small shuffle.  Every n-gram of the texts is in the table then, so nothing backs off.
+``score_against`` scores texts by the counts of another corpus; there bigrams that the corpus lacks back off.
 
-The most frequent bigrams (a fixed number, so a proven bound) are shipped to the tasks and
-added up before any shuffle: they hold the hot keys and a large part of the occurrences.  All others are joined, except keys
-with a far word that a shipped bit table of fixed size shows to have no gain.
+Hot keys: the ``HOT`` most frequent n-grams of every ``EVERY``-th text are counted over all texts, shipped with their
+counts and added up where the text is read, so they never are keys of the shuffle.  Which ones these are changes no score.  The
+``NEAR`` most frequent words of that sample are shipped with their hashes, which only saves time.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -28,37 +28,33 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, named, release_shuffles, slices, words, written
+from .common import named, release_shuffles
 
 ALPHA = 0.4
-MIN_DOCS = 2
-#: words whose counts are shipped; a word costs some 100 bytes in a task
-VOCABULARY = 1 << 17
-#: bigrams shipped to the tasks, 16 bytes each
-HOT = 1 << 18
-_SHIFT = 32
-#: second half of the key of a far word itself; no word has this number
-_WORD = 1 << 62
-
+#: n-grams and words that are shipped, 16 and some 100 bytes each in a task
+HOT = 1 << 16
+NEAR = 1 << 16
+EVERY = 64
+_SLICE = 256
+#: kinds of exploded rows: a bigram, a word (and how often it is the first or last of the text), a text
+_PAIR, _WORD, _TEXT = 0, 1, 9
 
-#: bits of the table of keys with a far word; when most are set it spares no work, and no score changes
-SPOTS = 1 << 25
 
+def word_hashes(found: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words."""
+    return pd.util.hash_array(np.array([*found, None], dtype=object)[:-1], categorize=False)
 
-def far_ids(found: list[bytes]) -> np.ndarray:
-    """Negative numbers of words without a shipped count."""
-    hashes = pd.util.hash_array(np.array([*found, None], dtype=object)[:-1], categorize=False)
-    return hashes.view(np.int64) | np.int64(-1 << 63)
 
-
-def spots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Place of a key in the bit table."""
-    x = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    return ((x >> np.uint64(32)) % np.uint64(SPOTS)).astype(np.int64)
+def pair_keys(h: np.ndarray) -> np.ndarray:
+    """Keys of the bigrams of a text from the hashes of its words."""
+    x = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + (h[1:] ^ (h[1:] >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
 class Numbers(dict):
@@ -69,209 +65,195 @@ class Numbers(dict):
 
 
 @dataclass
-class Model:
-    """Words (joined by a space, in the order of their numbers from 1) and counts (0 is the unknown word if ``folded``)."""
+class Shipped:
+    """Frequent words (joined by a space), and the hot keys in ascending order with the logarithm of their counts."""
 
     words: bytes
-    counts: np.ndarray
-    total: int
-    alpha: float
-    folded: bool
+    keys: np.ndarray
+    logs: np.ndarray
 
     @cached_property
     def numbers(self) -> Numbers:
         """Made once in a worker process; the driver never needs it."""
         return Numbers((w, i + 1) for i, w in enumerate(self.words.split()))
 
-    def ids(self, text: str | None) -> np.ndarray:
-        found = (text or "").encode().split()
-        out = np.array(list(map(self.numbers.__getitem__, found)), dtype=np.int64)
-        if not self.folded:
-            far = np.flatnonzero(out == 0)
-            out[far] = far_ids([found[i] for i in far])
-        return out
+    @cached_property
+    def near(self) -> np.ndarray:
+        return np.concatenate(([np.uint64(0)], word_hashes(self.words.split())))
 
-    def logs(self, ids: np.ndarray) -> np.ndarray:
-        """ln c of words; 0 for far ones."""
-        out = np.zeros(len(ids))
-        near = ids >= 0
-        out[near] = np.log(self.counts[ids[near]])
+    def hashes(self, text: str | None) -> np.ndarray:
+        found = (text or "").encode().split()
+        ids = np.array(list(map(self.numbers.__getitem__, found)), dtype=np.int64)
+        out = self.near[ids]
+        far = np.flatnonzero(ids == 0)
+        if len(far):
+            out[far] = word_hashes([found[i] for i in far])
         return out
 
-    def gain(self, a: np.ndarray, b: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """ln S(own) - ln S(backed off) of bigrams with the given counts, without the counts of far words."""
-        near = (a >= 0) & (b == 0)
-        before, word = np.where(near, a >> _SHIFT, a), np.where(near, a & ((1 << _SHIFT) - 1), b)
-        return np.log(counts) - self.logs(before) - math.log(self.alpha) - self.logs(word) + math.log(self.total)
-
-
-def _summed(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys (a, b), the sum of ``n`` and the number of rows of each."""
-    order = np.lexsort((a, b))
-    a, b, n = a[order], b[order], n[order]
-    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(a) else np.zeros(0, np.int64)
-    return a[first], b[first], np.add.reduceat(n, first) if len(first) else n, np.diff(np.append(first, len(a)))
-
-
-def bigrams(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct bigram keys (a, b) of a text and how often each occurs, those of two near words first and sorted.  Two near words have both
-    numbers in ``a`` and 0 in ``b``; with a far word ``a`` and ``b`` are the two words."""
-    before, word = ids[:-1], ids[1:]
-    far = (before < 0) | (word < 0)
-    near, n = np.unique((before[~far] << _SHIFT) | word[~far], return_counts=True)
-    a, b, m, _ = _summed(before[far], word[far], np.ones(int(far.sum()), np.int64))
-    return np.concatenate((near, a)), np.concatenate((np.zeros(len(near), np.int64), b)), np.concatenate((n, m))
+    def hot(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key among the hot ones, -1 for others."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) over all texts; counted inside the tasks before the shuffle."""
-    return docs.select(F.explode(words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+def ngrams(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different n-grams of a text with words: keys, how often each occurs, and its kind: ``_PAIR``, or for a word ``_WORD`` plus one each if it is the
+    first and the last of the text."""
+    pairs, n_pairs = np.unique(pair_keys(h), return_counts=True)
+    words, n_words = np.unique(h.view(np.int64), return_counts=True)
+    kind = np.full(len(words), _WORD)
+    for end in (h[:1], h[-1:]):
+        kind[np.searchsorted(words, end.view(np.int64))] += 1
+    return np.concatenate((pairs, words)), np.concatenate((n_pairs, n_words)), np.concatenate((np.full(len(pairs), _PAIR), kind))
 
 
-def least_count(counts: DataFrame, most: int) -> int:
-    """The smallest ``n`` that leaves ``most`` rows or fewer at or above it.  Only the number of rows per count comes to
-    the driver (as many as there are different counts, at most the root of twice their sum)."""
-    per = counts.groupBy("n").agg(F.count("*").alias("rows")).toPandas().sort_values("n", ascending=False)
-    fits = per["n"][per["rows"].cumsum() <= most]
-    return int(fits.iloc[-1]) if len(fits) else 1 << 62
+def weights(n: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """How often ln c of an n-gram counts in the text's score."""
+    return np.where(kind == _PAIR, n, kind - _WORD - n)
 
 
-def frequent(counts: DataFrame, most: int) -> DataFrame:
-    """Rows of a count table with the largest ``n``, ``most`` or fewer."""
-    return counts.where(F.col("n") >= least_count(counts, most))
+def _weight(n: Column, kind: Column) -> Column:
+    return F.when(kind == _PAIR, n).otherwise(kind - _WORD - n)
 
 
-def _pairs(model):
-    """(a, b, n, docs) of the bigrams of some texts at a time."""
+def _frequent(texts: DataFrame, near: int, hot: int) -> Shipped:
+    """Words and keys that are most frequent in every ``EVERY``-th text, at most ``near`` and ``hot``; counts to follow."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        plain = Shipped(b"", np.zeros(0, np.int64), np.zeros(0))
+        words: Counter = Counter()
+        keys: Counter = Counter()
         for batch in batches:
-            texts = batch.column(0)
-            for at in range(0, len(texts), 512):
-                each = [bigrams(m.ids(t)) for t in texts.slice(at, 512).to_pylist()]
-                found = _summed(*(np.concatenate([x[k] for x in each]) for k in range(3)))
-                if len(found[0]):
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b", "n", "docs"])
-    return run
-
+            for text in batch.column(0):
+                words.update((text.as_py() or "").split())
+                h = plain.hashes(text.as_py())
+                if len(h):
+                    k, n, _ = ngrams(h)
+                    keys.update(dict(zip(k.tolist(), n.tolist(), strict=True)))
+        for found, names in ((words.most_common(2 * near), True), (keys.most_common(2 * hot), False)):
+            if found:
+                some, n = zip(*found, strict=True)
+                none = [None] * len(some)
+                yield pa.RecordBatch.from_arrays([pa.array(some if names else none, pa.string()), pa.array(none if names else some, pa.int64()), pa.array(n, pa.int64())],
+                                                 names=["word", "key", "n"])
+
+    some = texts.where(F.monotonically_increasing_id() % EVERY == 0)
+    # the driver takes the ``near`` + ``hot`` rows it ships
+    found = some.mapInArrow(run, "word string, key long, n long").groupBy("word", "key").agg(F.sum("n").alias("n"))
+    words = found.where(F.col("word").isNotNull() & ~F.col("word").rlike(r"[\x1c-\x1f\x85\xa0]")).orderBy(F.col("n").desc(), "word").limit(near).select("word").toPandas()["word"] if near else []
+    keys = found.where(F.col("key").isNotNull()).orderBy(F.col("n").desc(), "key").limit(hot).select("key").toPandas()["key"].to_numpy(np.int64) if hot else np.zeros(0, np.int64)
+    keys = np.sort(keys)
+    return Shipped(" ".join(w for w in words if len(w.encode().split()) == 1).encode(), keys, np.zeros(len(keys)))
+
+
+def _count(texts: DataFrame, shipped: Shipped) -> tuple[Shipped, int]:
+    """The hot keys with their counts over all texts, and the number of words; a task sends one row a key."""
+    held = texts.sparkSession.sparkContext.broadcast(shipped)
 
-def _gains(model):
-    @F.pandas_udf(T.DoubleType())
-    def run(a: pd.Series, b: pd.Series, counts: pd.Series) -> pd.Series:
-        return pd.Series(model.value.gain(a.to_numpy(), b.to_numpy(), counts.to_numpy()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = held.value
+        total = np.zeros(len(s.keys) + 1, dtype=np.int64)  # the last place counts words
+        for batch in batches:
+            for text in batch.column(0):
+                h = s.hashes(text.as_py())
+                total[-1] += len(h)
+                if len(h) and len(s.keys):
+                    at = s.hot(np.concatenate((pair_keys(h), h.view(np.int64))))
+                    np.add.at(total, at[at >= 0], 1)
+        at = np.flatnonzero(total)
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+
+    rows = texts.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(len(shipped.keys) + 1, dtype=np.int64)
+    out[rows["at"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    held.unpersist()
+    return Shipped(shipped.words, shipped.keys, np.log(np.maximum(out[:-1], 1))), int(out[-1])
+
+
+def _exploded(held, log_total: float):
+    """(id, row, text) -> per text one row of its own (its words and the part of its score that needs no join) and one for each n-gram that is not hot."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = held.value
+        for whole in batches:
+            for start in range(0, whole.num_rows, _SLICE):
+                batch = whole.slice(start, _SLICE)
+                rows, found, parts, sizes = batch.column(1).to_numpy(), [], [], []
+                for text in batch.column(2).to_pylist():
+                    h = s.hashes(text)
+                    sizes.append(len(h))
+                    if not len(h):
+                        parts.append(0.0)
+                        found.append((np.zeros(0, np.int64),) * 3)
+                        continue
+                    keys, n, kind = ngrams(h)
+                    at = s.hot(keys)
+                    hot = at >= 0
+                    parts.append(float((weights(n[hot], kind[hot]) * s.logs[at[hot]]).sum()) - log_total)
+                    found.append((keys[~hot], n[~hot], kind[~hot]))
+                each = np.array([len(k) for k, _, _ in found])
+                keys, n, kind = (np.concatenate([f[k] for f in found]) for k in range(3))
+                size, none = len(keys), len(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([batch.column(0), pa.nulls(size, batch.column(0).type)]), pa.array(np.concatenate((rows, np.repeat(rows, each)))),
+                     pa.array(np.concatenate((rows * np.int64(-7046029254386353131), keys))), pa.array(np.concatenate((sizes, n)).astype(np.int32)),
+                     pa.array(np.concatenate((np.full(none, _TEXT), kind)).astype(np.int8)),
+                     pa.concat_arrays([pa.array(parts, pa.float64()), pa.nulls(size, pa.float64())])], names=["id", "row", "key", "n", "kind", "part"])
     return run
 
 
-@F.pandas_udf(T.LongType())
-def _far_ids(found: pd.Series) -> pd.Series:
-    return pd.Series(far_ids([w.encode() for w in found]))
-
-
-@F.pandas_udf(T.LongType())
-def _spots(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series(spots(a.to_numpy(), b.to_numpy()))
-
-
-def _bit_table(gains: DataFrame) -> np.ndarray:
-    """Bits of the keys that have a gain; a key without its bit has none.  At most SPOTS / 64 rows come to the driver."""
-    at = gains.select(_spots("a", "b").alias("spot"))
-    per = at.groupBy(F.expr("shiftright(spot, 6)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(spot & 63 AS INT)))").alias("bits")).toPandas()
-    out = np.zeros(SPOTS >> 6, np.int64)
-    out[per["at"].to_numpy(np.int64)] = per["bits"].to_numpy(np.int64)
-    return out
-
-
-def _with_far_counts(table: DataFrame, far: DataFrame) -> DataFrame:
-    """The bigrams (a, b, gain) with a far word, their gains completed by the counts of the far words.  A row is joined by
-    its far words only, so no frequent word is a join key."""
-    first, second = (far.select(F.col("h").alias("h" + k), F.col("n").alias("n" + k)) for k in "ab")
-    rows = table.withColumns({"ka": F.when(F.col("a") < 0, F.col("a")).otherwise(F.col("b")),
-                              "kb": F.when(F.col("b") < 0, F.col("b")).otherwise(F.col("a"))})
-    j = rows.join(first, F.col("ka") == F.col("ha")).join(second, F.col("kb") == F.col("hb"))
-    gain = F.col("gain") - F.when(F.col("a") < 0, F.log("na")).otherwise(0.0) - F.when(F.col("b") < 0, F.log("nb")).otherwise(0.0)
-    return j.select("a", "b", gain.alias("gain"))
-
-
-def _text_parts(model, hottest):
-    """Per text: its words, the score without table joins, and the bigrams and far words still to be joined."""
-    kind = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("part", T.DoubleType()),
-                         *(T.StructField(c, T.ArrayType(T.LongType())) for c in ("a", "b", "tf"))])
-
-    @F.pandas_udf(kind)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m, (hot_keys, hot_gains, bits) = model.value, hottest.value
-        for texts in slices(batches):
-            out = []
-            for t in texts:
-                ids = m.ids(t)
-                n = len(ids)
-                part = float(m.logs(ids).sum()) - n * math.log(m.total) + max(0, n - 1) * math.log(m.alpha) if n else 0.0
-                a, b, tf = bigrams(ids)
-                if len(hot_keys) and len(a):
-                    at = np.minimum(np.searchsorted(hot_keys, a), len(hot_keys) - 1)
-                    hot = (hot_keys[at] == a) & (b == 0)
-                    part += float((hot_gains[at[hot]] * tf[hot]).sum())
-                    a, b, tf = a[~hot], b[~hot], tf[~hot]
-                far, n_far = np.unique(ids[ids < 0], return_counts=True)
-                a, b, tf = np.concatenate((a, far)), np.concatenate((b, np.full(len(far), _WORD))), np.concatenate((tf, n_far))
-                spot = spots(a, b)
-                open_ = ((a >= 0) & (b == 0)) | ((bits[spot >> 6] >> (spot & 63) & 1) == 1)
-                out.append((n, part, a[open_], b[open_], tf[open_]))
-            yield pd.DataFrame(out, columns=["n_words", "part", "a", "b", "tf"])
-    return run
-
+def _result(summed: DataFrame, id_col: str) -> DataFrame:
+    mean = F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))
+    return summed.select(F.col("id").alias(id_col), "n_words", "log_score", mean.alias("mean_log_score"))
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, min_docs: int = MIN_DOCS,
-          vocabulary: int | None = None, hot: int = HOT, near: int = VOCABULARY) -> DataFrame:
-    """One row per row of ``docs``: id, n_words, log_score (sum of ln S over the words) and mean_log_score.
 
-    Every word is counted as itself; ``near`` and ``hot`` only say how many words and bigrams are shipped and change no score.  With a
-    ``vocabulary`` the words outside its most frequent ones are scored as one unknown word instead.
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, near: int = NEAR) -> DataFrame:
+    """One row per row of ``docs``: id, n_words, log_score (sum of ln S over the words) and mean_log_score, by the counts of all texts.
 
     Null and blank texts have no words, score 0 and a null mean.  Rows that repeat (same id or text) are
     texts of their own and are counted as such; null ids are allowed; an empty
     table gives no rows; further columns are not read; very long texts are scored whole."""
     spark = docs.sparkSession
-    sc = spark.sparkContext
     rows = docs.select(named(docs, id_col).alias("id"), named(docs, text_col).alias("text"))
-    known = written(word_counts(rows), "word-counts")
-    total = known.agg(F.sum("n")).first()[0] or 0
-    folded = vocabulary is not None
-    least = least_count(known, vocabulary if folded else near)
-    top = known.where(F.col("n") >= least).toPandas()  # at most ``vocabulary`` or ``near`` rows
-    counts = np.concatenate(([total - top["n"].sum() if folded else 1], top["n"])).astype(np.float64)
-    shared = sc.broadcast(Model(" ".join(top["word"]).encode(), counts, total, alpha, folded))
-    del top
-    release_shuffles(spark)
-
-    pair = rows.select("text").mapInArrow(_pairs(shared), "a long, b long, n long, docs long")
-    table = pair.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
-    table = written(table.select("a", "b", "n", _gains(shared)("a", "b", "n").alias("gain")), "bigrams")
-    release_shuffles(spark)
-    of_far = (F.col("a") < 0) | (F.col("b") < 0)
-    top = frequent(table.where(~of_far), hot).select("a", "gain").toPandas().sort_values("a")  # at most ``hot`` rows
-    gains, bits = table.where(~of_far).select("a", "b", "gain"), np.zeros(SPOTS >> 6, np.int64)
-    if not folded:
-        far = known.where(F.col("n") < least).select(_far_ids("word").alias("h"), "n").groupBy("h").agg(F.sum("n").alias("n"))
-        far = written(far, "far-words")
-        # a word that occurs once adds ln 1 and needs no row
-        alone = far.where("n > 1").select(F.col("h").alias("a"), F.lit(_WORD).alias("b"), F.log("n").alias("gain"))
-        of_words = written(_with_far_counts(table.where(of_far).select("a", "b", "gain"), far).unionByName(alone), "far-gains")
-        bits = _bit_table(of_words)
-        gains = gains.unionByName(of_words)
-        discard(spark, far)
-    hottest = sc.broadcast((top["a"].to_numpy(np.int64), top["gain"].to_numpy(np.float64), bits))
-    del top, bits
-    discard(spark, known)
+    shipped, total = _count(rows.select("text"), _frequent(rows.select("text"), near, hot))
+    held = spark.sparkContext.broadcast(shipped)
     release_shuffles(spark)
 
-    parts = rows.select("id", F.monotonically_increasing_id().alias("row"), _text_parts(shared, hottest)("text").alias("p"))
-    left = parts.select("id", "row", "p.n_words", "p.part", F.explode_outer(F.arrays_zip("p.a", "p.b", "p.tf")).alias("g"))
-    # texts with nothing left to join get keys of their own, spread over the partitions
-    left = left.select("id", "row", "n_words", "part", F.coalesce("g.a", -1 - F.col("row")).alias("a"),
-                       F.coalesce("g.b", F.lit(_WORD + 1)).alias("b"), F.col("g.tf").alias("tf"))
-    hit = left.join(gains, ["a", "b"], "left")
-    out = hit.groupBy("row", "id").agg(F.first("n_words").alias("n_words"),
-                                       (F.first("part") + F.coalesce(F.sum(F.col("gain") * F.col("tf")), F.lit(0.0))).alias("log_score"))
-    mean = F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))
-    return out.select(F.col("id").alias(id_col), "n_words", "log_score", mean.alias("mean_log_score"))
+    schema = T.StructType([rows.schema["id"], *(T.StructField(c, t) for c, t in (
+        ("row", T.LongType()), ("key", T.LongType()), ("n", T.IntegerType()), ("kind", T.ByteType()), ("part", T.DoubleType())))])
+    dealt = (rows.select("id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(_exploded(held, math.log(max(total, 1))), schema)
+             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key"))
+    counts = dealt.groupBy("key").agg(F.sum(F.when(F.col("kind") != _TEXT, F.col("n"))).alias("c"))
+    joined = dealt.join(counts.hint("shuffle_hash"), "key")
+    part = F.when(F.col("kind") == _TEXT, F.col("part")).otherwise(_weight(F.col("n"), F.col("kind").cast("int")) * F.log("c"))
+    own = lambda c: F.max(F.when(F.col("kind") == _TEXT, F.col(c)))  # noqa: E731  each text has one row of its own
+    return _result(joined.groupBy("row").agg(own("id").alias("id"), own("n").cast("long").alias("n_words"), F.sum(part).alias("log_score")), id_col)
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("v", T.LongType()), T.StructField("w", T.LongType()), T.StructField("n", T.LongType())])))
+def _bigrams(texts: pd.Series) -> pd.Series:
+    plain = Shipped(b"", np.zeros(0, np.int64), np.zeros(0))
+    out = []
+    for text in texts:
+        h = plain.hashes(text).view(np.int64).tolist()
+        out.append([{"v": v, "w": w, "n": n} for (v, w), n in Counter(zip([0, *h[:-1]], h, strict=True)).items()])
+    return pd.Series(out)
+
+
+def score_against(docs: DataFrame, corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA) -> DataFrame:
+    """Scores of ``docs`` as in :func:`score`, by the counts of ``corpus``: a bigram that the corpus lacks backs off to alpha * c(w) / N, and a word that it
+    lacks counts as if it occurred once.  The first word of a text is a bigram with nothing before it."""
+    pairs = lambda df, *keep: df.select(*keep, F.explode_outer(_bigrams(named(df, text_col))).alias("g")).select(*keep, "g.*")
+    known = pairs(corpus).where(F.col("w").isNotNull()).groupBy("v", "w").agg(F.sum("n").alias("c"))
+    words = known.groupBy("w").agg(F.sum("c").alias("c"))
+    total = words.agg(F.sum("c")).first()[0] or 1
+    rows = docs.select(named(docs, id_col).alias("id"), named(docs, text_col).alias(text_col), F.monotonically_increasing_id().alias("row"))
+    asked = pairs(rows, "id", "row")
+    seen = asked.join(known.where(F.col("v") != 0), ["v", "w"], "left")
+    of = lambda name: words.select(F.col("w").alias(name), F.col("c").alias("c" + name))
+    full = seen.join(of("v"), "v", "left").join(of("w"), "w", "left")
+    single = F.log(F.coalesce("cw", F.lit(1)) / F.lit(float(total)))
+    s = F.when(F.col("w").isNull(), F.lit(0.0)).when(F.col("v") == 0, single).when(F.col("c").isNotNull(), F.log(F.col("c") / F.col("cv"))).otherwise(single + math.log(alpha))
+    return _result(full.groupBy("row").agg(F.first("id").alias("id"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_words"),
+                                           F.sum(F.coalesce("n", F.lit(0)) * s).alias("log_score")), id_col)

@@ -2,28 +2,16 @@
 
 from __future__ import annotations
 
-from .lm import ALPHA, MIN_DOCS, VOCABULARY
-
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 _OP4 = rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
 pos AS (SELECT rid, generate_subscripts(w, 1) AS i, unnest(w) AS word FROM docs),
-counts AS (SELECT word, count(*) AS n FROM pos GROUP BY word),
-fits AS (SELECT min(n) AS least FROM (SELECT n, sum(count(*)) OVER (ORDER BY n DESC) AS words FROM counts GROUP BY n) WHERE words <= {VOCABULARY}),
-top AS (SELECT word, n FROM counts WHERE n >= (SELECT least FROM fits)),
-total AS (SELECT count(*) AS n FROM pos),
-uni AS (SELECT word, n FROM top UNION ALL SELECT NULL, (SELECT n FROM total) - (SELECT sum(n) FROM top)),
-known AS (SELECT p.rid, p.i, t.word FROM pos p LEFT JOIN top t ON p.word = t.word),
-bi AS (SELECT a.rid, a.i AS i, b.word AS v, a.word AS w FROM known a JOIN known b ON a.rid = b.rid AND a.i = b.i + 1),
-big AS (SELECT v, w, count(*) AS n FROM bi GROUP BY v, w HAVING count(DISTINCT rid) >= {MIN_DOCS}),
-scored AS (
-  SELECT k.rid, CASE WHEN g.n IS NOT NULL THEN ln(g.n) - ln(cv.n)
-                     ELSE ln(cw.n) - ln((SELECT n FROM total)) + CASE WHEN k.i > 1 THEN ln({ALPHA}) ELSE 0 END END AS s
-  FROM known k JOIN uni cw ON cw.word IS NOT DISTINCT FROM k.word
-  LEFT JOIN bi b ON b.rid = k.rid AND b.i = k.i
-  LEFT JOIN big g ON g.v IS NOT DISTINCT FROM b.v AND g.w IS NOT DISTINCT FROM b.w AND b.rid IS NOT NULL
-  LEFT JOIN uni cv ON cv.word IS NOT DISTINCT FROM b.v AND b.rid IS NOT NULL),
+uni AS (SELECT word, count(*) AS n FROM pos GROUP BY word),
+pairs AS (SELECT b.rid, b.i, a.word AS v, b.word AS w FROM pos b LEFT JOIN pos a ON a.rid = b.rid AND b.i = a.i + 1),
+big AS (SELECT v, w, count(*) AS n FROM pairs WHERE v IS NOT NULL GROUP BY v, w),
+scored AS (SELECT p.rid, CASE WHEN p.v IS NULL THEN ln(cw.n) - ln((SELECT count(*) FROM pos)) ELSE ln(g.n) - ln(cv.n) END AS s
+           FROM pairs p JOIN uni cw ON cw.word = p.w LEFT JOIN uni cv ON cv.word = p.v LEFT JOIN big g ON g.v = p.v AND g.w = p.w),
 sums AS (SELECT rid, sum(s) AS s FROM scored GROUP BY rid)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, round(coalesce(s.s, 0.0), 4) AS log_score,
        CASE WHEN len(d.w) > 0 THEN round(s.s / len(d.w), 6) END AS mean_log_score
