@@ -7,14 +7,14 @@ Words and bigrams are n-grams of one kind: each has a key, a 64-bit hash of its
 follows).  Logarithms add up, so a text's score is a sum over its n-grams: its bigrams' ln c, less ln c of every word but
 the last, plus ln c of the first word, less ln N.
 
-``score`` counts and scores the same texts.  Their n-grams are exploded once into (key, row, n) and dealt out by key once; the count table
-and the rows that it is joined to both read that one shuffle, and the products are summed per row within a task before the
-second, small shuffle.  Every n-gram of the texts is in the table then, so nothing backs off.
-``score_against`` scores texts by the counts of another corpus; there bigrams that the corpus lacks back off.
-
-Hot keys: the ``HOT`` most frequent n-grams of every ``EVERY``-th text are counted over all texts, shipped with their
-counts and added up where the text is read, so they never are keys of the shuffle.  Which ones these are changes no score.  The
-``NEAR`` most frequent words of that sample are shipped with their hashes, which only saves time.
+``score`` counts and scores the same texts.  Their n-grams are exploded once into (key, text, n) and dealt out by key once.  A partition then holds
+all rows of its keys: it counts them, joins the counts back to the rows and adds up per text, and a second, smaller shuffle
+adds the parts of each text.  On the way the rows travel as blocks, arrays of one partition's rows from up to ``BLOCK`` rows of a task, about a third of
+the bytes of single rows.  Every n-gram of the texts is in the table then, so nothing backs off.
+``score_against`` scores texts by the counts of another corpus, with plain joins; there bigrams that the corpus lacks back off.
+
+Hot keys: the ``NEAR`` most frequent words and ``HOT`` most frequent bigrams of every ``EVERY``-th text are counted over all texts, shipped with their
+counts and added up where the text is read, so they never are keys of the shuffle.  Which ones these are changes no score.
 """
 
 from __future__ import annotations
@@ -22,26 +22,32 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import named, release_shuffles
+from .common import discard, named, release_shuffles, written
 
 ALPHA = 0.4
-#: n-grams and words that are shipped, 16 and some 100 bytes each in a task
+#: bigrams and words that are shipped, 16 and some 100 bytes each in a task
 HOT = 1 << 16
-NEAR = 1 << 16
-EVERY = 64
-_SLICE = 256
-#: kinds of exploded rows: a bigram, a word (and how often it is the first or last of the text), a text
-_PAIR, _WORD, _TEXT = 0, 1, 9
+NEAR = 1 << 17
+EVERY = 16
+#: rows that a task gathers before it sends blocks (and texts, numbered by 16 bits), and about how many rows a partition gets at most
+BLOCK = 1 << 21
+_TEXTS = 1 << 16
+PARTITION = 3_000_000
+#: kinds of exploded rows: a bigram, a word (and how often it is the first or last of the text)
+_PAIR, _WORD = 0, 1
 
 
 def word_hashes(found: list[bytes]) -> np.ndarray:
@@ -66,11 +72,12 @@ class Numbers(dict):
 
 @dataclass
 class Shipped:
-    """Frequent words (joined by a space), and the hot keys in ascending order with the logarithm of their counts."""
+    """Frequent words (joined by a space, numbered from 1) and hot bigrams (keys in ascending order), with the logarithms of their counts."""
 
-    words: bytes
-    keys: np.ndarray
-    logs: np.ndarray
+    words: bytes = b""
+    word_logs: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    key_logs: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     @cached_property
     def numbers(self) -> Numbers:
@@ -79,16 +86,17 @@ class Shipped:
 
     @cached_property
     def near(self) -> np.ndarray:
-        return np.concatenate(([np.uint64(0)], word_hashes(self.words.split())))
+        return np.concatenate((np.zeros(1, np.uint64), word_hashes(self.words.split())))
 
-    def hashes(self, text: str | None) -> np.ndarray:
+    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and number of each word (0: not shipped)."""
         found = (text or "").encode().split()
         ids = np.array(list(map(self.numbers.__getitem__, found)), dtype=np.int64)
         out = self.near[ids]
         far = np.flatnonzero(ids == 0)
         if len(far):
             out[far] = word_hashes([found[i] for i in far])
-        return out
+        return out, ids
 
     def hot(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key among the hot ones, -1 for others."""
@@ -97,16 +105,20 @@ class Shipped:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, at, -1)
 
-
-def ngrams(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different n-grams of a text with words: keys, how often each occurs, and its kind: ``_PAIR``, or for a word ``_WORD`` plus one each if it is the
-    first and the last of the text."""
-    pairs, n_pairs = np.unique(pair_keys(h), return_counts=True)
-    words, n_words = np.unique(h.view(np.int64), return_counts=True)
-    kind = np.full(len(words), _WORD)
-    for end in (h[:1], h[-1:]):
-        kind[np.searchsorted(words, end.view(np.int64))] += 1
-    return np.concatenate((pairs, words)), np.concatenate((n_pairs, n_words)), np.concatenate((np.full(len(pairs), _PAIR), kind))
+    def open_rows(self, h: np.ndarray, ids: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        """Of a text with words: the part of its score that shipped counts give, and the rows of all other n-grams: keys, how often each
+        occurs, and its kind: ``_PAIR``, or for a word ``_WORD`` plus one each if it is the first and the last of the text."""
+        part = float(self.word_logs[ids[[0, -1]]].sum() - self.word_logs[ids].sum())
+        pairs, n = np.unique(pair_keys(h), return_counts=True)
+        at = self.hot(pairs)
+        part += float((self.key_logs[at[at >= 0]] * n[at >= 0]).sum())
+        pairs, n = pairs[at < 0], n[at < 0]
+        words, n_words = np.unique(h[ids == 0].view(np.int64), return_counts=True)
+        kind = np.full(len(words), _WORD)
+        for end in (0, -1):
+            if ids[end] == 0:
+                kind[np.searchsorted(words, h[end:][:1].view(np.int64))] += 1
+        return part, np.concatenate((pairs, words)), np.concatenate((n, n_words)), np.concatenate((np.full(len(pairs), _PAIR), kind))
 
 
 def weights(n: np.ndarray, kind: np.ndarray) -> np.ndarray:
@@ -114,92 +126,130 @@ def weights(n: np.ndarray, kind: np.ndarray) -> np.ndarray:
     return np.where(kind == _PAIR, n, kind - _WORD - n)
 
 
-def _weight(n: Column, kind: Column) -> Column:
-    return F.when(kind == _PAIR, n).otherwise(kind - _WORD - n)
-
-
 def _frequent(texts: DataFrame, near: int, hot: int) -> Shipped:
-    """Words and keys that are most frequent in every ``EVERY``-th text, at most ``near`` and ``hot``; counts to follow."""
+    """Words and bigrams that are most frequent in every ``EVERY``-th text, at most ``near`` and ``hot``; counts to follow."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain = Shipped(b"", np.zeros(0, np.int64), np.zeros(0))
-        words: Counter = Counter()
-        keys: Counter = Counter()
+        plain, words, keys = Shipped(), Counter(), Counter()
         for batch in batches:
-            for text in batch.column(0):
-                words.update((text.as_py() or "").split())
-                h = plain.hashes(text.as_py())
-                if len(h):
-                    k, n, _ = ngrams(h)
-                    keys.update(dict(zip(k.tolist(), n.tolist(), strict=True)))
-        for found, names in ((words.most_common(2 * near), True), (keys.most_common(2 * hot), False)):
+            for text in batch.column(0).to_pylist():
+                words.update((text or "").encode().split())
+                keys.update(pair_keys(plain.read(text)[0]).tolist())
+        for found, kind in ((words.most_common(2 * near), 0), (keys.most_common(2 * hot), 1)):
             if found:
                 some, n = zip(*found, strict=True)
                 none = [None] * len(some)
-                yield pa.RecordBatch.from_arrays([pa.array(some if names else none, pa.string()), pa.array(none if names else some, pa.int64()), pa.array(n, pa.int64())],
+                yield pa.RecordBatch.from_arrays([pa.array(none if kind else some, pa.binary()), pa.array(some if kind else none, pa.int64()), pa.array(n, pa.int64())],
                                                  names=["word", "key", "n"])
 
-    some = texts.where(F.monotonically_increasing_id() % EVERY == 0)
-    # the driver takes the ``near`` + ``hot`` rows it ships
-    found = some.mapInArrow(run, "word string, key long, n long").groupBy("word", "key").agg(F.sum("n").alias("n"))
-    words = found.where(F.col("word").isNotNull() & ~F.col("word").rlike(r"[\x1c-\x1f\x85\xa0]")).orderBy(F.col("n").desc(), "word").limit(near).select("word").toPandas()["word"] if near else []
-    keys = found.where(F.col("key").isNotNull()).orderBy(F.col("n").desc(), "key").limit(hot).select("key").toPandas()["key"].to_numpy(np.int64) if hot else np.zeros(0, np.int64)
-    keys = np.sort(keys)
-    return Shipped(" ".join(w for w in words if len(w.encode().split()) == 1).encode(), keys, np.zeros(len(keys)))
+    # the driver takes the ``near`` + ``hot`` rows that it ships
+    found = texts.where(F.monotonically_increasing_id() % EVERY == 0).mapInArrow(run, "word binary, key long, n long").groupBy("word", "key").agg(F.sum("n").alias("n"))
+    found = written(found, "frequent")
+    top = lambda c, most: found.where(F.col(c).isNotNull()).orderBy(F.col("n").desc(), c).limit(most).select(c).toPandas()[c]
+    words, keys = top("word", near) if near else [], top("key", hot).to_numpy(np.int64) if hot else np.zeros(0, np.int64)
+    discard(texts.sparkSession, found)
+    return Shipped(b" ".join(bytes(w) for w in words), keys=np.sort(keys))
 
 
 def _count(texts: DataFrame, shipped: Shipped) -> tuple[Shipped, int]:
-    """The hot keys with their counts over all texts, and the number of words; a task sends one row a key."""
+    """What is shipped with its counts over all texts, and the number of words; a task sends one row for each."""
     held = texts.sparkSession.sparkContext.broadcast(shipped)
+    n_words = len(shipped.words.split()) + 1  # number 0 counts the other words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = held.value
-        total = np.zeros(len(s.keys) + 1, dtype=np.int64)  # the last place counts words
+        total = np.zeros(n_words + len(s.keys), dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                h = s.hashes(text.as_py())
-                total[-1] += len(h)
-                if len(h) and len(s.keys):
-                    at = s.hot(np.concatenate((pair_keys(h), h.view(np.int64))))
-                    np.add.at(total, at[at >= 0], 1)
+            for start in range(0, batch.num_rows, 64):
+                each = [s.read(text) for text in batch.column(0).slice(start, 64).to_pylist()]
+                total[:n_words] += np.bincount(np.concatenate([ids for _, ids in each]), minlength=n_words)
+                at = s.hot(np.concatenate([pair_keys(h) for h, _ in each]))
+                total[n_words:] += np.bincount(at[at >= 0], minlength=len(s.keys))
         at = np.flatnonzero(total)
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
 
     rows = texts.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(len(shipped.keys) + 1, dtype=np.int64)
+    out = np.zeros(n_words + len(shipped.keys), dtype=np.int64)
     out[rows["at"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     held.unpersist()
-    return Shipped(shipped.words, shipped.keys, np.log(np.maximum(out[:-1], 1))), int(out[-1])
+    logs = np.log(np.maximum(out, 1))
+    logs[0] = 0.0
+    return Shipped(shipped.words, logs[:n_words], shipped.keys, logs[n_words:]), int(out[:n_words].sum())
 
 
-def _exploded(held, log_total: float):
-    """(id, row, text) -> per text one row of its own (its words and the part of its score that needs no join) and one for each n-gram that is not hot."""
+def _blocks(held, log_total: float, parts: int, schema: pa.Schema):
+    """(id, text) -> a row for each text (its number, words and the part of its score that needs no join), and blocks of the n-grams that are left,
+    one for each partition that they go to: keys, numbers of the texts (from the block's first ``row``), occurrences and kinds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = held.value
+        first = TaskContext.get().partitionId() << 40
+        rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = texts = 0
+
+        def send() -> Iterator[pa.RecordBatch]:
+            keys, n, kind = (np.concatenate([r[k] for r in rows]) for k in range(3))
+            of = np.repeat(np.arange(len(rows), dtype=np.uint16), [len(r[0]) for r in rows])
+            goes = ((keys.view(np.uint64) >> np.uint64(20)) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(goes, kind="stable")
+            keys, n, kind, of, goes = keys[order], n[order].astype(np.int32), kind[order].astype(np.uint8), of[order], goes[order]
+            cuts = np.append(np.flatnonzero(np.concatenate(([True], goes[1:] != goes[:-1]))), len(goes)) if len(goes) else np.zeros(1, np.int64)
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                yield _batch(schema, part=[int(goes[a])], row=[first], keys=[keys[a:b].tobytes()], texts=[of[a:b].tobytes()], n=[n[a:b].tobytes()], kinds=[kind[a:b].tobytes()])
+
         for whole in batches:
-            for start in range(0, whole.num_rows, _SLICE):
-                batch = whole.slice(start, _SLICE)
-                rows, found, parts, sizes = batch.column(1).to_numpy(), [], [], []
-                for text in batch.column(2).to_pylist():
-                    h = s.hashes(text)
-                    sizes.append(len(h))
-                    if not len(h):
-                        parts.append(0.0)
-                        found.append((np.zeros(0, np.int64),) * 3)
-                        continue
-                    keys, n, kind = ngrams(h)
-                    at = s.hot(keys)
-                    hot = at >= 0
-                    parts.append(float((weights(n[hot], kind[hot]) * s.logs[at[hot]]).sum()) - log_total)
-                    found.append((keys[~hot], n[~hot], kind[~hot]))
-                each = np.array([len(k) for k, _, _ in found])
-                keys, n, kind = (np.concatenate([f[k] for f in found]) for k in range(3))
-                size, none = len(keys), len(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays([batch.column(0), pa.nulls(size, batch.column(0).type)]), pa.array(np.concatenate((rows, np.repeat(rows, each)))),
-                     pa.array(np.concatenate((rows * np.int64(-7046029254386353131), keys))), pa.array(np.concatenate((sizes, n)).astype(np.int32)),
-                     pa.array(np.concatenate((np.full(none, _TEXT), kind)).astype(np.int8)),
-                     pa.concat_arrays([pa.array(parts, pa.float64()), pa.nulls(size, pa.float64())])], names=["id", "row", "key", "n", "kind", "part"])
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
+                words, scores = [], []
+                for text in batch.column(1).to_pylist():
+                    h, ids = s.read(text)
+                    part, *row = s.open_rows(h, ids) if len(h) else (log_total, *([np.zeros(0, np.int64)] * 3))
+                    words.append(len(h))
+                    scores.append(part - log_total)
+                    rows.append(tuple(row))
+                    size += len(row[0])
+                number = first + len(rows) - batch.num_rows + np.arange(batch.num_rows)
+                yield _batch(schema, id=batch.column(0), part=(number % parts).astype(np.int32), row=number, words=words, score=scores)
+                if size >= BLOCK or len(rows) + 256 > _TEXTS:
+                    yield from send()
+                    first, rows, size = first + len(rows), [], 0
+        if rows:
+            yield from send()
+    return run
+
+
+def _batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
+    """A batch with the given columns, the others null."""
+    size = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([c if isinstance(c := columns.get(f.name), pa.Array) else pa.nulls(size, f.type) if c is None else pa.array(c, f.type) for f in schema], schema=schema)
+
+
+def _joined(schema: pa.Schema):
+    """Of all blocks of a partition: counts of its keys, joined back to the rows and added up per text; rows of texts pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = []
+        for batch in batches:
+            texts = batch.filter(pc.is_valid(batch.column("words")))
+            if texts.num_rows:
+                yield _batch(schema, **{c: texts.column(c) for c in schema.names})
+            for r in batch.filter(pc.is_valid(batch.column("keys"))).select(["row", "keys", "texts", "n", "kinds"]).to_pylist():
+                blocks.append((r["row"], *(np.frombuffer(r[c], t) for c, t in (("keys", np.int64), ("texts", np.uint16), ("n", np.int32), ("kinds", np.uint8)))))
+        if not blocks:
+            return
+        keys, n = np.concatenate([b[1] for b in blocks]), np.concatenate([b[3] for b in blocks])
+        order = np.argsort(keys)
+        keys = keys[order]
+        starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        logs = np.empty(len(keys))
+        logs[order] = np.repeat(np.log(np.add.reduceat(n[order].astype(np.int64), starts)), np.diff(np.append(starts, len(keys))))
+        del keys, order
+        at = 0
+        for first, own, texts, n, kinds in blocks:
+            each = weights(n.astype(np.int64), kinds.astype(np.int64)) * logs[at:at + len(own)]
+            at += len(own)
+            found = np.bincount(texts, weights=each)
+            some = np.flatnonzero(found)  # an n-gram that occurs once adds ln 1
+            if len(some):
+                yield _batch(schema, row=first + some, score=found[some])
     return run
 
 
@@ -218,26 +268,23 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
     rows = docs.select(named(docs, id_col).alias("id"), named(docs, text_col).alias("text"))
     shipped, total = _count(rows.select("text"), _frequent(rows.select("text"), near, hot))
     held = spark.sparkContext.broadcast(shipped)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PARTITION))
     release_shuffles(spark)
 
-    schema = T.StructType([rows.schema["id"], *(T.StructField(c, t) for c, t in (
-        ("row", T.LongType()), ("key", T.LongType()), ("n", T.IntegerType()), ("kind", T.ByteType()), ("part", T.DoubleType())))])
-    dealt = (rows.select("id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(_exploded(held, math.log(max(total, 1))), schema)
-             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key"))
-    counts = dealt.groupBy("key").agg(F.sum(F.when(F.col("kind") != _TEXT, F.col("n"))).alias("c"))
-    joined = dealt.join(counts.hint("shuffle_hash"), "key")
-    part = F.when(F.col("kind") == _TEXT, F.col("part")).otherwise(_weight(F.col("n"), F.col("kind").cast("int")) * F.log("c"))
-    own = lambda c: F.max(F.when(F.col("kind") == _TEXT, F.col(c)))  # noqa: E731  each text has one row of its own
-    return _result(joined.groupBy("row").agg(own("id").alias("id"), own("n").cast("long").alias("n_words"), F.sum(part).alias("log_score")), id_col)
+    out = T.StructType([rows.schema["id"], T.StructField("row", T.LongType()), T.StructField("words", T.LongType()), T.StructField("score", T.DoubleType())])
+    wide = T.StructType([*out.fields, T.StructField("part", T.IntegerType()), *(T.StructField(c, T.BinaryType()) for c in ("keys", "texts", "n", "kinds"))])
+    dealt = rows.mapInArrow(_blocks(held, math.log(max(total, 1)), parts, to_arrow_schema(wide)), wide).repartitionById(parts, F.col("part"))
+    summed = dealt.mapInArrow(_joined(to_arrow_schema(out)), out).groupBy("row").agg(
+        F.max("id").alias("id"), F.max("words").alias("n_words"), F.sum("score").alias("log_score"))
+    return _result(summed, id_col)
 
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("v", T.LongType()), T.StructField("w", T.LongType()), T.StructField("n", T.LongType())])))
 def _bigrams(texts: pd.Series) -> pd.Series:
-    plain = Shipped(b"", np.zeros(0, np.int64), np.zeros(0))
-    out = []
+    plain, out = Shipped(), []
     for text in texts:
-        h = plain.hashes(text).view(np.int64).tolist()
-        out.append([{"v": v, "w": w, "n": n} for (v, w), n in Counter(zip([0, *h[:-1]], h, strict=True)).items()])
+        h = plain.read(text)[0].view(np.int64).tolist()
+        out.append([{"v": v, "w": w, "n": n} for (v, w), n in Counter(zip([0, *h], h, strict=False)).items()])
     return pd.Series(out)
 
 

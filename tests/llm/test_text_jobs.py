@@ -137,17 +137,19 @@ def test_scores_equal_brute_force(spark, near, hot):
     assert phrase / 28 > -2  # its bigrams have their own counts; backed off, a word costs about 6
 
 
-def test_the_shuffle_is_read_twice(spark):
-    """The count table and the rows it is joined to read one exchange."""
-    df = docs(spark, ["a b c", "b c d"])
-    plan = M.score(df)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("MapInArrow") <= 2 and "ShuffledHashJoin" in plan
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = M.score(df)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert plan.count("MapInArrow") == 1 and "ReusedExchange" in plan
+def test_ngrams_are_dealt_out_once(spark):
+    """One pass explodes the n-grams; one shuffle brings a key together, one the parts of a text."""
+    plan = M.score(docs(spark, ["a b c", "b c d"]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and plan.count("Exchange") == 2
+
+
+@pytest.mark.parametrize("block,texts", [(1, 1 << 16), (40, 1 << 16), (1 << 21, 257)])
+def test_blocks_of_any_size(spark, monkeypatch, block, texts):
+    """Blocks are cut by rows or by the number of texts; the scores stay."""
+    rows = corpus(spark, 30) + [(2000 + i, f"w{i % 7} w{i % 5} w{i % 3}") for i in range(600)]
+    monkeypatch.setattr(M, "BLOCK", block)
+    monkeypatch.setattr(M, "_TEXTS", texts)
+    close(M.score(docs(spark, [t for _, t in rows], [i for i, _ in rows]), near=3, hot=2).collect(), brute_scores(rows))
 
 
 def test_one_text_many_times(spark):
