@@ -9,8 +9,8 @@ the last, plus ln c of the first word, less ln N.
 
 ``score`` counts and scores the same texts.  Their n-grams are exploded once into (key, text, n) and dealt out by key once.  A partition then holds
 all rows of its keys: it counts them, joins the counts back to the rows and adds up per text, and a second, smaller shuffle
-adds the parts of each text.  On the way the rows travel as blocks, arrays of one partition's rows from up to ``BLOCK`` rows of a task, about a third of
-the bytes of single rows.  Every n-gram of the texts is in the table then, so nothing backs off.
+brings the parts of each text together.  On the way the rows travel as blocks, arrays of one partition's rows from up to ``BLOCK`` rows of a task, about a third of
+the bytes of single rows; what a partition sends back is one block for each that it got.  Every n-gram of the texts is in the table then, so nothing backs off.
 ``score_against`` scores texts by the counts of another corpus, with plain joins; there bigrams that the corpus lacks back off.
 
 Hot keys: the ``NEAR`` most frequent words and ``HOT`` most frequent bigrams of every ``EVERY``-th text are counted over all texts, shipped with their
@@ -141,13 +141,20 @@ def _frequent(texts: DataFrame, near: int, hot: int) -> Shipped:
                 yield pa.RecordBatch.from_arrays([pa.array(none if kind else some, pa.binary()), pa.array(some if kind else none, pa.int64()), pa.array(n, pa.int64())],
                                                  names=["word", "key", "n"])
 
-    # the driver takes the ``near`` + ``hot`` rows that it ships
     found = texts.where(F.monotonically_increasing_id() % EVERY == 0).mapInArrow(run, "word binary, key long, n long").groupBy("word", "key").agg(F.sum("n").alias("n"))
     found = written(found, "frequent")
-    top = lambda c, most: found.where(F.col(c).isNotNull()).orderBy(F.col("n").desc(), c).limit(most).select(c).toPandas()[c]
-    words, keys = top("word", near) if near else [], top("key", hot).to_numpy(np.int64) if hot else np.zeros(0, np.int64)
+
+    def top(c: str, most: int) -> pd.Series:
+        """Those with the largest counts, ``most`` or fewer.  The number of rows per count comes to the driver first (there are at most the
+        root of twice their sum of different counts), so that no task sends more than is taken."""
+        some = found.where(F.col(c).isNotNull())
+        per = some.groupBy("n").agg(F.count("*").alias("rows")).toPandas().sort_values("n", ascending=False)
+        fits = per["n"][per["rows"].cumsum() <= most]
+        return some.where(F.col("n") >= (int(fits.iloc[-1]) if len(fits) else 1 << 62)).select(c).toPandas()[c]
+
+    words, keys = sorted(bytes(w) for w in top("word", near)), np.sort(top("key", hot).to_numpy(np.int64))
     discard(texts.sparkSession, found)
-    return Shipped(b" ".join(bytes(w) for w in words), keys=np.sort(keys))
+    return Shipped(b" ".join(words), keys=keys)
 
 
 def _count(texts: DataFrame, shipped: Shipped) -> tuple[Shipped, int]:
@@ -179,7 +186,7 @@ def _count(texts: DataFrame, shipped: Shipped) -> tuple[Shipped, int]:
 
 def _blocks(held, log_total: float, parts: int, schema: pa.Schema):
     """(id, text) -> a row for each text (its number, words and the part of its score that needs no join), and blocks of the n-grams that are left,
-    one for each partition that they go to: keys, numbers of the texts (from the block's first ``row``), occurrences and kinds."""
+    one for each partition that they go to: keys, numbers of the texts (from the ``first`` of the block), occurrences and kinds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = held.value
         first = TaskContext.get().partitionId() << 40
@@ -194,7 +201,7 @@ def _blocks(held, log_total: float, parts: int, schema: pa.Schema):
             keys, n, kind, of, goes = keys[order], n[order].astype(np.int32), kind[order].astype(np.uint8), of[order], goes[order]
             cuts = np.append(np.flatnonzero(np.concatenate(([True], goes[1:] != goes[:-1]))), len(goes)) if len(goes) else np.zeros(1, np.int64)
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                yield _batch(schema, part=[int(goes[a])], row=[first], keys=[keys[a:b].tobytes()], texts=[of[a:b].tobytes()], n=[n[a:b].tobytes()], kinds=[kind[a:b].tobytes()])
+                yield _batch(schema, part=[int(goes[a])], first=[first], keys=[keys[a:b].tobytes()], texts=[of[a:b].tobytes()], n=[n[a:b].tobytes()], kinds=[kind[a:b].tobytes()])
 
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
@@ -207,8 +214,8 @@ def _blocks(held, log_total: float, parts: int, schema: pa.Schema):
                     scores.append(part - log_total)
                     rows.append(tuple(row))
                     size += len(row[0])
-                number = first + len(rows) - batch.num_rows + np.arange(batch.num_rows)
-                yield _batch(schema, id=batch.column(0), part=(number % parts).astype(np.int32), row=number, words=words, score=scores)
+                number = np.arange(len(rows) - batch.num_rows, len(rows))
+                yield _batch(schema, id=batch.column(0), part=(number % parts).astype(np.int32), first=np.full(len(number), first), number=number.astype(np.int32), words=words, score=scores)
                 if size >= BLOCK or len(rows) + 256 > _TEXTS:
                     yield from send()
                     first, rows, size = first + len(rows), [], 0
@@ -224,15 +231,15 @@ def _batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
 
 
 def _joined(schema: pa.Schema):
-    """Of all blocks of a partition: counts of its keys, joined back to the rows and added up per text; rows of texts pass."""
+    """Of all blocks of a partition: counts of its keys, joined back to the rows and added up per text of each block; rows of texts pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = []
         for batch in batches:
             texts = batch.filter(pc.is_valid(batch.column("words")))
             if texts.num_rows:
-                yield _batch(schema, **{c: texts.column(c) for c in schema.names})
-            for r in batch.filter(pc.is_valid(batch.column("keys"))).select(["row", "keys", "texts", "n", "kinds"]).to_pylist():
-                blocks.append((r["row"], *(np.frombuffer(r[c], t) for c, t in (("keys", np.int64), ("texts", np.uint16), ("n", np.int32), ("kinds", np.uint8)))))
+                yield _batch(schema, **{c: texts.column(c) for c in schema.names if c != "sums"})
+            for r in batch.filter(pc.is_valid(batch.column("keys"))).select(["first", "keys", "texts", "n", "kinds"]).to_pylist():
+                blocks.append((r["first"], *(np.frombuffer(r[c], t) for c, t in (("keys", np.int64), ("texts", np.uint16), ("n", np.int32), ("kinds", np.uint8)))))
         if not blocks:
             return
         keys, n = np.concatenate([b[1] for b in blocks]), np.concatenate([b[3] for b in blocks])
@@ -244,12 +251,28 @@ def _joined(schema: pa.Schema):
         del keys, order
         at = 0
         for first, own, texts, n, kinds in blocks:
-            each = weights(n.astype(np.int64), kinds.astype(np.int64)) * logs[at:at + len(own)]
+            found = np.bincount(texts, weights=weights(n.astype(np.int64), kinds.astype(np.int64)) * logs[at:at + len(own)])
             at += len(own)
-            found = np.bincount(texts, weights=each)
             some = np.flatnonzero(found)  # an n-gram that occurs once adds ln 1
             if len(some):
-                yield _batch(schema, row=first + some, score=found[some])
+                yield _batch(schema, first=[first], texts=[some.astype(np.uint16).tobytes()], sums=[found[some].tobytes()])
+    return run
+
+
+def _summed(schema: pa.Schema):
+    """The rows of texts, with the parts that the blocks of the same ``first`` have for them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        texts = []
+        for batch in batches:
+            texts.append(batch.filter(pc.is_valid(batch.column("words"))))
+            for r in batch.filter(pc.is_valid(batch.column("sums"))).select(["first", "texts", "sums"]).to_pylist():
+                sums.setdefault(r["first"], np.zeros(_TEXTS))[np.frombuffer(r["texts"], np.uint16)] += np.frombuffer(r["sums"])
+        for batch in texts:
+            if batch.num_rows:
+                more = [sums[f][k] if f in sums else 0.0 for f, k in zip(batch.column("first").to_pylist(), batch.column("number").to_pylist(), strict=True)]
+                score = pc.add(batch.column("score"), pa.array(more, pa.float64()))
+                yield _batch(schema, id=batch.column("id"), n_words=batch.column("words"), log_score=score)
     return run
 
 
@@ -271,12 +294,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PARTITION))
     release_shuffles(spark)
 
-    out = T.StructType([rows.schema["id"], T.StructField("row", T.LongType()), T.StructField("words", T.LongType()), T.StructField("score", T.DoubleType())])
-    wide = T.StructType([*out.fields, T.StructField("part", T.IntegerType()), *(T.StructField(c, T.BinaryType()) for c in ("keys", "texts", "n", "kinds"))])
+    fields = lambda *cs: [T.StructField(c, t) for c, t in cs]
+    blob, long = T.BinaryType(), T.LongType()
+    text = [rows.schema["id"], *fields(("first", long), ("number", T.IntegerType()), ("words", long), ("score", T.DoubleType()), ("texts", blob))]
+    wide = T.StructType([*text, *fields(("part", T.IntegerType()), ("keys", blob), ("n", blob), ("kinds", blob))])
+    back = T.StructType([*text, *fields(("sums", blob))])
+    out = T.StructType([rows.schema["id"], *fields(("n_words", long), ("log_score", T.DoubleType()))])
     dealt = rows.mapInArrow(_blocks(held, math.log(max(total, 1)), parts, to_arrow_schema(wide)), wide).repartitionById(parts, F.col("part"))
-    summed = dealt.mapInArrow(_joined(to_arrow_schema(out)), out).groupBy("row").agg(
-        F.max("id").alias("id"), F.max("words").alias("n_words"), F.sum("score").alias("log_score"))
-    return _result(summed, id_col)
+    home = dealt.mapInArrow(_joined(to_arrow_schema(back)), back).repartition(parts, "first")
+    return _result(home.mapInArrow(_summed(to_arrow_schema(out)), out), id_col)
 
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("v", T.LongType()), T.StructField("w", T.LongType()), T.StructField("n", T.LongType())])))
