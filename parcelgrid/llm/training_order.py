@@ -13,7 +13,7 @@
    fixed-stride records.  Record ``s`` of a shard starts at byte ``s * stride``, so a
    reader resumes at any slot by arithmetic.
 
-A record is 8 bytes slot, 8 bytes id (0 for null), 4 bytes sequence number, 4 bytes token count
+A record is 8 bytes slot, 8 bytes id (the least 64-bit number for null), 4 bytes sequence number, 4 bytes token count
 (these big-endian), the tokens as little-endian unsigned 16- or 32-bit numbers, padding zeros, and one newline.
 
 The corpus must be a stored table, read by a plain scan: then both passes, and the repeat of a lost task,
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -40,6 +41,13 @@ from .common import named, release_shuffles, shared_path
 
 ROUNDS = 6
 HEAD = 24
+NO_ID = -(1 << 63)
+#: words whose tokens a worker keeps, some 150 bytes each
+CACHED = 1 << 18
+# fixed value: the public byte-level pattern
+BLANK_FIRST = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_CUT = re.compile(r" (?=\S)")
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -62,13 +70,41 @@ def encoder(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_rows(text: str | None, enc: tiktoken.Encoding, layout: Layout) -> tuple[np.ndarray, int]:
-    """(rows of ``layout.length`` tokens, number of tokens) of a text and its end token."""
-    ids = enc.encode_ordinary(text or "")
-    ids.append(enc.max_token_value + 1)
-    if ids[-1] >= 256 ** layout.token_bytes:
+class Words(dict):
+    """Tokens, as bytes, of words that follow a blank; at most ``CACHED`` words are kept."""
+
+    def __init__(self, enc: tiktoken.Encoding, kind: np.dtype):
+        super().__init__()
+        self.enc, self.kind = enc, kind
+
+    def __missing__(self, word: str) -> bytes:
+        out = np.array(self.enc.encode_ordinary(" " + word), dtype=self.kind).tobytes()
+        if len(self) < CACHED and len(word) <= 64:
+            self[word] = out
+        return out
+
+
+@lru_cache(maxsize=2)
+def _words(path: str, pattern: str, token_bytes: int) -> Words:
+    enc = encoder(path, pattern)
+    if enc.max_token_value + 1 >= 256 ** token_bytes:
         raise ValueError("token numbers do not fit")
-    rows = np.zeros((-(-len(ids) // layout.length), layout.length), dtype=f"<u{layout.token_bytes}")
+    return Words(enc, np.dtype(f"<u{token_bytes}"))
+
+
+def encoded(text: str | None, encoding: tuple[str, str], layout: Layout) -> bytes:
+    """Tokens of a text and its end token.  Under ``BLANK_FIRST`` a blank before a character that is no white space always begins a piece, so the
+    text is cut there and a word that was seen before is not encoded again; with other patterns it is encoded whole."""
+    words = _words(*encoding, layout.token_bytes)
+    head, *rest = _CUT.split(text or "") if encoding[1] == BLANK_FIRST else [text or ""]
+    ends = np.array([*words.enc.encode_ordinary(head)], dtype=words.kind), np.array([words.enc.max_token_value + 1], dtype=words.kind)
+    return b"".join((ends[0].tobytes(), *map(words.__getitem__, rest), ends[1].tobytes()))
+
+
+def token_rows(text: str | None, encoding: tuple[str, str], layout: Layout) -> tuple[np.ndarray, int]:
+    """(rows of ``layout.length`` tokens, number of tokens) of a text and its end token."""
+    ids = np.frombuffer(encoded(text, encoding, layout), dtype=f"<u{layout.token_bytes}")
+    rows = np.zeros((-(-len(ids) // layout.length), layout.length), dtype=ids.dtype)
     rows.reshape(-1)[: len(ids)] = ids
     return rows, len(ids)
 
@@ -112,10 +148,10 @@ def permute(ordinals: np.ndarray, n: int, key: str) -> np.ndarray:
 def count_sequences(rows: DataFrame, path: str, pattern: str, layout: Layout) -> dict[int, int]:
     """Sequences of every scan partition: one number per partition comes to the driver."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, n = encoder(path, pattern), 0
+        n, wide = 0, layout.token_bytes * layout.length
         for b in batches:
             for text in b.column(1):
-                n += -(-(len(enc.encode_ordinary(text.as_py() or "")) + 1) // layout.length)
+                n += -(-len(encoded(text.as_py(), (path, pattern), layout)) // wide)
         yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n]})
 
     return {r.part: r.n for r in rows.mapInArrow(count, "part long, n long").collect()}
@@ -137,20 +173,21 @@ def write_shards(rows: DataFrame, counts: dict[int, int], encoding: tuple[str, s
     ``shard=K``, shard K holding slots ``K * per_shard`` and following."""
     n = sum(counts.values())
     parts = sorted(counts)
-    first = rows.sparkSession.sparkContext.broadcast(dict(zip(parts, np.cumsum([0, *(counts[p] for p in parts)]).tolist(), strict=False)))
+    ends = np.cumsum([0, *(counts[p] for p in parts)]).tolist()
+    first = rows.sparkSession.sparkContext.broadcast(dict(zip(parts, zip(ends[:-1], ends[1:], strict=True), strict=True)))
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(*encoding)
         kind = np.dtype([*_HEAD, ("body", f"<u{layout.token_bytes}", layout.length)])
-        at = first.value[TaskContext.get().partitionId()]
+        here = TaskContext.get().partitionId()
+        at, end = first.value[here]
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                cut = [token_rows(t.as_py(), enc, layout) for t in part.column(1)]
+                cut = [token_rows(t.as_py(), encoding, layout) for t in part.column(1)]
                 sizes = np.array([len(r) for r, _ in cut])
                 out = np.zeros(sizes.sum(), dtype=kind)
                 out["slot"] = permute(np.arange(at, at + len(out)), n, key)
-                out["id"] = np.repeat(part.column(0).fill_null(0).to_numpy(zero_copy_only=False), sizes)
+                out["id"] = np.repeat(part.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False), sizes)
                 out["seq_no"] = np.arange(len(out)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 tokens = np.repeat([k for _, k in cut], sizes)
                 out["n_tokens"] = np.minimum(layout.length, tokens - out["seq_no"].astype(np.int64) * layout.length)
@@ -160,10 +197,14 @@ def write_shards(rows: DataFrame, counts: dict[int, int], encoding: tuple[str, s
                 blob, size = out.tobytes(), kind.itemsize
                 value = pa.array([blob[k:k + size] for k in range(0, len(blob), size)], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(slot // layout.per_shard), pa.array(slot), value], names=["shard", "slot", "value"])
+        if at != end:  # else two sequences would share a slot
+            raise RuntimeError(f"partition {here} ended at ordinal {at}, the first pass counted up to {end}: the corpus is not a stored table, or has changed")
 
     shards = max(1, -(-n // layout.per_shard))
     made = rows.mapInArrow(records, "shard long, slot long, value binary")
-    placed = made.repartition(min(shards, 20_000), "shard").sortWithinPartitions("shard", "slot")
+    # ranges of shards: every task writes the same number of them, give or take one
+    tasks = min(shards, 20_000)
+    placed = made.repartitionById(tasks, (F.col("shard") * F.lit(tasks) / F.lit(shards)).cast("int")).sortWithinPartitions("shard", "slot")
     # the text writer puts bytes as they are and ends each record with the newline
     out = placed.select("shard", F.col("value").cast("string").alias("value"))
     out.write.partitionBy("shard").option("compression", "none").text(path)
@@ -185,6 +226,7 @@ def read_shards(spark: SparkSession, path: str, layout: Layout, first_slot: int
                 for at in range(skip if shard == first_shard else 0, len(recs), 1024):
                     r = recs[at:at + 1024]
                     cols = [np.full(len(r), shard)] + [r[c].astype(r[c].dtype.newbyteorder("=")) for c in ("slot", "id", "seq_no", "n_tokens")]
+                    cols[2] = pa.array(cols[2], mask=cols[2] == NO_ID)
                     offset = np.arange(at, at + len(r), dtype=np.int64) * record.itemsize
                     body = pa.array([x.tobytes() for x in r["body"]], pa.binary())
                     yield pa.RecordBatch.from_arrays([*map(pa.array, cols), body, pa.array(offset)], names=RECORDS.names)
@@ -198,8 +240,8 @@ def materialise(docs: DataFrame, encoding: tuple[str, str], key: str, layout: La
 
     ``encoding`` is a rank file and its split pattern.
     Every row gives at least one sequence, null and empty texts included; rows
-    that repeat are sequences of their own; null ids are written as 0; an
-    empty table gives no shard; further columns are not read."""
+    that repeat are sequences of their own; null ids stay null; ids must be numbers or texts of numbers, others fail the cast; texts of any
+    length are encoded whole; an empty table gives no shard; further columns are not read."""
     spark = docs.sparkSession
     layout = layout or Layout()
     out = out or shared_path(spark, "shards")

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import re
 
 import numpy as np
@@ -38,8 +39,9 @@ def test_shards_hold_every_token_once_and_resume(spark, tmp):
     assert all(r.shard == r.slot // 50 and r.byte_offset == r.slot % 50 * layout.stride for r in recs)
     enc, want, got = O.encoder(*ENCODING), collections.Counter(), collections.Counter()
     for i, t in rows:
-        r, k = O.token_rows(t, enc, layout)
-        want.update((i or 0, s, min(64, k - s * 64), r[s].tobytes()) for s in range(len(r)))
+        r, k = O.token_rows(t, ENCODING, layout)
+        assert r.reshape(-1)[:k].tolist() == [*enc.encode_ordinary(t or ""), enc.max_token_value + 1]
+        want.update((i, s, min(64, k - s * 64), r[s].tobytes()) for s in range(len(r)))
         assert enc.decode(r.reshape(-1)[:k - 1].tolist()) == (t or "")
     got.update((r.id, r.seq_no, r.n_tokens, bytes(r.body)) for r in recs)
     assert got == want
@@ -51,6 +53,30 @@ def test_shards_hold_every_token_once_and_resume(spark, tmp):
     assert O.materialise(spark.read.parquet(f"{tmp}/none"), ENCODING, "k", layout, f"{tmp}/o2")[1] == 0
 
 
+def test_encoding_by_words_equals_the_encoder():
+    """Blanks, other white space and control characters in every neighbourhood; a text without blanks; another pattern."""
+    rng = random.Random(4)
+    signs = [" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "a", "B", "é", "日", "7", "'s", "'", ".", "<|endoftext|>", "\u0301", "\u200b", "😀"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(3000)] + [None, "", " ", "x" * 5000, "ab " * 3000]
+    layout = O.Layout()
+    for encoding in (ENCODING, (ENCODING[0], r"\p{L}+| +\p{N}+|[^\p{L}]")):
+        enc = O.encoder(*encoding)
+        for t in texts:
+            assert np.frombuffer(O.encoded(t, encoding, layout), "<u2").tolist() == [*enc.encode_ordinary(t or ""), enc.max_token_value + 1]
+    assert O.BLANK_FIRST == ENCODING[1]
+
+
+def test_null_ids_are_not_zero_and_a_changed_corpus_is_noticed(spark, tmp):
+    docs(spark, ["a b", "c", "d"], [0, None, -5]).write.parquet(f"{tmp}/in")
+    path, _ = O.materialise(spark.read.parquet(f"{tmp}/in"), ENCODING, "k", O.Layout(length=8, per_shard=2), f"{tmp}/out")
+    assert {r.id for r in O.read_shards(spark, path, O.Layout(length=8, per_shard=2)).collect()} == {0, None, -5}
+    rows = spark.read.parquet(f"{tmp}/in").selectExpr("doc_id AS id", "text")
+    counts = O.count_sequences(rows, *ENCODING, O.Layout(length=8))
+    part = max(counts, key=counts.get)
+    with pytest.raises(Exception, match="the first pass counted"):
+        O.write_shards(rows, {**counts, part: counts[part] + 1}, ENCODING, "k", O.Layout(length=8), f"{tmp}/bad")
+
+
 # ---------------------------------------------------------------- decontamination
 
 ITEMS = "item_id long, text string"
