@@ -70,35 +70,64 @@ def encoder(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-class Words(dict):
-    """Tokens, as bytes, of words that follow a blank; at most ``CACHED`` words are kept."""
-
-    def __init__(self, enc: tiktoken.Encoding, kind: np.dtype):
-        super().__init__()
-        self.enc, self.kind = enc, kind
-
-    def __missing__(self, word: str) -> bytes:
-        out = np.array(self.enc.encode_ordinary(" " + word), dtype=self.kind).tobytes()
-        if len(self) < CACHED and len(word) <= 64:
-            self[word] = out
-        return out
-
-
-@lru_cache(maxsize=2)
-def _words(path: str, pattern: str, token_bytes: int) -> Words:
-    enc = encoder(path, pattern)
-    if enc.max_token_value + 1 >= 256 ** token_bytes:
-        raise ValueError("token numbers do not fit")
-    return Words(enc, np.dtype(f"<u{token_bytes}"))
+class Words:
+    """Encodes texts by their words.  Under ``BLANK_FIRST`` a blank before a character that is no white space always begins a piece, so a text is cut
+    there; words of which the tokens are known are looked up, and the others are encoded in one call and told apart by the tokens that begin with a blank.
+    At most ``CACHED`` words are kept, those that come first.  With other patterns texts are encoded whole."""
+
+    def __init__(self, path: str, pattern: str, token_bytes: int):
+        self.enc = encoder(path, pattern)
+        self.end = self.enc.max_token_value + 1
+        if self.end >= 256 ** token_bytes:
+            raise ValueError("token numbers do not fit")
+        self.kind, self.width, self.by_words, self.known = np.dtype(f"<u{token_bytes}"), token_bytes, pattern == BLANK_FIRST, {}
+        self.blank = np.zeros(self.end, dtype=bool)
+        for token, rank in self.enc._mergeable_ranks.items():
+            self.blank[rank] = token[:1] == b" "
+
+    def _tokens(self, text: str) -> np.ndarray:
+        return np.array(self.enc.encode_ordinary(text), dtype=self.kind)
+
+    def _apart(self, words: list[str]) -> list[bytes]:
+        """Tokens of each word, a blank before it."""
+        ids = self._tokens(" " + " ".join(words))
+        starts = np.flatnonzero(self.blank[ids])
+        if len(starts) != len(words):  # a word holds blanks before white space
+            return [self._tokens(" " + w).tobytes() for w in words]
+        blob, at = ids.tobytes(), [*(starts * self.width).tolist(), len(ids) * self.width]
+        return [blob[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+
+    def _look(self, text: str | None) -> tuple[bytes, list[bytes | None], list[str]]:
+        head, *rest = _CUT.split(text or "") if self.by_words else [text or ""]
+        found = list(map(self.known.get, rest))
+        new = [w for w, f in zip(rest, found, strict=True) if f is None] if None in found else []
+        return self._tokens(head).tobytes(), found, new
+
+    def encode(self, text: str | None) -> bytes:
+        """Tokens of a text and its end token."""
+        head, found, new = self._look(text)
+        if new:
+            made = self._apart(new)
+            if len(self.known) < CACHED:
+                self.known.update((w, m) for w, m in zip(new, made, strict=True) if len(w) <= 64)
+            more = iter(made)
+            found = [next(more) if f is None else f for f in found]
+        return b"".join((head, *found, self.end.to_bytes(self.width, "little")))
+
+    def count(self, text: str | None) -> int:
+        """Number of tokens of a text and its end token."""
+        if len(self.known) < CACHED:
+            return len(self.encode(text)) // self.width
+        head, found, new = self._look(text)
+        return (len(head) + sum(map(len, filter(None, found)))) // self.width + 1 + (len(self.enc.encode_ordinary(" " + " ".join(new))) if new else 0)
+
+
+words_of = lru_cache(maxsize=2)(Words)
 
 
 def encoded(text: str | None, encoding: tuple[str, str], layout: Layout) -> bytes:
-    """Tokens of a text and its end token.  Under ``BLANK_FIRST`` a blank before a character that is no white space always begins a piece, so the
-    text is cut there and a word that was seen before is not encoded again; with other patterns it is encoded whole."""
-    words = _words(*encoding, layout.token_bytes)
-    head, *rest = _CUT.split(text or "") if encoding[1] == BLANK_FIRST else [text or ""]
-    ends = np.array([*words.enc.encode_ordinary(head)], dtype=words.kind), np.array([words.enc.max_token_value + 1], dtype=words.kind)
-    return b"".join((ends[0].tobytes(), *map(words.__getitem__, rest), ends[1].tobytes()))
+    """Tokens of a text and its end token."""
+    return words_of(*encoding, layout.token_bytes).encode(text)
 
 
 def token_rows(text: str | None, encoding: tuple[str, str], layout: Layout) -> tuple[np.ndarray, int]:
@@ -148,10 +177,10 @@ def permute(ordinals: np.ndarray, n: int, key: str) -> np.ndarray:
 def count_sequences(rows: DataFrame, path: str, pattern: str, layout: Layout) -> dict[int, int]:
     """Sequences of every scan partition: one number per partition comes to the driver."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, wide = 0, layout.token_bytes * layout.length
+        words, n = words_of(path, pattern, layout.token_bytes), 0
         for b in batches:
             for text in b.column(1):
-                n += -(-len(encoded(text.as_py(), (path, pattern), layout)) // wide)
+                n += -(-words.count(text.as_py()) // layout.length)
         yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n]})
 
     return {r.part: r.n for r in rows.mapInArrow(count, "part long, n long").collect()}

@@ -53,7 +53,7 @@ def test_shards_hold_every_token_once_and_resume(spark, tmp):
     assert O.materialise(spark.read.parquet(f"{tmp}/none"), ENCODING, "k", layout, f"{tmp}/o2")[1] == 0
 
 
-def test_encoding_by_words_equals_the_encoder():
+def test_encoding_by_words_equals_the_encoder(monkeypatch):
     """Blanks, other white space and control characters in every neighbourhood; a text without blanks; another pattern."""
     rng = random.Random(4)
     signs = [" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "a", "B", "é", "日", "7", "'s", "'", ".", "<|endoftext|>", "\u0301", "\u200b", "😀"]
@@ -62,7 +62,12 @@ def test_encoding_by_words_equals_the_encoder():
     for encoding in (ENCODING, (ENCODING[0], r"\p{L}+| +\p{N}+|[^\p{L}]")):
         enc = O.encoder(*encoding)
         for t in texts:
-            assert np.frombuffer(O.encoded(t, encoding, layout), "<u2").tolist() == [*enc.encode_ordinary(t or ""), enc.max_token_value + 1]
+            want = [*enc.encode_ordinary(t or ""), enc.max_token_value + 1]
+            assert np.frombuffer(O.encoded(t, encoding, layout), "<u2").tolist() == want and O.words_of(*encoding, 2).count(t) == len(want)
+        monkeypatch.setattr(O, "CACHED", 0)
+        full = O.Words(*encoding, 2)
+        assert [full.count(t) for t in texts] == [len(enc.encode_ordinary(t or "")) + 1 for t in texts]
+        monkeypatch.undo()
     assert O.BLANK_FIRST == ENCODING[1]
 
 
