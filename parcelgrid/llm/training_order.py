@@ -122,7 +122,10 @@ class Words:
         return (len(head) + sum(map(len, filter(None, found)))) // self.width + 1 + (len(self.enc.encode_ordinary(" " + " ".join(new))) if new else 0)
 
 
-words_of = lru_cache(maxsize=2)(Words)
+@lru_cache(maxsize=2)
+def words_of(path: str, pattern: str, token_bytes: int) -> Words:
+    """One per worker process."""
+    return Words(path, pattern, token_bytes)
 
 
 def encoded(text: str | None, encoding: tuple[str, str], layout: Layout) -> bytes:
