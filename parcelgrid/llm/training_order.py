@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -42,13 +41,6 @@ from .common import named, release_shuffles, shared_path
 ROUNDS = 6
 HEAD = 24
 NO_ID = -(1 << 63)
-#: words whose tokens a worker keeps, some 150 bytes each
-CACHED = 1 << 18
-# fixed value: the public byte-level pattern
-BLANK_FIRST = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_CUT = re.compile(r" (?=\S)")
-
-
 @dataclass(frozen=True)
 class Layout:
     """How sequences and shards are cut."""
@@ -70,73 +62,13 @@ def encoder(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-class Words:
-    """Encodes texts by their words.  Under ``BLANK_FIRST`` a blank before a character that is no white space always begins a piece, so a text is cut
-    there; words of which the tokens are known are looked up, and the others are encoded in one call and told apart by the tokens that begin with a blank.
-    At most ``CACHED`` words are kept, those that come first.  With other patterns texts are encoded whole."""
-
-    def __init__(self, path: str, pattern: str, token_bytes: int):
-        self.enc = encoder(path, pattern)
-        self.end = self.enc.max_token_value + 1
-        if self.end >= 256 ** token_bytes:
-            raise ValueError("token numbers do not fit")
-        self.kind, self.width, self.by_words, self.known = np.dtype(f"<u{token_bytes}"), token_bytes, pattern == BLANK_FIRST, {}
-        self.blank = np.zeros(self.end, dtype=bool)
-        for token, rank in self.enc._mergeable_ranks.items():
-            self.blank[rank] = token[:1] == b" "
-
-    def _tokens(self, text: str) -> np.ndarray:
-        return np.array(self.enc.encode_ordinary(text), dtype=self.kind)
-
-    def _apart(self, words: list[str]) -> list[bytes]:
-        """Tokens of each word, a blank before it."""
-        ids = self._tokens(" " + " ".join(words))
-        starts = np.flatnonzero(self.blank[ids])
-        if len(starts) != len(words):  # a word holds blanks before white space
-            return [self._tokens(" " + w).tobytes() for w in words]
-        blob, at = ids.tobytes(), [*(starts * self.width).tolist(), len(ids) * self.width]
-        return [blob[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
-
-    def _look(self, text: str | None) -> tuple[bytes, list[bytes | None], list[str]]:
-        head, *rest = _CUT.split(text or "") if self.by_words else [text or ""]
-        found = list(map(self.known.get, rest))
-        new = [w for w, f in zip(rest, found, strict=True) if f is None] if None in found else []
-        return self._tokens(head).tobytes(), found, new
-
-    def encode(self, text: str | None) -> bytes:
-        """Tokens of a text and its end token."""
-        head, found, new = self._look(text)
-        if new:
-            made = self._apart(new)
-            if len(self.known) < CACHED:
-                self.known.update((w, m) for w, m in zip(new, made, strict=True) if len(w) <= 64)
-            more = iter(made)
-            found = [next(more) if f is None else f for f in found]
-        return b"".join((head, *found, self.end.to_bytes(self.width, "little")))
-
-    def count(self, text: str | None) -> int:
-        """Number of tokens of a text and its end token."""
-        if len(self.known) < CACHED:
-            return len(self.encode(text)) // self.width
-        head, found, new = self._look(text)
-        return (len(head) + sum(map(len, filter(None, found)))) // self.width + 1 + (len(self.enc.encode_ordinary(" " + " ".join(new))) if new else 0)
-
-
-@lru_cache(maxsize=2)
-def words_of(path: str, pattern: str, token_bytes: int) -> Words:
-    """One per worker process."""
-    return Words(path, pattern, token_bytes)
-
-
-def encoded(text: str | None, encoding: tuple[str, str], layout: Layout) -> bytes:
-    """Tokens of a text and its end token."""
-    return words_of(*encoding, layout.token_bytes).encode(text)
-
-
-def token_rows(text: str | None, encoding: tuple[str, str], layout: Layout) -> tuple[np.ndarray, int]:
+def token_rows(text: str | None, enc: tiktoken.Encoding, layout: Layout) -> tuple[np.ndarray, int]:
     """(rows of ``layout.length`` tokens, number of tokens) of a text and its end token."""
-    ids = np.frombuffer(encoded(text, encoding, layout), dtype=f"<u{layout.token_bytes}")
-    rows = np.zeros((-(-len(ids) // layout.length), layout.length), dtype=ids.dtype)
+    ids = enc.encode_ordinary(text or "")
+    ids.append(enc.max_token_value + 1)
+    if ids[-1] >= 256 ** layout.token_bytes:
+        raise ValueError("token numbers do not fit")
+    rows = np.zeros((-(-len(ids) // layout.length), layout.length), dtype=f"<u{layout.token_bytes}")
     rows.reshape(-1)[: len(ids)] = ids
     return rows, len(ids)
 
@@ -180,10 +112,10 @@ def permute(ordinals: np.ndarray, n: int, key: str) -> np.ndarray:
 def count_sequences(rows: DataFrame, path: str, pattern: str, layout: Layout) -> dict[int, int]:
     """Sequences of every scan partition: one number per partition comes to the driver."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, n = words_of(path, pattern, layout.token_bytes), 0
+        enc, n = encoder(path, pattern), 0
         for b in batches:
             for text in b.column(1):
-                n += -(-words.count(text.as_py()) // layout.length)
+                n += -(-(len(enc.encode_ordinary(text.as_py() or "")) + 1) // layout.length)
         yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n]})
 
     return {r.part: r.n for r in rows.mapInArrow(count, "part long, n long").collect()}
@@ -210,12 +142,12 @@ def write_shards(rows: DataFrame, counts: dict[int, int], encoding: tuple[str, s
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = np.dtype([*_HEAD, ("body", f"<u{layout.token_bytes}", layout.length)])
-        here = TaskContext.get().partitionId()
+        enc, here = encoder(*encoding), TaskContext.get().partitionId()
         at, end = first.value[here]
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                cut = [token_rows(t.as_py(), encoding, layout) for t in part.column(1)]
+                cut = [token_rows(t.as_py(), enc, layout) for t in part.column(1)]
                 sizes = np.array([len(r) for r, _ in cut])
                 out = np.zeros(sizes.sum(), dtype=kind)
                 out["slot"] = permute(np.arange(at, at + len(out)), n, key)
