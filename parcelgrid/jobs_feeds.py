@@ -468,21 +468,22 @@ WHERE rn <= 20"""))(
 # ------------------------------------------------------------------ F1
 
 def _stream_merge(lake):
-    from parcelgrid.session import shared_dir
-    from parcelgrid.streaming.merge_stream import VersionedTable, file_stream, stream_merge
-    spark = lake.spark
-    base = _baseline(lake).drop("_seq", "record_status")
-    table = VersionedTable(spark, shared_dir(spark, "sales-table"), base.schema, ["transaction_id"], 16)
-    table.commit(base)
-    li_schema = lake.table("lineitem").schema
-    src = file_stream(spark, lake.root, li_schema, glob="lineitem.parquet", max_files=1)
+    """Update files landed one after the other (by line number, so that later files correct earlier ones), one micro-batch each."""
+    from parcelgrid.session import shared_dir, written
+    from parcelgrid.streaming.merge_stream import file_stream, stream_merge
+    spark, li = lake.spark, lake.table("lineitem")
+    landing = shared_dir(spark, "sales-landing")
+    for k, lines in enumerate((F.col("l_linenumber") <= 2, F.col("l_linenumber").between(3, 4), F.col("l_linenumber") >= 5)):
+        li.where(lines).coalesce(1).write.parquet(f"{landing}/part={k}")
+    base = written(_baseline(lake).drop("_seq", "record_status"), "sales-base")
 
     def prepare(batch):
         return FD.load_sales(fx.sales_update_rows(batch), feed_rank=1).drop("record_status")
 
-    stream_merge(src, table, lambda t, b: M.merge_keep_last(t, b, ["transaction_id"], "_seq"),
-                 shared_dir(spark, "sales-stream"), prepare)
-    return table.read().select(*_SALES_COLS)
+    source = file_stream(spark, f"{landing}/*", li.schema, glob="part-*", max_files=1)
+    table = stream_merge(source, base, lambda t, b: M.merge_keep_last(t, b, ["transaction_id"], "_seq"),
+                         shared_dir(spark, "sales-table"), shared_dir(spark, "sales-stream"), prepare)
+    return table.select(*_SALES_COLS)
 
 
 register("stream_merge", _BPU_SQL)(_stream_merge)

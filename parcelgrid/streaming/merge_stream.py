@@ -1,111 +1,59 @@
-"""F1/F2: a file stream merged into a versioned table, one micro-batch at a time.
-
-``readStream`` over a landing folder -> conform -> ``foreachBatch`` that
-applies a keyed merge rule (B1-B3) and commits the next version of the table.
-A table is cut into buckets by the hash of its key; a version rewrites the buckets
-its batch touches, into a fresh folder, and a commit log says which folder holds
-each bucket.  Nothing that is being read is ever overwritten.  The log also names
-the stream and batch of each commit, so a replayed batch is skipped.
-``availableNow`` drains what is there and stops; the final state equals the
-batch merge of all inputs.
+"""F1/F2: a file stream merged into a table, one micro-batch at a time.
+
+``readStream`` over a landing folder -> conform -> ``foreachBatch`` that applies a keyed merge rule (B1-B3) to the last version of the
+table and writes the next one as a plain folder named by the batch's number, ``batch=<id>``.  Nothing that is being read is
+ever overwritten: a batch that is run again reads the version before its own and writes its own once more.  The
+version before the last stays for that; older ones are deleted.  ``availableNow`` drains what is there and stops; the final state equals
+the batch merge of all inputs.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-LOG_SCHEMA = "version int, bucket int, folder string, stream string, batch_id long"
-
-
-class VersionedTable:
-    """A table as parquet folders and a commit log under one shared root.
-
-    ``key`` and ``buckets`` say how rows are placed and must stay the same for the
-    table's life; without a key there is one bucket and every commit rewrites
-    the table.  There is one writer at a time."""
-
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: list[str] | None = None, buckets: int = 1):
-        if buckets > 1 and not key:
-            raise ValueError("several buckets need a key")
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.key, self.buckets = key or [], buckets
-
-    def _log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/log")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-
-    def _placed(self, df: DataFrame) -> DataFrame:
-        place = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int") if self.key else F.lit(0)
-        return df.withColumn("_bucket", place)
-
-    def latest_version(self) -> int:
-        """Number of the last commit; -1 for a new table."""
-        last = self._log().agg(F.max("version")).first()[0]
-        return -1 if last is None else last
-
-    def applied(self, stream: str, batch_id: int) -> bool:
-        return not self._log().where((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).isEmpty()
-
-    def touched(self, batch: DataFrame) -> list[int]:
-        """Buckets that the batch's keys fall into: at most ``buckets`` numbers."""
-        return sorted(r[0] for r in self._placed(batch).select("_bucket").distinct().collect())
-
-    def read(self, buckets: list[int] | None = None, version: int | None = None) -> DataFrame:
-        """The table, or some of its buckets, as of a version (default: the last)."""
-        log = self._log()
-        if version is not None:
-            log = log.where(F.col("version") <= version)
-        heads = log.groupBy("bucket").agg(F.max_by("folder", "version").alias("folder")).collect()
-        paths = [f"{self.root}/data/{r.folder}/_bucket={r.bucket}" for r in heads
-                 if r.folder and (buckets is None or r.bucket in buckets)]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def commit(self, rows: DataFrame, stream: str = "load", batch_id: int = 0, buckets: list[int] | None = None) -> int:
-        """Make ``rows`` the content of ``buckets`` (default: of the whole table)
-        and return the version.  The data are complete before the log is."""
-        version, folder = self.latest_version() + 1, uuid.uuid4().hex
-        path = f"{self.root}/data/{folder}"
-        placed = self._placed(rows.select(*self.schema.names))
-        placed.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(path)
-        full = T.StructType([*self.schema.fields, T.StructField("_bucket", T.IntegerType())])
-        there = {r[0] for r in self.spark.read.schema(full).parquet(path).select("_bucket").distinct().collect()}
-        entries = [(version, b, folder if b in there else "", stream, batch_id)
-                   for b in (range(self.buckets) if buckets is None else buckets)]
-        self.spark.createDataFrame(entries, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
-        return version
-
-
-def stream_merge(source: DataFrame, table: VersionedTable, rule: Callable[[DataFrame, DataFrame], DataFrame],
-                 checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """drain ``source`` (a streaming DataFrame) into ``table`` with
-    ``rule(target, batch) -> new target`` per micro-batch.  ``checkpoint`` is the
-    stream's folder and its name in the table's log: a later call with it goes on
-    where this one ended, one with another folder is another stream.  With several
-    buckets the rule must decide row by row of one key."""
+
+
+def _folders(spark: SparkSession, root: str):
+    """The file system of ``root`` and its complete versions by batch number."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(path)] if fs.exists(path) else []
+    done = {int(p.getName()[len("batch="):]): p for p in found if p.getName().startswith("batch=")}
+    return fs, {k: p for k, p in done.items() if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))}
+
+
+def last_version(spark: SparkSession, root: str, before: int | None = None) -> str | None:
+    """Folder of the last complete version (of those before a batch, if one is given)."""
+    _, done = _folders(spark, root)
+    ids = [k for k in done if before is None or k < before]
+    return done[max(ids)].toString() if ids else None
+
+
+def stream_merge(source: DataFrame, base: DataFrame, rule: Callable[[DataFrame, DataFrame], DataFrame], root: str, checkpoint: str,
+                 prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """F1: drain ``source`` (a streaming DataFrame) with ``rule(target, batch) -> new target`` per micro-batch, and return the table.
+
+    ``base`` is the table before the stream's first batch and has its schema.  ``root`` holds the versions and ``checkpoint``
+    the stream's progress; both belong to one stream, and a later call with them goes on where this one ended.  Another stream has
+    folders of its own and starts from this one's table."""
+    spark, schema = source.sparkSession, base.schema
+
+    def read(before: int | None) -> DataFrame:
+        path = last_version(spark, root, before)
+        return spark.read.schema(schema).parquet(path) if path else base
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if table.applied(checkpoint, batch_id):
-            return
         rows = prepare(batch) if prepare else batch
-        buckets = table.touched(rows)
-        if buckets:
-            table.commit(rule(table.read(buckets), rows), checkpoint, batch_id, buckets)
+        rule(read(batch_id), rows).select(*schema.names).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        fs, done = _folders(spark, root)
+        for k in sorted(k for k in done if k < batch_id)[:-1]:
+            fs.delete(done[k], True)
 
     q = (source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    return read(None)
 
 
 def file_stream(spark: SparkSession, folder: str, schema, fmt: str = "parquet", glob: str | None = None,

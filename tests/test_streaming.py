@@ -4,7 +4,7 @@ import glob
 import os
 
 from parcelgrid.operators.merge import merge_keep_last
-from parcelgrid.streaming.merge_stream import VersionedTable, file_stream, stream_merge
+from parcelgrid.streaming.merge_stream import file_stream, last_version, stream_merge
 
 SCHEMA = "k string, v string, seq int"
 
@@ -19,58 +19,54 @@ def land(spark, folder, name, data):
         dst.write(src.read())
 
 
-def drain(spark, folder, table, checkpoint):
+def drain(spark, folder, base, root, checkpoint):
     stream = file_stream(spark, folder, spark.createDataFrame([], SCHEMA).schema, max_files=1)
-    stream_merge(stream, table, lambda t, b: merge_keep_last(t, b, ["k"], "seq"), checkpoint)
+    return stream_merge(stream, base, lambda t, b: merge_keep_last(t, b, ["k"], "seq"), root, checkpoint)
 
 
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def versions(root):
+    return sorted(os.listdir(root))
+
+
 def test_stream_drain_equals_batch(spark, tmp):
     data = [(f"k{i % 11}", f"v{i}", i) for i in range(90)]
     for part in range(3):
         land(spark, os.path.join(tmp, "in"), f"f{part}", data[part * 30:(part + 1) * 30])
     base = spark.createDataFrame([("k1", "old"), ("zz", "keep")], "k string, v string")
-    table = VersionedTable(spark, os.path.join(tmp, "table"), base.schema, ["k"], 4)
-    table.commit(base)
-    drain(spark, os.path.join(tmp, "in"), table, os.path.join(tmp, "ckpt"))
-    assert table.latest_version() == 3     # three micro-batches, one version each
-    want = rows(merge_keep_last(base, spark.createDataFrame(data, SCHEMA), ["k"], "seq"))
-    assert rows(table.read()) == want
-    assert rows(table.read(version=0)) == rows(base)
+    root = os.path.join(tmp, "table")
+    table = drain(spark, os.path.join(tmp, "in"), base, root, os.path.join(tmp, "ckpt"))
+    assert rows(table) == rows(merge_keep_last(base, spark.createDataFrame(data, SCHEMA), ["k"], "seq"))
+    assert versions(root) == ["batch=1", "batch=2"]     # three micro-batches; the last version and the one before stay
+    assert dict(rows(spark.read.parquet(last_version(spark, root, before=2))))["k0"] == "v55"
 
 
 def test_later_files_second_streams_and_replays(spark, tmp):
-    src, ckpt = os.path.join(tmp, "in"), os.path.join(tmp, "ckpt")
-    schema = spark.createDataFrame([], "k string, v string").schema
-    table = VersionedTable(spark, os.path.join(tmp, "table"), schema, ["k"], 4)
+    src, root, ckpt = (os.path.join(tmp, x) for x in ("in", "table", "ckpt"))
+    empty = spark.createDataFrame([], "k string, v string")
     land(spark, src, "f0", [("a", "1", 1), ("b", "1", 1)])
-    drain(spark, src, table, ckpt)
+    drain(spark, src, empty, root, ckpt)
     land(spark, src, "f1", [("b", "2", 2), ("c", "2", 2)])
-    drain(spark, src, table, ckpt)                                  # goes on with the second file
+    first = drain(spark, src, empty, root, ckpt)                    # goes on with the second file
     want = [("a", "1"), ("b", "2"), ("c", "2")]
-    assert rows(table.read()) == want and table.latest_version() == 1
+    assert rows(first) == want and versions(root) == ["batch=0", "batch=1"]
     other = os.path.join(tmp, "in2")
-    land(spark, other, "g0", [("d", "3", 3)])
-    drain(spark, other, table, os.path.join(tmp, "ckpt2"))          # its batch 0 is not the first stream's
-    want.append(("d", "3"))
-    assert rows(table.read()) == want
+    land(spark, other, "g0", [("d", "3", 3), ("a", "3", 3)])
+    second = drain(spark, other, first, os.path.join(tmp, "table2"), os.path.join(tmp, "ckpt2"))
+    assert rows(second) == [("a", "3"), ("b", "2"), ("c", "2"), ("d", "3")] and rows(first) == want
     os.remove(os.path.join(ckpt, "commits", "1"))                   # a stop between the merge and Spark's commit
     if os.path.exists(os.path.join(ckpt, "commits", ".1.crc")):
         os.remove(os.path.join(ckpt, "commits", ".1.crc"))
-    drain(spark, src, table, ckpt)
-    assert rows(table.read()) == want and table.latest_version() == 2
-
-
-def test_only_touched_buckets_are_rewritten(spark, tmp):
-    base = spark.createDataFrame([(f"k{i}", "0") for i in range(40)], "k string, v string")
-    table = VersionedTable(spark, os.path.join(tmp, "table"), base.schema, ["k"], 8)
-    table.commit(base)
-    before = set(table.read().inputFiles())
-    land(spark, os.path.join(tmp, "in"), "f0", [("k7", "1", 1)])
-    drain(spark, os.path.join(tmp, "in"), table, os.path.join(tmp, "ckpt"))
-    after = set(table.read().inputFiles())
-    assert len(before & after) == len(before) - 1 and len(after - before) == 1
-    assert dict(rows(table.read()))["k7"] == "1" and table.read().count() == 40
+    assert rows(drain(spark, src, empty, root, ckpt)) == want and versions(root) == ["batch=0", "batch=1"]
+
+
+def test_a_version_that_was_not_finished_does_not_count(spark, tmp):
+    src, root = os.path.join(tmp, "in"), os.path.join(tmp, "table")
+    os.makedirs(os.path.join(root, "batch=0"))                      # a write that ended before _SUCCESS
+    land(spark, src, "f0", [("a", "1", 1)])
+    base = spark.createDataFrame([("z", "0")], "k string, v string")
+    assert last_version(spark, root) is None
+    assert rows(drain(spark, src, base, root, os.path.join(tmp, "ckpt"))) == [("a", "1"), ("z", "0")]
