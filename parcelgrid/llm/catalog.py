@@ -31,8 +31,8 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     encoding = (tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     path, n = training_order.materialise(table(spark, sf_dir, "documents"), encoding, "epoch-0", layout, shared_path(spark, "shards"))
-    recs = training_order.read_shards(spark, path, layout) if n else training_order.empty_records(spark)
-    return recs.select(F.col("id").alias("doc_id"), "seq_no", "n_tokens", "slot", "shard", "byte_offset", F.sha2("body", 256).alias("body_sha256"))
+    recs = training_order.read_shards(spark, path, layout, digest=True) if n else training_order.empty_records(spark, digest=True)
+    return recs.select(F.col("id").alias("doc_id"), "seq_no", "n_tokens", "slot", "shard", "byte_offset", "body_sha256")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -69,7 +70,8 @@ def token_rows(text: str | None, enc: tiktoken.Encoding, layout: Layout) -> tupl
     if ids[-1] >= 256 ** layout.token_bytes:
         raise ValueError("token numbers do not fit")
     rows = np.zeros((-(-len(ids) // layout.length), layout.length), dtype=f"<u{layout.token_bytes}")
-    rows.reshape(-1)[: len(ids)] = ids
+    # by way of an array, several times as fast as from the list
+    rows.reshape(-1)[: len(ids)] = np.frombuffer(array("H" if layout.token_bytes == 2 else "I", ids), dtype=f"u{layout.token_bytes}")
     return rows, len(ids)
 
 
@@ -174,9 +176,14 @@ def write_shards(rows: DataFrame, counts: dict[int, int], encoding: tuple[str, s
     out.write.partitionBy("shard").option("compression", "none").text(path)
 
 
-def read_shards(spark: SparkSession, path: str, layout: Layout, first_slot: int = 0) -> DataFrame:
+def _schema(digest: bool) -> T.StructType:
+    return T.StructType([T.StructField("body_sha256", T.StringType()) if digest and f.name == "body" else f for f in RECORDS])
+
+
+def read_shards(spark: SparkSession, path: str, layout: Layout, first_slot: int = 0, digest: bool = False) -> DataFrame:
     """(shard, slot, id, seq_no, n_tokens, body, byte_offset) of all records from
-    ``first_slot`` on; whole shards before it are not opened, records before it are skipped by arithmetic."""
+    ``first_slot`` on; whole shards before it are not opened, records before it are skipped by arithmetic.  With ``digest`` the
+    hexadecimal ``body_sha256`` comes in place of the body."""
     first_shard = first_slot // layout.per_shard
     files = (spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary, shard long")
              .option("pathGlobFilter", "part-*").load(path).where(F.col("shard") >= first_shard).select("shard", "content"))
@@ -192,10 +199,11 @@ def read_shards(spark: SparkSession, path: str, layout: Layout, first_slot: int
                     cols = [np.full(len(r), shard)] + [r[c].astype(r[c].dtype.newbyteorder("=")) for c in ("slot", "id", "seq_no", "n_tokens")]
                     cols[2] = pa.array(cols[2], mask=cols[2] == NO_ID)
                     offset = np.arange(at, at + len(r), dtype=np.int64) * record.itemsize
-                    body = pa.array([x.tobytes() for x in r["body"]], pa.binary())
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, cols), body, pa.array(offset)], names=RECORDS.names)
+                    body = pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in r["body"]]) if digest else pa.array([x.tobytes() for x in r["body"]], pa.binary())
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, cols), body, pa.array(offset)], names=names)
 
-    return files.mapInArrow(cut, RECORDS)
+    names = _schema(digest).names
+    return files.mapInArrow(cut, _schema(digest))
 
 
 def materialise(docs: DataFrame, encoding: tuple[str, str], key: str, layout: Layout | None = None, out: str | None = None,
@@ -217,5 +225,5 @@ def materialise(docs: DataFrame, encoding: tuple[str, str], key: str, layout: La
     return out, sum(counts.values())
 
 
-def empty_records(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RECORDS)
+def empty_records(spark: SparkSession, digest: bool = False) -> DataFrame:
+    return spark.createDataFrame([], _schema(digest))

@@ -1,6 +1,7 @@
 """Training order, decontamination, backoff scores, page text, licences and the pipeline on small inputs."""
 
 import collections
+import hashlib
 import math
 import random
 import re
@@ -45,6 +46,8 @@ def test_shards_hold_every_token_once_and_resume(spark, tmp):
         assert enc.decode(r.reshape(-1)[:k - 1].tolist()) == (t or "")
     got.update((r.id, r.seq_no, r.n_tokens, bytes(r.body)) for r in recs)
     assert got == want
+    digests = {r.slot: r.body_sha256 for r in O.read_shards(spark, path, layout, digest=True).collect()}
+    assert digests == {r.slot: hashlib.sha256(bytes(r.body)).hexdigest() for r in recs}
     later = O.read_shards(spark, path, layout, 120).collect()
     assert sorted(r.slot for r in later) == list(range(120, n))
     again, _ = O.materialise(spark.read.parquet(f"{tmp}/in"), ENCODING, "k", layout, f"{tmp}/again")
