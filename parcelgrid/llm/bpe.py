@@ -1,8 +1,8 @@
 """Byte-pair encoding by backtracking over longest matches, and decoding.
 
 Encoding a word by repeated merging costs a scan per merge.  Here the tokens
-of a word are found directly: an Aho-Corasick automaton over the vocabulary finds the
-longest tokens; the encoder takes the longest token that
+of a word are found directly: one pass of an Aho-Corasick automaton over the word finds the
+longest token that starts at each place; the encoder takes the longest token that
 is *compatible* with the token before it and whose end is not known to be
 dead, and steps back when none is.  A sequence of tokens is the result of the
 merges exactly when every adjacent pair is, so a table of pair compatibility decides, and
@@ -73,13 +73,13 @@ class Vocabulary:
         self.letters = byte_letters()
         self.front = Tokenizer.from_file(path)
         self.table: dict[str, int] = {}
-        self.auto = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        self.auto = ahocorasick.Automaton(ahocorasick.STORE_ANY)
         for token, i in self.ids.items():
             body = token.removesuffix(self.suffix) if self.suffix else token
             key = body[:-1] + chr(ord(body[-1]) + 0x1000) if body != token else token
             if self._stable(i):
                 self.table[key] = i
-                self.auto.add_word(key)
+                self.auto.add_word(key[::-1], i)
         self.auto.make_automaton()
         #: letters of each token, and the longest token that is a proper prefix of it
         self.size = [0] * len(self.names)
@@ -145,12 +145,16 @@ class Vocabulary:
             else:
                 right_until, b = made_b, self.split[b][0]
 
-    def _longest(self, text: str) -> int:
-        """The longest token that begins ``text``: the automaton's longest path, cut back to a token."""
-        size = self.auto.longest_prefix(text)
-        while (token := self.table.get(text[:size])) is None:
-            size -= 1
-        return token
+    def _longest(self, text: str) -> list[int]:
+        """The longest token that starts at each place: the automaton of the reversed tokens reads the text from its end
+        and reports, where a token ends, the longest one first."""
+        n = len(text)
+        found = [-1] * n
+        for end, token in self.auto.iter(text[::-1]):
+            at = n - 1 - end
+            if found[at] < 0 or self.size[token] > self.size[found[at]]:
+                found[at] = token
+        return found
 
     def encode_letters(self, text: str) -> list[int]:
         """Token ids of one pre-token, given the letters of its bytes; the last one gets the word-end mark.
@@ -161,16 +165,19 @@ class Vocabulary:
         if self.suffix:
             text = text[:-1] + chr(ord(text[-1]) + 0x1000)
         n, size, shorter, compatible = len(text), self.size, self.shorter, self.compatible
+        if (whole := self.table.get(text)) is not None:
+            return [whole]  # every token of the table encodes to itself
         dead = bytearray(n + 1)
         path: list[int] = []
-        pos, token = 0, self._longest(text)
+        longest = self._longest(text)
+        pos, token = 0, longest[0]
         while True:
             end = pos + size[token]
             if not dead[end] and (not path or compatible(path[-1], token)):
                 path.append(token)
                 if end == n:
                     return path
-                pos, token = end, self._longest(text[end:])
+                pos, token = end, longest[end]
                 continue
             nxt = shorter[token]
             while nxt is None:
@@ -210,6 +217,8 @@ class Encoder(dict):
         super().__init__()
         self.v = vocabulary
         self.marks = regex.compile("|".join(regex.escape(s) for s in sorted(vocabulary.special, key=len, reverse=True)) or r"(?!)")
+        #: letters that a special token begins with; a text without them holds none
+        self.starts = {s[0] for s in vocabulary.special}
         #: letters of a byte string read as Latin-1
         self.letters = dict(enumerate(vocabulary.letters))
 
@@ -246,7 +255,7 @@ class Encoder(dict):
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; special tokens written out in it are themselves."""
         text = text or ""
-        if "<" not in text:
+        if not any(c in text for c in self.starts):
             return self.plain(text)
         out: list[int] = []
         pos = 0

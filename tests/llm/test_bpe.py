@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -73,3 +74,21 @@ def test_nulls_empty_texts_repeats_and_empty_table(spark, library):
         want.append((str(i), ids, library.decode(ids, skip_special_tokens=False)))
     assert got == sorted(want)
     assert bpe.encode_documents(docs(spark, []), PATH).count() == 0
+
+
+@pytest.mark.parametrize("run", ["a", "ha", "abcdefgh", "=", "é", "internationalization"])
+def test_unbroken_runs_equal_the_library(library, run):
+    text = (run * 20_000)[:20_001]
+    assert bpe.Encoder(bpe.vocabulary(PATH)).encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_an_unbroken_run_of_a_million_letters_takes_linear_time():
+    rng, v = random.Random(3), bpe.vocabulary(PATH)
+    text = "".join(rng.choice("abcdeinotsrh") for _ in range(1_000_000))
+
+    def seconds(n):
+        start = time.process_time()
+        v.encode_letters(text[:n])
+        return time.process_time() - start
+    seconds(10_000)
+    assert seconds(1_000_000) < 40 * max(seconds(100_000), 0.05)
