@@ -147,14 +147,9 @@ class Vocabulary:
 
     def _longest(self, text: str) -> list[int]:
         """The longest token that starts at each place: the automaton of the reversed tokens reads the text from its end
-        and reports, where a token ends, the longest one first."""
-        n = len(text)
-        found = [-1] * n
-        for end, token in self.auto.iter(text[::-1]):
-            at = n - 1 - end
-            if found[at] < 0 or self.size[token] > self.size[found[at]]:
-                found[at] = token
-        return found
+        and reports the tokens that end at a place from the longest to the shortest."""
+        longest = dict(reversed([*self.auto.iter(text[::-1])]))
+        return [longest[end] for end in range(len(text) - 1, -1, -1)]
 
     def encode_letters(self, text: str) -> list[int]:
         """Token ids of one pre-token, given the letters of its bytes; the last one gets the word-end mark.
