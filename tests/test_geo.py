@@ -184,3 +184,15 @@ def test_nearest_joins_only_up_to_the_answering_ring(spark, monkeypatch):
     right = spark.createDataFrame([("a", 51.5, -0.1)], "location_id string, r_latitude double, r_longitude double")
     assert spatial.nearest(left, right, 1.0, "uprn", "location_id", []).count() == 21
     assert [n for _, n in asked] == [21, 1, 1] and asked[0][0] == 1 / 16
+
+
+def test_near_join_gathers_no_side_for_a_broadcast(spark, tmp):
+    from parcelgrid.operators.spatial import near_join
+    left = spark.createDataFrame([(1, 51.5, -0.1), (2, 51.6, -0.1)], "a long, latitude double, longitude double")
+    right = spark.createDataFrame([(7, 51.5005, -0.1), (8, 52.0, 0.0)], "b long, r_latitude double, r_longitude double")
+    left.write.parquet(f"{tmp}/left")
+    right.write.parquet(f"{tmp}/right")
+    left, right = spark.read.parquet(f"{tmp}/left"), spark.read.parquet(f"{tmp}/right")
+    out = near_join(left, right, 0.15, cell_rows=None)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [(r.a, r.b) for r in near_join(left, right, 0.15).collect()] == [(1, 7)]

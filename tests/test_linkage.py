@@ -149,3 +149,18 @@ def test_short_and_odd_texts(spark):
         want = {(f"L{i}", f"R{j}") for i, a in enumerate(texts) for j, b in enumerate(texts) if a and b and ratio(a, b, method) >= threshold}
         got = {(r.lid, r.rid) for r in similarity_join(left, right, ["blk"], "lid", "rid", "lt", "rt", threshold, method).collect()}
         assert got == want
+
+
+def test_growing_sides_are_not_gathered_for_a_broadcast(spark, tmp):
+    """Frames that look small by their files are many rows after the explode: no join of the linkage broadcasts one."""
+    from parcelgrid.operators.linkage import link_titles
+    props = spark.createDataFrame([("1", None, "1 HIGH STREET", "P"), ("2", "T2", "1 HIGH STREE", "P"), ("3", "T3", "9 LOW ROAD", "P")],
+                                  "uprn string, title_number string, address_line_1 string, postcode string")
+    epc = spark.createDataFrame([("1", "F"), ("2", "A"), ("3", "A")], "uprn string, asset_rating_band string")
+    props.write.parquet(f"{tmp}/props")
+    epc.write.parquet(f"{tmp}/epc")
+    props, epc = spark.read.parquet(f"{tmp}/props"), spark.read.parquet(f"{tmp}/epc")
+    for method in ("difflib", "levenshtein"):
+        out = link_titles(props, epc, method=method)
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        assert {r.uprn: r.title_number for r in out.collect()} == {"1": "T2", "2": "T2", "3": "T3"}
