@@ -164,3 +164,44 @@ def test_growing_sides_are_not_gathered_for_a_broadcast(spark, tmp):
         out = link_titles(props, epc, method=method)
         assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
         assert {r.uprn: r.title_number for r in out.collect()} == {"1": "T2", "2": "T2", "3": "T3"}
+
+
+@pytest.mark.parametrize("method", ["levenshtein", "difflib"])
+def test_short_numbered_names_give_few_candidates(spark, method):
+    """Names that differ in a few digits behind a common beginning: no segment tells them apart, the rest of the text does."""
+    from parcelgrid.operators.linkage import candidate_pairs
+    n = 1500
+    rnd = random.Random(7)
+    numbers = rnd.sample(range(100_000), n)
+    left = [(f"L{k}", "B", f"SUPPLIER {k:09d}") for k in numbers]
+    right = [(f"R{k}", "B", f"SUPPLIER#{k:09d}") for k in numbers]
+    l_df, r_df = spark.createDataFrame(left, "lid string, blk string, lt string"), spark.createDataFrame(right, "rid string, blk string, rt string")
+    assert candidate_pairs(l_df, r_df, ["blk"], "lid", "rid", "lt", "rt", 0.85, method).count() < 0.03 * n * n
+    few = {k for k in numbers[:150]}
+    got = similarity_join(l_df.where(l_df.lid.isin([f"L{k}" for k in few])), r_df, ["blk"], "lid", "rid", "lt", "rt", 0.85, method)
+    want = {(a, b) for a, _, x in left if int(a[1:]) in few for b, _, y in right if _ratio(x, y, method) >= 0.85}
+    assert {(r.lid, r.rid) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("method,threshold", [("levenshtein", 0.85), ("difflib", 0.85), ("levenshtein", 0.5), ("difflib", 0.7)])
+def test_short_texts_of_all_lengths_lose_no_pair(spark, method, threshold):
+    rnd = random.Random(11)
+    text = lambda: "".join(rnd.choice("AB0 ") for _ in range(rnd.randint(1, 22)))
+    seeds = [text() for _ in range(25)]
+
+    def near(t):
+        for _ in range(rnd.randint(0, 4)):
+            p = rnd.randrange(len(t) + 1)
+            t = t[:p] + rnd.choice(["", "A", "0", "AB"]) + t[p + rnd.randint(0, 1):]
+        return t or "A"
+
+    left = [(f"L{i}", "B", near(rnd.choice(seeds))) for i in range(120)]
+    right = [(f"R{i}", "B", near(rnd.choice(seeds))) for i in range(120)]
+    got = similarity_join(spark.createDataFrame(left, "lid string, blk string, lt string"), spark.createDataFrame(right, "rid string, blk string, rt string"),
+                          ["blk"], "lid", "rid", "lt", "rt", threshold, method)
+    want = sorted((a, b) for a, _, x in left for b, _, y in right if _ratio(x, y, method) >= threshold)
+    assert sorted((r.lid, r.rid) for r in got.collect()) == want and want
+
+
+def _ratio(x, y, method):
+    return difflib.SequenceMatcher(None, x, y).ratio() if method == "difflib" else 1.0 - _lev(x, y) / max(len(x), len(y))
