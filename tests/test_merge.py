@@ -114,3 +114,15 @@ def test_surrogate_ids_are_dense_and_ordered(spark):
     assert sorted(tuple(r) for r in out.collect()) == [(5, "a"), (9, "b"), (10, "x"), (11, "y")]
     none = append_numbered(target.limit(0), spark.createDataFrame([], "v string, n int"), ["n"])
     assert none.collect() == []
+
+
+def test_surrogate_ids_shuffle_the_rows_once(spark):
+    """The written range partitions are numbered as they lie: no window over the rows deals them out again."""
+    from parcelgrid.operators.merge import surrogate_ids
+    rows = spark.range(2000).selectExpr("(id * 7919) % 2000 AS k", "id % 3 AS v").repartition(5)
+    out = surrogate_ids(rows, ["k"])
+    assert "partitionBy" not in out._jdf.queryExecution().analyzed().toString()
+    assert out._jdf.queryExecution().executedPlan().toString().count("row_number") == 0
+    assert all(r.id == r.k + 1 for r in out.collect()) and out.count() == 2000
+    desc = surrogate_ids(rows, ["v", "k"], after=5).orderBy("id").collect()
+    assert [(r.v, r.k) for r in desc] == sorted((r.v, r.k) for r in desc) and [r.id for r in desc] == list(range(6, 2006))
