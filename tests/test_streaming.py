@@ -70,3 +70,19 @@ def test_a_version_that_was_not_finished_does_not_count(spark, tmp):
     base = spark.createDataFrame([("z", "0")], "k string, v string")
     assert last_version(spark, root) is None
     assert rows(drain(spark, src, base, root, os.path.join(tmp, "ckpt"))) == [("a", "1"), ("z", "0")]
+
+
+def test_registered_updates_land_as_the_files_of_several_tasks(spark, tmp, monkeypatch):
+    """No update goes through one task, and the merged table is that of the batch merge."""
+    import __spark_entry__ as entry
+    from parcelgrid import session
+    from tests.conftest import SF_SMALL
+    for name in ("lineitem", "orders", "part", "supplier"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").limit(2000).repartition(3).write.parquet(f"{tmp}/{name}.parquet")
+    made, real = {}, session.shared_dir
+    monkeypatch.setattr(session, "shared_dir", lambda s, name: made.setdefault(name, real(s, name)))
+    got = entry.queries()["stream_merge"](spark, tmp)
+    want = entry.queries()["baseline_plus_update"](spark, tmp)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    landing = session.local_path(made["sales-landing"])
+    assert [len(glob.glob(f"{landing}/part={k}/part-*")) > 1 for k in range(3)] == [True] * 3
