@@ -196,3 +196,27 @@ def test_near_join_gathers_no_side_for_a_broadcast(spark, tmp):
     out = near_join(left, right, 0.15, cell_rows=None)
     assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
     assert [(r.a, r.b) for r in near_join(left, right, 0.15).collect()] == [(1, 7)]
+
+
+def test_rows_of_one_location_are_joined_in_blocks(spark):
+    """Right rows of one location take part as blocks of bounded size; every pair comes out once, with null and repeated ids."""
+    from parcelgrid.operators.spatial import PIECES, _spot_blocks
+    pts = [(f"h{i}", i, 51.5, -0.1) for i in range(50)] + [(f"n{i}", None, 51.5008, -0.1) for i in range(20)]
+    pts += [(f"q{i}", i, 51.5 + i * 4e-4, -0.1 + i * 3e-4) for i in range(30)]
+    pts += [("twice", 1, 51.5008, -0.1), ("twice", 1, 51.5008, -0.1), (None, 2, 51.5, -0.1), ("lost", 3, None, -0.1), ("lost", 4, 51.5, None)]
+    left = spark.createDataFrame(pts, "id string, n int, latitude double, longitude double")
+    right = left.select(F.col("n").alias("m"), F.col("latitude").alias("r_latitude"), F.col("id").alias("rid"), F.col("longitude").alias("r_longitude"))
+    at = [p for p in pts if p[2] is not None and p[3] is not None]
+    dist = lambda a, b: great_circle((0, *a[2:]), (0, *b[2:]))
+    key = lambda r: tuple((v is None, v) for v in r)
+    want = sorted(((*a, b[1], b[2], b[0], b[3], round(dist(a, b), 6)) for a in at for b in at if dist(a, b) <= 0.15), key=key)
+    out = near_join(left, right, 0.15, digits=6, block_rows=7)
+    assert out.columns == [*left.columns, *right.columns, "dist_km"]
+    assert sorted(map(tuple, out.collect()), key=key) == want
+    lone = near_join(left, right, 0.15, digits=6, block_rows=None)
+    assert sorted(map(tuple, lone.collect()), key=key) == want
+    bare = near_join(left, right.select("r_latitude", "r_longitude"), 0.15)
+    assert bare.count() == len(want)
+    sizes = [len(r["_rows_rid"]) for r in _spot_blocks(right.dropna(subset=["r_latitude", "r_longitude"]), "r_latitude", "r_longitude", ["m", "rid"], 7).collect()]
+    assert sum(sizes) == len(at) and max(sizes) == 7 and len(sizes) == 8 + 4 + 29
+    assert out.rdd.getNumPartitions() >= PIECES * spark.sparkContext.defaultParallelism
